@@ -81,11 +81,12 @@ def prefixed(df: DataFrame, mapping: Mapping[str, str], optional: Iterable[str]
 
 
 def audit_columns(df: DataFrame) -> DataFrame:
-    """Ingestion stamp and the source file taken from the hidden file metadata."""
-    return df.withColumns({
-        "_ingested_at": F.current_timestamp(),
-        "_source_file": F.col("_metadata.file_path"),
-    })
+    """Ingestion stamp and the source file taken from the hidden file metadata
+    (kept as is when the source already resolved ``_source_file``)."""
+    cols = {"_ingested_at": F.current_timestamp()}
+    if "_source_file" not in df.columns:
+        cols["_source_file"] = F.col("_metadata.file_path")
+    return df.withColumns(cols)
 
 
 def stamp(df: DataFrame, name: str) -> DataFrame:

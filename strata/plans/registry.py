@@ -259,3 +259,6 @@ def kpi_row_counts(spark, sf_dir):
         "taxi_metrics": m.gold_zone_metrics(),
         "user_metrics": m.gold_user_metrics(),
     })
+
+
+from . import stream_queries  # noqa: E402,F401  (registers the streaming queries)

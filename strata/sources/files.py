@@ -29,6 +29,16 @@ from pyspark.sql import types as T
 from ..fs import path_exists
 
 RESCUED = "_rescued_data"
+# JSON keeps full microsecond timestamps: written with micros (and the offset
+# for zoned values), read back with the fraction and the offset optional.
+JSON_TS_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+JSON_TS_READ_OPTIONS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
 _STORE_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("schema", T.StringType()),
@@ -91,9 +101,13 @@ class FileSource:
     rescue: bool = False
     max_files_per_trigger: int | None = None
     options: dict[str, str] = field(default_factory=dict)
+    schema: T.StructType | None = None  # declared schema: no inference, no evolution
+
+    def _options(self) -> dict[str, str]:
+        return {**(JSON_TS_READ_OPTIONS if self.fmt == "json" else {}), **self.options}
 
     def _infer(self, spark: SparkSession, modified_after: str | None) -> T.StructType | None:
-        reader = spark.read.format(self.fmt).options(**self.options)
+        reader = spark.read.format(self.fmt).options(**self._options())
         if modified_after:
             reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
         try:
@@ -103,6 +117,8 @@ class FileSource:
 
     def resolve_schema(self, spark: SparkSession) -> T.StructType:
         """Stored schema, widened by the files that arrived since it was inferred."""
+        if self.schema is not None:
+            return self.schema
         store = SchemaStore(spark, self.schema_location)
         stored = store.load()
         # files newer than the last inference (with a margin: re-inferring a file is harmless)
@@ -126,7 +142,7 @@ class FileSource:
         schema = self.resolve_schema(spark)
         if self.rescue and self.fmt == "json":
             return self._rescued_json_stream(spark, schema)
-        reader = spark.readStream.format(self.fmt).options(**self.options).schema(schema)
+        reader = spark.readStream.format(self.fmt).options(**self._options()).schema(schema)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
         return reader.load(self.path)
@@ -137,15 +153,16 @@ class FileSource:
             reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
         lines = reader.load(self.path)
         parsed = parse_json_with_rescue(F.col("value"), schema)
-        # keep the hidden file metadata reachable for the audit columns
-        return lines.select(parsed.alias("_r"), F.col("_metadata")).select("_r.*", "_metadata")
+        # the hidden file metadata is gone after the parse, so resolve the path here
+        return lines.select(parsed.alias("_r"), F.col("_metadata.file_path").alias("_source_file")
+                            ).select("_r.*", "_source_file")
 
 
 def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:
     """Struct of ``schema`` fields plus ``_rescued_data``: a JSON object of the
     keys that are not in the schema or whose value could not be cast."""
     data_fields = [f for f in schema.fields if f.name != RESCUED]
-    typed = F.from_json(text, T.StructType(data_fields))
+    typed = F.from_json(text, T.StructType(data_fields), JSON_TS_READ_OPTIONS)
     raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
     known = F.array(*[F.lit(f.name) for f in data_fields])
     unknown = F.map_filter(raw, lambda k, v: ~F.array_contains(known, k))
@@ -163,20 +180,20 @@ def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:
 # ------------------------------------------------------------------ landing
 def write_landing(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append files to a landing folder (no ``coalesce(1)``: parallel writers)."""
-    df.write.mode("append").format(fmt).save(path)
+    df.write.mode("append").format(fmt).options(**(JSON_TS_OPTIONS if fmt == "json" else {})).save(path)
 
 
 def write_json_lines(df: DataFrame, path: str, merge_json_col: str | None = None) -> None:
     """Append JSON lines; ``merge_json_col`` (a JSON-object string column) is
     spliced into each record as top-level keys."""
     body = df.drop(merge_json_col) if merge_json_col else df
-    line = F.to_json(F.struct(*[F.col(c) for c in body.columns]))
+    line = F.to_json(F.struct(*[F.col(c) for c in body.columns]), JSON_TS_OPTIONS)
     if merge_json_col:
         extra = F.regexp_replace(F.trim(F.col(merge_json_col)), r"^\{\s*|\s*\}$", "")
         line = F.when(F.length(extra) > 0,
                       F.concat(F.expr("substring(_line, 1, length(_line) - 1)"), F.lit(","), extra, F.lit("}"))
                       ).otherwise(F.col("_line"))
-        out = df.select(F.to_json(F.struct(*[F.col(c) for c in body.columns])).alias("_line"),
+        out = df.select(F.to_json(F.struct(*[F.col(c) for c in body.columns]), JSON_TS_OPTIONS).alias("_line"),
                         F.col(merge_json_col)).select(line.alias("value"))
     else:
         out = df.select(line.alias("value"))

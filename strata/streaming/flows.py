@@ -40,6 +40,7 @@ class Flow:
 
 def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQuery:
     """Start the flow, wait until the available input is processed, run ``after``."""
+    before = flow.target.version()
     df = flow.transform(flow.source(spark))
     writer = (
         df.writeStream.queryName(f"{flow.name}_{flow.tag()}")
@@ -53,7 +54,8 @@ def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQue
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
-        if flow.after is not None and flow.target.exists():
+        # maintenance only after a run that committed something new
+        if flow.after is not None and flow.target.version() != before:
             flow.after(spark)
     return query
 

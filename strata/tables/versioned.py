@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import path_exists
+from ..fs import delete_path, path_exists
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -84,6 +84,10 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self._entries())
 
+    def version(self) -> int | None:
+        e = self._latest()
+        return None if e is None else e["version"]
+
     def history(self) -> DataFrame:
         """All versions, newest first (like DESCRIBE HISTORY)."""
         rows = list(reversed(self._entries()))
@@ -137,6 +141,10 @@ class VersionedTable:
             return self._entry(None)["version"]
         n = self._write(df, DATA, commit)
         prev = self._latest()
+        if n == 0 and prev is not None:
+            # nothing to add: unpublish the empty folder so no stream picks it up
+            delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
+            return prev["version"]
         live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
         schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
         rows = (prev["rows"] if prev else 0) + n
