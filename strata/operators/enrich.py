@@ -66,15 +66,18 @@ def match_report(enriched: DataFrame) -> DataFrame:
 def row_preservation(source: DataFrame, enriched: DataFrame, key: str = "id") -> DataFrame:
     """Distinct source keys vs enriched rows vs distinct enriched keys, one row.
 
-    Both key columns are tagged and unioned, then reduced by one aggregate."""
+    Both key columns are tagged and unioned, reduced per key (one shuffle on
+    the key, partial counts on the map side), then summed globally."""
     side = F.col("_side")
     both = source.select(F.lit(0).alias("_side"), F.col(key).alias("_k")).unionByName(
         enriched.select(F.lit(1).alias("_side"), F.col(key).alias("_k"))
     )
-    return both.agg(
-        F.count_distinct(F.when(side == 0, F.col("_k"))).alias("source_keys"),
-        F.count_if(side == 1).alias("enriched_rows"),
-        F.count_distinct(F.when(side == 1, F.col("_k"))).alias("enriched_keys"),
+    per_key = both.groupBy("_k").agg(
+        F.count_if(side == 0).alias("_src"), F.count_if(side == 1).alias("_enr"))
+    return per_key.agg(
+        F.count_if((F.col("_src") > 0) & F.col("_k").isNotNull()).alias("source_keys"),
+        F.sum("_enr").alias("enriched_rows"),
+        F.count_if((F.col("_enr") > 0) & F.col("_k").isNotNull()).alias("enriched_keys"),
     ).withColumn(
         "preserved",
         (F.col("source_keys") == F.col("enriched_rows")) & (F.col("enriched_rows") == F.col("enriched_keys")),
