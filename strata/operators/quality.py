@@ -52,6 +52,28 @@ def observe_rules(df: DataFrame, rules: Mapping[str, str], name: str = "expectat
     return df.observe(obs, *metrics), obs
 
 
+def observe_rules_stream(df: DataFrame, rules: Mapping[str, str], name: str) -> DataFrame:
+    """Per-rule failure counts of each micro-batch as named observed metrics:
+    ``query.recentProgress[i]['observedMetrics'][name]`` (no extra job)."""
+    metrics = [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(~_passes(p)).alias(f"failed_{n}") for n, p in rules.items()
+    ]
+    return df.observe(name, *metrics)
+
+
+def progress_metrics(query, name: str) -> dict[str, int]:
+    """Sum a flow's observed metrics over its recent micro-batches."""
+    total: dict[str, int] = {}
+    for p in query.recentProgress:
+        observed = (p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)) or {}
+        row = observed.get(name)
+        if row is None:
+            continue
+        for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
+            total[k] = total.get(k, 0) + int(v)
+    return total
+
+
 def rule_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     """One row per rule: ``rule, total, passed, failed`` from a single scan.
 

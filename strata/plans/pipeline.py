@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import audit_columns
 from ..operators import aggregates, cleaning, enrich
+from ..operators.quality import observe_rules_stream
 from ..schemas import driver_schema
 from ..sources.files import FileSource
 from ..streaming.flows import Flow, run_pipeline
@@ -70,11 +71,14 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
         Flow("bronze_users", bronze_source(landing, house, "users", landing.users_fmt,
                                            max_files_per_trigger=max_files_per_trigger),
              audit_columns, t("bronze", "users"), data_ck("bronze", "users")),
-        Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(), cleaning.clean_trips,
+        Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(),
+             lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules")),
              t("silver", "taxi"), data_ck("silver", "taxi")),
-        Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(), cleaning.clean_drivers,
+        Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(),
+             lambda d: cleaning.clean_drivers(observe_rules_stream(d, cleaning.DRIVER_RULES, "silver_drivers_rules")),
              t("silver", "drivers"), data_ck("silver", "drivers")),
-        Flow("silver_users", lambda s: t("bronze", "users").read_stream(), cleaning.clean_users,
+        Flow("silver_users", lambda s: t("bronze", "users").read_stream(),
+             lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules")),
              t("silver", "users"), data_ck("silver", "users")),
         Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(), aggregates.zone_metrics,
              t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode="complete",
