@@ -73,33 +73,38 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
              audit_columns, t("bronze", "users"), data_ck("bronze", "users")),
         Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(),
              lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules")),
-             t("silver", "taxi"), data_ck("silver", "taxi")),
+             t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",)),
         Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(),
              lambda d: cleaning.clean_drivers(observe_rules_stream(d, cleaning.DRIVER_RULES, "silver_drivers_rules")),
-             t("silver", "drivers"), data_ck("silver", "drivers")),
+             t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",)),
         Flow("silver_users", lambda s: t("bronze", "users").read_stream(),
              lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules")),
-             t("silver", "users"), data_ck("silver", "users")),
+             t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",)),
         Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(), aggregates.zone_metrics,
              t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode="complete",
+             depends_on=("silver_taxi",),
              after=(lambda s: t("gold", "taxi_metrics").cluster("pu_location_id")) if maintain else None),
         Flow("gold_driver_metrics", lambda s: t("silver", "drivers").read_stream(), aggregates.driver_metrics,
              t("gold", "driver_metrics"), data_ck("gold", "driver_metrics"), mode="complete",
+             depends_on=("silver_drivers",),
              after=(lambda s: t("gold", "driver_metrics").cluster("experience", zorder=True))
              if maintain else None),
         Flow("gold_user_metrics", lambda s: t("silver", "users").read_stream(), aggregates.user_metrics,
              t("gold", "user_metrics"), data_ck("gold", "user_metrics"), mode="complete",
+             depends_on=("silver_users",),
              after=(lambda s: t("gold", "user_metrics").compact()) if maintain else None),
         Flow("gold_enriched_trips", lambda s: t("silver", "taxi").read_stream(),
              lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read()),
              t("gold", "enriched_trips"), data_ck("gold", "enriched_trips"),
+             depends_on=("silver_taxi", "silver_drivers"),
              after=(lambda s: t("gold", "enriched_trips").compact()) if maintain else None),
     ]
     return flows
 
 
-def run_medallion(spark: SparkSession, landing: Landing, house: Lakehouse, **kw) -> None:
-    run_pipeline(spark, medallion_flows(spark, landing, house, **kw))
+def run_medallion(spark: SparkSession, landing: Landing, house: Lakehouse, parallel: bool = True,
+                  **kw) -> None:
+    run_pipeline(spark, medallion_flows(spark, landing, house, **kw), parallel=parallel)
 
 
 def land_entities(spark: SparkSession, landing: Landing, trips: DataFrame, drivers: DataFrame,
