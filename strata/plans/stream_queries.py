@@ -275,3 +275,24 @@ def cluster_layout(spark, sf_dir):
 
 # S14 check helper for the oracle-free inventory
 _ = sql
+
+
+@register("optimize_log", """
+SELECT * FROM (VALUES ('gold.taxi_metrics', 1, NULL, '["pu_location_id"]'),
+                      ('gold.driver_metrics', 1, '["experience"]', NULL),
+                      ('gold.user_metrics', 1, NULL, NULL),
+                      ('gold.enriched_trips', 1, NULL, NULL))
+  AS t(table_name, optimize_version, z_order_by, cluster_by)
+""")
+def optimize_log(spark, sf_dir):
+    """Latest OPTIMIZE entry of each gold table, from table history (layout evidence)."""
+    house = two_wave(spark, sf_dir).house
+    out = None
+    for name in TABLES["gold"]:
+        t = house.table("gold", name)
+        latest = (t.history().filter("operation = 'OPTIMIZE'").orderBy(F.col("version").desc()).limit(1)
+                  .select(F.lit(f"gold.{name}").alias("table_name"), F.col("version").alias("optimize_version"),
+                          F.col("operationParameters")["zOrderBy"].alias("z_order_by"),
+                          F.col("operationParameters")["clusterBy"].alias("cluster_by")))
+        out = latest if out is None else out.unionByName(latest)
+    return out

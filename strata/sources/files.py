@@ -102,12 +102,13 @@ class FileSource:
     max_files_per_trigger: int | None = None
     options: dict[str, str] = field(default_factory=dict)
     schema: T.StructType | None = None  # declared schema: no inference, no evolution
+    infer_options: dict[str, str] = field(default_factory=dict)  # e.g. {"samplingRatio": "0.1"} for JSON
 
     def _options(self) -> dict[str, str]:
         return {**(JSON_TS_READ_OPTIONS if self.fmt == "json" else {}), **self.options}
 
     def _infer(self, spark: SparkSession, modified_after: str | None) -> T.StructType | None:
-        reader = spark.read.format(self.fmt).options(**self._options())
+        reader = spark.read.format(self.fmt).options(**self._options()).options(**self.infer_options)
         if modified_after:
             reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
         try:

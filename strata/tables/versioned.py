@@ -46,6 +46,7 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 COMMIT_COL = "_commit"
+HISTORY_FILES_BEFORE_CONSOLIDATION = 100
 DATA, REWRITES = "data", "rewrites"
 
 
@@ -124,8 +125,23 @@ class VersionedTable:
         df = self.spark.createDataFrame([entry], HISTORY_SCHEMA)
         df.coalesce(1).write.mode("append").json(self._history_path())
         self._entries().append(Row(**{f.name: entry[f.name] for f in HISTORY_SCHEMA.fields}))
+        if (version + 1) % HISTORY_FILES_BEFORE_CONSOLIDATION == 0:
+            self.consolidate_history()
         return version
 
+    def consolidate_history(self) -> int:
+        """Rewrite the history as one file and drop the per-version files.
+
+        Safe at any point of failure: entries are de-duplicated by commit id
+        when read, so old and consolidated copies may coexist."""
+        hist = self._history_path()
+        old = self.spark.read.schema(HISTORY_SCHEMA).json(hist).inputFiles()
+        rows = self._entries()
+        self.spark.createDataFrame(rows, HISTORY_SCHEMA).coalesce(1).write.mode("append").json(hist)
+        for f in old:
+            delete_path(self.spark, f)
+        return len(old)
+
     # ------------------------------------------------------------- writes
     def _write(self, df: DataFrame, area: str, commit: str) -> int:
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
