@@ -19,3 +19,14 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(hpath, True))
+
+
+def count_data_files(spark: SparkSession, path: str) -> int:
+    """Number of visible (not ``_``/``.``-prefixed) files directly under ``path``."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return 0
+    return sum(1 for st in fs.listStatus(hpath)
+               if st.isFile() and not st.getPath().getName().startswith(("_", ".")))

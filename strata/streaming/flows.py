@@ -15,6 +15,8 @@ the checkpoint, so only the new input is read on each run.
 from __future__ import annotations
 
 import hashlib
+import logging
+import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -24,6 +26,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..tables.versioned import VersionedTable
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Flow:
@@ -42,6 +46,7 @@ class Flow:
 
 def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQuery:
     """Start the flow, wait until the available input is processed, run ``after``."""
+    t0 = time.perf_counter()
     before = flow.target.version()
     df = flow.transform(flow.source(spark))
     writer = (
@@ -56,9 +61,12 @@ def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQue
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
+        t1 = time.perf_counter()
         # maintenance only after a run that committed something new
         if flow.after is not None and flow.target.version() != before:
             flow.after(spark)
+        log.info("flow %s: run %.2fs, maintenance %.2fs, version %s -> %s", flow.name, t1 - t0,
+                 time.perf_counter() - t1, before, flow.target.version())
     return query
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import delete_path, path_exists
+from ..fs import count_data_files, delete_path, path_exists
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -60,6 +60,7 @@ class VersionedTable:
         self.root = root.rstrip("/")
         self.name = name or self.root.rsplit("/", 1)[-1]
         self._cache: list | None = None
+        self._last_files = 0
 
     # ------------------------------------------------------------- history
     def _history_path(self) -> str:
@@ -144,9 +145,12 @@ class VersionedTable:
 
     # ------------------------------------------------------------- writes
     def _write(self, df: DataFrame, area: str, commit: str) -> int:
+        """Write one commit folder; rows are counted while writing (no extra
+        job) and the file count is read from the folder listing."""
         obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
-            f"{self.root}/{area}/{COMMIT_COL}={commit}")
+        path = f"{self.root}/{area}/{COMMIT_COL}={commit}"
+        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        self._last_files = count_data_files(self.spark, path)
         return int(obs.get.get("n", 0))
 
     def append(self, df: DataFrame, operation: str = "WRITE", commit: str | None = None,
@@ -164,7 +168,8 @@ class VersionedTable:
         live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
         schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
         rows = (prev["rows"] if prev else 0) + n
-        return self._record(operation, commit, live, schema, rows, params, {"numOutputRows": n})
+        return self._record(operation, commit, live, schema, rows, params,
+                            {"numOutputRows": n, "numFiles": self._last_files})
 
     def overwrite(self, df: DataFrame, operation: str = "WRITE", commit: str | None = None,
                   params: Mapping[str, str] | None = None) -> int:
@@ -174,7 +179,8 @@ class VersionedTable:
             return self._entry(None)["version"]
         n = self._write(df, REWRITES, commit)
         return self._record(operation, commit, [f"{REWRITES}/{commit}"], df.schema, n,
-                            {"mode": "Overwrite", **(params or {})}, {"numOutputRows": n})
+                            {"mode": "Overwrite", **(params or {})},
+                            {"numOutputRows": n, "numFiles": self._last_files})
 
     def batch_writer(self, mode: str, tag: str) -> Callable[[DataFrame, int], None]:
         """``foreachBatch`` function: exactly-once by commit id ``<tag>-<batchId>``."""
@@ -206,13 +212,15 @@ class VersionedTable:
         e = self._entry(version)
         if e is None:
             raise ValueError(f"{self.name}: table does not exist")
-        schema = T.StructType.fromJson(json.loads(e["schema"]))
+        return self._scan_commits(T.StructType.fromJson(json.loads(e["schema"])), list(e["live"]), with_file)
+
+    def _scan_commits(self, schema: T.StructType, live: Sequence[str], with_file: bool = False) -> DataFrame:
         cols = [F.col(f.name) for f in schema.fields]
         if with_file:
             cols.append(F.col("_metadata.file_name").alias("file"))
         parts = []
         for area in (DATA, REWRITES):
-            commits = [x.split("/", 1)[1] for x in e["live"] if x.startswith(area + "/")]
+            commits = [x.split("/", 1)[1] for x in live if x.startswith(area + "/")]
             if not commits:
                 continue
             read_schema = T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())])
@@ -225,6 +233,15 @@ class VersionedTable:
             out = out.unionByName(p)
         return out
 
+    def commit_stats(self) -> dict[str, tuple[int, int]]:
+        """(rows, files) written by each commit, from the history metrics (no scan)."""
+        stats: dict[str, tuple[int, int]] = {}
+        for e in self._entries():
+            m = e["operationMetrics"] or {}
+            if m.get("numOutputRows") is not None and e["live"]:
+                stats[e["live"][-1]] = (int(m["numOutputRows"]), int(m.get("numFiles", 1)))
+        return stats
+
     def read_stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
         """New append commits as a stream (rewrites are never re-emitted).
 
@@ -248,15 +265,31 @@ class VersionedTable:
     def _target_files(self, rows: int, rows_per_file: int) -> int:
         return max(1, math.ceil(rows / max(rows_per_file, 1)))
 
-    def compact(self, rows_per_file: int = 1_000_000) -> int:
-        """OPTIMIZE: rewrite the live content into fewer, larger files (content unchanged)."""
+    def compact(self, rows_per_file: int = 1_000_000) -> int | None:
+        """OPTIMIZE by bin-packing. Candidates are live commits that are small
+        (fewer rows than ``rows_per_file``) or split into more files than their
+        rows need; they are rewritten together into right-sized files, other
+        commits stay as they are. The work is proportional to the candidate
+        (usually new) data, not to the table. Returns the new version, or None
+        when the candidates already use no more files than needed."""
         e = self._latest()
-        n = self._target_files(e["rows"], rows_per_file)
+        stats = self.commit_stats()
+        need = lambda rows: self._target_files(rows, rows_per_file)
+        cand = [c for c in e["live"] if c in stats
+                and (stats[c][0] < rows_per_file or stats[c][1] > need(stats[c][0]))]
+        n_rows = sum(stats[c][0] for c in cand)
+        n_files = sum(stats[c][1] for c in cand)
+        if not cand or n_files <= need(n_rows):
+            return None
+        n = need(n_rows)
         commit = f"c-{uuid.uuid4().hex}"
-        df = self.read().repartition(n)
+        schema = self.schema()
+        df = self._scan_commits(schema, cand).repartition(n)
         written = self._write(df, REWRITES, commit)
-        return self._record("OPTIMIZE", commit, [f"{REWRITES}/{commit}"], self.schema(), written,
-                            {"predicate": "[]"}, {"numFilesAdded": n})
+        live = [c for c in e["live"] if c not in set(cand)] + [f"{REWRITES}/{commit}"]
+        return self._record("OPTIMIZE", commit, live, schema, e["rows"], {"predicate": "[]"},
+                            {"numRemovedFiles": n_files, "numFilesAdded": self._last_files,
+                             "numOutputRows": written, "numFiles": self._last_files})
 
     def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False) -> int:
         """Range-cluster on ``key``: files hold disjoint, sorted key ranges, so
@@ -269,7 +302,8 @@ class VersionedTable:
         written = self._write(df, REWRITES, commit)
         params = {"zOrderBy": json.dumps([key])} if zorder else {"clusterBy": json.dumps([key])}
         return self._record("OPTIMIZE", commit, [f"{REWRITES}/{commit}"], self.schema(), written,
-                            params, {"numFilesAdded": n})
+                            params, {"numFilesAdded": self._last_files, "numOutputRows": written,
+                                     "numFiles": self._last_files})
 
     def layout(self, key: str, version: int | None = None) -> DataFrame:
         """Per-file row count and min/max of ``key`` for the live files."""
