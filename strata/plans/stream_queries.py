@@ -15,7 +15,6 @@ from ..sources.files import FileSource, list_files, write_json_lines
 from ..streaming.flows import Flow, run_flow
 from ..functions.columns import audit_columns
 from ..tables.versioned import Lakehouse
-from . import oracle as sql
 from .batch import DRIVER_COLUMNS, SILVER_TRIP_COLUMNS, TRIP_COLUMNS, Medallion, layers_sql
 from .pipeline import TABLES
 from .registry import register
@@ -264,9 +263,6 @@ def cluster_layout(spark, sf_dir):
         F.sum("rows").alias("row_count"))
 
 
-# S14 check helper for the oracle-free inventory
-_ = sql
-
 
 @register("optimize_log", """
 SELECT * FROM (VALUES ('gold.taxi_metrics', 1, NULL, '["pu_location_id"]'),

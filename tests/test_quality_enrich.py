@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from strata.operators.enrich import driver_dimension, enrich_trips, match_report, row_preservation, top_drivers
 from strata.operators.quality import expect_all_or_drop, observe_rules, rule_metrics, violations
 
@@ -50,4 +48,3 @@ def test_top_drivers(spark):
     out = enrich_trips(_trips(spark), _drivers(spark), with_stamp=False)
     r = top_drivers(out, k=1).collect()
     assert [(x.driver_id, x.trips, x.revenue) for x in r] == [("D1", 1, 10.0)]
-    assert F is not None
