@@ -62,7 +62,8 @@ def observe_rules_stream(df: DataFrame, rules: Mapping[str, str], name: str) ->
 
 
 def progress_metrics(query, name: str) -> dict[str, int]:
-    """Sum a flow's observed metrics over its recent micro-batches."""
+    """Sum a flow's observed metrics over its recent micro-batches (the last
+    ``spark.sql.streaming.numRecentProgressUpdates`` of them, 100 by default)."""
     total: dict[str, int] = {}
     for p in query.recentProgress:
         observed = (p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)) or {}

@@ -103,8 +103,21 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
 
 
 def run_medallion(spark: SparkSession, landing: Landing, house: Lakehouse, parallel: bool = True,
-                  **kw) -> None:
-    run_pipeline(spark, medallion_flows(spark, landing, house, **kw), parallel=parallel)
+                  **kw) -> dict[str, dict[str, int]]:
+    """Run the ten flows; returns the per-rule counts observed by the silver flows."""
+    from ..operators.quality import progress_metrics
+
+    flows = medallion_flows(spark, landing, house, **kw)
+    queries = run_pipeline(spark, flows, parallel=parallel)
+    by_name = {f.name: q for f, q in zip(_ordered(flows), queries)}
+    return {name: progress_metrics(by_name[name], f"{name}_rules")
+            for name in ("silver_taxi", "silver_drivers", "silver_users")}
+
+
+def _ordered(flows):
+    from ..streaming.flows import dependency_levels
+
+    return [f for level in dependency_levels(flows) for f in level]
 
 
 def land_entities(spark: SparkSession, landing: Landing, trips: DataFrame, drivers: DataFrame,

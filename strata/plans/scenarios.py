@@ -34,6 +34,7 @@ class Scenario:
     landing: Landing
     house: Lakehouse
     wave1_versions: dict[str, int]
+    rule_counts: dict[str, dict[str, int]]  # silver flow -> summed observed metrics of both runs
 
 
 _MEMO: dict[tuple[str, str, str], Scenario] = {}
@@ -53,13 +54,15 @@ def two_wave(spark: SparkSession, sf_dir: str) -> Scenario:
     write_landing(m.bronze_trips(), landing.path("taxi"), landing.trips_fmt)
     write_landing(m.bronze_drivers(), landing.path("drivers"), landing.drivers_fmt)
     write_landing(m.bronze_users(), landing.path("users"), landing.users_fmt)
-    run_medallion(spark, landing, house)
+    counts = run_medallion(spark, landing, house)
     wave1 = {f"{layer}.{n}": house.table(layer, n)._latest()["version"]
              for layer, n in (("bronze", "taxi"), ("bronze", "drivers"), ("silver", "taxi"))}
     write_landing(m.bronze_trips(), landing.path("taxi"), landing.trips_fmt)
     write_landing(with_phone(m.bronze_drivers()), landing.path("drivers"), landing.drivers_fmt)
-    run_medallion(spark, landing, house, include_phone=True)
-    sc = Scenario(landing, house, wave1)
+    counts2 = run_medallion(spark, landing, house, include_phone=True)
+    total = {f: {k: counts[f].get(k, 0) + counts2[f].get(k, 0) for k in {*counts[f], *counts2[f]}}
+             for f in counts}
+    sc = Scenario(landing, house, wave1, total)
     _MEMO[key] = sc
     return sc
 

@@ -141,6 +141,37 @@ def silver_trips_stream(spark, sf_dir):
     return two_wave(spark, sf_dir).house.table("silver", "taxi").read().select(*SILVER_TRIP_COLUMNS)
 
 
+@register("silver_drivers_stream", layers_sql(
+    f"SELECT {_DRIVER_SQL_COLS} FROM silver_drivers", "silver_drivers"))
+def silver_drivers_stream(spark, sf_dir):
+    """Silver drivers after two waves: the second wave (same ids, now with a
+    phone) is rejected by the first-seen-wins dedup, so silver = wave 1."""
+    return _driver_out(two_wave(spark, sf_dir).house.table("silver", "drivers").read().drop("phone"))
+
+
+def _stream_rule_sql() -> str:
+    from ..operators.cleaning import DRIVER_RULES, TRIP_RULES, USER_RULES
+
+    parts = []
+    for flow, view, rules, waves in (("silver_taxi", "trips", TRIP_RULES, 2),
+                                     ("silver_drivers", "drivers", DRIVER_RULES, 2),
+                                     ("silver_users", "users", USER_RULES, 1)):
+        for n, p in rules.items():
+            parts.append(f"SELECT '{flow}' AS flow, '{n}' AS rule, {waves} * COUNT(*) AS total, "
+                         f"{waves} * COUNT(*) FILTER (WHERE NOT COALESCE({p}, FALSE)) AS failed FROM {view}")
+    return " UNION ALL ".join(parts)
+
+
+@register("expect_metrics_stream", adapters.with_views(_stream_rule_sql()))
+def expect_metrics_stream(spark, sf_dir):
+    """Per-rule failure counts recorded by the silver flows as observed metrics
+    (both waves), read from the streaming progress."""
+    counts = two_wave(spark, sf_dir).rule_counts
+    rows = [(flow, k[len("failed_"):], m.get("rows", 0), v)
+            for flow, m in counts.items() for k, v in m.items() if k.startswith("failed_")]
+    return spark.createDataFrame(rows, "flow string, rule string, total long, failed long")
+
+
 @register("gold_zone_metrics_stream", layers_sql("SELECT * FROM gold_zone_metrics", "gold_zone_metrics"))
 def gold_zone_metrics_stream(spark, sf_dir):
     return _drop_stamps(two_wave(spark, sf_dir).house.table("gold", "taxi_metrics").read())
