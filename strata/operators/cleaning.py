@@ -35,30 +35,34 @@ USER_KEYS = ["email"]
 
 
 def _finish(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None,
-            with_stamp: bool) -> DataFrame:
-    out = drop_duplicates(df, keys, order_by=order_by)
+            with_stamp: bool, dedup: bool) -> DataFrame:
+    out = drop_duplicates(df, keys, order_by=order_by) if dedup else df
     return stamp(out, "_processed_at") if with_stamp else out
 
 
+# ``dedup=False`` leaves the de-duplication to the sink (a flow with
+# ``merge_keys``), which de-duplicates each micro-batch by aggregation and
+# against the keys already stored, instead of a streaming state store.
+
 def clean_trips(df: DataFrame, order_by: Sequence[str] | None = None,
-                with_stamp: bool = True) -> DataFrame:
+                with_stamp: bool = True, dedup: bool = True) -> DataFrame:
     """Positive passengers/distance/fare, payment label, one row per business key."""
     out = expect_all_or_drop(df, TRIP_RULES).withColumn(
         "payment_type_description", payment_label("payment_type")
     )
-    return _finish(out, TRIP_KEYS, order_by, with_stamp)
+    return _finish(out, TRIP_KEYS, order_by, with_stamp, dedup)
 
 
 def clean_drivers(df: DataFrame, order_by: Sequence[str] | None = None,
-                  with_stamp: bool = True) -> DataFrame:
+                  with_stamp: bool = True, dedup: bool = True) -> DataFrame:
     """Experience > 0, rating within [1, 5], one row per driver id."""
-    return _finish(expect_all_or_drop(df, DRIVER_RULES), DRIVER_KEYS, order_by, with_stamp)
+    return _finish(expect_all_or_drop(df, DRIVER_RULES), DRIVER_KEYS, order_by, with_stamp, dedup)
 
 
 def clean_users(df: DataFrame, order_by: Sequence[str] | None = None,
-                with_stamp: bool = True) -> DataFrame:
+                with_stamp: bool = True, dedup: bool = True) -> DataFrame:
     """Named users only; NULL e-mail becomes "Unknown"; one row per e-mail."""
     out = expect_all_or_drop(df, USER_RULES).withColumn(
         "email", F.coalesce(F.col("email"), F.lit(UNKNOWN_EMAIL))
     )
-    return _finish(out, USER_KEYS, order_by, with_stamp)
+    return _finish(out, USER_KEYS, order_by, with_stamp, dedup)

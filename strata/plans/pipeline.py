@@ -1,7 +1,8 @@
 """The medallion pipeline as ten flows in dependency order.
 
 Bronze: landing files -> audit columns -> append (exactly-once per file).
-Silver: bronze commits -> rules, labels, stamp, stateful keep-any dedup -> append.
+Silver: bronze commits -> rules, labels, stamp -> keep-any dedup (in the sink
+        by default, or in a streaming state store) -> append.
 Gold:   silver commits -> streaming aggregates (complete) -> overwrite, then
         clustering/compaction; enrichment = trip stream (dedup by id) left join a
         snapshot of clean drivers -> append, then compaction.
@@ -53,7 +54,14 @@ def bronze_source(landing: Landing, house: Lakehouse, entity: str, fmt: str,
 
 def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
                     include_phone: bool = False, max_files_per_trigger: int | None = None,
-                    maintain: bool = True) -> list[Flow]:
+                    maintain: bool = True, dedup_mode: str = "merge") -> list[Flow]:
+    """The ten flows. ``dedup_mode``: "merge" de-duplicates in the sink (each
+    micro-batch aggregated per key, then anti-joined with the stored keys:
+    skew-safe, no state store); "state" uses streaming ``dropDuplicates``
+    (state in the checkpoint, every row shuffled to its key's task)."""
+    if dedup_mode not in ("merge", "state"):
+        raise ValueError(dedup_mode)
+    state = dedup_mode == "state"
     t = house.table
     ck = house.checkpoint
 
@@ -72,14 +80,20 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
                                            max_files_per_trigger=max_files_per_trigger),
              audit_columns, t("bronze", "users"), data_ck("bronze", "users")),
         Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(),
-             lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules")),
-             t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",)),
+             lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules"),
+                                            dedup=state),
+             t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",),
+             merge_keys=None if state else tuple(cleaning.TRIP_KEYS)),
         Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(),
-             lambda d: cleaning.clean_drivers(observe_rules_stream(d, cleaning.DRIVER_RULES, "silver_drivers_rules")),
-             t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",)),
+             lambda d: cleaning.clean_drivers(observe_rules_stream(d, cleaning.DRIVER_RULES, "silver_drivers_rules"),
+                                              dedup=state),
+             t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",),
+             merge_keys=None if state else tuple(cleaning.DRIVER_KEYS)),
         Flow("silver_users", lambda s: t("bronze", "users").read_stream(),
-             lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules")),
-             t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",)),
+             lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules"),
+                                            dedup=state),
+             t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",),
+             merge_keys=None if state else tuple(cleaning.USER_KEYS)),
         Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(), aggregates.zone_metrics,
              t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode="complete",
              depends_on=("silver_taxi",),
@@ -94,9 +108,9 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
              depends_on=("silver_users",),
              after=(lambda s: t("gold", "user_metrics").compact()) if maintain else None),
         Flow("gold_enriched_trips", lambda s: t("silver", "taxi").read_stream(),
-             lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read()),
+             lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read(), dedup_trips=state),
              t("gold", "enriched_trips"), data_ck("gold", "enriched_trips"),
-             depends_on=("silver_taxi", "silver_drivers"),
+             depends_on=("silver_taxi", "silver_drivers"), merge_keys=None if state else ("id",),
              after=(lambda s: t("gold", "enriched_trips").compact()) if maintain else None),
     ]
     return flows

@@ -39,6 +39,7 @@ class Flow:
     mode: str = "append"  # "append" | "complete" | "update"
     after: Callable[[SparkSession], None] | None = None  # e.g. compaction / clustering
     depends_on: tuple[str, ...] = ()  # names of flows whose tables this flow reads
+    merge_keys: tuple[str, ...] | None = None  # append only rows with unseen keys (see insert_new)
 
     def tag(self) -> str:
         return "s" + hashlib.sha1(self.checkpoint.encode()).hexdigest()[:10]
@@ -53,7 +54,7 @@ def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQue
         df.writeStream.queryName(f"{flow.name}_{flow.tag()}")
         .outputMode(flow.mode)
         .option("checkpointLocation", flow.checkpoint)
-        .foreachBatch(flow.target.batch_writer(flow.mode, flow.tag()))
+        .foreachBatch(flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys))
     )
     writer = writer.trigger(availableNow=True) if once else writer
     query = writer.start()
