@@ -54,7 +54,7 @@ def bronze_source(landing: Landing, house: Lakehouse, entity: str, fmt: str,
 
 def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
                     include_phone: bool = False, max_files_per_trigger: int | None = None,
-                    maintain: bool = True, dedup_mode: str = "merge") -> list[Flow]:
+                    maintain: bool = True, dedup_mode: str = "merge", salt_buckets: int = 1) -> list[Flow]:
     """The ten flows. ``dedup_mode``: "merge" de-duplicates in the sink (each
     micro-batch aggregated per key, then anti-joined with the stored keys:
     skew-safe, no state store); "state" uses streaming ``dropDuplicates``
@@ -108,7 +108,8 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
              depends_on=("silver_users",),
              after=(lambda s: t("gold", "user_metrics").compact()) if maintain else None),
         Flow("gold_enriched_trips", lambda s: t("silver", "taxi").read_stream(),
-             lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read(), dedup_trips=state),
+             lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read(), dedup_trips=state,
+                                               salt_buckets=salt_buckets),
              t("gold", "enriched_trips"), data_ck("gold", "enriched_trips"),
              depends_on=("silver_taxi", "silver_drivers"), merge_keys=None if state else ("id",),
              after=(lambda s: t("gold", "enriched_trips").compact()) if maintain else None),

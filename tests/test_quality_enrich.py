@@ -48,3 +48,20 @@ def test_top_drivers(spark):
     out = enrich_trips(_trips(spark), _drivers(spark), with_stamp=False)
     r = top_drivers(out, k=1).collect()
     assert [(x.driver_id, x.trips, x.revenue) for x in r] == [("D1", 1, 10.0)]
+
+
+def test_salted_join_equals_plain_join(spark):
+    from pyspark.sql import functions as F
+
+    trips = spark.range(3000).select(
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("id"),
+        F.when(F.col("id") % 3 == 0, "D1").otherwise(F.concat(F.lit("D"), (F.col("id") % 50).cast("string")))
+        .alias("driver_id"),
+        F.lit(1.0).alias("fare_amount"), F.lit(1.0).alias("trip_distance"))
+    drivers = spark.range(40).select(
+        F.concat(F.lit("D"), F.col("id").cast("string")).alias("id"), F.lit("n").alias("name"),
+        F.lit("c").alias("car_number"), F.lit(1).alias("experience"), F.lit(4.5).alias("rating"))
+    plain = enrich_trips(trips, drivers, with_stamp=False)
+    salted = enrich_trips(trips, drivers, with_stamp=False, salt_buckets=8)
+    assert salted.columns == plain.columns
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
