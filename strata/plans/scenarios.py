@@ -10,6 +10,7 @@ the same lakehouse.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,7 @@ class Scenario:
 
 
 _MEMO: dict[tuple[str, str, str], Scenario] = {}
+_LOCK = threading.Lock()
 
 
 def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
@@ -45,6 +47,11 @@ def _key(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, str]:
 
 
 def two_wave(spark: SparkSession, sf_dir: str) -> Scenario:
+    with _LOCK:
+        return _two_wave(spark, sf_dir)
+
+
+def _two_wave(spark: SparkSession, sf_dir: str) -> Scenario:
     key = _key(spark, sf_dir, "two_wave")
     if key in _MEMO:
         return _MEMO[key]
