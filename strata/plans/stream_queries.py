@@ -127,11 +127,17 @@ def bronze_rerun_noop(spark, sf_dir):
         F.lit(versions).alias("versions"), "row_count")
 
 
-@register("checkpoint_inventory")
+@register("checkpoint_inventory", """
+SELECT * FROM (VALUES ('commits/0', TRUE), ('metadata', TRUE), ('offsets/0', TRUE), ('sources/0/0', TRUE))
+  AS t(file, non_empty)
+""")
 def checkpoint_inventory(spark, sf_dir):
+    """Files of the bronze stream checkpoint after a run and a no-op rerun:
+    one batch (offsets, commit, source log) and the query metadata."""
     house = rerun_without_input(spark, sf_dir)
-    ck = house.checkpoint("bronze", "taxi")
-    return list_files(spark, ck, strip=r".*/_checkpoints/bronze/taxi/").orderBy("file")
+    ck = house.checkpoint("bronze", "taxi") + "/data"
+    return list_files(spark, ck, strip=r".*/_checkpoints/bronze/taxi/data/").select(
+        "file", (F.col("bytes") > 0).alias("non_empty")).orderBy("file")
 
 
 # ------------------------------------------------------------ silver / gold streams
