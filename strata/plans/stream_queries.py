@@ -99,6 +99,12 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 
+@register("bronze_ingest_users", adapters.with_views("SELECT * FROM users"))
+def bronze_ingest_users(spark, sf_dir):
+    """Users landed in their own format (a parameter of the landing) and ingested."""
+    return _drop_stamps(two_wave(spark, sf_dir).house.table("bronze", "users").read())
+
+
 @register("bronze_rescued_data", """
 SELECT event_id, ts, user_id, event_type, value,
        regexp_replace(props, '"([^"]+)": *(-?[0-9.]+)', '"\\1":"\\2"', 'g') AS _rescued_data
@@ -253,6 +259,26 @@ def audit_report(spark, sf_dir):
                         F.col("latest_version").isNotNull().alias("versioned"), "status")
 
 
+@register("audit_summary", layers_sql(
+    "SELECT 10 AS total_monitored_tables, SUM(row_count) AS total_rows_across_lakehouse, "
+    "'SUCCESS' AS pipeline_status FROM (" + _count_sql() + ")"))
+def audit_summary(spark, sf_dir):
+    """Summary of the nested report document (C3) after the two-wave run."""
+    from ..audit import report
+
+    audit = audit_tables(spark, two_wave(spark, sf_dir).house, TABLES)
+    return report(spark, audit, "lakehouse", "test", "local").select("summary.*")
+
+
+@register("materialized_view", layers_sql("SELECT * FROM gold_driver_metrics", "gold_driver_metrics"))
+def materialized_view(spark, sf_dir):
+    """A batch table fully refreshed on each run: two refreshes, one current content."""
+    t = Lakehouse(spark, scratch_dir(spark, "mv")).table("gold", "driver_metrics")
+    for _ in range(2):
+        t.overwrite(Medallion(spark, sf_dir).gold_driver_metrics(), operation="CREATE OR REPLACE")
+    return t.read()
+
+
 # ------------------------------------------------------------ maintenance
 @register("compact_content", adapters.with_views(f"SELECT {', '.join(TRIP_COLUMNS)} FROM trips"))
 def compact_content(spark, sf_dir):
