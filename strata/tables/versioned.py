@@ -182,33 +182,38 @@ class VersionedTable:
                             {"mode": "Overwrite", **(params or {})},
                             {"numOutputRows": n, "numFiles": self._last_files})
 
-    def insert_new(self, df: DataFrame, keys: Sequence[str], operation: str = "WRITE",
-                   commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
-        """Append only rows whose key is not in the table yet (one row per key;
-        the first key ever seen wins, like an insert-only MERGE).
+    def new_rows(self, df: DataFrame, keys: Sequence[str], exclude_commit: str | None = None) -> DataFrame:
+        """Rows of ``df`` (one per key) whose key is not in the table yet.
 
         ``df`` is de-duplicated by aggregation (partial per task, so a hot key
         is combined before the shuffle), then anti-joined on the key columns
-        (NULL-safe) with the keys already in the table — only the key columns
-        are read. Both join sides are unique per key, so no key is skewed. A
-        replayed commit never sees its own rows."""
-        commit = commit or f"w-{uuid.uuid4().hex}"
-        if self._has_commit(commit):
-            return self._entry(None)["version"]
+        (NULL-safe) with the keys already stored — the scan of the table reads
+        only the key columns. Both join sides are unique per key, so no key is
+        skewed. ``exclude_commit`` leaves a commit's own rows out (replays)."""
         keys = list(keys)
         batch = df.dropDuplicates(keys)
         prev = self._latest()
-        if prev is not None:
-            schema = T.StructType.fromJson(json.loads(prev["schema"]))
-            key_schema = T.StructType([schema[k] for k in keys])
-            live = [c for c in prev["live"] if c != f"{DATA}/{commit}"]
-            seen = self._scan_commits(key_schema, live).select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
-            cond = None
-            for k in keys:
-                c = batch[k].eqNullSafe(seen[f"_seen_{k}"])
-                cond = c if cond is None else cond & c
-            batch = batch.join(seen, cond, "left_anti")
-        return self.append(batch, operation, commit, {**(params or {}), "mergeKeys": json.dumps(keys)})
+        if prev is None:
+            return batch
+        schema = T.StructType.fromJson(json.loads(prev["schema"]))
+        key_schema = T.StructType([schema[k] for k in keys])
+        live = [c for c in prev["live"] if c != f"{DATA}/{exclude_commit}"]
+        seen = self._scan_commits(key_schema, live).select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+        cond = None
+        for k in keys:
+            c = batch[k].eqNullSafe(seen[f"_seen_{k}"])
+            cond = c if cond is None else cond & c
+        return batch.join(seen, cond, "left_anti")
+
+    def insert_new(self, df: DataFrame, keys: Sequence[str], operation: str = "WRITE",
+                   commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
+        """Append only rows whose key is not in the table yet (one row per key;
+        the first key ever seen wins, like an insert-only MERGE)."""
+        commit = commit or f"w-{uuid.uuid4().hex}"
+        if self._has_commit(commit):
+            return self._entry(None)["version"]
+        rows = self.new_rows(df, keys, exclude_commit=commit)
+        return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))})
 
     def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None
                      ) -> Callable[[DataFrame, int], None]:

@@ -56,3 +56,14 @@ def test_ordered_dedup_keeps_whole_rows(spark):
     df = spark.createDataFrame([("k", 2, "b"), ("k", 1, "z"), ("j", 5, None)], "key string, o int, v string")
     got = sorted(map(tuple, drop_duplicates(df, ["key"], order_by=["o"]).collect()))
     assert got == [("j", 5, None), ("k", 1, "z")]
+
+
+def test_insert_new_reads_only_key_columns(spark, tmp_path):
+    from strata.tables.versioned import VersionedTable
+
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    t.append(spark.range(100).selectExpr("id AS k", "id * 2 AS a", "'x' AS b", "1.5 AS c"))
+    batch = spark.range(50, 150).selectExpr("id AS k", "id * 2 AS a", "'y' AS b", "2.5 AS c")
+    p = plan(t.new_rows(batch, ["k"]))
+    assert "ReadSchema: struct<k:bigint>" in p, p  # the stored table: key column only
+    assert "LeftAnti" in p and t.new_rows(batch, ["k"]).count() == 50
