@@ -53,12 +53,15 @@ def bronze_source(landing: Landing, house: Lakehouse, entity: str, fmt: str,
 
 
 def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
-                    include_phone: bool = False, max_files_per_trigger: int | None = None,
+                    include_phone: bool = False, max_files_per_trigger: int | None = 10_000,
                     maintain: bool = True, dedup_mode: str = "merge", salt_buckets: int = 1) -> list[Flow]:
     """The ten flows. ``dedup_mode``: "merge" de-duplicates in the sink (each
     micro-batch aggregated per key, then anti-joined with the stored keys:
     skew-safe, no state store); "state" uses streaming ``dropDuplicates``
-    (state in the checkpoint, every row shuffled to its key's task)."""
+    (state in the checkpoint, every row shuffled to its key's task).
+    ``max_files_per_trigger`` bounds each bronze micro-batch, so a first run
+    over a large landing folder proceeds (and replays after a failure) in
+    bounded commits instead of one huge batch."""
     if dedup_mode not in ("merge", "state"):
         raise ValueError(dedup_mode)
     state = dedup_mode == "state"

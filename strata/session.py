@@ -42,6 +42,24 @@ def local_session(app: str = "strata", cores: int | str = "*", shuffle_partition
     return spark
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a job reading ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at about one per ``target_partition_bytes`` of
+    input (at least 2 waves of tasks) so no shuffle partition outgrows
+    executor memory; AQE then coalesces small ones to the advisory size and
+    splits skewed ones. Example: 100 TB on 1000 executors x 8 cores gives
+    about 780k partitions before coalescing, scans split at 128 MB."""
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def apply_recommended_conf(spark: SparkSession) -> None:
     """Set the runtime-modifiable recommended settings that are still unset."""
     for k, v in RECOMMENDED_CONF.items():

@@ -26,3 +26,12 @@ def test_rule_counts_in_stream_progress(spark, tmp_path):
     q = run_flow(spark, flow)
     assert progress_metrics(q, "rules") == {"rows": 3, "failed_pos": 2}
     assert out.read().count() == 1
+
+
+def test_scale_conf():
+    from strata.session import scale_conf
+
+    big = scale_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) > 700_000
+    small = scale_conf(10**6, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
