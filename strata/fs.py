@@ -30,3 +30,26 @@ def count_data_files(spark: SparkSession, path: str) -> int:
         return 0
     return sum(1 for st in fs.listStatus(hpath)
                if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with ``text``; False if it already exists (the
+    create is exclusive, so two writers cannot both take the same name)."""
+    hpath, fs = _fs(spark, path)
+    try:
+        out = fs.create(hpath, False)
+    except Exception as exc:  # noqa: BLE001 - py4j wraps FileAlreadyExistsException
+        if "AlreadyExists" in str(exc) or fs.exists(hpath):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True

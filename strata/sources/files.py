@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import path_exists
+from ..fs import create_text, path_exists
 
 RESCUED = "_rescued_data"
 # JSON keeps full microsecond timestamps: written with micros (and the offset
@@ -64,9 +64,8 @@ class SchemaStore:
         return r["version"], T.StructType.fromJson(json.loads(r["schema"])), r["inferred_until"]
 
     def save(self, version: int, schema: T.StructType, inferred_until: str) -> None:
-        self.spark.createDataFrame(
-            [(version, schema.json(), inferred_until)], _STORE_SCHEMA
-        ).coalesce(1).write.mode("append").json(self.location)
+        entry = {"version": version, "schema": schema.json(), "inferred_until": inferred_until}
+        create_text(self.spark, f"{self.location}/s{version:010d}.json", json.dumps(entry) + "\n")
 
 
 def apply_hints(schema: T.StructType, hints: str | T.StructType | None) -> T.StructType:

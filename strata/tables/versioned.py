@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import count_data_files, delete_path, path_exists
+from ..fs import count_data_files, create_text, delete_path, path_exists
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -73,10 +73,12 @@ class VersionedTable:
             if not path_exists(self.spark, self._history_path()):
                 self._cache = []
             else:
-                raw = self.spark.read.schema(HISTORY_SCHEMA).json(self._history_path())
-                # a replayed commit may have recorded its entry twice: keep the first
-                first = raw.groupBy("commit").agg(F.min_by(F.struct(*raw.columns), "version").alias("e"))
-                self._cache = sorted(first.select("e.*").collect(), key=lambda r: r["version"])
+                rows = self.spark.read.schema(HISTORY_SCHEMA).json(self._history_path()).collect()
+                # consolidated and per-version copies may coexist after a crash: one per commit
+                first: dict[str, Row] = {}
+                for r in sorted(rows, key=lambda r: r["version"]):
+                    first.setdefault(r["commit"], r)
+                self._cache = sorted(first.values(), key=lambda r: r["version"])
         return self._cache
 
     def refresh(self) -> VersionedTable:
@@ -122,9 +124,10 @@ class VersionedTable:
             "commit": commit, "live": list(live), "schema": schema.json(), "rows": int(rows),
             "operationMetrics": {k: str(v) for k, v in (metrics or {}).items()},
         }
-        # one tiny JSON file per version, written through Spark (any file system)
-        df = self.spark.createDataFrame([entry], HISTORY_SCHEMA)
-        df.coalesce(1).write.mode("append").json(self._history_path())
+        # one tiny JSON file per version, created exclusively: a second writer
+        # racing for the same version fails instead of overwriting
+        if not create_text(self.spark, f"{self._history_path()}/v{version:020d}.json", json.dumps(entry) + "\n"):
+            raise RuntimeError(f"{self.name}: version {version} was committed concurrently")
         self._entries().append(Row(**{f.name: entry[f.name] for f in HISTORY_SCHEMA.fields}))
         if (version + 1) % HISTORY_FILES_BEFORE_CONSOLIDATION == 0:
             self.consolidate_history()
@@ -138,7 +141,8 @@ class VersionedTable:
         hist = self._history_path()
         old = self.spark.read.schema(HISTORY_SCHEMA).json(hist).inputFiles()
         rows = self._entries()
-        self.spark.createDataFrame(rows, HISTORY_SCHEMA).coalesce(1).write.mode("append").json(hist)
+        text = "".join(json.dumps(r.asDict(recursive=True)) + "\n" for r in rows)
+        create_text(self.spark, f"{hist}/c{rows[-1]['version']:020d}-{uuid.uuid4().hex[:8]}.json", text)
         for f in old:
             delete_path(self.spark, f)
         return len(old)
