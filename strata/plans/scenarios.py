@@ -98,6 +98,32 @@ def trips_many_commits(spark: SparkSession, sf_dir: str, files: int = 8) -> Lake
     return house
 
 
+def shifted_trips(trips: DataFrame) -> DataFrame:
+    """New trips derived from the given ones: new id, drop-off one day later."""
+    return trips.withColumn("id", F.concat(F.col("id"), F.lit("-2"))).withColumn(
+        "dropoff_datetime", F.col("dropoff_datetime") + F.expr("INTERVAL 1 DAY"))
+
+
+def trips_update_mode(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Trip flows only, gold in update mode: wave 1, then a wave of new
+    (shifted) trips that changes many zone groups."""
+    from ..streaming.flows import run_pipeline
+
+    root = scratch_dir(spark, "trips-update")
+    landing, house = Landing(f"{root}/landing"), Lakehouse(spark, f"{root}/house")
+    m = Medallion(spark, sf_dir)
+    names = {"bronze_taxi", "silver_taxi", "gold_taxi_metrics"}
+
+    def flows():
+        return [f for f in medallion_flows(spark, landing, house, gold_mode="update") if f.name in names]
+
+    write_landing(m.bronze_trips(), landing.path("taxi"), "parquet")
+    run_pipeline(spark, flows())
+    write_landing(shifted_trips(m.bronze_trips()), landing.path("taxi"), "parquet")
+    run_pipeline(spark, flows())
+    return house
+
+
 def rerun_without_input(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Bronze trips ingested, then the same flow run again with no new files."""
     root = scratch_dir(spark, "rerun")

@@ -18,7 +18,8 @@ from ..tables.versioned import Lakehouse
 from .batch import DRIVER_COLUMNS, SILVER_TRIP_COLUMNS, TRIP_COLUMNS, Medallion, layers_sql
 from .pipeline import TABLES
 from .registry import register
-from .scenarios import PHONE_PREFIX, drivers_two_wave, rerun_without_input, trips_many_commits, two_wave
+from .scenarios import (PHONE_PREFIX, drivers_two_wave, rerun_without_input, trips_many_commits,
+                        trips_update_mode, two_wave)
 
 STAMPS = ["_ingested_at", "_source_file", "_processed_at", "_calculated_at"]
 
@@ -189,6 +190,28 @@ def gold_zone_metrics_stream(spark, sf_dir):
     return _drop_stamps(two_wave(spark, sf_dir).house.table("gold", "taxi_metrics").read())
 
 
+_SHIFTED_SQL = ("SELECT id || '-2' AS id, user_id, driver_id, pickup_datetime, "
+                "dropoff_datetime + INTERVAL 1 DAY AS dropoff_datetime, pu_location_id, fare_amount, "
+                "payment_type_description FROM silver_trips")
+
+
+@register("gold_zone_metrics_update_stream", layers_sql(f"""
+SELECT pu_location_id, payment_type_description, COUNT(*) AS total_trips,
+       CAST(ROUND(SUM(CAST(fare_amount AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_revenue
+FROM (SELECT pu_location_id, payment_type_description, fare_amount FROM silver_trips
+      UNION ALL
+      SELECT s.pu_location_id, s.payment_type_description, s.fare_amount FROM ({_SHIFTED_SQL}) s
+      WHERE NOT EXISTS (SELECT 1 FROM silver_trips w WHERE w.user_id = s.user_id AND w.driver_id = s.driver_id
+                        AND w.pickup_datetime = s.pickup_datetime AND w.dropoff_datetime = s.dropoff_datetime))
+GROUP BY ALL
+""", "silver_trips"))
+def gold_zone_metrics_update_stream(spark, sf_dir):
+    """Gold zone metrics kept in update mode (only changed groups written per
+    micro-batch, latest row per group on read) after a wave of new trips; a
+    new trip whose business key was already seen is rejected."""
+    return _drop_stamps(trips_update_mode(spark, sf_dir).table("gold", "taxi_metrics").read())
+
+
 @register("gold_driver_metrics_stream", layers_sql("SELECT * FROM gold_driver_metrics", "gold_driver_metrics"))
 def gold_driver_metrics_stream(spark, sf_dir):
     return _drop_stamps(two_wave(spark, sf_dir).house.table("gold", "driver_metrics").read())

@@ -43,6 +43,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("schema", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("operationMetrics", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("properties", T.MapType(T.StringType(), T.StringType())),
 ])
 
 COMMIT_COL = "_commit"
@@ -115,14 +116,18 @@ class VersionedTable:
 
     def _record(self, operation: str, commit: str, live: Sequence[str], schema: T.StructType,
                 rows: int, params: Mapping[str, str] | None = None,
-                metrics: Mapping[str, str] | None = None) -> int:
+                metrics: Mapping[str, str] | None = None,
+                properties: Mapping[str, str] | None = None) -> int:
         prev = self._latest()
         version = 0 if prev is None else prev["version"] + 1
+        if properties is None:  # table properties carry over from version to version
+            properties = (prev["properties"] if prev is not None else None) or {}
         entry = {
             "version": version, "timestamp": _now(), "operation": operation,
             "operationParameters": {k: str(v) for k, v in (params or {}).items()},
             "commit": commit, "live": list(live), "schema": schema.json(), "rows": int(rows),
             "operationMetrics": {k: str(v) for k, v in (metrics or {}).items()},
+            "properties": dict(properties),
         }
         # one tiny JSON file per version, created exclusively: a second writer
         # racing for the same version fails instead of overwriting
@@ -219,18 +224,48 @@ class VersionedTable:
         rows = self.new_rows(df, keys, exclude_commit=commit)
         return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))})
 
-    def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None
-                     ) -> Callable[[DataFrame, int], None]:
+    def upsert_keys(self, version: int | None = None) -> list[str] | None:
+        e = self._entry(version)
+        keys = ((e["properties"] or {}) if e is not None else {}).get("upsertKeys")
+        return json.loads(keys) if keys else None
+
+    def upsert(self, df: DataFrame, keys: Sequence[str], operation: str = "WRITE",
+               commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
+        """Merge-on-read upsert: ``df`` (one row per key) is appended as a
+        commit; readers keep, per key, the row of the newest commit. The write
+        costs only the changed rows; ``compact`` folds the commits back into
+        one row per key."""
+        commit = commit or f"u-{uuid.uuid4().hex}"
+        if self._has_commit(commit):
+            return self._entry(None)["version"]
+        n = self._write(df, DATA, commit)
+        prev = self._latest()
+        if n == 0 and prev is not None:
+            delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
+            return prev["version"]
+        live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
+        schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
+        props = {**((prev["properties"] or {}) if prev else {}), "upsertKeys": json.dumps(list(keys))}
+        return self._record(operation, commit, live, schema, (prev["rows"] if prev else 0) + n, params,
+                            {"numOutputRows": n, "numFiles": self._last_files}, properties=props)
+
+    def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None,
+                     upsert_keys: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
         """``foreachBatch`` function: exactly-once by commit id ``<tag>-<batchId>``.
 
-        ``mode`` "complete" replaces the table; "append" adds the batch, or with
-        ``merge_keys`` only its rows with unseen keys (``insert_new``)."""
+        ``mode`` "complete" replaces the table; "update" upserts the changed
+        rows by ``upsert_keys`` (merge-on-read); "append" adds the batch, or
+        with ``merge_keys`` only its rows with unseen keys (``insert_new``)."""
         operation = "STREAMING UPDATE"
 
         def write(batch: DataFrame, batch_id: int) -> None:
             commit = f"{tag}-{batch_id:012d}"
             if mode == "complete":
                 self.overwrite(batch, operation, commit, {"outputMode": "Complete"})
+            elif mode == "update":
+                if not upsert_keys:
+                    raise ValueError("update mode needs upsert_keys")
+                self.upsert(batch, upsert_keys, operation, commit, {"outputMode": "Update"})
             elif merge_keys:
                 self.insert_new(batch, merge_keys, operation, commit, {"outputMode": "Append"})
             else:
@@ -255,12 +290,28 @@ class VersionedTable:
         e = self._entry(version)
         if e is None:
             raise ValueError(f"{self.name}: table does not exist")
-        return self._scan_commits(T.StructType.fromJson(json.loads(e["schema"])), list(e["live"]), with_file)
-
-    def _scan_commits(self, schema: T.StructType, live: Sequence[str], with_file: bool = False) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(e["schema"]))
+        keys = json.loads(((e["properties"] or {}).get("upsertKeys")) or "null")
+        if not keys or with_file:
+            return self._scan_commits(schema, list(e["live"]), with_file)
+        # merge-on-read: per key, the row of the newest commit
+        order = {}
+        for x in self._entries():
+            for c in x["live"]:
+                order.setdefault(c.split("/", 1)[1], x["version"])
+        rows = self._scan_commits(schema, list(e["live"]), with_commit=True)
+        rank = F.element_at(F.create_map(*[F.lit(v) for kv in order.items() for v in kv]), F.col(COMMIT_COL))
+        rest = [f.name for f in schema.fields if f.name not in keys]
+        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+        return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*schema.fieldNames())
+
+    def _scan_commits(self, schema: T.StructType, live: Sequence[str], with_file: bool = False,
+                      with_commit: bool = False) -> DataFrame:
         cols = [F.col(f.name) for f in schema.fields]
         if with_file:
             cols.append(F.col("_metadata.file_name").alias("file"))
+        if with_commit:
+            cols.append(F.col(COMMIT_COL))
         parts = []
         for area in (DATA, REWRITES):
             commits = [x.split("/", 1)[1] for x in live if x.startswith(area + "/")]
@@ -303,7 +354,7 @@ class VersionedTable:
         e = self._entry(version)
         return self._record("RESTORE", f"r-{uuid.uuid4().hex}", list(e["live"]),
                             T.StructType.fromJson(json.loads(e["schema"])), e["rows"],
-                            {"version": version})
+                            {"version": version}, properties=e["properties"] or {})
 
     def _target_files(self, rows: int, rows_per_file: int) -> int:
         return max(1, math.ceil(rows / max(rows_per_file, 1)))
@@ -316,6 +367,8 @@ class VersionedTable:
         (usually new) data, not to the table. Returns the new version, or None
         when the candidates already use no more files than needed."""
         e = self._latest()
+        if self.upsert_keys() and len(e["live"]) > 1:
+            return self._fold_upserts(rows_per_file)
         stats = self.commit_stats()
         need = lambda rows: self._target_files(rows, rows_per_file)
         cand = [c for c in e["live"] if c in stats
@@ -334,6 +387,16 @@ class VersionedTable:
                             {"numRemovedFiles": n_files, "numFilesAdded": self._last_files,
                              "numOutputRows": written, "numFiles": self._last_files})
 
+    def _fold_upserts(self, rows_per_file: int) -> int:
+        """Rewrite an upsert table as one row per key (the merged view)."""
+        e = self._latest()
+        commit = f"c-{uuid.uuid4().hex}"
+        df = self.read().repartition(self._target_files(e["rows"], rows_per_file))
+        written = self._write(df, REWRITES, commit)
+        return self._record("OPTIMIZE", commit, [f"{REWRITES}/{commit}"], self.schema(), written,
+                            {"predicate": "[]"}, {"numRemovedCommits": len(e["live"]),
+                                                  "numOutputRows": written, "numFiles": self._last_files})
+
     def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False) -> int:
         """Range-cluster on ``key``: files hold disjoint, sorted key ranges, so
         Parquet min/max statistics skip files for filters on ``key``. On one
