@@ -133,7 +133,9 @@ class FileSource:
             raise ValueError(f"no files to infer a schema from under {self.path}")
         base = stored[1] if stored else None
         schema = apply_hints(widen(base, inferred) if inferred is not None else base, self.hints)
-        if stored is None or schema != stored[1]:
+        # advance the marker whenever new files were inferred, so the next run
+        # only looks at files that arrive after this one (bounded inference)
+        if stored is None or schema != stored[1] or inferred is not None:
             store.save(0 if stored is None else stored[0] + 1, schema, now)
         return schema
 

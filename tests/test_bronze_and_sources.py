@@ -58,3 +58,16 @@ def test_list_files(spark, tmp_path):
     spark.range(3).write.parquet(str(tmp_path / "t"))
     files = list_files(spark, str(tmp_path / "t")).collect()
     assert any(r.file.endswith(".parquet") and r.bytes > 0 for r in files)
+
+
+def test_schema_marker_advances_without_schema_change(spark, tmp_path):
+    from strata.sources.files import SchemaStore
+
+    land = str(tmp_path / "land")
+    spark.createDataFrame([(1, "a")], "id long, name string").write.json(land)
+    FileSource(land, "json", str(tmp_path / "schema")).resolve_schema(spark)
+    first = SchemaStore(spark, str(tmp_path / "schema")).load()
+    spark.createDataFrame([(2, "b")], "id long, name string").write.mode("append").json(land)
+    FileSource(land, "json", str(tmp_path / "schema")).resolve_schema(spark)
+    second = SchemaStore(spark, str(tmp_path / "schema")).load()
+    assert second[0] == first[0] + 1 and second[1] == first[1]
