@@ -100,3 +100,17 @@ def violations(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     names = list(rules)
     broken = F.array_compact(F.array(*[F.when(~_passes(rules[n]), F.lit(n)) for n in names]))
     return df.withColumn("_broken_rules", broken).filter(F.size("_broken_rules") > 0)
+
+
+def missing_columns(df: DataFrame, required) -> list[str]:
+    """Required columns absent from ``df`` (schema check, no job)."""
+    present = set(df.columns)
+    return [c for c in required if c not in present]
+
+
+def same_schema(a: DataFrame, b: DataFrame, ignore_nullability: bool = True) -> bool:
+    """Column names, order and types equal (e.g. a table before/after a restore)."""
+    def norm(df):
+        return [(f.name, f.dataType.simpleString(), True if ignore_nullability else f.nullable)
+                for f in df.schema.fields]
+    return norm(a) == norm(b)

@@ -65,3 +65,12 @@ def test_salted_join_equals_plain_join(spark):
     salted = enrich_trips(trips, drivers, with_stamp=False, salt_buckets=8)
     assert salted.columns == plain.columns
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_schema_checks(spark):
+    from strata.operators.quality import missing_columns, same_schema
+
+    out = enrich_trips(_trips(spark), _drivers(spark), with_stamp=False)
+    assert missing_columns(out, ["driver_name", "driver_car_number", "driver_experience", "driver_rating"]) == []
+    assert missing_columns(out, ["driver_phone"]) == ["driver_phone"]
+    assert same_schema(_trips(spark), _trips(spark)) and not same_schema(_trips(spark), out)
