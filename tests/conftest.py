@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("strata-tests", cores="*", shuffle_partitions=8)
+    s = local_session("strata-tests", cores="*", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-wh-")})
     yield s
     s.stop()
 
