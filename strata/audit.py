@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.kpis import row_counts
-from .schemas import TABLE_AUDIT
+from .schemas import ERROR, FAILED, HEALTHY, NOT_FOUND, PARTIAL, SUCCESS, TABLE_AUDIT
 from .tables.versioned import Lakehouse
 
 log = logging.getLogger(__name__)
@@ -29,16 +29,16 @@ def audit_tables(spark: SparkSession, house: Lakehouse, tables: Mapping[str, Seq
         for name in names:
             key = f"{layer}.{name}"
             row = {"layer": layer, "table": name, "exists": False, "row_count": 0, "latest_version": None,
-                   "latest_operation": None, "last_modified": None, "status": "NOT_FOUND", "error": None}
+                   "latest_operation": None, "last_modified": None, "status": NOT_FOUND, "error": None}
             try:
                 t = house.table(layer, name)
                 if t.exists():
                     e = t._latest()
                     row.update(exists=True, latest_version=e["version"], latest_operation=e["operation"],
-                               last_modified=e["timestamp"], status="HEALTHY")
+                               last_modified=e["timestamp"], status=HEALTHY)
                     readable[key] = t.read()
             except Exception as exc:  # noqa: BLE001 - reported, not raised
-                row.update(exists=False, status="ERROR", error=str(exc)[:1000])
+                row.update(exists=False, status=ERROR, error=str(exc)[:1000])
             meta[key] = row
     if readable:
         try:
@@ -46,16 +46,16 @@ def audit_tables(spark: SparkSession, house: Lakehouse, tables: Mapping[str, Seq
                 meta[r["table_name"]]["row_count"] = r["row_count"]
         except Exception as exc:  # noqa: BLE001
             for key in readable:
-                meta[key].update(exists=False, row_count=0, status="ERROR", error=str(exc)[:1000])
+                meta[key].update(exists=False, row_count=0, status=ERROR, error=str(exc)[:1000])
     return spark.createDataFrame(list(meta.values()), TABLE_AUDIT)
 
 
 def pipeline_status(audit: DataFrame) -> str:
     """SUCCESS if every table is healthy, FAILED if none is, PARTIAL otherwise."""
-    r = audit.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == "HEALTHY").alias("ok")).first()
+    r = audit.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") == HEALTHY).alias("ok")).first()
     if r["ok"] == r["n"]:
-        return "SUCCESS"
-    return "FAILED" if r["ok"] == 0 else "PARTIAL"
+        return SUCCESS
+    return FAILED if r["ok"] == 0 else PARTIAL
 
 
 def report(spark: SparkSession, audit: DataFrame, pipeline_name: str, environment: str,
@@ -66,7 +66,7 @@ def report(spark: SparkSession, audit: DataFrame, pipeline_name: str, environmen
         F.map_from_entries(F.collect_list(F.struct(F.col("table"), F.struct(*meta_cols)))).alias("tables"),
         F.count(F.lit(1)).alias("n"),
         F.sum("row_count").alias("rows"),
-        F.count_if(F.col("status") == "HEALTHY").alias("ok"),
+        F.count_if(F.col("status") == HEALTHY).alias("ok"),
     )
     doc = per_layer.agg(
         F.map_from_entries(F.collect_list(F.struct("layer", "tables"))).alias("layers"),
@@ -75,8 +75,8 @@ def report(spark: SparkSession, audit: DataFrame, pipeline_name: str, environmen
         F.sum("ok").alias("_ok"),
         F.sum("n").alias("_n"),
     )
-    status = (F.when(F.col("_ok") == F.col("_n"), "SUCCESS").when(F.col("_ok") == 0, "FAILED")
-              .otherwise("PARTIAL"))
+    status = (F.when(F.col("_ok") == F.col("_n"), SUCCESS).when(F.col("_ok") == 0, FAILED)
+              .otherwise(PARTIAL))
     generated = datetime.now(timezone.utc).isoformat()
     return doc.select(
         F.lit(pipeline_name).alias("pipeline_name"), F.lit(environment).alias("environment"),
@@ -98,4 +98,4 @@ def save_report(report_df: DataFrame, path: str) -> bool:
 
 
 def unhealthy(audit: DataFrame) -> DataFrame:
-    return audit.filter(F.col("status") != "HEALTHY")
+    return audit.filter(F.col("status") != HEALTHY)

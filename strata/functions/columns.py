@@ -7,7 +7,10 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Payment codes and their labels; anything else (also NULL) is "Other".
+from ..schemas import INGESTED_AT, SOURCE_FILE
+
+# Payment codes and their labels (anything else, also NULL, is
+# "Other"), and the e-mail that replaces a missing one.
 PAYMENT_LABELS: dict[int, str] = {1: "Credit Card", 2: "Cash"}
 PAYMENT_DEFAULT = "Other"
 UNKNOWN_EMAIL = "Unknown"
@@ -83,9 +86,9 @@ def prefixed(df: DataFrame, mapping: Mapping[str, str], optional: Iterable[str]
 def audit_columns(df: DataFrame) -> DataFrame:
     """Ingestion stamp and the source file taken from the hidden file metadata
     (kept as is when the source already resolved ``_source_file``)."""
-    cols = {"_ingested_at": F.current_timestamp()}
-    if "_source_file" not in df.columns:
-        cols["_source_file"] = F.col("_metadata.file_path")
+    cols = {INGESTED_AT: F.current_timestamp()}
+    if SOURCE_FILE not in df.columns:
+        cols[SOURCE_FILE] = F.col("_metadata.file_path")
     return df.withColumns(cols)
 
 

@@ -7,11 +7,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import CALCULATED_AT
 from ..functions.columns import avg_half_up, money_sum, stamp
 
 
 def _finish(df: DataFrame, with_stamp: bool) -> DataFrame:
-    return stamp(df, "_calculated_at") if with_stamp else df
+    return stamp(df, CALCULATED_AT) if with_stamp else df
 
 
 def zone_metrics(trips: DataFrame, with_stamp: bool = True) -> DataFrame:

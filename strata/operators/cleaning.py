@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import PROCESSED_AT
 from ..functions.columns import UNKNOWN_EMAIL, payment_label, stamp
 from .dedup import drop_duplicates
 from .quality import expect_all_or_drop
@@ -37,7 +38,7 @@ USER_KEYS = ["email"]
 def _finish(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None,
             with_stamp: bool, dedup: bool) -> DataFrame:
     out = drop_duplicates(df, keys, order_by=order_by) if dedup else df
-    return stamp(out, "_processed_at") if with_stamp else out
+    return stamp(out, PROCESSED_AT) if with_stamp else out
 
 
 # ``dedup=False`` leaves the de-duplication to the sink (a flow with

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..schemas import CALCULATED_AT
 from ..functions.columns import pct_half_up, prefixed, stamp
 from .dedup import drop_duplicates
 
@@ -56,7 +57,7 @@ def enrich_trips(trips: DataFrame, drivers: DataFrame, dedup_trips: bool = True,
         out = salted.join(dim, on=["driver_id", "_salt"], how="left").drop("_salt")
     else:
         out = facts.join(dim, on="driver_id", how="left")
-    return stamp(out, "_calculated_at") if with_stamp else out
+    return stamp(out, CALCULATED_AT) if with_stamp else out
 
 
 def unmatched_trips(trips: DataFrame, drivers: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fs import create_text, path_exists
+from ..schemas import SOURCE_FILE
 
 RESCUED = "_rescued_data"
 # JSON keeps full microsecond timestamps: written with micros (and the offset
@@ -156,8 +157,8 @@ class FileSource:
         lines = reader.load(self.path)
         parsed = parse_json_with_rescue(F.col("value"), schema)
         # the hidden file metadata is gone after the parse, so resolve the path here
-        return lines.select(parsed.alias("_r"), F.col("_metadata.file_path").alias("_source_file")
-                            ).select("_r.*", "_source_file")
+        return lines.select(parsed.alias("_r"), F.col("_metadata.file_path").alias(SOURCE_FILE)
+                            ).select("_r.*", SOURCE_FILE)
 
 
 def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:

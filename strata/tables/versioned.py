@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fs import count_data_files, create_text, delete_path, path_exists
+from ..schemas import OP_OPTIMIZE, OP_RESTORE, OP_STREAMING_UPDATE, OP_WRITE
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -162,7 +163,7 @@ class VersionedTable:
         self._last_files = count_data_files(self.spark, path)
         return int(obs.get.get("n", 0))
 
-    def append(self, df: DataFrame, operation: str = "WRITE", commit: str | None = None,
+    def append(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
                params: Mapping[str, str] | None = None) -> int:
         """Add ``df`` as a new commit; the schema widens with new columns."""
         commit = commit or f"w-{uuid.uuid4().hex}"
@@ -180,7 +181,7 @@ class VersionedTable:
         return self._record(operation, commit, live, schema, rows, params,
                             {"numOutputRows": n, "numFiles": self._last_files})
 
-    def overwrite(self, df: DataFrame, operation: str = "WRITE", commit: str | None = None,
+    def overwrite(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
                   params: Mapping[str, str] | None = None) -> int:
         """Replace the table content with ``df`` (new schema = ``df``'s)."""
         commit = commit or f"o-{uuid.uuid4().hex}"
@@ -214,7 +215,7 @@ class VersionedTable:
             cond = c if cond is None else cond & c
         return batch.join(seen, cond, "left_anti")
 
-    def insert_new(self, df: DataFrame, keys: Sequence[str], operation: str = "WRITE",
+    def insert_new(self, df: DataFrame, keys: Sequence[str], operation: str = OP_WRITE,
                    commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
         """Append only rows whose key is not in the table yet (one row per key;
         the first key ever seen wins, like an insert-only MERGE)."""
@@ -229,7 +230,7 @@ class VersionedTable:
         keys = ((e["properties"] or {}) if e is not None else {}).get("upsertKeys")
         return json.loads(keys) if keys else None
 
-    def upsert(self, df: DataFrame, keys: Sequence[str], operation: str = "WRITE",
+    def upsert(self, df: DataFrame, keys: Sequence[str], operation: str = OP_WRITE,
                commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
         """Merge-on-read upsert: ``df`` (one row per key) is appended as a
         commit; readers keep, per key, the row of the newest commit. The write
@@ -256,7 +257,7 @@ class VersionedTable:
         ``mode`` "complete" replaces the table; "update" upserts the changed
         rows by ``upsert_keys`` (merge-on-read); "append" adds the batch, or
         with ``merge_keys`` only its rows with unseen keys (``insert_new``)."""
-        operation = "STREAMING UPDATE"
+        operation = OP_STREAMING_UPDATE
 
         def write(batch: DataFrame, batch_id: int) -> None:
             commit = f"{tag}-{batch_id:012d}"
@@ -352,7 +353,7 @@ class VersionedTable:
     def restore(self, version: int) -> int:
         """Publish the live set and schema of ``version`` as a new version."""
         e = self._entry(version)
-        return self._record("RESTORE", f"r-{uuid.uuid4().hex}", list(e["live"]),
+        return self._record(OP_RESTORE, f"r-{uuid.uuid4().hex}", list(e["live"]),
                             T.StructType.fromJson(json.loads(e["schema"])), e["rows"],
                             {"version": version}, properties=e["properties"] or {})
 
@@ -383,7 +384,7 @@ class VersionedTable:
         df = self._scan_commits(schema, cand).repartition(n)
         written = self._write(df, REWRITES, commit)
         live = [c for c in e["live"] if c not in set(cand)] + [f"{REWRITES}/{commit}"]
-        return self._record("OPTIMIZE", commit, live, schema, e["rows"], {"predicate": "[]"},
+        return self._record(OP_OPTIMIZE, commit, live, schema, e["rows"], {"predicate": "[]"},
                             {"numRemovedFiles": n_files, "numFilesAdded": self._last_files,
                              "numOutputRows": written, "numFiles": self._last_files})
 
@@ -393,7 +394,7 @@ class VersionedTable:
         commit = f"c-{uuid.uuid4().hex}"
         df = self.read().repartition(self._target_files(e["rows"], rows_per_file))
         written = self._write(df, REWRITES, commit)
-        return self._record("OPTIMIZE", commit, [f"{REWRITES}/{commit}"], self.schema(), written,
+        return self._record(OP_OPTIMIZE, commit, [f"{REWRITES}/{commit}"], self.schema(), written,
                             {"predicate": "[]"}, {"numRemovedCommits": len(e["live"]),
                                                   "numOutputRows": written, "numFiles": self._last_files})
 
@@ -407,7 +408,7 @@ class VersionedTable:
         df = self.read().repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
         written = self._write(df, REWRITES, commit)
         params = {"zOrderBy": json.dumps([key])} if zorder else {"clusterBy": json.dumps([key])}
-        return self._record("OPTIMIZE", commit, [f"{REWRITES}/{commit}"], self.schema(), written,
+        return self._record(OP_OPTIMIZE, commit, [f"{REWRITES}/{commit}"], self.schema(), written,
                             params, {"numFilesAdded": self._last_files, "numOutputRows": written,
                                      "numFiles": self._last_files})
 
