@@ -13,7 +13,10 @@
 
 The checkpoint of the stream remembers which files were processed, so a rerun
 without new files writes nothing, and a replayed batch is idempotent in the
-versioned sink.
+versioned sink. The file source forgets files older than ``maxFileAge``
+(default 7 days, relative to the newest file) to bound that memory; when
+late files may arrive with older modification times, pass a larger
+``options={"maxFileAge": ...}``.
 """
 
 from __future__ import annotations
