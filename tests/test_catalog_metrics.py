@@ -35,3 +35,25 @@ def test_scale_conf():
     assert int(big["spark.sql.shuffle.partitions"]) > 700_000
     small = scale_conf(10**6, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_command_line(spark, sf_small, tmp_path, capsys):
+    import json
+
+    from strata.__main__ import main
+    from strata.plans.batch import Medallion
+    from strata.sources.files import write_landing
+
+    m = Medallion(spark, sf_small)
+    land, root = str(tmp_path / "land"), str(tmp_path / "root")
+    write_landing(m.bronze_trips(), f"{land}/taxi")
+    write_landing(m.bronze_drivers(), f"{land}/drivers", "json")
+    write_landing(m.bronze_users(), f"{land}/users")
+    assert main(["run", "--landing", land, "--root", root], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert json.loads(out.strip().splitlines()[-1])["rule_failures"]["silver_taxi"]["rows"] > 0
+    assert main(["audit", "--root", root, "--out", str(tmp_path / "report")], spark=spark) == 0
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary["pipeline_status"] == "SUCCESS" and summary["total_monitored_tables"] == 10
+    assert main(["restore", "--root", root, "--table", "bronze.taxi", "--version", "0"], spark=spark) == 0
+    assert "RESTORE" in capsys.readouterr().out
