@@ -122,7 +122,7 @@ def gold_user_metrics(spark, sf_dir):
 SELECT s.silver_trips, g.gold_trips, s.silver_revenue, g.gold_revenue,
        (s.silver_trips = g.gold_trips AND s.silver_revenue = g.gold_revenue) AS reconciled
 FROM (SELECT COUNT(*) AS silver_trips, {sql.money_sum('fare_amount')} AS silver_revenue FROM silver_trips) s,
-     (SELECT SUM(total_trips) AS gold_trips, {sql.money_sum('total_revenue')} AS gold_revenue
+     (SELECT CAST(SUM(total_trips) AS BIGINT) AS gold_trips, {sql.money_sum('total_revenue')} AS gold_revenue
       FROM gold_zone_metrics) g
 """, "gold_zone_metrics"))
 def gold_reconcile(spark, sf_dir):
@@ -203,14 +203,14 @@ def top3_drivers(spark, sf_dir):
 
 # ---------------------------------------------------------------- KPIs
 @register("kpi_drivers_by_experience", layers_sql(
-    "SELECT experience, SUM(drivers_count) AS drivers_count FROM gold_driver_metrics GROUP BY ALL",
+    "SELECT experience, CAST(SUM(drivers_count) AS BIGINT) AS drivers_count FROM gold_driver_metrics GROUP BY ALL",
     "gold_driver_metrics"))
 def kpi_drivers_by_experience(spark, sf_dir):
     return kpis.drivers_by_experience(_m(spark, sf_dir).gold_driver_metrics())
 
 
 @register("kpi_signups", layers_sql(
-    "SELECT registration_date, SUM(users_count) AS users_count FROM gold_user_metrics GROUP BY ALL",
+    "SELECT registration_date, CAST(SUM(users_count) AS BIGINT) AS users_count FROM gold_user_metrics GROUP BY ALL",
     "gold_user_metrics"))
 def kpi_signups(spark, sf_dir):
     return kpis.signups_by_date(_m(spark, sf_dir).gold_user_metrics())

@@ -81,7 +81,8 @@ def restore(spark, sf_dir):
 
 
 @register("table_history", """
-SELECT * FROM (VALUES (0, 'STREAMING UPDATE', false), (1, 'STREAMING UPDATE', true), (2, 'RESTORE', false))
+SELECT CAST(version AS BIGINT) AS version, operation, has_phone
+FROM (VALUES (0, 'STREAMING UPDATE', false), (1, 'STREAMING UPDATE', true), (2, 'RESTORE', false))
   AS h(version, operation, has_phone)
 """)
 def table_history(spark, sf_dir):
@@ -218,7 +219,7 @@ def gold_driver_metrics_stream(spark, sf_dir):
 
 
 @register("enriched_trips_stream", layers_sql(
-    "SELECT id, 1 AS n FROM silver_trips GROUP BY id", "silver_trips"))
+    "SELECT id, CAST(1 AS BIGINT) AS n FROM silver_trips GROUP BY id", "silver_trips"))
 def enriched_trips_stream(spark, sf_dir):
     """One row per trip id (which duplicate wins depends on batch boundaries,
     so only the key and its multiplicity are compared)."""
@@ -283,7 +284,7 @@ def audit_report(spark, sf_dir):
 
 
 @register("audit_summary", layers_sql(
-    "SELECT 10 AS total_monitored_tables, SUM(row_count) AS total_rows_across_lakehouse, "
+    "SELECT 10 AS total_monitored_tables, CAST(SUM(row_count) AS BIGINT) AS total_rows_across_lakehouse, "
     "'SUCCESS' AS pipeline_status FROM (" + _count_sql() + ")"))
 def audit_summary(spark, sf_dir):
     """Summary of the nested report document (C3) after the two-wave run."""
@@ -329,7 +330,8 @@ def compact_stream_safe(spark, sf_dir):
 
 
 @register("cluster_layout", layers_sql(
-    "SELECT TRUE AS multi_file, 0 AS overlapping_files, COUNT(*) AS row_count FROM gold_zone_metrics",
+    "SELECT TRUE AS multi_file, CAST(0 AS BIGINT) AS overlapping_files, COUNT(*) AS row_count "
+    "FROM gold_zone_metrics",
     "gold_zone_metrics"))
 def cluster_layout(spark, sf_dir):
     """Range clustering on the zone: files hold disjoint zone ranges (checked
@@ -353,8 +355,10 @@ def cluster_layout(spark, sf_dir):
 
 
 @register("optimize_log", """
-SELECT * FROM (VALUES ('gold.taxi_metrics', 1, NULL, '["pu_location_id"]'),
-                      ('gold.driver_metrics', 1, '["experience"]', NULL))
+SELECT table_name, CAST(optimize_version AS BIGINT) AS optimize_version,
+       CAST(z_order_by AS VARCHAR) AS z_order_by, CAST(cluster_by AS VARCHAR) AS cluster_by
+FROM (VALUES ('gold.taxi_metrics', 1, NULL, '["pu_location_id"]'),
+             ('gold.driver_metrics', 1, '["experience"]', NULL))
   AS t(table_name, optimize_version, z_order_by, cluster_by)
 """)
 def optimize_log(spark, sf_dir):
