@@ -124,6 +124,22 @@ def trips_update_mode(spark: SparkSession, sf_dir: str) -> Lakehouse:
     return house
 
 
+def trips_redelivered_state_mode(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Trip flows only, dedup in a streaming state store: wave 1, then the
+    same trips delivered again."""
+    from ..streaming.flows import run_pipeline
+
+    root = scratch_dir(spark, "trips-state")
+    landing, house = Landing(f"{root}/landing"), Lakehouse(spark, f"{root}/house")
+    m = Medallion(spark, sf_dir)
+    names = {"bronze_taxi", "silver_taxi", "gold_taxi_metrics"}
+    for _ in range(2):
+        write_landing(m.bronze_trips(), landing.path("taxi"), "parquet")
+        run_pipeline(spark, [f for f in medallion_flows(spark, landing, house, dedup_mode="state")
+                             if f.name in names])
+    return house
+
+
 def rerun_without_input(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Bronze trips ingested, then the same flow run again with no new files."""
     root = scratch_dir(spark, "rerun")

@@ -19,7 +19,7 @@ from .batch import DRIVER_COLUMNS, SILVER_TRIP_COLUMNS, TRIP_COLUMNS, Medallion,
 from .pipeline import TABLES
 from .registry import register
 from .scenarios import (PHONE_PREFIX, drivers_two_wave, rerun_without_input, trips_many_commits,
-                        trips_update_mode, two_wave)
+                        trips_redelivered_state_mode, trips_update_mode, two_wave)
 
 STAMPS = ["_ingested_at", "_source_file", "_processed_at", "_calculated_at"]
 
@@ -186,6 +186,13 @@ def expect_metrics_stream(spark, sf_dir):
     return spark.createDataFrame(rows, "flow string, rule string, total long, failed long")
 
 
+@register("silver_trips_stream_state", layers_sql("SELECT * FROM silver_trips", "silver_trips"))
+def silver_trips_stream_state(spark, sf_dir):
+    """Silver trips with streaming ``dropDuplicates`` (state store) after a
+    full re-delivery: the state rejects every second copy."""
+    return trips_redelivered_state_mode(spark, sf_dir).table("silver", "taxi").read().select(*SILVER_TRIP_COLUMNS)
+
+
 @register("gold_zone_metrics_stream", layers_sql("SELECT * FROM gold_zone_metrics", "gold_zone_metrics"))
 def gold_zone_metrics_stream(spark, sf_dir):
     return _drop_stamps(two_wave(spark, sf_dir).house.table("gold", "taxi_metrics").read())
