@@ -52,8 +52,10 @@ def two_wave(spark: SparkSession, sf_dir: str) -> Scenario:
 
 
 def _two_wave(spark: SparkSession, sf_dir: str) -> Scenario:
+    from ..fs import path_exists
+
     key = _key(spark, sf_dir, "two_wave")
-    if key in _MEMO:
+    if key in _MEMO and path_exists(spark, _MEMO[key].house.root):
         return _MEMO[key]
     root = scratch_dir(spark, "two-wave")
     landing, house = Landing(f"{root}/landing"), Lakehouse(spark, f"{root}/house")
