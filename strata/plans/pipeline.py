@@ -22,6 +22,7 @@ from ..operators.quality import observe_rules_stream
 from ..schemas import driver_schema
 from ..sources.files import FileSource
 from ..streaming.flows import Flow, run_pipeline
+from .batch import DRIVER_ORDER, ENRICH_TRIP_ORDER, TRIP_ORDER, USER_ORDER
 from ..tables.versioned import Lakehouse
 
 # Monitored tables per layer.
@@ -93,17 +94,17 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
              lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules"),
                                             dedup=state),
              t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",),
-             merge_keys=None if state else tuple(cleaning.TRIP_KEYS)),
+             merge_keys=None if state else tuple(cleaning.TRIP_KEYS), merge_order=tuple(TRIP_ORDER)),
         Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(),
              lambda d: cleaning.clean_drivers(observe_rules_stream(d, cleaning.DRIVER_RULES, "silver_drivers_rules"),
                                               dedup=state),
              t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",),
-             merge_keys=None if state else tuple(cleaning.DRIVER_KEYS)),
+             merge_keys=None if state else tuple(cleaning.DRIVER_KEYS), merge_order=tuple(DRIVER_ORDER)),
         Flow("silver_users", lambda s: t("bronze", "users").read_stream(),
              lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules"),
                                             dedup=state),
              t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",),
-             merge_keys=None if state else tuple(cleaning.USER_KEYS)),
+             merge_keys=None if state else tuple(cleaning.USER_KEYS), merge_order=tuple(USER_ORDER)),
         Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(), aggregates.zone_metrics,
              t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode=gold_mode,
              upsert_keys=("pu_location_id", "payment_type_description"),
@@ -125,6 +126,7 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
                                                salt_buckets=salt_buckets),
              t("gold", "enriched_trips"), data_ck("gold", "enriched_trips"),
              depends_on=("silver_taxi", "silver_drivers"), merge_keys=None if state else ("id",),
+             merge_order=tuple(ENRICH_TRIP_ORDER),
              after=(lambda s: t("gold", "enriched_trips").compact()) if maintain else None),
     ]
     return flows

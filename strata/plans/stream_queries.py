@@ -186,11 +186,17 @@ def expect_metrics_stream(spark, sf_dir):
     return spark.createDataFrame(rows, "flow string, rule string, total long, failed long")
 
 
-@register("silver_trips_stream_state", layers_sql("SELECT * FROM silver_trips", "silver_trips"))
+@register("silver_trips_stream_state", layers_sql(
+    "SELECT user_id, driver_id, pickup_datetime, dropoff_datetime, CAST(1 AS BIGINT) AS n FROM silver_trips",
+    "silver_trips"))
 def silver_trips_stream_state(spark, sf_dir):
     """Silver trips with streaming ``dropDuplicates`` (state store) after a
-    full re-delivery: the state rejects every second copy."""
-    return trips_redelivered_state_mode(spark, sf_dir).table("silver", "taxi").read().select(*SILVER_TRIP_COLUMNS)
+    full re-delivery: one row per business key, every second copy rejected.
+    The state store keeps any row of a key, so only keys are compared."""
+    from ..operators.cleaning import TRIP_KEYS
+
+    t = trips_redelivered_state_mode(spark, sf_dir).table("silver", "taxi")
+    return t.read().groupBy(*TRIP_KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("gold_zone_metrics_stream", layers_sql("SELECT * FROM gold_zone_metrics", "gold_zone_metrics"))

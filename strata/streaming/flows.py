@@ -41,6 +41,7 @@ class Flow:
     depends_on: tuple[str, ...] = ()  # names of flows whose tables this flow reads
     merge_keys: tuple[str, ...] | None = None  # append only rows with unseen keys (see insert_new)
     upsert_keys: tuple[str, ...] | None = None  # mode "update": merge-on-read upsert by these keys
+    merge_order: tuple[str, ...] | None = None  # reproducible winner within a micro-batch (merge_keys)
 
     def tag(self) -> str:
         return "s" + hashlib.sha1(self.checkpoint.encode()).hexdigest()[:10]
@@ -55,7 +56,8 @@ def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQue
         df.writeStream.queryName(f"{flow.name}_{flow.tag()}")
         .outputMode(flow.mode)
         .option("checkpointLocation", flow.checkpoint)
-        .foreachBatch(flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys, flow.upsert_keys))
+        .foreachBatch(flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys, flow.upsert_keys,
+                                                 flow.merge_order))
     )
     writer = writer.trigger(availableNow=True) if once else writer
     query = writer.start()

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fs import count_data_files, create_text, delete_path, path_exists
+from ..operators.dedup import drop_duplicates
 from ..schemas import OP_OPTIMIZE, OP_RESTORE, OP_STREAMING_UPDATE, OP_WRITE
 
 HISTORY_SCHEMA = T.StructType([
@@ -192,16 +193,19 @@ class VersionedTable:
                             {"mode": "Overwrite", **(params or {})},
                             {"numOutputRows": n, "numFiles": self._last_files})
 
-    def new_rows(self, df: DataFrame, keys: Sequence[str], exclude_commit: str | None = None) -> DataFrame:
+    def new_rows(self, df: DataFrame, keys: Sequence[str], exclude_commit: str | None = None,
+                 order_by: Sequence[str] | None = None) -> DataFrame:
         """Rows of ``df`` (one per key) whose key is not in the table yet.
 
         ``df`` is de-duplicated by aggregation (partial per task, so a hot key
         is combined before the shuffle), then anti-joined on the key columns
         (NULL-safe) with the keys already stored — the scan of the table reads
         only the key columns. Both join sides are unique per key, so no key is
-        skewed. ``exclude_commit`` leaves a commit's own rows out (replays)."""
+        skewed. ``exclude_commit`` leaves a commit's own rows out (replays).
+        ``order_by`` makes the winner inside ``df`` reproducible (smallest row
+        by these columns, then the rest) instead of any row."""
         keys = list(keys)
-        batch = df.dropDuplicates(keys)
+        batch = drop_duplicates(df, keys, order_by=order_by)
         prev = self._latest()
         if prev is None:
             return batch
@@ -216,13 +220,14 @@ class VersionedTable:
         return batch.join(seen, cond, "left_anti")
 
     def insert_new(self, df: DataFrame, keys: Sequence[str], operation: str = OP_WRITE,
-                   commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
+                   commit: str | None = None, params: Mapping[str, str] | None = None,
+                   order_by: Sequence[str] | None = None) -> int:
         """Append only rows whose key is not in the table yet (one row per key;
         the first key ever seen wins, like an insert-only MERGE)."""
         commit = commit or f"w-{uuid.uuid4().hex}"
         if self._has_commit(commit):
             return self._entry(None)["version"]
-        rows = self.new_rows(df, keys, exclude_commit=commit)
+        rows = self.new_rows(df, keys, exclude_commit=commit, order_by=order_by)
         return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))})
 
     def upsert_keys(self, version: int | None = None) -> list[str] | None:
@@ -251,7 +256,8 @@ class VersionedTable:
                             {"numOutputRows": n, "numFiles": self._last_files}, properties=props)
 
     def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None,
-                     upsert_keys: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
+                     upsert_keys: Sequence[str] | None = None, merge_order: Sequence[str] | None = None
+                     ) -> Callable[[DataFrame, int], None]:
         """``foreachBatch`` function: exactly-once by commit id ``<tag>-<batchId>``.
 
         ``mode`` "complete" replaces the table; "update" upserts the changed
@@ -268,7 +274,8 @@ class VersionedTable:
                     raise ValueError("update mode needs upsert_keys")
                 self.upsert(batch, upsert_keys, operation, commit, {"outputMode": "Update"})
             elif merge_keys:
-                self.insert_new(batch, merge_keys, operation, commit, {"outputMode": "Append"})
+                self.insert_new(batch, merge_keys, operation, commit, {"outputMode": "Append"},
+                                order_by=merge_order)
             else:
                 self.append(batch, operation, commit, {"outputMode": "Append"})
 
