@@ -34,3 +34,24 @@ def test_pct_matches_decimal(spark, pairs):
     got = {r.i: r.pct for r in df.select("i", pct_half_up("p", "t", 1).alias("pct")).collect()}
     for i, (p, t) in enumerate(pairs):
         assert got[i] == _q(Decimal(min(p, t)) * 100 / Decimal(t), "0.1"), (p, t)
+
+
+keys_st = st.sampled_from(["a", "b", "c", "d", None])
+batch_st = st.lists(st.tuples(keys_st, st.integers(0, 9)), min_size=0, max_size=8)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(batch_st, min_size=1, max_size=3))
+def test_insert_new_matches_first_seen_model(spark, tmp_path_factory, batches):
+    from strata.tables.versioned import VersionedTable
+
+    t = VersionedTable(spark, str(tmp_path_factory.mktemp("ins")))
+    model: dict = {}
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, "k string, v int")
+        t.insert_new(df, ["k"], commit=f"b-{i}", order_by=["v"])
+        for k in {r[0] for r in rows}:
+            if k not in model:  # first batch that brings the key wins, smallest v inside it
+                model[k] = min(v for kk, v in rows if kk == k)
+    got = {r.k: r.v for r in t.read().collect()} if t.exists() else {}
+    assert got == model
