@@ -26,17 +26,6 @@ def expect_all_or_drop(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
     return df.filter(" AND ".join(f"({p})" for p in rules.values()))
 
 
-def expect_all_or_fail(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:
-    """Raise at run time on the first row that breaks a rule (no extra pass)."""
-    if not rules:
-        return df
-    names = list(rules)
-    failed = F.concat_ws(",", *[F.when(~_passes(rules[n]), F.lit(n)) for n in names])
-    return df.withColumn(
-        "_expect", F.when(failed != "", F.raise_error(F.concat(F.lit("expectation failed: "), failed)))
-    ).drop("_expect")
-
-
 def observe_rules(df: DataFrame, rules: Mapping[str, str], name: str = "expectations"
                   ) -> tuple[DataFrame, Observation]:
     """Attach per-rule failure counts to the plan as metrics (no extra job).
