@@ -406,18 +406,73 @@ class VersionedTable:
                                                   "numOutputRows": written, "numFiles": self._last_files})
 
     def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False) -> int:
-        """Range-cluster on ``key``: files hold disjoint, sorted key ranges, so
-        Parquet min/max statistics skip files for filters on ``key``. On one
-        column a Z-order is the same layout."""
+        """Range-cluster on ``key``: files hold disjoint, sorted key ranges. On
+        one column a Z-order is the same layout. Each file's key range is kept
+        in the history entry, so ``read_range`` opens only the files that can
+        match (plain Parquet alone would still open every footer)."""
         e = self._latest()
         n = self._target_files(e["rows"], rows_per_file)
         commit = f"k-{uuid.uuid4().hex}"
         df = self.read().repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
         written = self._write(df, REWRITES, commit)
         params = {"zOrderBy": json.dumps([key])} if zorder else {"clusterBy": json.dumps([key])}
+        stats = self._file_ranges(f"{self.root}/{REWRITES}/{COMMIT_COL}={commit}", key)
         return self._record(OP_OPTIMIZE, commit, [f"{REWRITES}/{commit}"], self.schema(), written,
                             params, {"numFilesAdded": self._last_files, "numOutputRows": written,
-                                     "numFiles": self._last_files})
+                                     "numFiles": self._last_files,
+                                     "fileStats": json.dumps({"key": key, "files": stats})})
+
+    def _file_ranges(self, path: str, key: str) -> dict[str, list]:
+        """{file name: [min, max]} of ``key`` — one aggregate over the key
+        column, one small row per file to the driver (metadata)."""
+        ranges = (self.spark.read.parquet(path)
+                  .select(F.col("_metadata.file_name").alias("f"), F.col(key).alias("kv"))
+                  .groupBy("f").agg(F.min("kv").alias("lo"), F.max("kv").alias("hi")))
+        out = {}
+        for r in ranges.collect():
+            lo, hi = r["lo"], r["hi"]
+            out[r["f"]] = [lo if isinstance(lo, (int, float, str)) or lo is None else str(lo),
+                           hi if isinstance(hi, (int, float, str)) or hi is None else str(hi)]
+        return out
+
+    def read_range(self, key: str, lo=None, hi=None, version: int | None = None) -> DataFrame:
+        """Rows with ``lo <= key <= hi`` (either bound optional). Files of
+        clustered commits whose recorded key range misses the interval are
+        not listed at all; other commits are scanned with the filter pushed
+        into the Parquet reader."""
+        e = self._entry(version)
+        schema = T.StructType.fromJson(json.loads(e["schema"]))
+        created = {}
+        for x in self._entries():
+            for c in x["live"]:
+                created.setdefault(c, x)
+        plain, files = [], []
+        for c in e["live"]:
+            stats = json.loads((created[c]["operationMetrics"] or {}).get("fileStats", "null") or "null")
+            if not stats or stats.get("key") != key:
+                plain.append(c)
+                continue
+            for f, (fmin, fmax) in stats["files"].items():
+                below = lo is not None and fmax is not None and _lt(fmax, lo)
+                above = hi is not None and fmin is not None and _lt(hi, fmin)
+                if not (below or above):
+                    files.append(f"{self.root}/{c.split('/', 1)[0]}/{COMMIT_COL}={c.split('/', 1)[1]}/{f}")
+        parts = []
+        if plain:
+            parts.append(self._scan_commits(schema, plain))
+        if files:
+            parts.append(self.spark.read.schema(schema).parquet(*files))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col(key) >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (F.col(key) <= F.lit(hi))
+        return out.filter(cond)
 
     def layout(self, key: str, version: int | None = None) -> DataFrame:
         """Per-file row count and min/max of ``key`` for the live files."""
@@ -426,6 +481,13 @@ class VersionedTable:
             F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))
 
 
+def _lt(a, b) -> bool:
+    """a < b for recorded bounds (numbers compare as numbers, else as text)."""
+    if isinstance(a, (int, float)) and isinstance(b, (int, float)):
+        return a < b
+    return str(a) < str(b)
+
+
 def _merge(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """Old fields first (types kept), then fields only in ``new`` (nullable)."""
     if old is None:
