@@ -146,3 +146,19 @@ def trips(spark: SparkSession, n: int, seed: int = 13, month_start: str = "2026-
         congestion.cast("double").alias("congestion_surcharge"),
         airport.cast("double").alias("airport_fee"),
     )
+
+
+def generate_landing(spark: SparkSession, landing, trips_n: int = 0, drivers_n: int = 0, users_n: int = 0,
+                     with_phone: bool = False, seed: int = 0) -> None:
+    """Append generated rows to the landing folders of a ``plans.pipeline.Landing``
+    (trips as its trips format, drivers as JSON, users as its users format);
+    ``seed`` varies the rows between waves."""
+    from .sources.files import write_landing
+
+    if trips_n:
+        write_landing(trips(spark, trips_n, seed=13 + seed), landing.path("taxi"), landing.trips_fmt)
+    if drivers_n:
+        write_landing(drivers(spark, drivers_n, seed=7 + seed, with_phone=with_phone), landing.path("drivers"),
+                      landing.drivers_fmt)
+    if users_n:
+        write_landing(users(spark, users_n, seed=11 + seed), landing.path("users"), landing.users_fmt)

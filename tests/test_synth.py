@@ -33,3 +33,20 @@ def test_drivers_and_users(spark):
     u = synth.users(spark, 1000)
     assert u.columns == USER.fieldNames() and u.count() == synth.USER_POOL_SIZE
     assert clean_users(u).count() < synth.USER_POOL_SIZE
+
+
+def test_generated_landing_runs_through_the_pipeline(spark, tmp_path):
+    from strata.plans.pipeline import Landing, run_medallion
+    from strata.tables.versioned import Lakehouse
+
+    landing, house = Landing(str(tmp_path / "land")), Lakehouse(spark, str(tmp_path / "h"))
+    synth.generate_landing(spark, landing, trips_n=2000, drivers_n=50, users_n=500)
+    run_medallion(spark, landing, house)
+    assert house.table("bronze", "taxi").read().count() == 2000
+    silver = house.table("silver", "taxi").read().count()
+    assert 1800 < silver < 2000                      # about 5% invalid trips dropped
+    enriched = house.table("gold", "enriched_trips").read()
+    assert enriched.count() == silver and enriched.filter("driver_name IS NOT NULL").count() > 0
+    synth.generate_landing(spark, landing, drivers_n=20, with_phone=True, seed=1)   # schema-evolving wave
+    run_medallion(spark, landing, house, include_phone=True)
+    assert "phone" in house.table("bronze", "drivers").read().columns
