@@ -50,9 +50,14 @@ HISTORY_SCHEMA = T.StructType([
 
 COMMIT_COL = "_commit"
 HISTORY_FILES_BEFORE_CONSOLIDATION = 100
+APPEND_RETRIES = 5
 DATA, REWRITES = "data", "rewrites"
 
 
+class VersionConflict(RuntimeError):
+    """Another writer committed the version this writer was about to create."""
+
+
 def _now() -> str:
     return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
@@ -134,7 +139,7 @@ class VersionedTable:
         # one tiny JSON file per version, created exclusively: a second writer
         # racing for the same version fails instead of overwriting
         if not create_text(self.spark, f"{self._history_path()}/v{version:020d}.json", json.dumps(entry) + "\n"):
-            raise RuntimeError(f"{self.name}: version {version} was committed concurrently")
+            raise VersionConflict(f"{self.name}: version {version} was committed concurrently")
         self._entries().append(Row(**{f.name: entry[f.name] for f in HISTORY_SCHEMA.fields}))
         if (version + 1) % HISTORY_FILES_BEFORE_CONSOLIDATION == 0:
             self.consolidate_history()
@@ -176,11 +181,21 @@ class VersionedTable:
             # nothing to add: unpublish the empty folder so no stream picks it up
             delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
             return prev["version"]
-        live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
-        schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
-        rows = (prev["rows"] if prev else 0) + n
-        return self._record(operation, commit, live, schema, rows, params,
-                            {"numOutputRows": n, "numFiles": self._last_files})
+        files = self._last_files
+        for attempt in range(APPEND_RETRIES + 1):
+            live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
+            schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
+            rows = (prev["rows"] if prev else 0) + n
+            try:
+                return self._record(operation, commit, live, schema, rows, params,
+                                    {"numOutputRows": n, "numFiles": files})
+            except VersionConflict:
+                # the data is already in its own folder: only the metadata step is
+                # redone, on top of the version the other writer committed
+                if attempt == APPEND_RETRIES:
+                    raise
+                prev = self.refresh()._latest()
+        raise AssertionError("unreachable")
 
     def overwrite(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
                   params: Mapping[str, str] | None = None) -> int:
