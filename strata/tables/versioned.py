@@ -170,8 +170,12 @@ class VersionedTable:
         return int(obs.get.get("n", 0))
 
     def append(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
-               params: Mapping[str, str] | None = None) -> int:
-        """Add ``df`` as a new commit; the schema widens with new columns."""
+               params: Mapping[str, str] | None = None, retry_on_conflict: bool = True) -> int:
+        """Add ``df`` as a new commit; the schema widens with new columns.
+
+        A blind append commutes with other appends, so on a version conflict
+        only the metadata step is redone. Callers whose rows depend on what
+        they read (``insert_new``) pass ``retry_on_conflict=False``."""
         commit = commit or f"w-{uuid.uuid4().hex}"
         if self._has_commit(commit):
             return self._entry(None)["version"]
@@ -192,7 +196,7 @@ class VersionedTable:
             except VersionConflict:
                 # the data is already in its own folder: only the metadata step is
                 # redone, on top of the version the other writer committed
-                if attempt == APPEND_RETRIES:
+                if attempt == APPEND_RETRIES or not retry_on_conflict:
                     raise
                 prev = self.refresh()._latest()
         raise AssertionError("unreachable")
@@ -243,7 +247,10 @@ class VersionedTable:
         if self._has_commit(commit):
             return self._entry(None)["version"]
         rows = self.new_rows(df, keys, exclude_commit=commit, order_by=order_by)
-        return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))})
+        # the rows were chosen against the keys read above: a concurrent commit
+        # invalidates that choice, so a conflict fails (a stream replays the batch)
+        return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))},
+                           retry_on_conflict=False)
 
     def upsert_keys(self, version: int | None = None) -> list[str] | None:
         e = self._entry(version)
@@ -264,11 +271,20 @@ class VersionedTable:
         if n == 0 and prev is not None:
             delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
             return prev["version"]
-        live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
-        schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
-        props = {**((prev["properties"] or {}) if prev else {}), "upsertKeys": json.dumps(list(keys))}
-        return self._record(operation, commit, live, schema, (prev["rows"] if prev else 0) + n, params,
-                            {"numOutputRows": n, "numFiles": self._last_files}, properties=props)
+        files = self._last_files
+        for attempt in range(APPEND_RETRIES + 1):
+            live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
+            schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
+            props = {**((prev["properties"] or {}) if prev else {}), "upsertKeys": json.dumps(list(keys))}
+            try:
+                return self._record(operation, commit, live, schema, (prev["rows"] if prev else 0) + n, params,
+                                    {"numOutputRows": n, "numFiles": files}, properties=props)
+            except VersionConflict:
+                # upserts commute: the newest commit wins per key whatever the order
+                if attempt == APPEND_RETRIES:
+                    raise
+                prev = self.refresh()._latest()
+        raise AssertionError("unreachable")
 
     def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None,
                      upsert_keys: Sequence[str] | None = None, merge_order: Sequence[str] | None = None
