@@ -93,7 +93,10 @@ def dependency_levels(flows: Sequence[Flow]) -> list[list[Flow]]:
 def run_pipeline(spark: SparkSession, flows: Sequence[Flow], parallel: bool = True) -> list[StreamingQuery]:
     """Run flows in dependency order. Flows of one level are independent and,
     with ``parallel``, run as concurrent queries so small flows share the
-    cluster instead of leaving it idle; a failure stops the pipeline."""
+    cluster instead of leaving it idle. A failure stops the pipeline before
+    any dependent flow runs, so a downstream stream never reads an upstream
+    commit folder that was written but not yet published; the next run
+    replays the failed batch into the same folder first."""
     queries: list[StreamingQuery] = []
     for level in dependency_levels(flows):
         if not parallel or len(level) == 1:

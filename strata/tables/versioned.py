@@ -197,6 +197,8 @@ class VersionedTable:
                 # the data is already in its own folder: only the metadata step is
                 # redone, on top of the version the other writer committed
                 if attempt == APPEND_RETRIES or not retry_on_conflict:
+                    # unpublished rows must not reach downstream streams
+                    delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
                     raise
                 prev = self.refresh()._latest()
         raise AssertionError("unreachable")
