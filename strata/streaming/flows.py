@@ -10,6 +10,11 @@ after a failure overwrites its own commit and nothing is written twice.
 Append flows add commits; complete flows (streaming aggregates) replace the
 table with the full aggregate of each batch — the aggregation state lives in
 the checkpoint, so only the new input is read on each run.
+
+A flow may restart with a wider source schema on the same checkpoint. Changing
+a stateful part (the keys of a streaming dedup, the grouping or aggregates of
+a streaming aggregate) needs a new checkpoint folder. Sink-side dedup keeps
+no state, so its keys may change between runs.
 """
 
 from __future__ import annotations

@@ -264,7 +264,8 @@ class VersionedTable:
         """Merge-on-read upsert: ``df`` (one row per key) is appended as a
         commit; readers keep, per key, the row of the newest commit. The write
         costs only the changed rows; ``compact`` folds the commits back into
-        one row per key."""
+        one row per key. The history row count of an upsert table is an upper
+        bound until the next fold (the audit counts rows exactly)."""
         commit = commit or f"u-{uuid.uuid4().hex}"
         if self._has_commit(commit):
             return self._entry(None)["version"]
