@@ -109,7 +109,8 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
              t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode=gold_mode,
              upsert_keys=("pu_location_id", "payment_type_description"),
              depends_on=("silver_taxi",),
-             after=(lambda s: t("gold", "taxi_metrics").cluster("pu_location_id")) if maintain else None),
+             after=(lambda s: t("gold", "taxi_metrics").cluster("pu_location_id", incremental=True))
+             if maintain else None),
         Flow("gold_driver_metrics", lambda s: t("silver", "drivers").read_stream(), aggregates.driver_metrics,
              t("gold", "driver_metrics"), data_ck("gold", "driver_metrics"), mode=gold_mode,
              upsert_keys=("experience",),

@@ -439,22 +439,50 @@ class VersionedTable:
                             {"predicate": "[]"}, {"numRemovedCommits": len(e["live"]),
                                                   "numOutputRows": written, "numFiles": self._last_files})
 
-    def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False) -> int:
+    def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False,
+                incremental: bool = False) -> int | None:
         """Range-cluster on ``key``: files hold disjoint, sorted key ranges. On
         one column a Z-order is the same layout. Each file's key range is kept
         in the history entry, so ``read_range`` opens only the files that can
-        match (plain Parquet alone would still open every footer)."""
+        match (plain Parquet alone would still open every footer).
+
+        ``incremental`` clusters only the live commits that carry no key
+        ranges for ``key`` yet (the data added since the last clustering) and
+        keeps the clustered ones: the cost follows the new data. Returns the
+        new version, or None when everything is clustered already."""
         e = self._latest()
-        n = self._target_files(e["rows"], rows_per_file)
+        stats_of = self._commit_file_stats()
+        if incremental and not self.upsert_keys():
+            todo = [c for c in e["live"] if (stats_of.get(c) or {}).get("key") != key]
+        else:
+            todo = list(e["live"])
+        if not todo:
+            return None
+        partial = len(todo) < len(e["live"])
+        if partial:  # only the unclustered commits are read and rewritten
+            rows = sum(self.commit_stats().get(c, (0, 0))[0] for c in todo)
+            source = self._scan_commits(self.schema(), todo)
+        else:  # everything (an upsert table is read merged)
+            rows, source = e["rows"], self.read()
         commit = f"k-{uuid.uuid4().hex}"
-        df = self.read().repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
+        df = source.repartitionByRange(self._target_files(rows, rows_per_file), F.col(key)).sortWithinPartitions(key)
         written = self._write(df, REWRITES, commit)
         params = {"zOrderBy": json.dumps([key])} if zorder else {"clusterBy": json.dumps([key])}
         stats = self._file_ranges(f"{self.root}/{REWRITES}/{COMMIT_COL}={commit}", key)
-        return self._record(OP_OPTIMIZE, commit, [f"{REWRITES}/{commit}"], self.schema(), written,
-                            params, {"numFilesAdded": self._last_files, "numOutputRows": written,
-                                     "numFiles": self._last_files,
-                                     "fileStats": json.dumps({"key": key, "files": stats})})
+        live = [c for c in e["live"] if c not in set(todo)] + [f"{REWRITES}/{commit}"]
+        return self._record(OP_OPTIMIZE, commit, live, self.schema(), e["rows"] if partial else written, params,
+                            {"numFilesAdded": self._last_files, "numOutputRows": written,
+                             "numFiles": self._last_files,
+                             "fileStats": json.dumps({"key": key, "files": stats})})
+
+    def _commit_file_stats(self) -> dict[str, dict]:
+        """Recorded key ranges per live commit (from the entry that created it)."""
+        out: dict[str, dict] = {}
+        for x in self._entries():
+            fs = (x["operationMetrics"] or {}).get("fileStats")
+            if fs and x["live"]:
+                out.setdefault(x["live"][-1], json.loads(fs))
+        return out
 
     def _file_ranges(self, path: str, key: str) -> dict[str, list]:
         """{file name: [min, max]} of ``key`` — one aggregate over the key
@@ -476,13 +504,10 @@ class VersionedTable:
         into the Parquet reader."""
         e = self._entry(version)
         schema = T.StructType.fromJson(json.loads(e["schema"]))
-        created = {}
-        for x in self._entries():
-            for c in x["live"]:
-                created.setdefault(c, x)
+        stats_of = self._commit_file_stats()
         plain, files = [], []
         for c in e["live"]:
-            stats = json.loads((created[c]["operationMetrics"] or {}).get("fileStats", "null") or "null")
+            stats = stats_of.get(c)
             if not stats or stats.get("key") != key:
                 plain.append(c)
                 continue
