@@ -1,22 +1,25 @@
-"""Versioned Parquet tables: history, as-of reads, restore, compaction and
-range clustering, all expressed as ordinary Spark reads and writes.
+"""Versioned Parquet tables: history, as-of reads, restore, compaction,
+clustering and upserts, all expressed as ordinary Spark reads and writes.
 
 Layout of a table at ``root``::
 
     root/data/_commit=<id>/part-*.parquet      append commits (streams read these)
     root/rewrites/_commit=<id>/part-*.parquet  overwrite / compaction / clustering output
-    root/_history/*.json                        one small entry per version
-
-A version is the set of live commits plus the schema. Appending adds a commit
-to the live set; overwriting, compacting and clustering replace it with one
-rewrite commit; restoring re-publishes an old live set. Files are never
-rewritten in place, so a stream over ``data/`` never sees a rewrite again
-(compaction changes no content). A write is idempotent per commit id: a
-replayed micro-batch overwrites its own commit folder and finds its history
-entry already present.
-
-Single writer per table is assumed (one flow owns a table), as in the
-pipelines built on it.
+    root/_history/v<version>.json              one small entry per version
+
+A version is the set of live commits plus the schema and table properties.
+Appending adds a commit to the live set; overwriting replaces it; compaction
+bin-packs small commits into one rewrite; clustering rewrites (all, or only
+the unclustered commits) sorted by a key and records each file's key range,
+which ``read_range`` uses to skip files; restoring re-publishes an old live
+set; an upsert table (update mode) keeps the newest row per key on read.
+
+Files are never rewritten in place, so a stream over ``data/`` never sees a
+rewrite again (compaction changes no content). A write is idempotent per
+commit id: a replayed micro-batch overwrites its own commit folder and finds
+its history entry already present. Each version file is created exclusively;
+a blind append or upsert that loses a race redoes only its metadata step,
+anything else is refused.
 """
 
 from __future__ import annotations
