@@ -34,8 +34,10 @@ def _parser() -> argparse.ArgumentParser:
     audit = sub.add_parser("audit", help="audit the ten tables, print the summary, write the report")
     audit.add_argument("--root", required=True)
     audit.add_argument("--out")
+    helps = {"history": "print a table's versions", "restore": "publish an old version as the newest",
+             "optimize": "bin-pack small files, or cluster by a column"}
     for name in ("history", "restore", "optimize"):
-        sp = sub.add_parser(name)
+        sp = sub.add_parser(name, help=helps[name])
         sp.add_argument("--root", required=True)
         sp.add_argument("--table", required=True, help="layer.table")
         if name == "restore":
