@@ -37,6 +37,7 @@ LEXICON_SIZE = 4000
 PREFIXES = (3, 4, 5, 6)
 LEAST_LLR = 14.0
 STEM_WORDS = 4
+LEAST_ODDS = {"w": 3.0, "p": 4.0}  # least log odds of a word and of a word beginning
 
 # Seed insults and second-person words in four languages, written in lower case.
 SEED = (
@@ -175,8 +176,8 @@ def choose_terms(counts: list[tuple[str, int, int]], toxic: int, clean: int, siz
         if not 0 < rate < 1 or a / n <= min(3 * rate, (1 + rate) / 2):
             continue
         llr = a * math.log(a / (n * rate)) + (b * math.log(b / (n * (1 - rate))) if b else 0.0)
-        if llr >= LEAST_LLR:
-            odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+        odds = math.log((a + 0.5) / (toxic + 1)) - math.log((b + 0.5) / (clean + 1))
+        if llr >= LEAST_LLR and odds >= LEAST_ODDS[term[0]]:
             chosen.append((llr, term, odds))
     chosen.sort(key=lambda x: (-x[0], x[1]))
     chosen = chosen[:size]
