@@ -11,8 +11,8 @@ text, arc by arc as the search reaches them:
   model's merges leave the two pieces apart and infinite if they do not. A path
   is a model segmentation exactly if all neighbours have weight 0.
 
-The best path is the tropical-semiring minimum of the summed weights (one per
-piece plus the merge-order weights). A space can only begin a piece (or stand
+The best path is the tropical-semiring minimum of the summed weights; only one
+path has a finite weight. A space can only begin a piece (or stand
 among spaces), and some control characters are in no piece at all, so a path
 never crosses from another character to a space or past such a character: each
 unit between two of these places is solved by itself, and the pieces of a unit
@@ -90,7 +90,11 @@ class Machine:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.score = {p: s for p, (_, s) in vocabulary.pieces.items()}
-        self.begins = {p[:i] for p in vocabulary.pieces for i in range(1, len(p) + 1)}
+        # most characters of a piece that begins with up to three given ones
+        self.reach: dict[str, int] = {}
+        for p in self.score:
+            for k in range(1, min(len(p), 3) + 1):
+                self.reach[p[:k]] = max(self.reach.get(p[:k], 0), len(p))
         stop = re.escape(vocabulary.breakers)
         self.unit = re.compile(f"{SPACE}*[^{SPACE}{stop}]+|{SPACE}+|[{stop}]" if stop else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -121,38 +125,39 @@ class Machine:
         return known
 
     def shortest_path(self, unit: str) -> list[str]:
-        """Pieces of the best path (a character without a piece stands for its bytes)."""
+        """Pieces of the best path (a character without a piece stands for its bytes).
+
+        Depth-first over the composed arcs, longest piece first; an arc of infinite weight is not taken, and
+        a state (place, last piece) from which no path went on is not entered again. The merge-order acceptor
+        leaves one path of finite weight, so the first complete path is the minimum."""
+        score, pairs, reach = self.score, self.pairs, self.reach
         n = len(unit)
-        # states at a place: piece that ends there -> (weight, place it begins, piece before)
-        states: list[dict[str, tuple[int, int, str | None]]] = [{} for _ in range(n + 1)]
-        states[0][""] = (0, 0, None)
-        for i in range(n):
-            here = states[i]
-            if not here:
-                continue
-            for j in range(i + 1, n + 1):
-                arc = unit[i:j]
-                if arc not in self.score:
-                    if j > i + 1:
-                        if arc not in self.begins:
-                            break
-                        continue
-                best, before = math.inf, None
-                for left, (weight, _, _) in here.items():
-                    if weight + 1 < best and (not left or self.apart(left, arc)):
-                        best, before = weight + 1, left
-                if before is not None:
-                    states[j][arc] = (best, i, before)
-                if j == i + 1 and arc not in self.begins:
-                    break
-        if not states[n]:
-            raise ValueError(f"no path through {unit!r}")
-        piece = min(states[n], key=lambda p: (states[n][p][0], p))
-        path, at = [], n
-        while piece:
-            path.append(piece)
-            _, at, piece = states[at][piece]
-        return path[::-1]
+        path: list[str] = []
+        dead: set[tuple[int, str]] = set()
+        left, at = "", 0
+        size = min(reach.get(unit[:3], 2), n)
+        while at < n:
+            while size:
+                arc = unit[at:at + size]
+                if arc in score or size == 1:
+                    open_ = not left or pairs.get((left, arc))
+                    if open_ is None:
+                        open_ = self.apart(left, arc)
+                    if open_ and not (dead and (at + size, arc) in dead):
+                        break
+                size -= 1
+            if size:
+                path.append(arc)
+                left, at = arc, at + size
+                size = min(reach.get(unit[at:at + 3], 2), n - at)
+            else:
+                if not path:
+                    raise ValueError(f"no path through {unit!r}")
+                dead.add((at, left))
+                arc = path.pop()
+                at -= len(arc)
+                left, size = path[-1] if path else "", len(arc) - 1
+        return path
 
     def ids(self, unit: str) -> tuple[int, ...]:
         out: list[int] = []
