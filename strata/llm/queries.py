@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, quality_classifier, quality_rules, sentencepiece_fst, sharding, toxicity, url_filter
+from . import (
+    decontamination,
+    license_scan,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_fst,
+    sharding,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality_rules.op2_quality_rules,
@@ -14,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_license_scans": license_scan.op6_license_scans,
     "op7_sentencepiece": sentencepiece_fst.op7_sentencepiece,
+    "op8_decontamination": decontamination.op8_decontamination,
     "op9_sharding": sharding.op9_sharding,
     "op10_url_filters": url_filter.op10_url_filters,
 }
