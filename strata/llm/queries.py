@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     decontamination,
+    jaccard_join,
     license_scan,
     quality_classifier,
     quality_rules,
@@ -18,6 +19,7 @@ from . import (
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_quality_classifier": quality_classifier.op3_quality_classifier,
     "op5_toxicity": toxicity.op5_toxicity,
