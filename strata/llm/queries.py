@@ -10,6 +10,7 @@ from . import (
     decontamination,
     jaccard_join,
     license_scan,
+    pii,
     quality_classifier,
     quality_rules,
     sentencepiece_fst,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": jaccard_join.op1_jaccard_join,
     "op2_quality_rules": quality_rules.op2_quality_rules,
     "op3_quality_classifier": quality_classifier.op3_quality_classifier,
+    "op4_pii": pii.op4_pii,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_license_scans": license_scan.op6_license_scans,
     "op7_sentencepiece": sentencepiece_fst.op7_sentencepiece,
