@@ -67,9 +67,11 @@ def _grow(x: np.ndarray, bins: np.ndarray, cuts: list[np.ndarray], g: np.ndarray
     return Tree(feature, bound, -gs / (hs + ridge))
 
 
-def fit_boosted(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, ridge: float = 1.0,
-                least: int = 5, n_bins: int = 64) -> Boosted:
-    """Logistic loss, second-order leaf values, splits at quantiles of each feature."""
+def fit_boosted(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, ridge: float = 5.0,
+                n_bins: int = 64) -> Boosted:
+    """Logistic loss, second-order leaf values, splits at quantiles of each feature; a side of a split has at
+    least one of a hundred rows (2 to 20)."""
+    least = max(2, min(20, len(y) // 100))
     share = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     model = Boosted(float(np.log(share / (1 - share))))
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, n_bins)[1:-1])) for f in range(x.shape[1])]
@@ -86,8 +88,9 @@ def fit_boosted(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3,
     return model
 
 
-def fit_isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pool adjacent violators: increasing knots (raw value, share of label 1); ties in ``raw`` are pooled first."""
+def fit_isotonic(raw: np.ndarray, y: np.ndarray, prior: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Pool adjacent violators: increasing knots (raw value, share of label 1); ties in ``raw`` are pooled first.
+    Each step is drawn to the overall share by ``prior`` rows, so a step of few rows says little."""
     values, at = np.unique(raw, return_inverse=True)
     weight = np.bincount(at).astype(float)
     total = np.bincount(at, y)
@@ -99,6 +102,7 @@ def fit_isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
             blocks[-1][1] = high
             blocks[-1][2] += w2
             blocks[-1][3] += t2
+    base = float(np.mean(y))
     xs = [v for b in blocks for v in ((b[0], b[1]) if b[1] > b[0] else (b[0],))]
-    ps = [p for b in blocks for p in ((b[3] / b[2],) * (2 if b[1] > b[0] else 1))]
-    return np.array(xs), np.array(ps)
+    ps = [p for b in blocks for p in (((b[3] + prior * base) / (b[2] + prior),) * (2 if b[1] > b[0] else 1))]
+    return np.array(xs), np.maximum.accumulate(np.array(ps))

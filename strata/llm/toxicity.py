@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .boosting import Boosted, fit_boosted, fit_isotonic
-from .common import fold, load, text_chunks, word_codes, words_of
+from .common import arrow_map, fold, load, text_chunks, word_codes, words_of
 from .training import training_rows
 
 MAX_TRAIN_ROWS = 8000
@@ -205,7 +205,7 @@ def fit(x: np.ndarray, y: np.ndarray, lexicon: Lexicon) -> Model:
         share = float(y.mean()) if len(y) else 0.0
         return Model(lexicon, Boosted(), np.array([0.0]), np.array([share]))
     trees = fit_boosted(x[~cal], y[~cal])
-    knots, shares = fit_isotonic(trees.raw(x[cal]), y[cal])
+    knots, shares = fit_isotonic(trees.raw(x[cal]), y[cal], prior=10.0)
     return Model(lexicon, trees, knots, shares)
 
 
@@ -228,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_ROWS) -> Mo
             [pa.array(terms, pa.string()), pa.array([found[1][t] for t in terms], pa.int64()),
              pa.array([found[0][t] for t in terms], pa.int64())], ["term", "toxic", "clean"])
 
-    counts = for_terms.mapInArrow(counted, "term string, toxic long, clean long").groupBy("term").agg(
+    counts = for_terms.transform(arrow_map, counted, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     # a term needs this many toxic documents to pass the ratio test at any rate of at least 1 %
     counts = counts.filter((F.col("term") == "#rows") | (F.col("toxic") >= 4)
@@ -244,8 +244,8 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_ROWS) -> Mo
                 [batch.column("doc_id"), batch.column("label"), pa.array(x.tolist(), pa.list_(pa.float64()))],
                 ["doc_id", "label", "x"])
 
-    found = rows.filter(part >= 6).select("doc_id", "text", "label").mapInArrow(
-        dense, "doc_id long, label int, x array<double>").collect()
+    found = rows.filter(part >= 6).select("doc_id", "text", "label").transform(
+        arrow_map, dense, "doc_id long, label int, x array<double>").collect()
     found.sort(key=lambda r: r["doc_id"])
     found = [found[i] for i in np.random.default_rng(13).permutation(len(found)).tolist()]
     x = np.array([r["x"] for r in found]).reshape(len(found), len(NAMES))
@@ -266,8 +266,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                  pa.array((s >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     held = F.coalesce(fold("doc_id", FOLDS) == HELD, F.lit(False))
-    return docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(
-        scored, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", held.alias("held_out"), "text").transform(
+        arrow_map, scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
