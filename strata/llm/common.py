@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -35,6 +38,30 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library's modules to the executors, once per application, so that Python workers find them
+    wherever they start."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="strata-modules-")) / "strata_modules.zip"  # read by the driver's file server
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
+def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` with the library's modules at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts add up to at most ``limit`` bytes."""

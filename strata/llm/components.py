@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import arrow_map, materialise
 
 
 class Forest:
@@ -74,7 +74,7 @@ def components(edges: DataFrame) -> DataFrame:
     state = None
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
     while True:
-        edges = edges.mapInArrow(_contract, "a long, b long")
+        edges = edges.transform(arrow_map, _contract, "a long, b long")
         edges = _small_star(_large_star(edges)).distinct()
         edges = materialise(spark, edges, "components")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

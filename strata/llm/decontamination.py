@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
+from .common import arrow_map, hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
 
 MIN_MATCH = 5
 LEAST_COVERAGE = 0.5
@@ -141,8 +141,8 @@ def _seed_rows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
                 [batch.column("item_id"), pa.array([p.tobytes() for p in parts], pa.binary()),
                  pa.array(seeds, pa.list_(pa.int64()))], ["item_id", "item_tokens", "seeds"])
 
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").mapInArrow(
-        items, "item_id long, item_tokens binary, seeds array<long>")
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").transform(
+        arrow_map, items, "item_id long, item_tokens binary, seeds array<long>")
     rows = materialise(spark, rows.withColumn("item", F.monotonically_increasing_id()), "benchmark-items")
     seeds = materialise(spark, rows.select("item", F.explode("seeds").alias("h")), "benchmark-seeds")
     return rows.drop("seeds"), seeds
@@ -179,8 +179,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = LEAST_COVERAG
                      pa.array([np.unique(s[at[row == r]]).view(np.int64).tolist() for r in rows.tolist()],
                               pa.list_(pa.int64()))], ["doc_id", "tokens", "seeds"])
 
-    hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        find, "doc_id long, tokens binary, seeds array<long>")
+    hits = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(
+        arrow_map, find, "doc_id long, tokens binary, seeds array<long>")
     hits = materialise(spark, hits.withColumn("row", F.monotonically_increasing_id()), "leak-hits")
     pairs = hits.select("row", F.explode("seeds").alias("h")).join(seeds, "h").select("row", "item").distinct()
 
@@ -203,8 +203,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = LEAST_COVERAG
                         ("covered_words", pa.int32()), ("n_tiles", pa.int32()), ("longest_tile", pa.int32()),
                         ("coverage", pa.float64())])
     return pairs.join(hits.select("row", "doc_id", "tokens"), "row").join(items, "item") \
-        .select("doc_id", "item_id", "tokens", "item_tokens").mapInArrow(
-        tile, "doc_id long, item_id long, item_words int, covered_words int, n_tiles int, longest_tile int, "
+        .select("doc_id", "item_id", "tokens", "item_tokens").transform(
+        arrow_map, tile, "doc_id long, item_id long, item_words int, covered_words int, n_tiles int, longest_tile int, "
               "coverage double")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
+from .common import arrow_map, hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
 from .components import Forest, components
 
 SKETCH_BITS = 20
@@ -102,7 +102,7 @@ def _profiles(docs: DataFrame, k: int) -> DataFrame:
                      pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names)
 
     names = ["kind", "doc_id", "n", "f1", "f2", "counts"]
-    return docs.mapInArrow(run, "kind int, doc_id long, n long, f1 long, f2 long, counts binary")
+    return docs.transform(arrow_map, run, "kind int, doc_id long, n long, f1 long, f2 long, counts binary")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -142,7 +142,7 @@ def _entries(texts: DataFrame, sketch, k: int, pct: int) -> DataFrame:
                  pa.array(np.repeat(np.array(lengths, np.int32), sizes)), pa.array(np.concatenate(places))],
                 ["gram", "id", "n", "pos"])
 
-    return texts.mapInArrow(run, "gram long, id long, n int, pos int")
+    return texts.transform(arrow_map, run, "gram long, id long, n int, pos int")
 
 
 def _needed_sets(docs: DataFrame, ids: DataFrame, sketch, k: int) -> DataFrame:
@@ -163,8 +163,8 @@ def _needed_sets(docs: DataFrame, ids: DataFrame, sketch, k: int) -> DataFrame:
                 sets = [ordered(s, sketch.value).tobytes() for s in sets_of(part.column("text"), k)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "s"])
 
-    found = docs.select(F.col("doc_id").alias("id"), "text").withColumn("cell", cell).mapInArrow(
-        run, "id long, s binary")
+    found = docs.select(F.col("doc_id").alias("id"), "text").withColumn("cell", cell).transform(
+        arrow_map, run, "id long, s binary")
     return found.join(ids, "id", "left_semi").distinct()
 
 
@@ -202,7 +202,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 
     full = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("x")), "a") \
         .join(sets.select(F.col("id").alias("b"), F.col("s").alias("y")), "b").select("a", "b", "x", "y")
-    return full.mapInArrow(run, "a long, b long")
+    return full.transform(arrow_map, run, "a long, b long")
 
 
 def _bytes(column: pa.Array) -> Iterator[memoryview]:

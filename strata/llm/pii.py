@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, text_chunks
+from .common import arrow_map, load, text_chunks
 
 # Kinds in the order in which spans of the same start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -297,7 +297,7 @@ def train(docs: DataFrame, limit: int = MAX_TRAIN_DOCS) -> Model:
              pa.array([k[2] for k in keys], pa.int32()), pa.array([k[3] for k in keys], pa.int32()),
              pa.array([found[k] for k in keys], pa.int64())], ["kind", "features", "a", "b", "n"])
 
-    counts = some.mapInArrow(counted, "kind int, features string, a int, b int, n long").groupBy(
+    counts = some.transform(arrow_map, counted, "kind int, features string, a int, b int, n long").groupBy(
         "kind", "features", "a", "b").agg(F.sum("n").alias("n"))
     rows = counts.orderBy(F.col("kind").desc(), F.col("n").desc(), "features", "a").limit(MAX_PATTERNS).collect()
     tables = np.zeros((3, len(LABELS), len(LABELS)))
@@ -362,8 +362,8 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
                  pa.array(spans, pa.string()), pa.array(added, pa.int64())],
                 ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
+    return docs.select("doc_id", "text").transform(
+        arrow_map, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
              "n_added long")
 
 
@@ -406,5 +406,5 @@ def redaction_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
                        for c in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.transform(arrow_map, run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, load, text_chunks
+from .common import arrow_map, fold, load, text_chunks
 from .training import fit_sigmoid, training_rows
 
 MAX_TRAIN_ROWS = 5000
@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAIN_ROWS) -> Mo
                 [batch.column("doc_id"), batch.column("label"), pa.array(sets, pa.binary())],
                 ["doc_id", "label", "grams"])
 
-    found = rows.mapInArrow(grams, "doc_id long, label int, grams binary").collect()
+    found = rows.transform(arrow_map, grams, "doc_id long, label int, grams binary").collect()
     found.sort(key=lambda r: r["doc_id"])  # the order of rows must not depend on the partitions
     # a fixed shuffle of the ids: neighbours in id order may be copies of each other
     order = np.random.default_rng(11).permutation(len(found)).tolist()
@@ -205,8 +205,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                  pa.array((s >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     held = F.coalesce(fold("doc_id", FOLDS) == HELD, F.lit(False))
-    return docs.select("doc_id", held.alias("held_out"), "text").mapInArrow(
-        scored, "doc_id long, held_out boolean, score double, predicted int")
+    return docs.select("doc_id", held.alias("held_out"), "text").transform(
+        arrow_map, scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,4 +226,4 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
             s = m.score(np.array([m.margin(g) for g in gram_sets(batch.column("text"))]))
             yield batch.filter(pa.array(s >= THRESHOLD))
 
-    return docs.select(*names).mapInArrow(kept, docs.schema)
+    return docs.select(*names).transform(arrow_map, kept, docs.schema)

@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import load, text_chunks
+from .common import arrow_map, load, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 KEPT_UNITS = 300_000
@@ -227,7 +227,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
                 [*keep, "n_pieces", "pieces", "round_trip"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return carried.mapInArrow(run, f"{schema}, n_pieces int, pieces array<int>, round_trip boolean")
+    return carried.transform(arrow_map, run, f"{schema}, n_pieces int, pieces array<int>, round_trip boolean")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -245,7 +245,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
                     [*[part.column(c) for c in keep], pa.array(texts, pa.string())], [*keep, "text"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema)
-    return rows.select(*keep, "pieces").mapInArrow(run, f"{schema}, text string")
+    return rows.select(*keep, "pieces").transform(arrow_map, run, f"{schema}, text string")
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
