@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 # Most bytes of text that a Python helper looks at in one go (a single longer text is a chunk of its own).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

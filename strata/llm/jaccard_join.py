@@ -45,7 +45,8 @@ SKETCH_BITS = 20
 FILTER_BITS = 23
 SHARED = 3
 SHORT_LIST = 48
-BLOCK = 256
+BLOCK = 1024  # sets in a block, of at most BLOCK_GRAMS grams together (about)
+BLOCK_GRAMS = 2_000_000
 
 
 # ---------------------------------------------------------------- sets
@@ -289,20 +290,22 @@ def _long_lists(entries: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     # sets that link have the same length class or neighbouring ones
     entries = entries.withColumn("class", F.floor(F.ln("n") / float(np.log(100 / pct)) + 1e-9).cast("int")) \
         if pct < 100 else entries.withColumn("class", F.col("n"))
-    width = entries.groupBy("gram", "class").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    width = entries.groupBy("gram", "class").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
     entries = entries.join(width, ["gram", "class"]).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks", "size")
     # block pairs: within a class each pair once, between neighbouring classes all
     one = width.select("gram", "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     l, r = one.alias("l"), one.alias("r")
+    left = F.struct(F.lit(0).alias("side"), F.col("l.class").alias("class"), F.col("l.block").alias("block"))
+    right = F.struct(F.lit(1).alias("side"), F.col("r.class").alias("class"), F.col("r.block").alias("block"))
+    same = (F.col("l.class") == F.col("r.class")) & (F.col("l.block") == F.col("r.block"))
     jobs = l.join(r, (F.col("l.gram") == F.col("r.gram")) & (
         ((F.col("l.class") == F.col("r.class")) & (F.col("l.block") <= F.col("r.block")))
         | (F.col("l.class") + 1 == F.col("r.class")))).select(
         F.col("l.gram").alias("gram"), F.xxhash64("l.gram", "l.class", "l.block", "r.class", "r.block").alias("job"),
-        F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), F.col("l.class").alias("class"), F.col("l.block").alias("block")),
-            F.struct(F.lit(1).alias("side"), F.col("r.class").alias("class"), F.col("r.block").alias("block"))))
-        .alias("x")).select("gram", "job", "x.side", "x.class", "x.block")
+        F.explode(F.when(same, F.array(left)).otherwise(F.array(left, right))).alias("x")) \
+        .select("gram", "job", "x.side", "x.class", "x.block")
     members = jobs.join(entries, ["gram", "class", "block"]).join(heavy, "id").join(sets, "id") \
         .select("gram", "job", "side", "id", "n", "pos", "heavy", "s")
 
@@ -311,8 +314,9 @@ def _long_lists(entries: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         rows["heavy"] = [h.tolist() for h in rows["heavy"]]
         rows = rows.sort_values(["n", "pos", "id"], kind="stable")
         left, right = (rows[rows["side"] == i].reset_index(drop=True) for i in (0, 1))
-        same = len(left) == len(right) and (left["id"] == right["id"]).all()
-        return pd.DataFrame(join_blocks(left, right, gram, bool(same), pct), columns=["a", "b"], dtype="int64")
+        same = len(right) == 0  # a block with itself
+        found = join_blocks(left, left if same else right, gram, same, pct)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return members.groupBy("gram", "job").applyInPandas(run, "a long, b long")
 
@@ -341,7 +345,7 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
         .select("a", F.explode("all").alias("b")).filter("a <> b")  # rows that share an id but not the text
 
     texts = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    entries = _entries(texts, sketch, k, pct)
+    entries = materialise(spark, _entries(texts, sketch, k, pct), "jaccard-entries")  # read twice
     sizes = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     entries = materialise(spark, entries.join(sizes, "gram"), "jaccard-index")
     short, long = entries.filter(F.col("size") <= SHORT_LIST).drop("size"), entries.filter(F.col("size") > SHORT_LIST)
