@@ -38,15 +38,17 @@ def audit_tables(spark: SparkSession, house: Lakehouse, tables: Mapping[str, Seq
                                last_modified=e["timestamp"], status=HEALTHY)
                     readable[key] = t.read()
             except Exception as exc:  # noqa: BLE001 - reported, not raised
-                row.update(exists=False, status=ERROR, error=str(exc)[:1000])
+                row.update(exists=False, status=ERROR, error=str(exc))
             meta[key] = row
-    if readable:
-        try:
-            for r in row_counts(readable).collect():  # one row per table
-                meta[r["table_name"]]["row_count"] = r["row_count"]
-        except Exception as exc:  # noqa: BLE001
-            for key in readable:
-                meta[key].update(exists=False, row_count=0, status=ERROR, error=str(exc)[:1000])
+    try:
+        for r in row_counts(readable).collect() if readable else []:  # one row per table
+            meta[r["table_name"]]["row_count"] = r["row_count"]
+    except Exception:  # noqa: BLE001 - some table cannot be read: count one by one, so that only it is an error
+        for key, df in readable.items():
+            try:
+                meta[key]["row_count"] = df.count()
+            except Exception as exc:  # noqa: BLE001
+                meta[key].update(exists=False, row_count=0, status=ERROR, error=str(exc))
     return spark.createDataFrame(list(meta.values()), TABLE_AUDIT)
 
 

@@ -53,3 +53,9 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     finally:
         out.close()
     return True
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time (milliseconds since 1970)."""
+    hpath, fs = _fs(spark, path)
+    fs.setTimes(hpath, millis, -1)

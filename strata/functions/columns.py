@@ -33,20 +33,12 @@ def payment_label(c: str | Column = "payment_type") -> Column:
     return decode(c, PAYMENT_LABELS, PAYMENT_DEFAULT)
 
 
-def all_true(predicates: Iterable[str | Column]) -> Column:
-    """Conjunction in which a NULL predicate counts as failed (filter keeps only TRUE)."""
-    exprs = [F.coalesce(F.expr(p) if isinstance(p, str) else p, F.lit(False)) for p in predicates]
-    out = exprs[0]
-    for e in exprs[1:]:
-        out = out & e
-    return out
-
-
 def money_sum(c: str | Column, scale: int = 2) -> Column:
-    """round(sum(c), scale) computed exactly: inputs are fixed-point, so the
-    result does not depend on the order in which partitions are merged."""
-    dec = _col(c).cast(f"decimal(18,{scale})")
-    return F.round(F.sum(dec), scale).cast("double")
+    """round(sum(c), scale), rounded once, after the sum.
+
+    Inputs are summed as fixed-point numbers of ten decimals, so the result does
+    not depend on the order in which partitions are merged."""
+    return F.round(F.sum(_col(c).cast("decimal(28,10)")), scale).cast("double")
 
 
 def _int_half_up(num: Column, den: Column) -> Column:
@@ -57,7 +49,7 @@ def _int_half_up(num: Column, den: Column) -> Column:
     return F.when(den > 0, F.signum(num).cast("long") * mag)
 
 
-def avg_half_up(c: str | Column, scale: int = 2, input_scale: int = 2) -> Column:
+def avg_half_up(c: str | Column, scale: int = 2, input_scale: int = 6) -> Column:
     """round(avg(c), scale), exact for inputs with at most ``input_scale`` decimals.
 
     Sums integer units of 10^-input_scale, then divides with integer half-up
@@ -95,7 +87,3 @@ def audit_columns(df: DataFrame) -> DataFrame:
 def stamp(df: DataFrame, name: str) -> DataFrame:
     """A run-dependent processing/calculation time column."""
     return df.withColumn(name, F.current_timestamp())
-
-
-def strip_prefix(c: str | Column, pattern: str) -> Column:
-    return F.regexp_replace(_col(c), pattern, "")

@@ -28,7 +28,7 @@ def driver_metrics(drivers: DataFrame, with_stamp: bool = True) -> DataFrame:
     """Driver count and average rating per experience level."""
     out = drivers.groupBy("experience").agg(
         F.count(F.lit(1)).alias("drivers_count"),
-        avg_half_up("rating", scale=2, input_scale=2).alias("avg_rating"),
+        avg_half_up("rating", scale=2).alias("avg_rating"),
     )
     return _finish(out, with_stamp)
 

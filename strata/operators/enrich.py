@@ -107,7 +107,7 @@ def revenue_per_driver(enriched: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("trips"),
             money_sum("fare_amount").alias("revenue"),
-            avg_half_up("trip_distance", 2, 2).alias("avg_distance"),
+            avg_half_up("trip_distance", 2).alias("avg_distance"),
         )
     )
 

@@ -91,7 +91,7 @@ LAYERS_SQL: dict[str, str] = {
         f"{sql.money_sum('fare_amount')} AS total_revenue FROM silver_trips GROUP BY ALL"),
     "gold_driver_metrics": (
         "SELECT experience, COUNT(*) AS drivers_count, "
-        f"{sql.avg_half_up('rating', 2, 2)} AS avg_rating FROM silver_drivers GROUP BY ALL"),
+        f"{sql.avg_half_up('rating', 2)} AS avg_rating FROM silver_drivers GROUP BY ALL"),
     "gold_user_metrics": "SELECT registration_date, COUNT(*) AS users_count FROM silver_users GROUP BY ALL",
     "driver_dim": (
         "SELECT id AS driver_id, name AS driver_name, car_number AS driver_car_number, "

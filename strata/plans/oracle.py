@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 
 def money_sum(c: str, scale: int = 2) -> str:
-    return f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(18,{scale}))), {scale}) AS DOUBLE)"
+    return f"CAST(ROUND(SUM(CAST({c} AS DECIMAL(28,10))), {scale}) AS DOUBLE)"
 
 
 def _half_up(num: str, den: str) -> str:
@@ -15,7 +15,7 @@ def _half_up(num: str, den: str) -> str:
             f"((2 * abs({num}) + ({den})) // (2 * ({den}))) END")
 
 
-def avg_half_up(c: str, scale: int = 2, input_scale: int = 2) -> str:
+def avg_half_up(c: str, scale: int = 2, input_scale: int = 6) -> str:
     s = f"SUM(CAST(ROUND({c} * {10 ** input_scale}) AS BIGINT)) * {10 ** max(scale - input_scale, 0)}"
     n = f"COUNT({c}) * {10 ** max(input_scale - scale, 0)}"
     return f"CAST(({_half_up(s, n)}) / {10 ** scale} AS DOUBLE)"

@@ -20,7 +20,7 @@ from ..functions.columns import audit_columns
 from ..operators import aggregates, cleaning, enrich
 from ..operators.quality import observe_rules_stream
 from ..schemas import driver_schema
-from ..sources.files import FileSource
+from ..sources.files import RESCUED, FileSource
 from ..streaming.flows import Flow, run_pipeline
 from .batch import DRIVER_ORDER, ENRICH_TRIP_ORDER, TRIP_ORDER, USER_ORDER
 from ..tables.versioned import Lakehouse
@@ -49,7 +49,7 @@ class Landing:
 def bronze_source(landing: Landing, house: Lakehouse, entity: str, fmt: str,
                   hints=None, max_files_per_trigger: int | None = None):
     src = FileSource(landing.path(entity), fmt, f"{house.checkpoint('bronze', entity)}/schema",
-                     hints=hints, max_files_per_trigger=max_files_per_trigger)
+                     hints=hints, max_files_per_trigger=max_files_per_trigger, rescue=fmt == "json")
     return lambda spark: src.stream(spark)
 
 
@@ -90,39 +90,39 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
         Flow("bronze_users", bronze_source(landing, house, "users", landing.users_fmt,
                                            max_files_per_trigger=max_files_per_trigger),
              audit_columns, t("bronze", "users"), data_ck("bronze", "users")),
-        Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(),
+        Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(max_files_per_trigger),
              lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules"),
                                             dedup=state),
              t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",),
              merge_keys=None if state else tuple(cleaning.TRIP_KEYS), merge_order=tuple(TRIP_ORDER)),
-        Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(),
-             lambda d: cleaning.clean_drivers(observe_rules_stream(d, cleaning.DRIVER_RULES, "silver_drivers_rules"),
+        Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(max_files_per_trigger),
+             lambda d: cleaning.clean_drivers(observe_rules_stream(d.drop(RESCUED), cleaning.DRIVER_RULES, "silver_drivers_rules"),
                                               dedup=state),
              t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",),
              merge_keys=None if state else tuple(cleaning.DRIVER_KEYS), merge_order=tuple(DRIVER_ORDER)),
-        Flow("silver_users", lambda s: t("bronze", "users").read_stream(),
+        Flow("silver_users", lambda s: t("bronze", "users").read_stream(max_files_per_trigger),
              lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules"),
                                             dedup=state),
              t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",),
              merge_keys=None if state else tuple(cleaning.USER_KEYS), merge_order=tuple(USER_ORDER)),
-        Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(), aggregates.zone_metrics,
+        Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(max_files_per_trigger), aggregates.zone_metrics,
              t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode=gold_mode,
              upsert_keys=("pu_location_id", "payment_type_description"),
              depends_on=("silver_taxi",),
              after=(lambda s: t("gold", "taxi_metrics").cluster("pu_location_id", incremental=True))
              if maintain else None),
-        Flow("gold_driver_metrics", lambda s: t("silver", "drivers").read_stream(), aggregates.driver_metrics,
+        Flow("gold_driver_metrics", lambda s: t("silver", "drivers").read_stream(max_files_per_trigger), aggregates.driver_metrics,
              t("gold", "driver_metrics"), data_ck("gold", "driver_metrics"), mode=gold_mode,
              upsert_keys=("experience",),
              depends_on=("silver_drivers",),
              after=(lambda s: t("gold", "driver_metrics").cluster("experience", zorder=True))
              if maintain else None),
-        Flow("gold_user_metrics", lambda s: t("silver", "users").read_stream(), aggregates.user_metrics,
+        Flow("gold_user_metrics", lambda s: t("silver", "users").read_stream(max_files_per_trigger), aggregates.user_metrics,
              t("gold", "user_metrics"), data_ck("gold", "user_metrics"), mode=gold_mode,
              upsert_keys=("registration_date",),
              depends_on=("silver_users",),
              after=(lambda s: t("gold", "user_metrics").compact()) if maintain else None),
-        Flow("gold_enriched_trips", lambda s: t("silver", "taxi").read_stream(),
+        Flow("gold_enriched_trips", lambda s: t("silver", "taxi").read_stream(max_files_per_trigger),
              lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read(), dedup_trips=state,
                                                salt_buckets=salt_buckets),
              t("gold", "enriched_trips"), data_ck("gold", "enriched_trips"),

@@ -185,7 +185,7 @@ def unmatched_trips(spark, sf_dir):
 
 _REVENUE_PER_DRIVER = f"""
 SELECT driver_id, driver_name, driver_experience, driver_rating, COUNT(*) AS trips,
-       {sql.money_sum('fare_amount')} AS revenue, {sql.avg_half_up('trip_distance', 2, 2)} AS avg_distance
+       {sql.money_sum('fare_amount')} AS revenue, {sql.avg_half_up('trip_distance', 2)} AS avg_distance
 FROM enriched_trips WHERE driver_name IS NOT NULL GROUP BY ALL
 """
 
@@ -261,4 +261,4 @@ def kpi_row_counts(spark, sf_dir):
     })
 
 
-from . import stream_queries  # noqa: E402,F401  (registers the streaming queries)
+from . import ingest_queries, stream_queries  # noqa: E402,F401  (register the streaming queries)

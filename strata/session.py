@@ -80,6 +80,8 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="strata-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")

@@ -4,26 +4,26 @@
 
 * a persisted schema per flow (first run infers it, later runs reuse it);
 * schema hints (DDL) that override inferred types or add columns;
-* schema evolution: before each run the files that arrived since the last
-  run (``modifiedAfter``) are inferred and unseen columns are appended,
-  nullable; the stream then restarts on the same checkpoint with the wider
-  schema — old rows read back as NULL in the new columns;
+* schema evolution: before each run exactly the files that no earlier run
+  inferred are inferred (Parquet footers are merged) and unseen columns are
+  appended, nullable; the stream then restarts on the same checkpoint with the
+  wider schema, and old rows read back as NULL in the new columns. An inference
+  that fails stops the run: its files must not be marked as done;
 * rescued data for JSON: values under unknown keys or that do not fit their
-  declared type are kept, as a JSON object in ``_rescued_data``.
+  declared type are kept, as a JSON object in ``_rescued_data``; a line that is
+  no JSON object is kept there as it is. A Parquet column whose type changes
+  between files cannot be merged and stops the run.
 
 The checkpoint of the stream remembers which files were processed, so a rerun
 without new files writes nothing, and a replayed batch is idempotent in the
-versioned sink. The file source forgets files older than ``maxFileAge``
-(default 7 days, relative to the newest file) to bound that memory; when
-late files may arrive with older modification times, pass a larger
-``options={"maxFileAge": ...}``.
+versioned sink. No file is too old: ``maxFileAge`` is ``NO_FILE_TOO_OLD``.
 """
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,9 @@ from ..fs import create_text, path_exists
 from ..schemas import SOURCE_FILE
 
 RESCUED = "_rescued_data"
+CORRUPT = "_corrupt_record"  # Spark's inference adds it when a line is no JSON
+# by default the file source skips files a week older than the newest one
+NO_FILE_TOO_OLD = "36500d"
 # JSON keeps full microsecond timestamps: written with micros (and the offset
 # for zoned values), read back with the fraction and the offset optional.
 JSON_TS_OPTIONS = {
@@ -69,7 +72,8 @@ class SchemaStore:
 
     def save(self, version: int, schema: T.StructType, inferred_until: str) -> None:
         entry = {"version": version, "schema": schema.json(), "inferred_until": inferred_until}
-        create_text(self.spark, f"{self.location}/s{version:010d}.json", json.dumps(entry) + "\n")
+        if not create_text(self.spark, f"{self.location}/s{version:010d}.json", json.dumps(entry) + "\n"):
+            raise RuntimeError(f"schema version {version} of {self.location} was written by another run")
 
 
 def apply_hints(schema: T.StructType, hints: str | T.StructType | None) -> T.StructType:
@@ -110,14 +114,25 @@ class FileSource:
     def _options(self) -> dict[str, str]:
         return {**(JSON_TS_READ_OPTIONS if self.fmt == "json" else {}), **self.options}
 
-    def _infer(self, spark: SparkSession, modified_after: str | None) -> T.StructType | None:
+    def _infer(self, spark: SparkSession, paths: list[str]) -> T.StructType:
         reader = spark.read.format(self.fmt).options(**self._options()).options(**self.infer_options)
-        if modified_after:
-            reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
-        try:
-            return reader.load(self.path).schema
-        except Exception:  # noqa: BLE001 - no (new) files to infer from
-            return None
+        if self.fmt == "parquet":
+            reader = reader.option("mergeSchema", "true")
+        schema = reader.load(paths).schema
+        return T.StructType([f for f in schema.fields if f.name != CORRUPT])
+
+    def _inferred_files(self) -> str:
+        return f"{self.schema_location.rstrip('/')}-files"
+
+    def _new_files(self, spark: SparkSession) -> DataFrame:
+        """Paths under ``path`` that no earlier run inferred (by path: times can be older than the last run)."""
+        if not path_exists(spark, self.path):
+            return spark.createDataFrame([], "file string")
+        # names that begin with . or _ are markers, as for every Spark reader
+        files = list_files(spark, self.path).select("file").filter(~F.col("file").rlike(r"/[._][^/]*$"))
+        if not path_exists(spark, self._inferred_files()):
+            return files
+        return files.join(spark.read.schema("file string").parquet(self._inferred_files()), "file", "left_anti")
 
     def resolve_schema(self, spark: SparkSession) -> T.StructType:
         """Stored schema, widened by the files that arrived since it was inferred."""
@@ -125,22 +140,21 @@ class FileSource:
             return self.schema
         store = SchemaStore(spark, self.schema_location)
         stored = store.load()
-        # files newer than the last inference (with a margin: re-inferring a file is harmless)
-        since = None
-        if stored is not None:
-            since = (datetime.fromisoformat(stored[2]) - timedelta(minutes=5)).strftime("%Y-%m-%dT%H:%M:%S")
-        now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
         if stored is not None and not self.evolve:
             return stored[1]
-        inferred = self._infer(spark, since)
-        if inferred is None and stored is None:
+        paths = [r["file"] for r in self._new_files(spark).collect()]  # the run's own files
+        if not paths and stored is None:
             raise ValueError(f"no files to infer a schema from under {self.path}")
+        if not paths:
+            return apply_hints(stored[1], self.hints)
         base = stored[1] if stored else None
-        schema = apply_hints(widen(base, inferred) if inferred is not None else base, self.hints)
-        # advance the marker whenever new files were inferred, so the next run
-        # only looks at files that arrive after this one (bounded inference)
-        if stored is None or schema != stored[1] or inferred is not None:
+        schema = apply_hints(widen(base, self._infer(spark, paths)), self.hints)
+        now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
+        if stored is None or schema != stored[1]:
             store.save(0 if stored is None else stored[0] + 1, schema, now)
+        # after the schema: a crash in between only infers these files again
+        spark.createDataFrame([(p,) for p in paths], "file string").coalesce(1).write.mode("append").parquet(
+            self._inferred_files())
         return schema
 
     def stream(self, spark: SparkSession) -> DataFrame:
@@ -148,13 +162,14 @@ class FileSource:
         schema = self.resolve_schema(spark)
         if self.rescue and self.fmt == "json":
             return self._rescued_json_stream(spark, schema)
-        reader = spark.readStream.format(self.fmt).options(**self._options()).schema(schema)
+        reader = spark.readStream.format(self.fmt).option("maxFileAge", NO_FILE_TOO_OLD) \
+            .options(**self._options()).schema(schema)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
         return reader.load(self.path)
 
     def _rescued_json_stream(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        reader = spark.readStream.format("text")
+        reader = spark.readStream.format("text").option("maxFileAge", NO_FILE_TOO_OLD)
         if self.max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
         lines = reader.load(self.path)
@@ -166,7 +181,8 @@ class FileSource:
 
 def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:
     """Struct of ``schema`` fields plus ``_rescued_data``: a JSON object of the
-    keys that are not in the schema or whose value could not be cast."""
+    keys that are not in the schema or whose value could not be cast; the whole
+    text where it is no JSON object."""
     data_fields = [f for f in schema.fields if f.name != RESCUED]
     typed = F.from_json(text, T.StructType(data_fields), JSON_TS_READ_OPTIONS)
     raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
@@ -179,7 +195,8 @@ def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:
     empty = F.create_map().cast("map<string,string>")
     rescued = F.map_concat(unknown, *[F.coalesce(b, empty) for b in bad]) if bad else unknown
     cols = [typed[f.name].alias(f.name) for f in data_fields]
-    cols.append(F.when(F.size(rescued) > 0, F.to_json(rescued)).alias(RESCUED))
+    cols.append(F.when(raw.isNull() & (F.trim(text) != ""), text)
+                .when(F.size(rescued) > 0, F.to_json(rescued)).alias(RESCUED))
     return F.struct(*cols)
 
 

@@ -60,14 +60,32 @@ def test_list_files(spark, tmp_path):
     assert any(r.file.endswith(".parquet") and r.bytes > 0 for r in files)
 
 
-def test_schema_marker_advances_without_schema_change(spark, tmp_path):
+def test_each_file_is_inferred_once(spark, tmp_path):
     from strata.sources.files import SchemaStore
 
     land = str(tmp_path / "land")
+
+    def source():
+        return FileSource(land, "json", str(tmp_path / "schema"))
+
     spark.createDataFrame([(1, "a")], "id long, name string").write.json(land)
-    FileSource(land, "json", str(tmp_path / "schema")).resolve_schema(spark)
+    source().resolve_schema(spark)
     first = SchemaStore(spark, str(tmp_path / "schema")).load()
+    assert source()._new_files(spark).count() == 0
     spark.createDataFrame([(2, "b")], "id long, name string").write.mode("append").json(land)
-    FileSource(land, "json", str(tmp_path / "schema")).resolve_schema(spark)
-    second = SchemaStore(spark, str(tmp_path / "schema")).load()
-    assert second[0] == first[0] + 1 and second[1] == first[1]
+    assert source()._new_files(spark).count() > 0
+    source().resolve_schema(spark)
+    assert SchemaStore(spark, str(tmp_path / "schema")).load()[:2] == first[:2]
+    assert source()._new_files(spark).count() == 0
+
+
+def test_failed_inference_stops_the_run(spark, tmp_path):
+    import pytest
+
+    land = tmp_path / "land"
+    spark.createDataFrame([(1, "a")], "id long, name string").write.parquet(str(land))
+    FileSource(str(land), "parquet", str(tmp_path / "schema")).resolve_schema(spark)
+    (land / "part-broken.parquet").write_text("no parquet")
+    for _ in range(2):  # and the file stays new
+        with pytest.raises(Exception, match="(?i)parquet|footer"):
+            FileSource(str(land), "parquet", str(tmp_path / "schema")).resolve_schema(spark)
