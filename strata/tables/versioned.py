@@ -9,17 +9,17 @@ Layout of a table at ``root``::
 
 A version is the set of live commits plus the schema and table properties.
 Appending adds a commit to the live set; overwriting replaces it; compaction
-bin-packs small commits into one rewrite; clustering rewrites (all, or only
-the unclustered commits) sorted by a key and records each file's key range,
-which ``read_range`` uses to skip files; restoring re-publishes an old live
-set; an upsert table (update mode) keeps the newest row per key on read.
+bin-packs small unclustered commits into one rewrite; clustering rewrites
+(all, or only the unclustered commits) sorted by a key, so that filters pushed
+into the Parquet reader skip files; restoring re-publishes an old live set; an
+upsert table (update mode) keeps the newest row per key on read.
 
 Files are never rewritten in place, so a stream over ``data/`` never sees a
 rewrite again (compaction changes no content). A write is idempotent per
 commit id: a replayed micro-batch overwrites its own commit folder and finds
-its history entry already present. Each version file is created exclusively;
-a blind append or upsert that loses a race redoes only its metadata step,
-anything else is refused.
+its history entry already present. Each version file is created exclusively
+and never deleted: a writer that loses a race is refused, its unpublished
+folder is removed, and its caller runs again.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from pyspark.sql import types as T
 from ..fs import count_data_files, create_text, delete_path, path_exists
 from ..operators.dedup import drop_duplicates
 from ..schemas import OP_OPTIMIZE, OP_RESTORE, OP_STREAMING_UPDATE, OP_WRITE
+from ..sources.files import NO_FILE_TOO_OLD
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -52,8 +53,6 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 COMMIT_COL = "_commit"
-HISTORY_FILES_BEFORE_CONSOLIDATION = 100
-APPEND_RETRIES = 5
 DATA, REWRITES = "data", "rewrites"
 
 
@@ -85,11 +84,7 @@ class VersionedTable:
                 self._cache = []
             else:
                 rows = self.spark.read.schema(HISTORY_SCHEMA).json(self._history_path()).collect()
-                # consolidated and per-version copies may coexist after a crash: one per commit
-                first: dict[str, Row] = {}
-                for r in sorted(rows, key=lambda r: r["version"]):
-                    first.setdefault(r["commit"], r)
-                self._cache = sorted(first.values(), key=lambda r: r["version"])
+                self._cache = sorted(rows, key=lambda r: r["version"])
         return self._cache
 
     def refresh(self) -> VersionedTable:
@@ -144,24 +139,8 @@ class VersionedTable:
         if not create_text(self.spark, f"{self._history_path()}/v{version:020d}.json", json.dumps(entry) + "\n"):
             raise VersionConflict(f"{self.name}: version {version} was committed concurrently")
         self._entries().append(Row(**{f.name: entry[f.name] for f in HISTORY_SCHEMA.fields}))
-        if (version + 1) % HISTORY_FILES_BEFORE_CONSOLIDATION == 0:
-            self.consolidate_history()
         return version
 
-    def consolidate_history(self) -> int:
-        """Rewrite the history as one file and drop the per-version files.
-
-        Safe at any point of failure: entries are de-duplicated by commit id
-        when read, so old and consolidated copies may coexist."""
-        hist = self._history_path()
-        old = self.spark.read.schema(HISTORY_SCHEMA).json(hist).inputFiles()
-        rows = self._entries()
-        text = "".join(json.dumps(r.asDict(recursive=True)) + "\n" for r in rows)
-        create_text(self.spark, f"{hist}/c{rows[-1]['version']:020d}-{uuid.uuid4().hex[:8]}.json", text)
-        for f in old:
-            delete_path(self.spark, f)
-        return len(old)
-
     # ------------------------------------------------------------- writes
     def _write(self, df: DataFrame, area: str, commit: str) -> int:
         """Write one commit folder; rows are counted while writing (no extra
@@ -172,39 +151,31 @@ class VersionedTable:
         self._last_files = count_data_files(self.spark, path)
         return int(obs.get.get("n", 0))
 
-    def append(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
-               params: Mapping[str, str] | None = None, retry_on_conflict: bool = True) -> int:
-        """Add ``df`` as a new commit; the schema widens with new columns.
+    def _publish(self, commit: str, n: int, schema: T.StructType, operation: str, params, properties=None) -> int:
+        """Record a written data commit on top of the latest version. A refused one is removed, so that its
+        rows never reach a downstream stream."""
+        prev = self._latest()
+        path = f"{self.root}/{DATA}/{COMMIT_COL}={commit}"
+        if n == 0 and prev is not None:
+            delete_path(self.spark, path)  # nothing to add: no stream may pick the empty folder up
+            return prev["version"]
+        live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
+        merged = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, schema)
+        props = {**((prev["properties"] or {}) if prev else {}), **properties} if properties else None
+        try:
+            return self._record(operation, commit, live, merged, (prev["rows"] if prev else 0) + n, params,
+                                {"numOutputRows": n, "numFiles": self._last_files}, properties=props)
+        except VersionConflict:
+            delete_path(self.spark, path)
+            raise
 
-        A blind append commutes with other appends, so on a version conflict
-        only the metadata step is redone. Callers whose rows depend on what
-        they read (``insert_new``) pass ``retry_on_conflict=False``."""
+    def append(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
+               params: Mapping[str, str] | None = None) -> int:
+        """Add ``df`` as a new commit; the schema widens with new columns."""
         commit = commit or f"w-{uuid.uuid4().hex}"
         if self._has_commit(commit):
             return self._entry(None)["version"]
-        n = self._write(df, DATA, commit)
-        prev = self._latest()
-        if n == 0 and prev is not None:
-            # nothing to add: unpublish the empty folder so no stream picks it up
-            delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
-            return prev["version"]
-        files = self._last_files
-        for attempt in range(APPEND_RETRIES + 1):
-            live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
-            schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
-            rows = (prev["rows"] if prev else 0) + n
-            try:
-                return self._record(operation, commit, live, schema, rows, params,
-                                    {"numOutputRows": n, "numFiles": files})
-            except VersionConflict:
-                # the data is already in its own folder: only the metadata step is
-                # redone, on top of the version the other writer committed
-                if attempt == APPEND_RETRIES or not retry_on_conflict:
-                    # unpublished rows must not reach downstream streams
-                    delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
-                    raise
-                prev = self.refresh()._latest()
-        raise AssertionError("unreachable")
+        return self._publish(commit, self._write(df, DATA, commit), df.schema, operation, params)
 
     def overwrite(self, df: DataFrame, operation: str = OP_WRITE, commit: str | None = None,
                   params: Mapping[str, str] | None = None) -> int:
@@ -254,8 +225,7 @@ class VersionedTable:
         rows = self.new_rows(df, keys, exclude_commit=commit, order_by=order_by)
         # the rows were chosen against the keys read above: a concurrent commit
         # invalidates that choice, so a conflict fails (a stream replays the batch)
-        return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))},
-                           retry_on_conflict=False)
+        return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))})
 
     def upsert_keys(self, version: int | None = None) -> list[str] | None:
         e = self._entry(version)
@@ -272,25 +242,8 @@ class VersionedTable:
         commit = commit or f"u-{uuid.uuid4().hex}"
         if self._has_commit(commit):
             return self._entry(None)["version"]
-        n = self._write(df, DATA, commit)
-        prev = self._latest()
-        if n == 0 and prev is not None:
-            delete_path(self.spark, f"{self.root}/{DATA}/{COMMIT_COL}={commit}")
-            return prev["version"]
-        files = self._last_files
-        for attempt in range(APPEND_RETRIES + 1):
-            live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
-            schema = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, df.schema)
-            props = {**((prev["properties"] or {}) if prev else {}), "upsertKeys": json.dumps(list(keys))}
-            try:
-                return self._record(operation, commit, live, schema, (prev["rows"] if prev else 0) + n, params,
-                                    {"numOutputRows": n, "numFiles": files}, properties=props)
-            except VersionConflict:
-                # upserts commute: the newest commit wins per key whatever the order
-                if attempt == APPEND_RETRIES:
-                    raise
-                prev = self.refresh()._latest()
-        raise AssertionError("unreachable")
+        return self._publish(commit, self._write(df, DATA, commit), df.schema, operation, params,
+                             {"upsertKeys": json.dumps(list(keys))})
 
     def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None,
                      upsert_keys: Sequence[str] | None = None, merge_order: Sequence[str] | None = None
@@ -359,12 +312,13 @@ class VersionedTable:
             cols.append(F.col(COMMIT_COL))
         parts = []
         for area in (DATA, REWRITES):
-            commits = [x.split("/", 1)[1] for x in live if x.startswith(area + "/")]
-            if not commits:
+            # only live folders are listed, whatever else was ever written
+            paths = [f"{self.root}/{area}/{COMMIT_COL}={x.split('/', 1)[1]}" for x in live if x.startswith(area + "/")]
+            if not paths:
                 continue
             read_schema = T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())])
-            df = self.spark.read.schema(read_schema).parquet(f"{self.root}/{area}")
-            parts.append(df.filter(F.col(COMMIT_COL).isin(commits)).select(*cols))
+            df = self.spark.read.schema(read_schema).option("basePath", f"{self.root}/{area}").parquet(*paths)
+            parts.append(df.select(*cols))
         if not parts:
             return self.spark.createDataFrame([], schema)
         out = parts[0]
@@ -387,7 +341,7 @@ class VersionedTable:
         The schema is the latest version's at the time the stream starts;
         restarting the flow picks up a widened schema."""
         schema = self.schema()
-        reader = self.spark.readStream.schema(
+        reader = self.spark.readStream.option("maxFileAge", NO_FILE_TOO_OLD).schema(
             T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())]))
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -416,7 +370,8 @@ class VersionedTable:
             return self._fold_upserts(rows_per_file)
         stats = self.commit_stats()
         need = lambda rows: self._target_files(rows, rows_per_file)
-        cand = [c for c in e["live"] if c in stats
+        clustered = self._clustered()
+        cand = [c for c in e["live"] if c in stats and c not in clustered  # a bin-packed rewrite has no order
                 and (stats[c][0] < rows_per_file or stats[c][1] > need(stats[c][0]))]
         n_rows = sum(stats[c][0] for c in cand)
         n_files = sum(stats[c][1] for c in cand)
@@ -445,18 +400,16 @@ class VersionedTable:
     def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False,
                 incremental: bool = False) -> int | None:
         """Range-cluster on ``key``: files hold disjoint, sorted key ranges. On
-        one column a Z-order is the same layout. Each file's key range is kept
-        in the history entry, so ``read_range`` opens only the files that can
-        match (plain Parquet alone would still open every footer).
+        one column a Z-order is the same layout.
 
-        ``incremental`` clusters only the live commits that carry no key
-        ranges for ``key`` yet (the data added since the last clustering) and
+        ``incremental`` clusters only the live commits that are not clustered
+        by ``key`` yet (the data added since the last clustering) and
         keeps the clustered ones: the cost follows the new data. Returns the
         new version, or None when everything is clustered already."""
         e = self._latest()
-        stats_of = self._commit_file_stats()
+        clustered = self._clustered()
         if incremental and not self.upsert_keys():
-            todo = [c for c in e["live"] if (stats_of.get(c) or {}).get("key") != key]
+            todo = [c for c in e["live"] if clustered.get(c) != key]
         else:
             todo = list(e["live"])
         if not todo:
@@ -471,71 +424,21 @@ class VersionedTable:
         df = source.repartitionByRange(self._target_files(rows, rows_per_file), F.col(key)).sortWithinPartitions(key)
         written = self._write(df, REWRITES, commit)
         params = {"zOrderBy": json.dumps([key])} if zorder else {"clusterBy": json.dumps([key])}
-        stats = self._file_ranges(f"{self.root}/{REWRITES}/{COMMIT_COL}={commit}", key)
         live = [c for c in e["live"] if c not in set(todo)] + [f"{REWRITES}/{commit}"]
         return self._record(OP_OPTIMIZE, commit, live, self.schema(), e["rows"] if partial else written, params,
                             {"numFilesAdded": self._last_files, "numOutputRows": written,
-                             "numFiles": self._last_files,
-                             "fileStats": json.dumps({"key": key, "files": stats})})
+                             "numFiles": self._last_files}, properties={**(e["properties"] or {}), "clusterKey": key})
 
-    def _commit_file_stats(self) -> dict[str, dict]:
-        """Recorded key ranges per live commit (from the entry that created it)."""
-        out: dict[str, dict] = {}
+    def _clustered(self) -> dict[str, str]:
+        """Clustering key of each commit that a clustering wrote."""
+        out: dict[str, str] = {}
         for x in self._entries():
-            fs = (x["operationMetrics"] or {}).get("fileStats")
-            if fs and x["live"]:
-                out.setdefault(x["live"][-1], json.loads(fs))
+            p = x["operationParameters"] or {}
+            keys = json.loads(p.get("clusterBy") or p.get("zOrderBy") or "[]")
+            if keys and x["live"]:
+                out.setdefault(x["live"][-1], keys[0])
         return out
 
-    def _file_ranges(self, path: str, key: str) -> dict[str, list]:
-        """{file name: [min, max]} of ``key`` — one aggregate over the key
-        column, one small row per file to the driver (metadata)."""
-        ranges = (self.spark.read.parquet(path)
-                  .select(F.col("_metadata.file_name").alias("f"), F.col(key).alias("kv"))
-                  .groupBy("f").agg(F.min("kv").alias("lo"), F.max("kv").alias("hi")))
-        out = {}
-        for r in ranges.collect():
-            lo, hi = r["lo"], r["hi"]
-            out[r["f"]] = [lo if isinstance(lo, (int, float, str)) or lo is None else str(lo),
-                           hi if isinstance(hi, (int, float, str)) or hi is None else str(hi)]
-        return out
-
-    def read_range(self, key: str, lo=None, hi=None, version: int | None = None) -> DataFrame:
-        """Rows with ``lo <= key <= hi`` (either bound optional). Files of
-        clustered commits whose recorded key range misses the interval are
-        not listed at all; other commits are scanned with the filter pushed
-        into the Parquet reader."""
-        e = self._entry(version)
-        schema = T.StructType.fromJson(json.loads(e["schema"]))
-        stats_of = self._commit_file_stats()
-        plain, files = [], []
-        for c in e["live"]:
-            stats = stats_of.get(c)
-            if not stats or stats.get("key") != key:
-                plain.append(c)
-                continue
-            for f, (fmin, fmax) in stats["files"].items():
-                below = lo is not None and fmax is not None and _lt(fmax, lo)
-                above = hi is not None and fmin is not None and _lt(hi, fmin)
-                if not (below or above):
-                    files.append(f"{self.root}/{c.split('/', 1)[0]}/{COMMIT_COL}={c.split('/', 1)[1]}/{f}")
-        parts = []
-        if plain:
-            parts.append(self._scan_commits(schema, plain))
-        if files:
-            parts.append(self.spark.read.schema(schema).parquet(*files))
-        if not parts:
-            return self.spark.createDataFrame([], schema)
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        cond = F.lit(True)
-        if lo is not None:
-            cond = cond & (F.col(key) >= F.lit(lo))
-        if hi is not None:
-            cond = cond & (F.col(key) <= F.lit(hi))
-        return out.filter(cond)
-
     def layout(self, key: str, version: int | None = None) -> DataFrame:
         """Per-file row count and min/max of ``key`` for the live files."""
         df = self._scan(version, with_file=True)
@@ -543,13 +446,6 @@ class VersionedTable:
             F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))
 
 
-def _lt(a, b) -> bool:
-    """a < b for recorded bounds (numbers compare as numbers, else as text)."""
-    if isinstance(a, (int, float)) and isinstance(b, (int, float)):
-        return a < b
-    return str(a) < str(b)
-
-
 def _merge(old: T.StructType | None, new: T.StructType) -> T.StructType:
     """Old fields first (types kept), then fields only in ``new`` (nullable)."""
     if old is None:
