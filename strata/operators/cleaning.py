@@ -36,8 +36,8 @@ USER_KEYS = ["email"]
 
 
 def _finish(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None,
-            with_stamp: bool, dedup: bool) -> DataFrame:
-    out = drop_duplicates(df, keys, order_by=order_by) if dedup else df
+            with_stamp: bool, dedup: bool, columns: Sequence[str] | None = None) -> DataFrame:
+    out = drop_duplicates(df, keys, order_by=order_by, columns=columns) if dedup else df
     return stamp(out, PROCESSED_AT) if with_stamp else out
 
 
@@ -46,12 +46,13 @@ def _finish(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None,
 # against the keys already stored, instead of a streaming state store.
 
 def clean_trips(df: DataFrame, order_by: Sequence[str] | None = None,
-                with_stamp: bool = True, dedup: bool = True) -> DataFrame:
-    """Positive passengers/distance/fare, payment label, one row per business key."""
+                with_stamp: bool = True, dedup: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
+    """Positive passengers/distance/fare, payment label, one row per business key.
+    ``columns``: see ``drop_duplicates``."""
     out = expect_all_or_drop(df, TRIP_RULES).withColumn(
         "payment_type_description", payment_label("payment_type")
     )
-    return _finish(out, TRIP_KEYS, order_by, with_stamp, dedup)
+    return _finish(out, TRIP_KEYS, order_by, with_stamp, dedup, columns)
 
 
 def clean_drivers(df: DataFrame, order_by: Sequence[str] | None = None,

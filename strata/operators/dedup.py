@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
-                    watermark: tuple[str, str] | None = None) -> DataFrame:
+                    watermark: tuple[str, str] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """Keep one row per ``keys``.
 
     Args:
@@ -31,6 +31,9 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
         watermark: ``(event_time_col, delay)`` for a stream: bound the state by
             ``dropDuplicatesWithinWatermark`` (a late duplicate beyond the
             delay is no longer rejected).
+        columns: with ``order_by``, the columns that the caller needs. The
+            same row wins, but columns that neither decide before the last
+            needed one nor are needed are not shuffled.
     """
     keys = list(keys)
     if order_by is None:
@@ -42,12 +45,18 @@ def drop_duplicates(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]
     order = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     packed = order + rest
+    names = list(df.columns)
+    if columns is not None:
+        # the smallest prefix is the prefix of the smallest row
+        last = max((i for i, c in enumerate(packed) if c in set(columns)), default=-1)
+        packed = packed[:last + 1]
+        names = [c for c in names if c in set(columns)]
     if not packed:
-        return df.select(*keys).distinct()
+        return df.select(*keys).distinct().select(*[c for c in names if c in keys])
     winner = F.min(F.struct(*[F.col(c) for c in packed])).alias("_winner")
     return (
         df.groupBy(*keys)
         .agg(winner)
         .select(*keys, *[F.col("_winner")[c].alias(c) for c in packed])
-        .select(*df.columns)
+        .select(*names)
     )

@@ -41,14 +41,15 @@ def driver_dimension(drivers: DataFrame, order_by: Sequence[str] | None = None)
 def enrich_trips(trips: DataFrame, drivers: DataFrame, dedup_trips: bool = True,
                  trip_order_by: Sequence[str] | None = None,
                  driver_order_by: Sequence[str] | None = None,
-                 with_stamp: bool = True, salt_buckets: int = 1) -> DataFrame:
+                 with_stamp: bool = True, salt_buckets: int = 1,
+                 trip_columns: Sequence[str] | None = None) -> DataFrame:
     """trips LEFT JOIN drivers ON driver_id: every trip kept, once per trip id.
 
     ``salt_buckets`` > 1 spreads each driver's trips over that many join
     tasks: a trip gets salt ``hash(id) mod n`` and the dimension is replicated
     once per salt. Use it for a stream-static join whose dimension is too large
     to broadcast (micro-batches get no AQE skew-join splitting)."""
-    facts = drop_duplicates(trips, ["id"], order_by=trip_order_by) if dedup_trips else trips
+    facts = drop_duplicates(trips, ["id"], order_by=trip_order_by, columns=trip_columns) if dedup_trips else trips
     dim = driver_dimension(drivers, driver_order_by)
     if salt_buckets > 1:
         salted = facts.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salt_buckets)))

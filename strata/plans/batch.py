@@ -44,8 +44,8 @@ class Medallion:
     def bronze_users(self) -> DataFrame:
         return adapters.users(self.spark, self.sf_dir)
 
-    def silver_trips(self) -> DataFrame:
-        return cleaning.clean_trips(self.bronze_trips(), order_by=TRIP_ORDER, with_stamp=False)
+    def silver_trips(self, columns: list[str] | None = None) -> DataFrame:
+        return cleaning.clean_trips(self.bronze_trips(), order_by=TRIP_ORDER, with_stamp=False, columns=columns)
 
     def silver_drivers(self) -> DataFrame:
         return cleaning.clean_drivers(self.bronze_drivers(), order_by=DRIVER_ORDER, with_stamp=False)
@@ -62,10 +62,13 @@ class Medallion:
     def gold_user_metrics(self) -> DataFrame:
         return aggregates.user_metrics(self.silver_users(), with_stamp=False)
 
-    def enriched_trips(self) -> DataFrame:
+    def enriched_trips(self, trip_columns: list[str] | None = None) -> DataFrame:
+        """``trip_columns`` (with id and driver_id) narrows the trip side; the same rows win."""
+        needed = None if trip_columns is None else [*trip_columns, *ENRICH_TRIP_ORDER]
         return enrich.enrich_trips(
-            self.silver_trips(), self.silver_drivers(), dedup_trips=True,
+            self.silver_trips(needed), self.silver_drivers(), dedup_trips=True,
             trip_order_by=ENRICH_TRIP_ORDER, driver_order_by=DRIVER_ORDER, with_stamp=False,
+            trip_columns=trip_columns,
         )
 
 

@@ -19,6 +19,8 @@ from ..sources.tables import peek, read_table
 from . import oracle as sql
 from .batch import Medallion, layers_sql
 
+TRIP_LINK = ["id", "driver_id"]  # all that counts of enriched trips need of a trip
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
@@ -160,7 +162,7 @@ SELECT COUNT(*) AS total_trips,
 FROM enriched_trips
 """))
 def match_rate(spark, sf_dir):
-    return enrich.match_report(_m(spark, sf_dir).enriched_trips())
+    return enrich.match_report(_m(spark, sf_dir).enriched_trips(TRIP_LINK))
 
 
 @register("row_preservation", layers_sql("""
@@ -171,7 +173,7 @@ FROM (SELECT COUNT(DISTINCT id) AS source_keys FROM silver_trips) s,
 """))
 def row_preservation(spark, sf_dir):
     m = _m(spark, sf_dir)
-    return enrich.row_preservation(m.silver_trips(), m.enriched_trips())
+    return enrich.row_preservation(m.silver_trips(["id"]), m.enriched_trips(TRIP_LINK))
 
 
 @register("unmatched_trips", layers_sql("""
@@ -255,7 +257,7 @@ def kpi_row_counts(spark, sf_dir):
     m = _m(spark, sf_dir)
     return kpis.row_counts({
         "driver_metrics": m.gold_driver_metrics(),
-        "enriched_trips": m.enriched_trips(),
+        "enriched_trips": m.enriched_trips(TRIP_LINK),
         "taxi_metrics": m.gold_zone_metrics(),
         "user_metrics": m.gold_user_metrics(),
     })
