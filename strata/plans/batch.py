@@ -72,7 +72,8 @@ class Medallion:
         )
 
 
-# ---- the same layers in SQL (DuckDB), as CTEs over the adapter views ----
+# ---- the same layers in SQL (DuckDB), as CTEs over the adapter views; rules and keys are stated again here,
+# so that a wrong one in the operators shows ----
 
 _PAYMENT = ("CASE WHEN payment_type = 1 THEN 'Credit Card' WHEN payment_type = 2 THEN 'Cash' "
             "ELSE 'Other' END")
@@ -80,15 +81,15 @@ _PAYMENT = ("CASE WHEN payment_type = 1 THEN 'Credit Card' WHEN payment_type = 2
 LAYERS_SQL: dict[str, str] = {
     "silver_trips": sql.first_per_key(
         f"(SELECT *, {_PAYMENT} AS payment_type_description FROM trips "
-        f"WHERE {sql.all_true(list(cleaning.TRIP_RULES.values()))})",
-        cleaning.TRIP_KEYS, SILVER_TRIP_COLUMNS, TRIP_ORDER),
+        "WHERE passenger_count > 0 AND trip_distance > 0 AND fare_amount > 0)",
+        ["user_id", "driver_id", "pickup_datetime", "dropoff_datetime"], SILVER_TRIP_COLUMNS, TRIP_ORDER),
     "silver_drivers": sql.first_per_key(
-        f"(SELECT * FROM drivers WHERE {sql.all_true(list(cleaning.DRIVER_RULES.values()))})",
-        cleaning.DRIVER_KEYS, DRIVER_COLUMNS, DRIVER_ORDER),
+        "(SELECT * FROM drivers WHERE experience > 0 AND rating >= 1 AND rating <= 5)",
+        ["id"], DRIVER_COLUMNS, DRIVER_ORDER),
     "silver_users": sql.first_per_key(
         "(SELECT id, full_name, COALESCE(email, 'Unknown') AS email, registration_date, is_plus_subscriber "
-        f"FROM users WHERE {sql.all_true(list(cleaning.USER_RULES.values()))})",
-        cleaning.USER_KEYS, USER_COLUMNS, USER_ORDER),
+        "FROM users WHERE full_name IS NOT NULL)",
+        ["email"], USER_COLUMNS, USER_ORDER),
     "gold_zone_metrics": (
         "SELECT pu_location_id, payment_type_description, COUNT(*) AS total_trips, "
         f"{sql.money_sum('fare_amount')} AS total_revenue FROM silver_trips GROUP BY ALL"),

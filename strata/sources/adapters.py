@@ -22,12 +22,24 @@ NO_EMAIL_EVERY = 13
 PLUS_EVERY = 3
 SIGNUP_DAYS = 30
 SIGNUP_START = "2024-01-01"
+RESENT_EVERY = 7
 DRIVER_TS_START = "2024-01-01 00:00:00"
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One trip per line item: lineitem joined with its order (both sides large,
-    so Catalyst shuffles both on the order key; nothing is broadcast)."""
+    """One trip per line item, and a slice of them sent again: every
+    ``RESENT_EVERY``-th order's trips come a second time, with an id of their
+    own and another distance, under the same business key."""
+    once = _trips_once(spark, sf_dir)
+    order = F.substring_index("id", "-", 1).cast("long")
+    again = once.filter(order % RESENT_EVERY == 0).withColumns({
+        "id": F.concat("id", F.lit("-r")), "trip_distance": F.col("trip_distance") + 1})
+    return once.unionByName(again)
+
+
+def _trips_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem joined with its order (both sides large, so Catalyst shuffles
+    both on the order key; nothing is broadcast)."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity",
         "l_discount", "l_extendedprice", "l_returnflag", "l_shipdate",
@@ -50,7 +62,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TRIPS_SQL = f"""
+_TRIPS_ONCE_SQL = f"""
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id,
        CAST(o_custkey AS VARCHAR) AS user_id,
        CAST(l_suppkey AS VARCHAR) AS driver_id,
@@ -64,6 +76,12 @@ SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id
        l_extendedprice + l_discount AS total_amount
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """
+TRIPS_SQL = f"""
+SELECT * FROM ({_TRIPS_ONCE_SQL})
+UNION ALL
+SELECT * REPLACE (id || '-r' AS id, trip_distance + 1 AS trip_distance) FROM ({_TRIPS_ONCE_SQL})
+WHERE CAST(split_part(id, '-', 1) AS BIGINT) % {RESENT_EVERY} = 0
+"""
 
 
 def drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
