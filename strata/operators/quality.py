@@ -6,10 +6,13 @@ is TRUE (NULL fails), matching ``filter`` semantics.
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 
 def _passes(predicate: str) -> Column:
@@ -50,18 +53,49 @@ def observe_rules_stream(df: DataFrame, rules: Mapping[str, str], name: str) ->
     return df.observe(name, *metrics)
 
 
-def progress_metrics(query, name: str) -> dict[str, int]:
-    """Sum a flow's observed metrics over its recent micro-batches (the last
-    ``spark.sql.streaming.numRecentProgressUpdates`` of them, 100 by default)."""
-    total: dict[str, int] = {}
-    for p in query.recentProgress:
-        observed = (p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)) or {}
-        row = observed.get(name)
-        if row is None:
-            continue
-        for k, v in (row.asDict() if hasattr(row, "asDict") else dict(row)).items():
-            total[k] = total.get(k, 0) + int(v)
-    return total
+class ObservedTotals(StreamingQueryListener):
+    """Sums of all observed metrics of every micro-batch of every run, however many there are (a query itself
+    keeps only its last progress reports)."""
+
+    def __init__(self):
+        self.totals: dict[str, dict[str, dict[str, int]]] = {}
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        run = self.totals.setdefault(str(event.progress.runId), {})
+        for name, row in (event.progress.observedMetrics or {}).items():
+            total = run.setdefault(name, {})
+            for k, v in row.asDict().items():
+                total[k] = total.get(k, 0) + int(v or 0)
+
+    def onQueryTerminated(self, event):
+        self.ended[str(event.runId)].set()
+
+
+_LISTENERS: dict[str, ObservedTotals] = {}
+
+
+def observed_totals(spark: SparkSession) -> ObservedTotals:
+    """The listener of this application, registered on first use (before the flows whose metrics it sums)."""
+    key = spark.sparkContext.applicationId
+    if key not in _LISTENERS:
+        _LISTENERS[key] = ObservedTotals()
+        spark.streams.addListener(_LISTENERS[key])
+    return _LISTENERS[key]
+
+
+def progress_metrics(spark: SparkSession, query, name: str, timeout: float = 120.0) -> dict[str, int]:
+    """Sum of an ended query's observed metrics over all its micro-batches."""
+    listener, run = observed_totals(spark), str(query.runId)
+    if not listener.ended[run].wait(timeout):  # events arrive in order: after the end nothing is missing
+        raise TimeoutError(f"no end of query run {run} was reported")
+    return dict(listener.totals.get(run, {}).get(name, {}))
 
 
 def rule_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

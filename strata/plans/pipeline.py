@@ -136,12 +136,13 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
 def run_medallion(spark: SparkSession, landing: Landing, house: Lakehouse, parallel: bool = True,
                   **kw) -> dict[str, dict[str, int]]:
     """Run the ten flows; returns the per-rule counts observed by the silver flows."""
-    from ..operators.quality import progress_metrics
+    from ..operators.quality import observed_totals, progress_metrics
 
+    observed_totals(spark)  # listens from the first batch on
     flows = medallion_flows(spark, landing, house, **kw)
     queries = run_pipeline(spark, flows, parallel=parallel)
     by_name = {f.name: q for f, q in zip(_ordered(flows), queries)}
-    return {name: progress_metrics(by_name[name], f"{name}_rules")
+    return {name: progress_metrics(spark, by_name[name], f"{name}_rules")
             for name in ("silver_taxi", "silver_drivers", "silver_users")}
 
 

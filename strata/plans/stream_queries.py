@@ -186,6 +186,33 @@ def expect_metrics_stream(spark, sf_dir):
     return spark.createDataFrame(rows, "flow string, rule string, total long, failed long")
 
 
+@register("expect_metrics_many_batches", adapters.with_views("""
+SELECT 'valid_passenger_count' AS rule, COUNT(*) AS total,
+       COUNT(*) FILTER (WHERE NOT COALESCE(passenger_count > 0, FALSE)) AS failed FROM trips
+UNION ALL SELECT 'valid_trip_distance', COUNT(*), COUNT(*) FILTER (WHERE NOT COALESCE(trip_distance > 0, FALSE)) FROM trips
+UNION ALL SELECT 'valid_fare_amount', COUNT(*), COUNT(*) FILTER (WHERE NOT COALESCE(fare_amount > 0, FALSE)) FROM trips
+"""))
+def expect_metrics_many_batches(spark, sf_dir):
+    """Rule counts of a flow with more micro-batches (eight) than a query keeps progress reports (three)."""
+    from ..operators import cleaning
+    from ..operators.quality import observe_rules_stream, observed_totals, progress_metrics
+
+    observed_totals(spark)
+    house = trips_many_commits(spark, sf_dir)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        flow = Flow("rules_many", lambda s: house.table("bronze", "taxi").read_stream(max_files_per_trigger=1),
+                    lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "rules"), dedup=False),
+                    house.table("silver", "rules_many"), house.checkpoint("silver", "rules_many") + "/data")
+        counts = progress_metrics(spark, run_flow(spark, flow), "rules")
+    finally:
+        spark.conf.set(key, kept)
+    rows = [(rule, counts["rows"], counts[f"failed_{rule}"]) for rule in cleaning.TRIP_RULES]
+    return spark.createDataFrame(rows, "rule string, total long, failed long")
+
+
 @register("silver_trips_stream_state", layers_sql(
     "SELECT user_id, driver_id, pickup_datetime, dropoff_datetime, CAST(1 AS BIGINT) AS n FROM silver_trips",
     "silver_trips"))

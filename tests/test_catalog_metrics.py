@@ -1,5 +1,5 @@
 from strata.catalog import missing_schemas, register_table, table_properties
-from strata.operators.quality import observe_rules_stream, progress_metrics
+from strata.operators.quality import observe_rules_stream, observed_totals, progress_metrics
 from strata.streaming.flows import Flow, run_flow
 from strata.tables.versioned import VersionedTable
 
@@ -17,6 +17,7 @@ def test_missing_schemas_and_table_properties(spark, tmp_path):
 
 
 def test_rule_counts_in_stream_progress(spark, tmp_path):
+    observed_totals(spark)
     src = VersionedTable(spark, str(tmp_path / "src"))
     src.append(spark.createDataFrame([(1,), (0,), (None,)], "x int"))
     out = VersionedTable(spark, str(tmp_path / "out"))
@@ -24,7 +25,7 @@ def test_rule_counts_in_stream_progress(spark, tmp_path):
                 lambda d: observe_rules_stream(d, {"pos": "x > 0"}, "rules").filter("x > 0"),
                 out, str(tmp_path / "ck"))
     q = run_flow(spark, flow)
-    assert progress_metrics(q, "rules") == {"rows": 3, "failed_pos": 2}
+    assert progress_metrics(spark, q, "rules") == {"rows": 3, "failed_pos": 2}
     assert out.read().count() == 1
 
 
