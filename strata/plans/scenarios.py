@@ -142,6 +142,20 @@ def trips_redelivered_state_mode(spark: SparkSession, sf_dir: str) -> Lakehouse:
     return house
 
 
+def trips_with_phone(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """Drivers that carry a phone, then trips: the enriched trips have it."""
+    from ..streaming.flows import run_pipeline
+
+    root = scratch_dir(spark, "trips-phone")
+    landing, house = Landing(f"{root}/landing"), Lakehouse(spark, f"{root}/house")
+    m = Medallion(spark, sf_dir)
+    write_landing(m.bronze_trips(), landing.path("taxi"), landing.trips_fmt)
+    write_landing(with_phone(m.bronze_drivers()), landing.path("drivers"), landing.drivers_fmt)
+    names = {"bronze_taxi", "bronze_drivers", "silver_taxi", "silver_drivers", "gold_enriched_trips"}
+    run_pipeline(spark, [f for f in medallion_flows(spark, landing, house, include_phone=True) if f.name in names])
+    return house
+
+
 def rerun_without_input(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """Bronze trips ingested, then the same flow run again with no new files."""
     root = scratch_dir(spark, "rerun")

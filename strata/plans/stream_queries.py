@@ -19,7 +19,7 @@ from .batch import DRIVER_COLUMNS, SILVER_TRIP_COLUMNS, TRIP_COLUMNS, Medallion,
 from .pipeline import TABLES
 from .registry import register
 from .scenarios import (PHONE_PREFIX, drivers_two_wave, rerun_without_input, trips_many_commits,
-                        trips_redelivered_state_mode, trips_update_mode, two_wave)
+                        trips_redelivered_state_mode, trips_update_mode, trips_with_phone, two_wave)
 
 STAMPS = ["_ingested_at", "_source_file", "_processed_at", "_calculated_at"]
 
@@ -267,6 +267,17 @@ def enriched_trips_stream(spark, sf_dir):
     return t.read().groupBy("id").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("enriched_phone_stream", layers_sql(f"""
+SELECT id, driver_id, driver_name, driver_car_number, driver_experience, driver_rating,
+       CASE WHEN driver_name IS NOT NULL THEN '{PHONE_PREFIX}' || lpad(driver_id, 7, '0') END AS driver_phone
+FROM enriched_trips"""))
+def enriched_phone_stream(spark, sf_dir):
+    """Driver values of the enriched stream, the phone of the second wave's schema included."""
+    house = trips_with_phone(spark, sf_dir)
+    return house.table("gold", "enriched_trips").read().select(
+        "id", "driver_id", "driver_name", "driver_car_number", "driver_experience", "driver_rating", "driver_phone")
+
+
 @register("enriched_match_stream", layers_sql("""
 SELECT COUNT(*) AS total_trips, COUNT(*) FILTER (WHERE d.id IS NOT NULL) AS with_driver
 FROM (SELECT DISTINCT id, driver_id FROM silver_trips) t LEFT JOIN silver_drivers d ON t.driver_id = d.id
@@ -343,6 +354,20 @@ def materialized_view(spark, sf_dir):
     return t.read()
 
 
+@register("sql_views", layers_sql("""
+SELECT 'users' AS source, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE is_plus_subscriber) AS marked FROM silver_users
+UNION ALL SELECT 'drivers', COUNT(*), COUNT(*) FILTER (WHERE rating >= 4) FROM silver_drivers
+UNION ALL SELECT 'zones', COUNT(*), COUNT(*) FILTER (WHERE payment_type_description = 'Cash') FROM gold_zone_metrics
+""", "gold_zone_metrics"))
+def sql_views(spark, sf_dir):
+    """Dashboard counts as SQL text over the views of the pipeline's tables."""
+    two_wave(spark, sf_dir).house.create_views(TABLES)
+    return spark.sql("""
+SELECT 'users' AS source, COUNT(*) AS row_count, COUNT_IF(is_plus_subscriber) AS marked FROM silver_users
+UNION ALL SELECT 'drivers', COUNT(*), COUNT_IF(rating >= 4) FROM silver_drivers
+UNION ALL SELECT 'zones', COUNT(*), COUNT_IF(payment_type_description = 'Cash') FROM gold_taxi_metrics""")
+
+
 # ------------------------------------------------------------ maintenance
 @register("compact_content", adapters.with_views(f"SELECT {', '.join(TRIP_COLUMNS)} FROM trips"))
 def compact_content(spark, sf_dir):

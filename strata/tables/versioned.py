@@ -471,5 +471,18 @@ class Lakehouse:
             self._tables[key] = VersionedTable(self.spark, f"{self.root}/{layer}/{name}", key)
         return self._tables[key]
 
+    def create_views(self, tables: Mapping[str, Sequence[str]]) -> list[str]:
+        """Session views ``<layer>_<table>`` over the current version of each table, for SQL text.
+
+        A view shows live rows only and the version at the time it was made; call again after a run."""
+        names = []
+        for layer, members in tables.items():
+            for name in members:
+                table = self.table(layer, name).refresh()
+                if table.exists():
+                    table.read().createOrReplaceTempView(f"{layer}_{name}")
+                    names.append(f"{layer}_{name}")
+        return names
+
     def checkpoint(self, layer: str, name: str) -> str:
         return f"{self.root}/_checkpoints/{layer}/{name}"
