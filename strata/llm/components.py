@@ -64,20 +64,23 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b")
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node has one parent and no parent has one: then each parent is the smallest of its component."""
+    several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a")
+    parents = edges.select(F.col("b").alias("a")).distinct()
+    return several.unionByName(edges.select("a").join(parents, "a", "left_semi")).isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (columns a and b, long, not null) that is not the smallest of
     its component; component is the smallest id. No edges give no rows.
 
     Each round contracts the edges batch by batch, then runs both stars. A round is written to the shared
-    folder, so a lost executor costs at most one round. Ends when a round changes nothing."""
+    folder, so a lost executor costs at most one round. Ends when only stars are left."""
     spark = edges.sparkSession
-    state = None
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b")
     while True:
         edges = edges.transform(arrow_map, _contract, "a long, b long")
-        edges = _small_star(_large_star(edges)).distinct()
-        edges = materialise(spark, edges, "components")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == state or now[0] == 0:
+        edges = materialise(spark, _small_star(_large_star(edges)).distinct(), "components")
+        if _all_stars(edges):
             return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-        state = tuple(now)
