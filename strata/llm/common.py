@@ -65,20 +65,23 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts add up to at most ``limit`` bytes."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        if int(sizes.sum()) <= limit:
-            yield batch
-            continue
-        start, total = 0, 0
-        for i, n in enumerate(sizes.tolist()):
-            if total and total + n > limit:
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += n
-        yield batch.slice(start)
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+            if int(sizes.sum()) <= limit:
+                yield batch
+                continue
+            start, total = 0, 0
+            for i, n in enumerate(sizes.tolist()):
+                if total and total + n > limit:
+                    yield batch.slice(start, i - start)
+                    start, total = i, 0
+                total += n
+            yield batch.slice(start)
+    finally:
+        pa.default_memory_pool().release_unused()  # a reused worker holds nothing of its last task
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:

@@ -16,7 +16,7 @@ path has a finite weight. A space can only begin a piece (or stand
 among spaces), and some control characters are in no piece at all, so a path
 never crosses from another character to a space or past such a character: each
 unit between two of these places is solved by itself, and the pieces of a unit
-are kept for its next occurrence (at most ``KEPT_UNITS`` per worker).
+are kept for its next occurrence in the task (at most ``KEPT_UNITS``).
 
 Every whole text is read once, in Arrow batches, without a shuffle. The model
 file is read by the driver; its tables have the size of the vocabulary.
@@ -40,7 +40,7 @@ from .common import arrow_map, load, text_chunks
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 KEPT_UNITS = 300_000
-KEPT_PAIRS = 400_000
+KEPT_PAIRS = 250_000
 SPACE = "▁"
 
 
@@ -97,7 +97,9 @@ class Machine:
                 self.reach[p[:k]] = max(self.reach.get(p[:k], 0), len(p))
         stop = re.escape(vocabulary.breakers)
         self.unit = re.compile(f"{SPACE}*[^{SPACE}{stop}]+|{SPACE}+|[{stop}]" if stop else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.number = {p: i for i, p in enumerate(self.score)}
+        self.bits = max(len(self.number), 1).bit_length()
+        self.pairs: dict[int, bool] = {}  # by the numbers of both pieces
 
     def merged(self, text: str) -> list[str]:
         """What the model's merges make of a short string: again and again the neighbours whose
@@ -117,11 +119,15 @@ class Machine:
 
     def apart(self, left: str, right: str) -> bool:
         """Merge-order weight of two neighbours: 0 (true) or infinite (false)."""
-        known = self.pairs.get((left, right))
+        a, b = self.number.get(left, -1), self.number.get(right, -1)
+        if a < 0 or b < 0:  # a character without a piece
+            return self.merged(left + right) == [left, right]
+        key = a << self.bits | b
+        known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+            known = self.pairs[key] = self.merged(left + right) == [left, right]
         return known
 
     def shortest_path(self, unit: str) -> list[str]:
@@ -130,26 +136,31 @@ class Machine:
         Depth-first over the composed arcs, longest piece first; an arc of infinite weight is not taken, and
         a state (place, last piece) from which no path went on is not entered again. The merge-order acceptor
         leaves one path of finite weight, so the first complete path is the minimum."""
-        score, pairs, reach = self.score, self.pairs, self.reach
+        number, pairs, reach, bits = self.number.get, self.pairs.get, self.reach.get, self.bits
         n = len(unit)
         path: list[str] = []
         dead: set[tuple[int, str]] = set()
-        left, at = "", 0
-        size = min(reach.get(unit[:3], 2), n)
+        left, left_number, at = "", 0, 0
+        size = min(reach(unit[:3], 2), n)
         while at < n:
             while size:
                 arc = unit[at:at + size]
-                if arc in score or size == 1:
-                    open_ = not left or pairs.get((left, arc))
-                    if open_ is None:
-                        open_ = self.apart(left, arc)
+                arc_number = number(arc, -1)
+                if arc_number >= 0 or size == 1:
+                    if at:
+                        open_ = pairs(left_number << bits | arc_number) if left_number >= 0 <= arc_number else None
+                        if open_ is None:
+                            open_ = self.apart(left, arc)
+                    else:
+                        open_ = True
                     if open_ and not (dead and (at + size, arc) in dead):
                         break
                 size -= 1
             if size:
                 path.append(arc)
-                left, at = arc, at + size
-                size = min(reach.get(unit[at:at + 3], 2), n - at)
+                left, left_number = arc, arc_number
+                at += size
+                size = min(reach(unit[at:at + 3], 2), n - at)
             else:
                 if not path:
                     raise ValueError(f"no path through {unit!r}")
@@ -157,6 +168,7 @@ class Machine:
                 arc = path.pop()
                 at -= len(arc)
                 left, size = path[-1] if path else "", len(arc) - 1
+                left_number = number(left, -1)
         return path
 
     def ids(self, unit: str) -> tuple[int, ...]:
@@ -171,11 +183,11 @@ class Machine:
 
 
 class Codec(dict):
-    """Encoder and decoder of one worker: unit -> ids, filled as units are met."""
+    """Encoder and decoder of one task: unit -> ids, filled as units are met."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, machine: Machine | None = None):
         super().__init__()
-        self.machine = Machine(vocabulary)
+        self.machine = machine or Machine(vocabulary)
         self.spelled = vocabulary.spelled
 
     def __missing__(self, unit: str) -> tuple[int, ...]:
@@ -193,13 +205,16 @@ class Codec(dict):
         return out[1:] if out.startswith(" ") else out
 
 
-_CODEC: list[Codec] = []  # one per worker process
+_MACHINES: dict[int, Machine] = {}  # of this worker process, by the vocabulary they were compiled from
 
 
 def _codec(shared) -> Codec:
-    if not _CODEC:
-        _CODEC.append(Codec(shared.value))
-    return _CODEC[0]
+    """A codec for one task; only the compiled machine, which is small, outlives it in a reused worker."""
+    vocabulary = shared.value
+    if id(vocabulary) not in _MACHINES:
+        _MACHINES.clear()
+        _MACHINES[id(vocabulary)] = Machine(vocabulary)
+    return Codec(vocabulary, _MACHINES[id(vocabulary)])
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
