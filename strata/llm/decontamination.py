@@ -213,8 +213,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
-    found = leaks(docs, load(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("leaked")).distinct()
+    """Pipeline stage: rows whose text holds a benchmark item go. Whether it does depends on the text alone, so
+    leaks are carried by a 64-bit digest of the text: rows without a doc_id, or with a repeated one, are judged
+    one by one."""
+    digest = F.xxhash64("text")
+    found = leaks(docs.select(digest.alias("doc_id"), "text"), load(spark, sf_dir, "benchmark")) \
+        .select(F.col("doc_id").alias("_leaked")).distinct()
     # written, so that Spark knows its size when it picks the join
     found = materialise(spark, found, "leaked")
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["leaked"]), "left_anti")
+    return docs.withColumn("_digest", digest).join(found, F.col("_digest") == F.col("_leaked"), "left_anti") \
+        .drop("_digest")

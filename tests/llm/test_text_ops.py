@@ -288,3 +288,14 @@ def test_words_of_slices():
             got = [flat.to_pylist()[x:y] for x, y in zip(at[:-1], at[1:], strict=True)]
             low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
             assert got == [re.findall(r"[^\x20\x09-\x0d]+", (t or "").translate(low)) for t in texts[a:b]]
+
+
+def test_stage_judges_rows_without_or_with_a_repeated_id_one_by_one(spark, tmp_path):
+    item = " ".join(f"item{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, "before " + item), (None, "clean text without an id"), (None, None), (4, item + " after"),
+            (4, "clean text of the same id"), (5, ""), (6, "another clean text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = decontamination.decontamination_stage(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert by_id(kept, "doc_id", "text") == by_id(docs.filter("coalesce(text, '') not like '%item0%'"), "doc_id", "text")
