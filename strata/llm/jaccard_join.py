@@ -35,7 +35,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import arrow_map, hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
@@ -322,6 +321,12 @@ def _long_lists(entries: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- whole join
+def _repeated(rows: DataFrame) -> DataFrame:
+    """doc_id of the rows that repeat one, written."""
+    again = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    return materialise(rows.sparkSession, again, "repeated-ids")
+
+
 def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
@@ -345,6 +350,10 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
         .select("a", F.explode("all").alias("b")).filter("a <> b")  # rows that share an id but not the text
 
     texts = docs.join(nodes.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    again = _repeated(named)
+    if not again.isEmpty():  # equal rows are read once (only rows that repeat an id are grouped)
+        texts = texts.join(again, "doc_id", "left_anti").unionByName(
+            texts.join(again, "doc_id", "left_semi").distinct())
     entries = materialise(spark, _entries(texts, sketch, k, pct), "jaccard-entries")  # read twice
     sizes = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     entries = materialise(spark, entries.join(sizes, "gram"), "jaccard-index")
@@ -378,18 +387,23 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one document of each group of near-duplicates (five-word shingles, similarity of 0.8 or
-    more, connected) stays, the one with the smallest id; documents without words stay."""
-    groups = join(docs, k=5, pct=80)
-    gone = groups.filter("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    gone = materialise(spark, gone, "near-duplicates")  # so that Spark knows its size when it picks the join
-    kept = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone"]), "left_anti")
-    # rows that repeat a doc_id (only they are sorted): the first text stays
-    again = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1") \
-        .select(F.col("doc_id").alias("again"))
-    again = materialise(spark, again, "repeated-ids")
-    same = docs["doc_id"].cast("long") == again["again"]
-    first = W.partitionBy("doc_id").orderBy("text")
-    once = kept.join(again, same, "left_semi").withColumn("_row", F.row_number().over(first)) \
-        .filter("_row = 1").drop("_row")
-    return kept.join(again, same, "left_anti").unionByName(once)
+    """Pipeline stage: one row of each group of near-duplicates (five-word shingles, similarity of 0.8 or more,
+    connected) stays, the one with the smallest doc_id (rows without one come last); rows without words stay.
+
+    The join runs on texts: its id is a 64-bit key of doc_id and text, so a repeated doc_id ties no texts
+    together and rows without one are joined like all others."""
+    key = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    groups = join(docs.select(key.alias("doc_id"), "text"), k=5, pct=80) \
+        .filter("n_shingles > 0").select(F.col("doc_id").alias("_key"), "component_id")
+    groups = materialise(spark, groups, "near-duplicate-groups")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("_key")).distinct()
+    members = groups.distinct().join(ids, "_key")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key"))
+    stay = members.groupBy("component_id").agg(least.alias("least")).select(F.col("least._key").alias("_key"))
+    # written, so that Spark knows their size when it picks the joins
+    gone = materialise(spark, members.select("_key").distinct().join(stay, "_key", "left_anti"), "near-duplicates")
+    kept = docs.withColumn("_key", key).join(gone, "_key", "left_anti")
+    # equal rows share a key (only they are grouped): one stays
+    again = materialise(spark, groups.groupBy("_key").count().filter("count > 1").select("_key"), "repeated-rows")
+    once = kept.join(again, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.join(again, "_key", "left_anti").unionByName(once).select(docs.columns)

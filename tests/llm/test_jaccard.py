@@ -139,3 +139,15 @@ def test_stage_on_odd_documents(spark, odd_docs, no_docs):
     assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5, 6, 7, 9, 10, 11, 12, 13]
     assert None in ids and len(ids) == len(set(ids))
     assert jaccard_join.near_duplicate_stage(spark, no_docs, "").count() == 0
+
+
+def test_stage_keeps_one_row_of_each_group_of_texts(spark):
+    a, b, c = (_near_copies(seed, 1, 50)[0] for seed in (11, 12, 13))
+    rows = [(1, a), (5, a), (5, b), (7, b), (7, b), (None, c), (None, c), (None, c.upper()), (None, b), (3, ""),
+            (None, None), (None, a + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = by_id(jaccard_join.near_duplicate_stage(spark, df, ""), "doc_id", "text")
+    assert [r for r in kept if not r[1]] == [(None, None), (3, "")]
+    kept = [r for r in kept if r[1]]
+    assert (1, a) in kept and (5, b) in kept and len(kept) == 3
+    assert [(d, t.lower()) for d, t in kept if d is None] == [(None, c)]
