@@ -7,7 +7,8 @@ record either stays or moves to the new shard.
 
 Slots number the rows of a shard from 0. A window over a whole shard would sort
 1/shards of all rows in one task, so each shard is cut into ``SLOT_BUCKETS``
-hash buckets: rows are numbered inside their bucket, and a small table of at
+hash buckets (of key, size and checksum, so that rows without a key or with a
+repeated one spread as well): rows are numbered inside their bucket, and a small table of at
 most shards x SLOT_BUCKETS row counts (a fixed bound, hence broadcast) gives
 each bucket its offset.
 """
@@ -53,18 +54,16 @@ def assign(docs: DataFrame, shards: int = SHARDS, weights: Sequence[float] | Non
     weights = list(weights) if weights is not None else [1.0] * shards
     key = F.col("doc_id").cast("long")
 
-    def placed(df: DataFrame) -> DataFrame:
-        return df.withColumn("shard", rendezvous(key, weights)).withColumn(
-            "bucket", F.pmod(F.xxhash64(key, F.lit("slot")), F.lit(buckets)).cast("int"))
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select("doc_id", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
+                       F.crc32(text).alias("text_crc32")) \
+        .withColumn("shard", rendezvous(key, weights)) \
+        .withColumn("bucket", F.pmod(F.xxhash64(key, "size", "text_crc32", F.lit("slot")), F.lit(buckets)).cast("int"))
 
-    # needs the ids alone: the scan reads no text
-    counts = placed(docs.select("doc_id")).groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    counts = rows.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("rows"))
     before = W.partitionBy("shard").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.select("shard", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
 
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = placed(docs.select("doc_id", (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
-                              F.crc32(text).alias("text_crc32")))
     inside = W.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")
     rows = rows.withColumn("rank", F.row_number().over(inside))
     grown = rendezvous(key, [*weights, weights[-1]])

@@ -103,6 +103,16 @@ def test_sharding_weights_and_odd_rows(spark, odd_docs, no_docs):
         sharding.assign(odd_docs, weights=[1, 0])
 
 
+def test_rows_without_an_id_are_numbered_in_many_buckets(spark):
+    """Texts of one id run through the buckets: neighbours in (size, checksum) do not get neighbouring slots."""
+    docs = spark.range(2000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "CONCAT('text ', id) AS text")
+    rows = sharding.assign(docs).collect()
+    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(2000))
+    by_slot = [(r["size"], r["text_crc32"]) for r in sorted(rows, key=lambda r: r["slot"])]
+    falls = sum(a > b for a, b in zip(by_slot[:-1], by_slot[1:], strict=True))
+    assert falls > 200  # one bucket is sorted throughout: no fall
+
+
 # ---------------------------------------------------------------- URL filter
 URLS = [
     (1, "http://WWW.Example.com/en/x?y#z", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
