@@ -13,10 +13,12 @@ from . import (
     pii,
     quality_classifier,
     quality_rules,
+    runs,
     sentencepiece_fst,
     sharding,
     toxicity,
     url_filter,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +32,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_sharding": sharding.op9_sharding,
     "op10_url_filters": url_filter.op10_url_filters,
+    "op11_runs": runs.op11_runs,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 ORACLE: dict[str, str] = {
