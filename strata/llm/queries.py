@@ -16,6 +16,7 @@ from . import (
     runs,
     sentencepiece_fst,
     sharding,
+    substring_dedup,
     toxicity,
     url_filter,
     whitening,
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_url_filters": url_filter.op10_url_filters,
     "op11_runs": runs.op11_runs,
     "op12_whitening": whitening.op12_whitening,
+    "op13_substring_dedup": substring_dedup.op13_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
