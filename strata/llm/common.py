@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -18,6 +18,10 @@ from ..session import scratch_dir
 
 # Most bytes of text that a Python helper looks at in one go (a single longer text is a chunk of its own).
 CHUNK_BYTES = 2 << 20
+# Most bytes of an Arrow batch between Spark and a Python worker, where the session does not say otherwise: Spark
+# bounds batches by rows only, and ten thousand long texts are hundreds of megabytes.
+ARROW_BYTES = 8 << 20
+_ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,6 +49,8 @@ def ship(spark: SparkSession) -> None:
     """Send this library's modules to the executors, once per application, so that Python workers find them
     wherever they start."""
     context = spark.sparkContext
+    if spark.conf.get(_ARROW_CONF, None) is None:
+        spark.conf.set(_ARROW_CONF, str(ARROW_BYTES))
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
@@ -62,6 +68,29 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def text_column(spark: SparkSession, make, schema) -> Callable[..., Column]:
+    """A column function from texts: only texts go to Python and only answers come back, the other columns stay in
+    Spark. ``make()`` is called once a task and returns a function from an Arrow array of texts to an Arrow array."""
+    ship(spark)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fn = make()
+        for texts in batches:
+            parts = text_chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))
+            yield pa.concat_arrays([fn(part.column("text")) for part in parts]) if len(texts) else fn(texts)
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, schema)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
                 limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose texts add up to at most ``limit`` bytes."""

@@ -29,7 +29,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
+from .common import (
+    arrow_map,
+    fresh,
+    hash_strings,
+    load,
+    materialise,
+    mix,
+    shingle_hashes,
+    text_chunks,
+    word_codes,
+    words_of,
+)
 
 MIN_MATCH = 5
 LEAST_COVERAGE = 0.5
@@ -216,10 +227,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Pipeline stage: rows whose text holds a benchmark item go. Whether it does depends on the text alone, so
     leaks are carried by a 64-bit digest of the text: rows without a doc_id, or with a repeated one, are judged
     one by one."""
-    digest = F.xxhash64("text")
+    digest, name = F.xxhash64("text"), fresh(docs, "digest")
     found = leaks(docs.select(digest.alias("doc_id"), "text"), load(spark, sf_dir, "benchmark")) \
-        .select(F.col("doc_id").alias("_leaked")).distinct()
+        .select(F.col("doc_id").alias(name)).distinct()
     # written, so that Spark knows its size when it picks the join
     found = materialise(spark, found, "leaked")
-    return docs.withColumn("_digest", digest).join(found, F.col("_digest") == F.col("_leaked"), "left_anti") \
-        .drop("_digest")
+    return docs.withColumn(name, digest).join(found, name, "left_anti").select(docs.columns)

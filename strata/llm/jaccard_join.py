@@ -37,7 +37,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, hash_strings, load, materialise, mix, shingle_hashes, text_chunks, word_codes, words_of
+from .common import (
+    arrow_map,
+    fresh,
+    hash_strings,
+    load,
+    materialise,
+    mix,
+    shingle_hashes,
+    text_chunks,
+    word_codes,
+    words_of,
+)
 from .components import Forest, components
 
 SKETCH_BITS = 20
@@ -393,17 +404,18 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     The join runs on texts: its id is a 64-bit key of doc_id and text, so a repeated doc_id ties no texts
     together and rows without one are joined like all others."""
     key = F.xxhash64(F.col("doc_id").cast("long"), "text")
+    name = fresh(docs, "key")
     groups = join(docs.select(key.alias("doc_id"), "text"), k=5, pct=80) \
-        .filter("n_shingles > 0").select(F.col("doc_id").alias("_key"), "component_id")
+        .filter("n_shingles > 0").select(F.col("doc_id").alias(name), "component_id")
     groups = materialise(spark, groups, "near-duplicate-groups")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("_key")).distinct()
-    members = groups.distinct().join(ids, "_key")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_key"))
-    stay = members.groupBy("component_id").agg(least.alias("least")).select(F.col("least._key").alias("_key"))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias(name)).distinct()
+    members = groups.distinct().join(ids, name)
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", name))
+    stay = members.groupBy("component_id").agg(least.alias("least")).select(F.col(f"least.{name}").alias(name))
     # written, so that Spark knows their size when it picks the joins
-    gone = materialise(spark, members.select("_key").distinct().join(stay, "_key", "left_anti"), "near-duplicates")
-    kept = docs.withColumn("_key", key).join(gone, "_key", "left_anti")
+    gone = materialise(spark, members.select(name).distinct().join(stay, name, "left_anti"), "near-duplicates")
+    kept = docs.withColumn(name, key).join(gone, name, "left_anti")
     # equal rows share a key (only they are grouped): one stays
-    again = materialise(spark, groups.groupBy("_key").count().filter("count > 1").select("_key"), "repeated-rows")
-    once = kept.join(again, "_key", "left_semi").dropDuplicates(["_key"])
-    return kept.join(again, "_key", "left_anti").unionByName(once).select(docs.columns)
+    again = materialise(spark, groups.groupBy(name).count().filter("count > 1").select(name), "repeated-rows")
+    once = kept.join(again, name, "left_semi").dropDuplicates([name])
+    return kept.join(again, name, "left_anti").unionByName(once).select(docs.columns)

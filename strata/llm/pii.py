@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, load, text_chunks
+from .common import arrow_map, load, text_chunks, text_column
 
 # Kinds in the order in which spans of the same start are listed.
 KINDS = ("email", "ip", "card", "phone")
@@ -394,17 +394,13 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redaction_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: every span is replaced in the text, n_chars follows; no document goes."""
     shared = spark.sparkContext.broadcast(train(docs))
-    names = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_chunks(batches):
-            texts = []
-            for text in batch.column("text").to_pylist():
-                base = base_spans(text)
-                texts.append(redact(text, base + method_spans(text, base, shared.value)))
-            columns = [pa.array(texts, batch.schema.field("text").type) if c == "text" else batch.column(c)
-                       for c in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+    def redacted(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts.to_pylist():
+            base = base_spans(text)
+            out.append(redact(text, base + method_spans(text, base, shared.value)))
+        return pa.array(out, texts.type)
 
-    out = docs.transform(arrow_map, run, docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in names else out
+    out = docs.withColumn("text", text_column(spark, lambda: redacted, "string")("text"))
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out

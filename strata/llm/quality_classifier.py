@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, fold, load, text_chunks
+from .common import arrow_map, fold, load, text_chunks, text_column
 from .training import fit_sigmoid, training_rows
 
 MAX_TRAIN_ROWS = 5000
@@ -218,12 +218,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Pipeline stage: documents the classifier predicts as label 1 stay as they are."""
     model = train(docs, load(spark, sf_dir, "labels"))
     shared = spark.sparkContext.broadcast(model)
-    names = docs.columns
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def good(texts: pa.Array) -> pa.Array:
         m = shared.value
-        for batch in text_chunks(batches):
-            s = m.score(np.array([m.margin(g) for g in gram_sets(batch.column("text"))]))
-            yield batch.filter(pa.array(s >= THRESHOLD))
+        return pa.array(m.score(np.array([m.margin(g) for g in gram_sets(texts)])) >= THRESHOLD)
 
-    return docs.select(*names).transform(arrow_map, kept, docs.schema)
+    return docs.filter(text_column(spark, lambda: good, "boolean")("text"))

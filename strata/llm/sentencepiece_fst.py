@@ -36,7 +36,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import arrow_map, load, text_chunks
+from .common import arrow_map, fresh, load, text_chunks, text_column
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 KEPT_UNITS = 300_000
@@ -217,6 +217,21 @@ def _codec(shared) -> Codec:
     return Codec(vocabulary, _MACHINES[id(vocabulary)])
 
 
+_FIELDS = ["n_pieces", "pieces", "round_trip"]
+
+
+def _encoded(texts: pa.Array, codec: Codec) -> list[pa.Array]:
+    values, offsets, same = array("i"), [0], []
+    for text in texts.to_pylist():
+        ids = codec.encode(text)
+        values.extend(ids)
+        offsets.append(len(values))
+        same.append(codec.decode(ids) == (text or "").replace(SPACE, " "))
+    at = np.array(offsets, np.int32)
+    pieces = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(values, np.int32), pa.int32()))
+    return [pa.array(np.diff(at)), pieces, pa.array(same, pa.bool_())]
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The ``keep`` columns plus n_pieces, pieces (array of ids) and round_trip: whether decoding the ids
     gives the text again (the sign U+2581 itself reads as a space). Empty and null texts have no pieces.
@@ -229,17 +244,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for batch in text_chunks(batches):
-            values, offsets, same = array("i"), [0], []
-            for text in batch.column("text").to_pylist():
-                ids = codec.encode(text)
-                values.extend(ids)
-                offsets.append(len(values))
-                same.append(codec.decode(ids) == (text or "").replace(SPACE, " "))
-            at = np.array(offsets, np.int32)
-            pieces = pa.ListArray.from_arrays(pa.array(at), pa.array(np.frombuffer(values, np.int32), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], pa.array(np.diff(at)), pieces, pa.array(same)],
-                [*keep, "n_pieces", "pieces", "round_trip"])
+                [*[batch.column(c) for c in keep], *_encoded(batch.column("text"), codec)], [*keep, *_FIELDS])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return carried.transform(arrow_map, run, f"{schema}, n_pieces int, pieces array<int>, round_trip boolean")
@@ -268,5 +274,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents with the ids of their pieces."""
-    return encode(docs, Vocabulary.read(), keep=tuple(docs.columns))
+    """Pipeline stage: the documents with the ids of their pieces (columns of these names are replaced)."""
+    shared, name = spark.sparkContext.broadcast(Vocabulary.read()), fresh(docs, "encoded")
+
+    def encoder():
+        codec = _codec(shared)
+        return lambda texts: pa.StructArray.from_arrays(_encoded(texts, codec), _FIELDS)
+
+    column = text_column(spark, encoder, "n_pieces int, pieces array<int>, round_trip boolean")
+    keep = [c for c in docs.columns if c.lower() not in _FIELDS]
+    return docs.withColumn(name, column("text")).select(*keep, f"{name}.*")

@@ -28,7 +28,7 @@ def odd_docs(spark):
     rows = [(i, t, None, "s", None if t is None else len(t)) for i, t in ODD_TEXTS]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     for name in ("rid", "words", "id", "n", "a", "b", "s", "gram", "shard", "bucket", "label", "score", "item", "h",
-                 "blocks", "token", "kind", "row"):
+                 "blocks", "token", "kind", "row", "key", "_key", "digest", "_digest", "_leaked", "encoded", "Found"):
         df = df.withColumn(name, F.lit("clash"))
     return df
 

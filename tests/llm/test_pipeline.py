@@ -1,6 +1,8 @@
 """The pipeline: each stage against its operator by brute force, and odd inputs."""
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from strata.llm import decontamination, pii, quality_classifier, sentencepiece_fst
 from strata.llm.common import load, materialise
 
@@ -44,3 +46,17 @@ def test_pipeline_on_odd_and_no_documents(spark, odd_docs, no_docs, sf_small):
         for name, stage in corpus_pipeline.STAGES:
             at = materialise(spark, stage(spark, at, sf_small), f"odd-{name}")
         assert at.columns == [*docs.columns, "n_pieces", "pieces", "round_trip"]
+
+
+def test_stages_keep_columns_named_like_their_own(spark, sf_small):
+    names = ["key", "_key", "digest", "_digest", "_leaked", "encoded", "n_pieces", "pieces", "round_trip"]
+    docs = load(spark, sf_small, "documents").limit(40)
+    docs = docs.select("*", *[F.concat(F.lit(f"{n}-"), "doc_id").alias(n) for n in names])
+    at = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        at = materialise(spark, stage(spark, at, sf_small), f"named-{name}")
+        assert at.columns == docs.columns
+        assert all(r[n] == f"{n}-{r['doc_id']}" for r in at.collect() for n in names)
+    last = corpus_pipeline.STAGES[-1][1](spark, at, sf_small)
+    assert last.columns == [*docs.columns[:-3], "n_pieces", "pieces", "round_trip"]  # these are replaced
+    assert last.filter("size(pieces) <> n_pieces").count() == 0 and last.count() == at.count()
