@@ -28,7 +28,6 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--users-format", default="parquet")
     run.add_argument("--dedup-mode", choices=["merge", "state"], default="merge")
     run.add_argument("--gold-mode", choices=["complete", "update"], default="complete")
-    run.add_argument("--include-phone", action="store_true")
     run.add_argument("--max-files-per-trigger", type=int, default=10_000)
     run.add_argument("--sequential", action="store_true", help="do not run independent flows concurrently")
     audit = sub.add_parser("audit", help="audit the ten tables, print the summary, write the report")
@@ -63,7 +62,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
         counts = run_medallion(
             spark, Landing(args.landing, users_fmt=args.users_format), house, parallel=not args.sequential,
-            include_phone=args.include_phone, max_files_per_trigger=args.max_files_per_trigger,
+            max_files_per_trigger=args.max_files_per_trigger,
             dedup_mode=args.dedup_mode, gold_mode=args.gold_mode)
         print(json.dumps({"rule_failures": counts}))
     elif args.cmd == "audit":

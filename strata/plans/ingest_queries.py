@@ -24,11 +24,12 @@ class _Bronze:
         root = scratch_dir(spark, name)
         self.spark, self.path = spark, f"{root}/landing/{name}"
         self.table = Lakehouse(spark, f"{root}/house").table("bronze", name)
-        self.source = lambda: FileSource(self.path, fmt, f"{root}/schema", **source)
-        self.flow = lambda: Flow(f"bronze_{name}", self.source().stream, audit_columns, self.table, f"{root}/checkpoint")
+        self.source = FileSource(self.path, fmt, f"{root}/schema", **source)
+        self.flow = Flow(f"bronze_{name}", self.source.files, audit_columns, self.table, f"{root}/checkpoint",
+                         expand=self.source.read)
 
     def run(self) -> _Bronze:
-        run_flow(self.spark, self.flow())
+        run_flow(self.spark, self.flow)
         return self
 
 
@@ -76,7 +77,7 @@ FROM events
 """)
 def bronze_rescued_malformed(spark, sf_dir) -> DataFrame:
     """Lines that are no JSON objects are kept whole in ``_rescued_data``."""
-    b = _Bronze(spark, "events", "json", rescue=True)
+    b = _Bronze(spark, "events", "json")
     line = F.expr(_LINE_SQL.replace("VARCHAR", "STRING"))
     read_table(spark, sf_dir, "events").select(line.alias("value")).write.mode("append").text(b.path)
     return b.run().table.read().select("event_id", "event_type", RESCUED)
@@ -88,7 +89,7 @@ UNION ALL SELECT n_nationkey, NULL, '{"v":"' || n_name || '"}' FROM nation
 """)
 def bronze_type_change(spark, sf_dir) -> DataFrame:
     """A field that is a number in the first run and text in the second: the text is rescued."""
-    b = _Bronze(spark, "nations", "json", rescue=True)
+    b = _Bronze(spark, "nations", "json")
     rows = read_table(spark, sf_dir, "nation")
     rows.select(F.col("n_nationkey").alias("id"), F.col("n_regionkey").alias("v")).write.mode("append").json(b.path)
     b.run()
@@ -96,6 +97,81 @@ def bronze_type_change(spark, sf_dir) -> DataFrame:
     return b.run().table.read().select(F.col("id").cast("int").alias("id"), F.col("v"), RESCUED)
 
 
+@register("bronze_file_during_start", """
+SELECT s_suppkey, s_name, CAST(NULL AS INTEGER) AS s_nationkey FROM supplier WHERE s_suppkey % 2 = 0
+UNION ALL SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) FROM supplier WHERE s_suppkey % 2 = 1
+""")
+def bronze_file_during_start(spark, sf_dir) -> DataFrame:
+    """A file with a new column that lands after the stream was set up and before it starts."""
+    b = _Bronze(spark, "suppliers", "parquet")
+    rows = read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", F.col("s_nationkey").cast("int").alias("s_nationkey"))
+    even = F.col("s_suppkey") % 2 == 0
+    rows.filter(even).drop("s_nationkey").write.mode("append").parquet(b.path)
+
+    def source(session):
+        stream = b.source.files(session)
+        rows.filter(~even).write.mode("append").parquet(b.path)
+        return stream
+
+    b.flow.source = source
+    return b.run().table.read().select("s_suppkey", "s_name", "s_nationkey")
+
+
+@register("bronze_parquet_type_change", """
+SELECT 1 AS run, o_orderkey AS id, CAST(o_custkey AS INTEGER) AS v, CAST(NULL AS VARCHAR) AS _rescued_data FROM orders
+UNION ALL SELECT 2, o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey AS INTEGER) END,
+       CASE WHEN o_orderkey % 3 = 0 THEN '{"v":"' || CAST(o_custkey + 5000000000 AS VARCHAR) || '"}' END FROM orders
+UNION ALL SELECT 3, o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey AS INTEGER) END,
+       CASE WHEN o_orderkey % 3 = 0 THEN '{"v":"' || o_orderpriority || '"}' END FROM orders
+""")
+def bronze_parquet_type_change(spark, sf_dir) -> DataFrame:
+    """A Parquet column that is int, then long, then text in three runs: what is no int is rescued."""
+    b = _Bronze(spark, "orders", "parquet")
+    orders, third = read_table(spark, sf_dir, "orders"), F.col("o_orderkey") % 3 == 0
+    customer = F.col("o_custkey").cast("long")
+    for run, v in enumerate((customer.cast("int"), F.when(third, customer + 5_000_000_000).otherwise(customer),
+                             F.when(third, F.col("o_orderpriority")).otherwise(customer.cast("string"))), 1):
+        orders.select(F.lit(run).alias("run"), F.col("o_orderkey").alias("id"), v.alias("v")).write.mode(
+            "append").parquet(b.path)
+        b.run()
+    return b.table.read().select("run", "id", "v", RESCUED)
+
+
+@register("bronze_parquet_mixed_types", """
+SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) AS v FROM orders
+UNION ALL SELECT o_orderkey, o_orderpriority FROM orders
+""")
+def bronze_parquet_mixed_types(spark, sf_dir) -> DataFrame:
+    """Files of the first run that disagree on a type, numbers and text: the column is text and nothing is lost."""
+    b = _Bronze(spark, "orders", "parquet")
+    orders = read_table(spark, sf_dir, "orders")
+    for v in ("o_custkey", "o_orderpriority"):
+        orders.select(F.col("o_orderkey").alias("id"), F.col(v).alias("v")).write.mode("append").parquet(b.path)
+    return b.run().table.read().select("id", "v")
+
+
+_TRAILING_SQL = """CASE event_id % 4
+  WHEN 0 THEN '{"event_id": ' || CAST(event_id AS VARCHAR) || ', "event_type": "' || event_type || '"}'
+  WHEN 1 THEN '{"event_id": ' || CAST(event_id AS VARCHAR) || ', "event_type": "' || event_type || '"} trailing'
+  WHEN 2 THEN '{"event_id": ' || CAST(event_id AS VARCHAR) || ', "event_id": 7}'
+  ELSE '{"event_id": ' || CAST(event_id AS VARCHAR) || '},{"event_id": 8}' END"""
+
+
+@register("bronze_trailing_text", f"""
+SELECT CASE WHEN event_id % 4 = 0 THEN event_id END AS event_id,
+       CASE WHEN event_id % 4 = 0 THEN event_type END AS event_type,
+       CASE WHEN event_id % 4 <> 0 THEN {_TRAILING_SQL} END AS _rescued_data
+FROM events
+""")
+def bronze_trailing_text(spark, sf_dir) -> DataFrame:
+    """Lines with text after the object, with a repeated key, and with two objects are kept whole."""
+    b = _Bronze(spark, "events", "json")
+    line = F.expr(_TRAILING_SQL.replace("VARCHAR", "STRING"))
+    read_table(spark, sf_dir, "events").select(line.alias("value")).write.mode("append").text(b.path)
+    return b.run().table.read().select("event_id", "event_type", RESCUED)
+
+
 _REVENUE = "l_extendedprice * l_discount / 10"  # up to five decimals
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..functions.columns import audit_columns
 from ..operators import aggregates, cleaning, enrich
 from ..operators.quality import observe_rules_stream
-from ..schemas import driver_schema
+from ..schemas import DRIVER
 from ..sources.files import RESCUED, FileSource
 from ..streaming.flows import Flow, run_pipeline
 from .batch import DRIVER_ORDER, ENRICH_TRIP_ORDER, TRIP_ORDER, USER_ORDER
@@ -46,15 +46,17 @@ class Landing:
         return f"{self.root.rstrip('/')}/{entity}"
 
 
-def bronze_source(landing: Landing, house: Lakehouse, entity: str, fmt: str,
-                  hints=None, max_files_per_trigger: int | None = None):
-    src = FileSource(landing.path(entity), fmt, f"{house.checkpoint('bronze', entity)}/schema",
-                     hints=hints, max_files_per_trigger=max_files_per_trigger, rescue=fmt == "json")
-    return lambda spark: src.stream(spark)
+def bronze_flow(landing: Landing, house: Lakehouse, entity: str, fmt: str, hints=None,
+                max_files_per_trigger: int | None = None) -> Flow:
+    ck = house.checkpoint("bronze", entity)
+    src = FileSource(landing.path(entity), fmt, f"{ck}/schema", hints=hints,
+                     max_files_per_trigger=max_files_per_trigger)
+    return Flow(f"bronze_{entity}", src.files, audit_columns, house.table("bronze", entity), f"{ck}/data",
+                expand=src.read)
 
 
 def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
-                    include_phone: bool = False, max_files_per_trigger: int | None = 10_000,
+                    max_files_per_trigger: int | None = 10_000,
                     maintain: bool = True, dedup_mode: str = "merge", salt_buckets: int = 1,
                     gold_mode: str = "complete") -> list[Flow]:
     """The ten flows. ``dedup_mode``: "merge" de-duplicates in the sink (each
@@ -79,19 +81,13 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
     def data_ck(layer, name):
         return f"{ck(layer, name)}/data"
 
-    hints = driver_schema(include_phone)
     flows = [
-        Flow("bronze_taxi", bronze_source(landing, house, "taxi", landing.trips_fmt,
-                                          max_files_per_trigger=max_files_per_trigger),
-             audit_columns, t("bronze", "taxi"), data_ck("bronze", "taxi")),
-        Flow("bronze_drivers", bronze_source(landing, house, "drivers", landing.drivers_fmt, hints=hints,
-                                             max_files_per_trigger=max_files_per_trigger),
-             audit_columns, t("bronze", "drivers"), data_ck("bronze", "drivers")),
-        Flow("bronze_users", bronze_source(landing, house, "users", landing.users_fmt,
-                                           max_files_per_trigger=max_files_per_trigger),
-             audit_columns, t("bronze", "users"), data_ck("bronze", "users")),
+        bronze_flow(landing, house, "taxi", landing.trips_fmt, max_files_per_trigger=max_files_per_trigger),
+        bronze_flow(landing, house, "drivers", landing.drivers_fmt, hints=DRIVER,
+                    max_files_per_trigger=max_files_per_trigger),
+        bronze_flow(landing, house, "users", landing.users_fmt, max_files_per_trigger=max_files_per_trigger),
         Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(max_files_per_trigger),
-             lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "silver_taxi_rules"),
+             lambda d: cleaning.clean_trips(observe_rules_stream(d.drop(RESCUED), cleaning.TRIP_RULES, "silver_taxi_rules"),
                                             dedup=state),
              t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",),
              merge_keys=None if state else tuple(cleaning.TRIP_KEYS), merge_order=tuple(TRIP_ORDER)),
@@ -101,7 +97,7 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
              t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",),
              merge_keys=None if state else tuple(cleaning.DRIVER_KEYS), merge_order=tuple(DRIVER_ORDER)),
         Flow("silver_users", lambda s: t("bronze", "users").read_stream(max_files_per_trigger),
-             lambda d: cleaning.clean_users(observe_rules_stream(d, cleaning.USER_RULES, "silver_users_rules"),
+             lambda d: cleaning.clean_users(observe_rules_stream(d.drop(RESCUED), cleaning.USER_RULES, "silver_users_rules"),
                                             dedup=state),
              t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",),
              merge_keys=None if state else tuple(cleaning.USER_KEYS), merge_order=tuple(USER_ORDER)),

@@ -68,7 +68,7 @@ def _two_wave(spark: SparkSession, sf_dir: str) -> Scenario:
              for layer, n in (("bronze", "taxi"), ("bronze", "drivers"), ("silver", "taxi"))}
     write_landing(m.bronze_trips(), landing.path("taxi"), landing.trips_fmt)
     write_landing(with_phone(m.bronze_drivers()), landing.path("drivers"), landing.drivers_fmt)
-    counts2 = run_medallion(spark, landing, house, include_phone=True)
+    counts2 = run_medallion(spark, landing, house)
     total = {f: {k: counts[f].get(k, 0) + counts2[f].get(k, 0) for k in {*counts[f], *counts2[f]}}
              for f in counts}
     sc = Scenario(landing, house, wave1, total)
@@ -81,11 +81,10 @@ def drivers_two_wave(spark: SparkSession, sf_dir: str) -> Lakehouse:
     root = scratch_dir(spark, "drivers-two-wave")
     landing, house = Landing(f"{root}/landing"), Lakehouse(spark, f"{root}/house")
     m = Medallion(spark, sf_dir)
-    flow = lambda phone: medallion_flows(spark, landing, house, include_phone=phone)[1]
     write_landing(m.bronze_drivers(), landing.path("drivers"), "json")
-    run_flow(spark, flow(False))
+    run_flow(spark, medallion_flows(spark, landing, house)[1])
     write_landing(with_phone(m.bronze_drivers()), landing.path("drivers"), "json")
-    run_flow(spark, flow(True))
+    run_flow(spark, medallion_flows(spark, landing, house)[1])
     return house
 
 
@@ -152,7 +151,7 @@ def trips_with_phone(spark: SparkSession, sf_dir: str) -> Lakehouse:
     write_landing(m.bronze_trips(), landing.path("taxi"), landing.trips_fmt)
     write_landing(with_phone(m.bronze_drivers()), landing.path("drivers"), landing.drivers_fmt)
     names = {"bronze_taxi", "bronze_drivers", "silver_taxi", "silver_drivers", "gold_enriched_trips"}
-    run_pipeline(spark, [f for f in medallion_flows(spark, landing, house, include_phone=True) if f.name in names])
+    run_pipeline(spark, [f for f in medallion_flows(spark, landing, house) if f.name in names])
     return house
 
 

@@ -119,9 +119,9 @@ def bronze_rescued_data(spark, sf_dir):
     house = Lakehouse(spark, f"{root}/house")
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     write_json_lines(events, f"{root}/landing/events", merge_json_col="props")
-    src = FileSource(f"{root}/landing/events", "json", f"{root}/schema", schema=EVENT_SCHEMA, rescue=True)
-    flow = Flow("bronze_events", src.stream, audit_columns, house.table("bronze", "events"),
-                house.checkpoint("bronze", "events") + "/data")
+    src = FileSource(f"{root}/landing/events", "json", f"{root}/schema", schema=EVENT_SCHEMA)
+    flow = Flow("bronze_events", src.files, audit_columns, house.table("bronze", "events"),
+                house.checkpoint("bronze", "events") + "/data", expand=src.read)
     run_flow(spark, flow)
     return _drop_stamps(house.table("bronze", "events").read())
 

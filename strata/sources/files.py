@@ -1,27 +1,34 @@
 """Incremental file ingestion on the open-source file stream source.
 
-``FileSource`` adds what a plain ``readStream`` lacks:
-
-* a persisted schema per flow (first run infers it, later runs reuse it);
+The stream of a ``FileSource`` carries the *names* of the files that arrived, not
+their rows: every micro-batch is a list of files that the checkpoint has frozen
+(a replayed batch gets the same list). ``read`` turns such a list into rows. The
+schema is reconciled there, from exactly the files it will read, so no file can
+arrive between the look at the schemas and the reading. It adds what a plain
+``readStream`` lacks:
+
+* a persisted schema per flow (the first batch infers it, later ones reuse it);
 * schema hints (DDL) that override inferred types or add columns;
-* schema evolution: before each run exactly the files that no earlier run
-  inferred are inferred (Parquet footers are merged) and unseen columns are
-  appended, nullable; the stream then restarts on the same checkpoint with the
-  wider schema, and old rows read back as NULL in the new columns. An inference
-  that fails stops the run: its files must not be marked as done;
-* rescued data for JSON: values under unknown keys or that do not fit their
-  declared type are kept, as a JSON object in ``_rescued_data``; a line that is
-  no JSON object is kept there as it is. A Parquet column whose type changes
-  between files cannot be merged and stops the run.
-
-The checkpoint of the stream remembers which files were processed, so a rerun
-without new files writes nothing, and a replayed batch is idempotent in the
-versioned sink. No file is too old: ``maxFileAge`` is ``NO_FILE_TOO_OLD``.
+* schema evolution: unseen columns, and unseen fields of structs, are appended,
+  nullable; old rows read back as NULL there. An inference that fails stops the
+  run, and its batch is tried again;
+* rescued data: what does not fit the schema is kept, as a JSON object of text
+  values, in ``_rescued_data``. In JSON files these are values of unknown keys or
+  of another type than the declared one; a line that is not exactly one JSON
+  object (cut lines, text after the object, repeated keys) is kept there as it
+  is. In Parquet and the other formats files are grouped by their own schemas,
+  each group is cast to the flow's types, and a value that a cast would lose or
+  change is kept there. The column appears with the first file that needs it.
+
+A rerun without new files writes nothing. No file is too old: ``maxFileAge`` is
+``NO_FILE_TOO_OLD``.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -36,6 +43,8 @@ RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"  # Spark's inference adds it when a line is no JSON
 # by default the file source skips files a week older than the newest one
 NO_FILE_TOO_OLD = "36500d"
+FILES_PER_BATCH = 10_000  # names of one micro-batch that the driver holds
+FOOTER_THREADS = 16
 # JSON keeps full microsecond timestamps: written with micros (and the offset
 # for zoned values), read back with the fraction and the offset optional.
 JSON_TS_OPTIONS = {
@@ -46,6 +55,7 @@ JSON_TS_READ_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
+_LISTING = "path string, modificationTime timestamp, length long, content binary"
 _STORE_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("schema", T.StringType()),
@@ -76,6 +86,7 @@ class SchemaStore:
             raise RuntimeError(f"schema version {version} of {self.location} was written by another run")
 
 
+# ------------------------------------------------------------------ schemas
 def apply_hints(schema: T.StructType, hints: str | T.StructType | None) -> T.StructType:
     """Hinted fields take the hinted type; hinted fields not in ``schema`` are added."""
     if not hints:
@@ -90,14 +101,113 @@ def apply_hints(schema: T.StructType, hints: str | T.StructType | None) -> T.Str
 
 
 def widen(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """Keep old fields and types; append fields seen only in ``new`` as nullable."""
+    """Keep old fields and types; append fields seen only in ``new`` as nullable, inside structs too."""
     if old is None:
         return new
+    seen = {f.name: f for f in new.fields}
+    fields = []
+    for f in old.fields:
+        other = seen.get(f.name)
+        if other is not None and isinstance(f.dataType, T.StructType) and isinstance(other.dataType, T.StructType):
+            f = T.StructField(f.name, widen(f.dataType, other.dataType), f.nullable, f.metadata)
+        fields.append(f)
     names = {f.name for f in old.fields}
-    return T.StructType(list(old.fields) + [
-        T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in names])
-
-
+    return T.StructType(fields + [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in names])
+
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Type of a column whose first files disagree: the wider of two integer types, double for other numbers, text
+    for anything else."""
+    if a == b:
+        return a
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return _agreed(a, b)
+    if isinstance(a, _INTEGERS) and isinstance(b, _INTEGERS):
+        return max(a, b, key=lambda t: _INTEGERS.index(type(t)))
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def _agreed(a: T.StructType, b: T.StructType) -> T.StructType:
+    other = {f.name: f.dataType for f in b.fields}
+    out = [T.StructField(f.name, common_type(f.dataType, other.get(f.name, f.dataType)), True) for f in a.fields]
+    return widen(T.StructType(out), b)
+
+
+def _shape(t: T.DataType) -> str:
+    return t.simpleString()
+
+
+def fit(value: Column, own: T.DataType, wanted: T.DataType) -> tuple[Column, Column]:
+    """(the value as ``wanted``, whether something of it is lost by that). A cast must give the value back."""
+    if _shape(own) == _shape(wanted):
+        return value, F.lit(False)
+    if isinstance(own, T.StructType) and isinstance(wanted, T.StructType):
+        have = {f.name: f.dataType for f in own.fields}
+        parts, lost = [], F.lit(False)
+        for f in wanted.fields:
+            if f.name in have:
+                part, bad = fit(value.getField(f.name), have[f.name], f.dataType)
+                lost = lost | bad
+            else:
+                part = F.lit(None).cast(f.dataType)
+            parts.append(part.alias(f.name))
+        for name in have.keys() - set(wanted.fieldNames()):
+            lost = lost | value.getField(name).isNotNull()
+        return F.when(value.isNotNull(), F.struct(*parts)), F.coalesce(lost, F.lit(False))
+    complex_types = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+    if isinstance(own, complex_types) or isinstance(wanted, complex_types):
+        if isinstance(wanted, T.StringType):
+            return F.to_json(value), F.lit(False)
+        if not (isinstance(own, T.ArrayType) and isinstance(wanted, T.ArrayType)):
+            return F.lit(None).cast(wanted), value.isNotNull()
+    as_wanted = value.try_cast(wanted)
+    back = as_wanted.try_cast(own)
+    lost = value.isNotNull() & ~back.eqNullSafe(value)
+    return F.when(~lost, as_wanted), lost
+
+
+def _as_text(value: Column, own: T.DataType) -> Column:
+    if isinstance(own, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(value)
+    return F.base64(value) if isinstance(own, T.BinaryType) else value.cast("string")
+
+
+def aligned(rows: DataFrame, own: T.StructType, wanted: T.StructType, extra: tuple[str, ...] = ()) -> DataFrame:
+    """``rows`` (of schema ``own``) with the columns of ``wanted``, then ``extra`` columns, then ``_rescued_data`` if
+    something of ``rows`` may not fit."""
+    have = {f.name: f.dataType for f in own.fields}
+    columns, rescued = [], []
+    for f in wanted.fields:
+        if f.name == RESCUED:
+            continue
+        if f.name not in have:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        value, lost = fit(rows[f"`{f.name}`"], have[f.name], f.dataType)
+        columns.append(value.alias(f.name))
+        if _shape(have[f.name]) != _shape(f.dataType):
+            rescued.append((f.name, lost))
+    for name in have:
+        if name not in wanted.fieldNames() and name != RESCUED:
+            rescued.append((name, rows[f"`{name}`"].isNotNull()))
+    columns += [F.col(c) for c in extra]
+    if rescued:
+        empty = F.create_map().cast("map<string,string>")
+        found = F.map_concat(empty, *[
+            F.when(lost, F.create_map(F.lit(n), _as_text(rows[f"`{n}`"], have[n]))).otherwise(empty)
+            for n, lost in rescued])
+        columns.append(F.when(F.size(found) > 0, F.to_json(found)).alias(RESCUED))
+    elif RESCUED in wanted.fieldNames():
+        columns.append(F.lit(None).cast("string").alias(RESCUED))
+    return rows.select(*columns)
+
+
+# ------------------------------------------------------------------ source
 @dataclass
 class FileSource:
     path: str
@@ -105,87 +215,132 @@ class FileSource:
     schema_location: str
     hints: str | T.StructType | None = None
     evolve: bool = True
-    rescue: bool = False
-    max_files_per_trigger: int | None = None
+    rescue: bool = True  # off: JSON misfits become NULL, misfits of other formats stop the run
+    max_files_per_trigger: int | None = FILES_PER_BATCH
     options: dict[str, str] = field(default_factory=dict)
     schema: T.StructType | None = None  # declared schema: no inference, no evolution
     infer_options: dict[str, str] = field(default_factory=dict)  # e.g. {"samplingRatio": "0.1"} for JSON
 
-    def _options(self) -> dict[str, str]:
-        return {**(JSON_TS_READ_OPTIONS if self.fmt == "json" else {}), **self.options}
+    def _reader(self, spark: SparkSession):
+        options = {**(JSON_TS_READ_OPTIONS if self.fmt == "json" else {}), **self.options}
+        return spark.read.format(self.fmt).options(**options)
+
+    def files(self, spark: SparkSession) -> DataFrame:
+        """Streaming DataFrame of the files that arrived (path and bytes; no content is read)."""
+        return (spark.readStream.format("binaryFile").schema(_LISTING).option("maxFileAge", NO_FILE_TOO_OLD)
+                .option("maxFilesPerTrigger", str(self.max_files_per_trigger or FILES_PER_BATCH))
+                .load(self.path).select("path", "length"))
+
+    def read(self, files: DataFrame) -> DataFrame:
+        """Rows of the files of one micro-batch in the flow's schema, with ``_source_file``."""
+        spark = files.sparkSession
+        paths = sorted(r["path"] for r in files.select("path").collect())  # the batch's own files
+        groups = self.groups(spark, paths)
+        schema = self.resolve_schema(spark, [g for g, _ in groups])
+        if self.fmt == "json":
+            return self._json(spark, paths, schema)
+        parts = []
+        for own, members in groups:
+            rows = self._reader(spark).schema(own).load(_literal(members)).select(
+                "*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+            parts.append(aligned(rows, own, schema, (SOURCE_FILE,)))
+        if not self.rescue and any(RESCUED in p.columns for p in parts):
+            raise ValueError(f"files under {self.path} do not fit the schema {schema.simpleString()}")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
+    def _json(self, spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+        source = F.col("_metadata.file_path").alias(SOURCE_FILE)
+        if not self.rescue:
+            return self._reader(spark).schema(schema).load(_literal(paths)).select("*", source)
+        lines = spark.read.format("text").load(_literal(paths))
+        # the hidden file metadata is gone after the parse, so resolve the path here
+        return lines.select(parse_json_with_rescue(F.col("value"), schema).alias("_r"), source
+                            ).select("_r.*", SOURCE_FILE)
 
+    # -------------------------------------------------------------- schema
     def _infer(self, spark: SparkSession, paths: list[str]) -> T.StructType:
-        reader = spark.read.format(self.fmt).options(**self._options()).options(**self.infer_options)
-        if self.fmt == "parquet":
-            reader = reader.option("mergeSchema", "true")
-        schema = reader.load(paths).schema
+        reader = self._reader(spark).options(**self.infer_options)
+        if self.fmt == "json" and self.rescue:  # lines that are rescued whole have no say
+            lines = spark.read.text(_literal(paths)).filter(is_json_object(F.col("value")))
+            strings = getattr(lines._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+            schema = T.StructType.fromJson(json.loads(reader._jreader.json(strings).schema().json()))
+        else:
+            if self.fmt == "parquet":
+                reader = reader.option("mergeSchema", "true")
+            schema = reader.load(_literal(paths)).schema
         return T.StructType([f for f in schema.fields if f.name != CORRUPT])
 
-    def _inferred_files(self) -> str:
-        return f"{self.schema_location.rstrip('/')}-files"
-
-    def _new_files(self, spark: SparkSession) -> DataFrame:
-        """Paths under ``path`` that no earlier run inferred (by path: times can be older than the last run)."""
-        if not path_exists(spark, self.path):
-            return spark.createDataFrame([], "file string")
-        # names that begin with . or _ are markers, as for every Spark reader
-        files = list_files(spark, self.path).select("file").filter(~F.col("file").rlike(r"/[._][^/]*$"))
-        if not path_exists(spark, self._inferred_files()):
-            return files
-        return files.join(spark.read.schema("file string").parquet(self._inferred_files()), "file", "left_anti")
-
-    def resolve_schema(self, spark: SparkSession) -> T.StructType:
-        """Stored schema, widened by the files that arrived since it was inferred."""
+    def groups(self, spark: SparkSession, paths: list[str]) -> list[tuple[T.StructType, list[str]]]:
+        """Files of one schema each. Mostly the files agree (one parallel job finds out); only where their types
+        contradict each other, each file's own schema is looked at."""
+        if not paths:
+            return []
+        if self.fmt == "json" and self.schema is not None:
+            return [(self.schema, paths)]
+        try:
+            return [(self._infer(spark, paths), paths)]
+        except Exception:  # noqa: BLE001 - contradicting types; an unreadable file fails again below
+            if len(paths) == 1:
+                raise
+        with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+            schemas = list(pool.map(lambda p: self._infer(spark, [p]), paths))
+        found: dict[str, tuple[T.StructType, list[str]]] = {}
+        for schema, path in zip(schemas, paths):
+            found.setdefault(schema.json(), (schema, []))[1].append(path)
+        return list(found.values())
+
+    def resolve_schema(self, spark: SparkSession, found: list[T.StructType]) -> T.StructType:
+        """Stored schema, widened by the schemas of the files at hand, hints applied; saved if it changed."""
         if self.schema is not None:
             return self.schema
         store = SchemaStore(spark, self.schema_location)
         stored = store.load()
         if stored is not None and not self.evolve:
             return stored[1]
-        paths = [r["file"] for r in self._new_files(spark).collect()]  # the run's own files
-        if not paths and stored is None:
+        if not found and stored is None:
             raise ValueError(f"no files to infer a schema from under {self.path}")
-        if not paths:
-            return apply_hints(stored[1], self.hints)
-        base = stored[1] if stored else None
-        schema = apply_hints(widen(base, self._infer(spark, paths)), self.hints)
-        now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
+        schema = stored[1] if stored else None
+        if schema is None:
+            schema = found[0]
+            for other in found[1:]:
+                schema = _agreed(schema, other)
+        for other in found:
+            schema = widen(schema, other)
+        schema = apply_hints(schema, self.hints)
         if stored is None or schema != stored[1]:
+            now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat(timespec="seconds")
             store.save(0 if stored is None else stored[0] + 1, schema, now)
-        # after the schema: a crash in between only infers these files again
-        spark.createDataFrame([(p,) for p in paths], "file string").coalesce(1).write.mode("append").parquet(
-            self._inferred_files())
         return schema
 
-    def stream(self, spark: SparkSession) -> DataFrame:
-        """Streaming DataFrame over new and existing files, with ``_metadata``."""
-        schema = self.resolve_schema(spark)
-        if self.rescue and self.fmt == "json":
-            return self._rescued_json_stream(spark, schema)
-        reader = spark.readStream.format(self.fmt).option("maxFileAge", NO_FILE_TOO_OLD) \
-            .options(**self._options()).schema(schema)
-        if self.max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
-        return reader.load(self.path)
-
-    def _rescued_json_stream(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        reader = spark.readStream.format("text").option("maxFileAge", NO_FILE_TOO_OLD)
-        if self.max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", str(self.max_files_per_trigger))
-        lines = reader.load(self.path)
-        parsed = parse_json_with_rescue(F.col("value"), schema)
-        # the hidden file metadata is gone after the parse, so resolve the path here
-        return lines.select(parsed.alias("_r"), F.col("_metadata.file_path").alias(SOURCE_FILE)
-                            ).select("_r.*", SOURCE_FILE)
+
+def _literal(paths: list[str]) -> list[str]:
+    """The paths with the signs of file name patterns quoted."""
+    return [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+# ------------------------------------------------------------------ JSON lines
+def is_json_object(text: Column) -> Column:
+    """The whole text is one JSON object without repeated keys (NULL text: false).
+
+    A parser stops after the first value, so the text is read as the first of two members of an array; the second
+    one is made from the text's own hash, and must come next and last."""
+    mark = F.hex(F.xxhash64(text))
+    whole = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    ends = F.try_variant_get(whole, "$[1]", "string") == mark
+    alone = F.try_variant_get(whole, "$[2]", "variant").isNull()
+    return F.coalesce(F.ltrim(F.translate(text, "\t\r\n", "   ")).startswith("{") & ends & alone, F.lit(False))
 
 
 def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:
-    """Struct of ``schema`` fields plus ``_rescued_data``: a JSON object of the
-    keys that are not in the schema or whose value could not be cast; the whole
-    text where it is no JSON object."""
+    """Struct of ``schema`` fields plus ``_rescued_data``: a JSON object of the keys that are not in the schema or
+    whose value could not be cast; the whole text, and no fields, where it is not one JSON object."""
     data_fields = [f for f in schema.fields if f.name != RESCUED]
-    typed = F.from_json(text, T.StructType(data_fields), JSON_TS_READ_OPTIONS)
-    raw = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
+    whole = F.when(is_json_object(text), text)
+    typed = F.from_json(whole, T.StructType(data_fields), JSON_TS_READ_OPTIONS)
+    raw = F.from_json(whole, T.MapType(T.StringType(), T.StringType()))
     known = F.array(*[F.lit(f.name) for f in data_fields])
     unknown = F.map_filter(raw, lambda k, v: ~F.array_contains(known, k))
     # a declared non-string field whose raw value is present but did not parse
@@ -195,7 +350,7 @@ def parse_json_with_rescue(text: Column, schema: T.StructType) -> Column:
     empty = F.create_map().cast("map<string,string>")
     rescued = F.map_concat(unknown, *[F.coalesce(b, empty) for b in bad]) if bad else unknown
     cols = [typed[f.name].alias(f.name) for f in data_fields]
-    cols.append(F.when(raw.isNull() & (F.trim(text) != ""), text)
+    cols.append(F.when(whole.isNull() & (F.trim(text) != ""), text)
                 .when(F.size(rescued) > 0, F.to_json(rescued)).alias(RESCUED))
     return F.struct(*cols)
 

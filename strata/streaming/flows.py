@@ -47,6 +47,7 @@ class Flow:
     merge_keys: tuple[str, ...] | None = None  # append only rows with unseen keys (see insert_new)
     upsert_keys: tuple[str, ...] | None = None  # mode "update": merge-on-read upsert by these keys
     merge_order: tuple[str, ...] | None = None  # reproducible winner within a micro-batch (merge_keys)
+    expand: Callable[[DataFrame], DataFrame] | None = None  # rows of a micro-batch of file names (FileSource.read)
 
     def tag(self) -> str:
         return "s" + hashlib.sha1(self.checkpoint.encode()).hexdigest()[:10]
@@ -56,13 +57,19 @@ def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQue
     """Start the flow, wait until the available input is processed, run ``after``."""
     t0 = time.perf_counter()
     before = flow.target.version()
-    df = flow.transform(flow.source(spark))
+    write = flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys, flow.upsert_keys, flow.merge_order)
+    if flow.expand is None:
+        df, sink = flow.transform(flow.source(spark)), write
+    else:  # the stream carries names; rows are read and transformed per micro-batch
+        df = flow.source(spark)
+
+        def sink(batch: DataFrame, batch_id: int) -> None:
+            write(flow.transform(flow.expand(batch)), batch_id)
     writer = (
         df.writeStream.queryName(f"{flow.name}_{flow.tag()}")
         .outputMode(flow.mode)
         .option("checkpointLocation", flow.checkpoint)
-        .foreachBatch(flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys, flow.upsert_keys,
-                                                 flow.merge_order))
+        .foreachBatch(sink)
     )
     writer = writer.trigger(availableNow=True) if once else writer
     query = writer.start()

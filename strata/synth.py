@@ -82,11 +82,13 @@ def drivers(spark: SparkSession, n: int, seed: int = 7, with_phone: bool = False
 
 def users(spark: SparkSession, n: int, seed: int = 11, pool_size: int = USER_POOL_SIZE,
           anomaly_rate: float = USER_ANOMALY_RATE) -> DataFrame:
-    """One row per pool id (at most ``pool_size`` rows), some without name or e-mail."""
+    """One row per pool id, some without name or e-mail; more users than the pool has ids are refused."""
+    if n > pool_size:
+        raise ValueError(f"{n} users asked of a pool of {pool_size}: give a larger pool_size")
     i = F.col("id")
     anomalous = _u(seed, i, "anomaly") < anomaly_rate
     kind = _int_between(seed, i, "anomaly_kind", 0, 1)
-    return spark.range(min(n, pool_size)).select(
+    return spark.range(n).select(
         _uuid(USER_POOL_SEED, i).alias("id"),
         F.when(anomalous & (kind == 0), None).otherwise(F.concat(F.lit("User "), i.cast("string"))).alias("full_name"),
         F.when(anomalous & (kind == 1), None).otherwise(F.concat(F.lit("user"), i.cast("string"), F.lit("@mail.test")))
@@ -149,16 +151,16 @@ def trips(spark: SparkSession, n: int, seed: int = 13, month_start: str = "2026-
 
 
 def generate_landing(spark: SparkSession, landing, trips_n: int = 0, drivers_n: int = 0, users_n: int = 0,
-                     with_phone: bool = False, seed: int = 0) -> None:
+                     with_phone: bool = False, seed: int = 0, user_pool: int = USER_POOL_SIZE) -> None:
     """Append generated rows to the landing folders of a ``plans.pipeline.Landing``
     (trips as its trips format, drivers as JSON, users as its users format);
-    ``seed`` varies the rows between waves."""
+    ``seed`` varies the rows between waves. ``user_pool`` is the number of user ids that users and trips share."""
     from .sources.files import write_landing
 
     if trips_n:
-        write_landing(trips(spark, trips_n, seed=13 + seed), landing.path("taxi"), landing.trips_fmt)
+        write_landing(trips(spark, trips_n, seed=13 + seed, user_pool=user_pool), landing.path("taxi"), landing.trips_fmt)
     if drivers_n:
         write_landing(drivers(spark, drivers_n, seed=7 + seed, with_phone=with_phone), landing.path("drivers"),
                       landing.drivers_fmt)
     if users_n:
-        write_landing(users(spark, users_n, seed=11 + seed), landing.path("users"), landing.users_fmt)
+        write_landing(users(spark, users_n, seed=11 + seed, pool_size=user_pool), landing.path("users"), landing.users_fmt)

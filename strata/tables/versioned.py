@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from ..fs import count_data_files, create_text, delete_path, path_exists
 from ..operators.dedup import drop_duplicates
 from ..schemas import OP_OPTIMIZE, OP_RESTORE, OP_STREAMING_UPDATE, OP_WRITE
-from ..sources.files import NO_FILE_TOO_OLD
+from ..sources.files import NO_FILE_TOO_OLD, widen
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -160,7 +160,7 @@ class VersionedTable:
             delete_path(self.spark, path)  # nothing to add: no stream may pick the empty folder up
             return prev["version"]
         live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
-        merged = _merge(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, schema)
+        merged = widen(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, schema)
         props = {**((prev["properties"] or {}) if prev else {}), **properties} if properties else None
         try:
             return self._record(operation, commit, live, merged, (prev["rows"] if prev else 0) + n, params,
@@ -446,15 +446,6 @@ class VersionedTable:
             F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key"))
 
 
-def _merge(old: T.StructType | None, new: T.StructType) -> T.StructType:
-    """Old fields first (types kept), then fields only in ``new`` (nullable)."""
-    if old is None:
-        return new
-    names = {f.name for f in old.fields}
-    extra = [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in names]
-    return T.StructType(list(old.fields) + extra)
-
-
 class Lakehouse:
     """Tables addressed as ``layer.table`` under one root folder."""
 

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from strata import synth
 from strata.operators.cleaning import clean_drivers, clean_trips, clean_users
-from strata.schemas import TRIP, USER, driver_schema
+from strata.schemas import DRIVER, TRIP, USER
 
 
 def test_pools_are_deterministic(spark):
@@ -26,13 +27,16 @@ def test_trips_shape_fks_and_anomalies(spark):
 
 def test_drivers_and_users(spark):
     d = synth.drivers(spark, 5000, with_phone=True)
-    assert d.columns == driver_schema(True).fieldNames()
+    assert d.columns == [*DRIVER.fieldNames(), "phone"]
     assert clean_drivers(d).count() <= synth.DRIVER_POOL_SIZE
     invalid = d.filter("experience = 0 OR rating < 1 OR rating > 5").count() / 5000
     assert 0.06 < invalid < 0.10
-    u = synth.users(spark, 1000)
+    u = synth.users(spark, synth.USER_POOL_SIZE)
     assert u.columns == USER.fieldNames() and u.count() == synth.USER_POOL_SIZE
     assert clean_users(u).count() < synth.USER_POOL_SIZE
+    with pytest.raises(ValueError, match="pool"):  # more users than ids: nothing is cut silently
+        synth.users(spark, 10_000)
+    assert synth.users(spark, 10_000, pool_size=10_000).select("id").distinct().count() == 10_000
 
 
 def test_generated_landing_runs_through_the_pipeline(spark, tmp_path):
@@ -48,5 +52,5 @@ def test_generated_landing_runs_through_the_pipeline(spark, tmp_path):
     enriched = house.table("gold", "enriched_trips").read()
     assert enriched.count() == silver and enriched.filter("driver_name IS NOT NULL").count() > 0
     synth.generate_landing(spark, landing, drivers_n=20, with_phone=True, seed=1)   # schema-evolving wave
-    run_medallion(spark, landing, house, include_phone=True)
+    run_medallion(spark, landing, house)  # the new column comes by itself
     assert "phone" in house.table("bronze", "drivers").read().columns
