@@ -44,7 +44,8 @@ def _parser() -> argparse.ArgumentParser:
         if name == "optimize":
             sp.add_argument("--cluster-by")
             sp.add_argument("--zorder", action="store_true")
-            sp.add_argument("--rows-per-file", type=int, default=1_000_000)
+            sp.add_argument("--rows-per-file", type=int, default=1_000_000, help="with --cluster-by")
+            sp.add_argument("--target-mb", type=int, default=128, help="size of a packed file")
     return p
 
 
@@ -80,7 +81,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(json.dumps({"version": t.restore(args.version)}))
         elif args.cmd == "optimize":
             v = (t.cluster(args.cluster_by, args.rows_per_file, zorder=args.zorder) if args.cluster_by
-                 else t.compact(args.rows_per_file))
+                 else t.compact(args.target_mb << 20))
             print(json.dumps({"version": v}))
         for r in t.history().select("version", "timestamp", "operation", "operationParameters").collect():
             print(json.dumps(r.asDict(recursive=True)))

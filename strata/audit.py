@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.kpis import row_counts
-from .schemas import ERROR, FAILED, HEALTHY, NOT_FOUND, PARTIAL, SUCCESS, TABLE_AUDIT
+from .schemas import ERROR, FAILED, HEALTHY, NOT_FOUND, OP_STREAMING_UPDATE, PARTIAL, SUCCESS, TABLE_AUDIT
 from .tables.versioned import Lakehouse
 
 log = logging.getLogger(__name__)
@@ -37,6 +37,10 @@ def audit_tables(spark: SparkSession, house: Lakehouse, tables: Mapping[str, Seq
                     row.update(exists=True, latest_version=e["version"], latest_operation=e["operation"],
                                last_modified=e["timestamp"], status=HEALTHY)
                     readable[key] = t.read()
+                elif (kept := house.aggregate(layer, name, ())).exists():  # an aggregate kept bucket by bucket
+                    row.update(exists=True, latest_version=len(kept.commits()) - 1,
+                               latest_operation=OP_STREAMING_UPDATE, status=HEALTHY)
+                    readable[key] = kept.read()
             except Exception as exc:  # noqa: BLE001 - reported, not raised
                 row.update(exists=False, status=ERROR, error=str(exc))
             meta[key] = row

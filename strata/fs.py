@@ -32,6 +32,21 @@ def count_data_files(spark: SparkSession, path: str) -> int:
                if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly under ``path`` (none if it is not there)."""
+    hpath, fs = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def data_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the visible files directly under ``path``."""
+    hpath, fs = _fs(spark, path)
+    if not fs.exists(hpath):
+        return 0
+    return sum(st.getLen() for st in fs.listStatus(hpath)
+               if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

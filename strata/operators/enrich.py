@@ -4,8 +4,8 @@ the checks/reports built on it.
 Join strategy is left to Spark: the driver dimension is broadcast only when
 its estimated size (file statistics) or, with AQE, its measured shuffle size
 is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise a sort-merge join
-is used and AQE splits skewed trip partitions (a driver holding a third of all
-trips does not end up in one task).
+is used and the trips of drivers that hold a large share of them are salted (a
+driver holding a third of all trips does not end up in one task).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..schemas import CALCULATED_AT
 from ..functions.columns import pct_half_up, prefixed, stamp
 from .dedup import drop_duplicates
+from .skew import skew_left_join
 
 # Driver columns and their names on the enriched table.
 DRIVER_COLUMNS = {
@@ -41,23 +42,18 @@ def driver_dimension(drivers: DataFrame, order_by: Sequence[str] | None = None)
 def enrich_trips(trips: DataFrame, drivers: DataFrame, dedup_trips: bool = True,
                  trip_order_by: Sequence[str] | None = None,
                  driver_order_by: Sequence[str] | None = None,
-                 with_stamp: bool = True, salt_buckets: int = 1,
-                 trip_columns: Sequence[str] | None = None) -> DataFrame:
+                 with_stamp: bool = True, trip_columns: Sequence[str] | None = None) -> DataFrame:
     """trips LEFT JOIN drivers ON driver_id: every trip kept, once per trip id.
 
-    ``salt_buckets`` > 1 spreads each driver's trips over that many join
-    tasks: a trip gets salt ``hash(id) mod n`` and the dimension is replicated
-    once per salt. Use it for a stream-static join whose dimension is too large
-    to broadcast (micro-batches get no AQE skew-join splitting)."""
+    On a batch (also a stream's micro-batch) whose drivers Spark would not
+    broadcast, the trips of the heaviest drivers are salted (``skew_left_join``);
+    a stream itself is joined as it is."""
     facts = drop_duplicates(trips, ["id"], order_by=trip_order_by, columns=trip_columns) if dedup_trips else trips
     dim = driver_dimension(drivers, driver_order_by)
-    if salt_buckets > 1:
-        salted = facts.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salt_buckets)))
-        dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                           F.lit(salt_buckets - 1).cast("long"))))
-        out = salted.join(dim, on=["driver_id", "_salt"], how="left").drop("_salt")
-    else:
+    if trips.isStreaming:
         out = facts.join(dim, on="driver_id", how="left")
+    else:
+        out = skew_left_join(facts, dim, "driver_id", "id")
     return stamp(out, CALCULATED_AT) if with_stamp else out
 
 

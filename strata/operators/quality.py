@@ -6,13 +6,12 @@ is TRUE (NULL fails), matching ``filter`` semantics.
 
 from __future__ import annotations
 
-import threading
-from collections import defaultdict
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.listener import StreamingQueryListener
+
+from ..fs import path_exists
 
 
 def _passes(predicate: str) -> Column:
@@ -34,8 +33,7 @@ def observe_rules(df: DataFrame, rules: Mapping[str, str], name: str = "expectat
     """Attach per-rule failure counts to the plan as metrics (no extra job).
 
     The counts are available from the returned ``Observation`` once an action
-    on the returned DataFrame has run. In a stream they appear in
-    ``query.lastProgress['observedMetrics']``.
+    on the returned DataFrame has run. Flows use ``RuleCounts``, which outlives them.
     """
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")] + [
@@ -44,58 +42,30 @@ def observe_rules(df: DataFrame, rules: Mapping[str, str], name: str = "expectat
     return df.observe(obs, *metrics), obs
 
 
-def observe_rules_stream(df: DataFrame, rules: Mapping[str, str], name: str) -> DataFrame:
-    """Per-rule failure counts of each micro-batch as named observed metrics:
-    ``query.recentProgress[i]['observedMetrics'][name]`` (no extra job)."""
-    metrics = [F.count(F.lit(1)).alias("rows")] + [
-        F.count_if(~_passes(p)).alias(f"failed_{n}") for n, p in rules.items()
-    ]
-    return df.observe(name, *metrics)
-
-
-class ObservedTotals(StreamingQueryListener):
-    """Sums of all observed metrics of every micro-batch of every run, however many there are (a query itself
-    keeps only its last progress reports)."""
-
-    def __init__(self):
-        self.totals: dict[str, dict[str, dict[str, int]]] = {}
-        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
-
-    def onQueryStarted(self, event):
-        pass
-
-    def onQueryIdle(self, event):
-        pass
-
-    def onQueryProgress(self, event):
-        run = self.totals.setdefault(str(event.progress.runId), {})
-        for name, row in (event.progress.observedMetrics or {}).items():
-            total = run.setdefault(name, {})
-            for k, v in row.asDict().items():
-                total[k] = total.get(k, 0) + int(v or 0)
-
-    def onQueryTerminated(self, event):
-        self.ended[str(event.runId)].set()
+class RuleCounts:
+    """Per-rule counts of a flow, one small folder per micro-batch: ``root/commit=<id>``.
 
+    The counts are written under the id of the batch they belong to, so a batch that is replayed after a crash
+    replaces its own counts; sums over the folders are exact whatever was interrupted, and survive the driver."""
 
-_LISTENERS: dict[str, ObservedTotals] = {}
+    SCHEMA = "rule string, total long, passed long, failed long"
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
-def observed_totals(spark: SparkSession) -> ObservedTotals:
-    """The listener of this application, registered on first use (before the flows whose metrics it sums)."""
-    key = spark.sparkContext.applicationId
-    if key not in _LISTENERS:
-        _LISTENERS[key] = ObservedTotals()
-        spark.streams.addListener(_LISTENERS[key])
-    return _LISTENERS[key]
+    def record(self, commit: str, rows: DataFrame, rules: Mapping[str, str]) -> None:
+        """Count ``rows``, the input of the micro-batch ``commit``, against the rules."""
+        rule_metrics(rows, rules).coalesce(1).write.mode("overwrite").json(f"{self.root}/commit={commit}")
 
+    def batches(self) -> DataFrame:
+        """commit, rule, total, passed, failed of every micro-batch."""
+        if not path_exists(self.spark, self.root):
+            return self.spark.createDataFrame([], f"{self.SCHEMA}, commit string")
+        return self.spark.read.schema(f"{self.SCHEMA}, commit string").json(self.root)
 
-def progress_metrics(spark: SparkSession, query, name: str, timeout: float = 120.0) -> dict[str, int]:
-    """Sum of an ended query's observed metrics over all its micro-batches."""
-    listener, run = observed_totals(spark), str(query.runId)
-    if not listener.ended[run].wait(timeout):  # events arrive in order: after the end nothing is missing
-        raise TimeoutError(f"no end of query run {run} was reported")
-    return dict(listener.totals.get(run, {}).get(name, {}))
+    def totals(self) -> DataFrame:
+        """rule, total, failed over all micro-batches."""
+        return self.batches().groupBy("rule").agg(F.sum("total").alias("total"), F.sum("failed").alias("failed"))
 
 
 def rule_metrics(df: DataFrame, rules: Mapping[str, str]) -> DataFrame:

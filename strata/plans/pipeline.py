@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.columns import audit_columns
 from ..operators import aggregates, cleaning, enrich
-from ..operators.quality import observe_rules_stream
 from ..schemas import DRIVER
 from ..sources.files import RESCUED, FileSource
 from ..streaming.flows import Flow, run_pipeline
@@ -57,19 +56,19 @@ def bronze_flow(landing: Landing, house: Lakehouse, entity: str, fmt: str, hints
 
 def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
                     max_files_per_trigger: int | None = 10_000,
-                    maintain: bool = True, dedup_mode: str = "merge", salt_buckets: int = 1,
-                    gold_mode: str = "complete") -> list[Flow]:
+                    maintain: bool = True, dedup_mode: str = "merge", gold_mode: str = "complete") -> list[Flow]:
     """The ten flows. ``dedup_mode``: "merge" de-duplicates in the sink (each
     micro-batch aggregated per key, then anti-joined with the stored keys:
-    skew-safe, no state store); "state" uses streaming ``dropDuplicates``
-    (state in the checkpoint, every row shuffled to its key's task).
+    skew-safe, no state store) and counts the rules per micro-batch; "state"
+    uses streaming ``dropDuplicates`` (state in the checkpoint, every row
+    shuffled to its key's task) and keeps no rule counts.
     ``max_files_per_trigger`` bounds each bronze micro-batch, so a first run
     over a large landing folder proceeds (and replays after a failure) in
     bounded commits instead of one huge batch.
     ``gold_mode``: "complete" rewrites each aggregate table per micro-batch
-    (the reference behaviour); "update" writes only the changed groups and
-    resolves the latest row per group on read (for aggregates too large to
-    rewrite each time)."""
+    (the reference behaviour); "update" rewrites only the buckets of the
+    changed groups (``BucketedAggregate``, for aggregates too large to rewrite
+    each time)."""
     if gold_mode not in ("complete", "update"):
         raise ValueError(gold_mode)
     if dedup_mode not in ("merge", "state"):
@@ -81,71 +80,57 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
     def data_ck(layer, name):
         return f"{ck(layer, name)}/data"
 
+    def silver(entity, clean, rules, keys, order, period=None) -> Flow:
+        merge = {} if state else {"merge_keys": tuple(keys), "merge_order": tuple(order), "merge_period": period,
+                                  "batchwise": True, "rules": rules, "counts": house.rule_counts(f"silver_{entity}")}
+        return Flow(f"silver_{entity}", lambda s: t("bronze", entity).read_stream(max_files_per_trigger),
+                    lambda d: clean(d.drop(RESCUED), dedup=state), t("silver", entity), data_ck("silver", entity),
+                    depends_on=(f"bronze_{entity}",), **merge)
+
+    def metrics(name, entity, aggregate, keys, maintenance) -> Flow:
+        update = gold_mode == "update"
+        target = house.aggregate("gold", name, keys) if update else t("gold", name)
+        return Flow(f"gold_{name}", lambda s: t("silver", entity).read_stream(max_files_per_trigger), aggregate, target,
+                    data_ck("gold", name), mode=gold_mode, depends_on=(f"silver_{entity}",),
+                    after=(lambda s: maintenance(target)) if maintain and not update else None)
+
     flows = [
         bronze_flow(landing, house, "taxi", landing.trips_fmt, max_files_per_trigger=max_files_per_trigger),
         bronze_flow(landing, house, "drivers", landing.drivers_fmt, hints=DRIVER,
                     max_files_per_trigger=max_files_per_trigger),
         bronze_flow(landing, house, "users", landing.users_fmt, max_files_per_trigger=max_files_per_trigger),
-        Flow("silver_taxi", lambda s: t("bronze", "taxi").read_stream(max_files_per_trigger),
-             lambda d: cleaning.clean_trips(observe_rules_stream(d.drop(RESCUED), cleaning.TRIP_RULES, "silver_taxi_rules"),
-                                            dedup=state),
-             t("silver", "taxi"), data_ck("silver", "taxi"), depends_on=("bronze_taxi",),
-             merge_keys=None if state else tuple(cleaning.TRIP_KEYS), merge_order=tuple(TRIP_ORDER)),
-        Flow("silver_drivers", lambda s: t("bronze", "drivers").read_stream(max_files_per_trigger),
-             lambda d: cleaning.clean_drivers(observe_rules_stream(d.drop(RESCUED), cleaning.DRIVER_RULES, "silver_drivers_rules"),
-                                              dedup=state),
-             t("silver", "drivers"), data_ck("silver", "drivers"), depends_on=("bronze_drivers",),
-             merge_keys=None if state else tuple(cleaning.DRIVER_KEYS), merge_order=tuple(DRIVER_ORDER)),
-        Flow("silver_users", lambda s: t("bronze", "users").read_stream(max_files_per_trigger),
-             lambda d: cleaning.clean_users(observe_rules_stream(d.drop(RESCUED), cleaning.USER_RULES, "silver_users_rules"),
-                                            dedup=state),
-             t("silver", "users"), data_ck("silver", "users"), depends_on=("bronze_users",),
-             merge_keys=None if state else tuple(cleaning.USER_KEYS), merge_order=tuple(USER_ORDER)),
-        Flow("gold_taxi_metrics", lambda s: t("silver", "taxi").read_stream(max_files_per_trigger), aggregates.zone_metrics,
-             t("gold", "taxi_metrics"), data_ck("gold", "taxi_metrics"), mode=gold_mode,
-             upsert_keys=("pu_location_id", "payment_type_description"),
-             depends_on=("silver_taxi",),
-             after=(lambda s: t("gold", "taxi_metrics").cluster("pu_location_id", incremental=True))
-             if maintain else None),
-        Flow("gold_driver_metrics", lambda s: t("silver", "drivers").read_stream(max_files_per_trigger), aggregates.driver_metrics,
-             t("gold", "driver_metrics"), data_ck("gold", "driver_metrics"), mode=gold_mode,
-             upsert_keys=("experience",),
-             depends_on=("silver_drivers",),
-             after=(lambda s: t("gold", "driver_metrics").cluster("experience", zorder=True))
-             if maintain else None),
-        Flow("gold_user_metrics", lambda s: t("silver", "users").read_stream(max_files_per_trigger), aggregates.user_metrics,
-             t("gold", "user_metrics"), data_ck("gold", "user_metrics"), mode=gold_mode,
-             upsert_keys=("registration_date",),
-             depends_on=("silver_users",),
-             after=(lambda s: t("gold", "user_metrics").compact()) if maintain else None),
+        silver("taxi", cleaning.clean_trips, cleaning.TRIP_RULES, cleaning.TRIP_KEYS, TRIP_ORDER, "pickup_datetime"),
+        silver("drivers", cleaning.clean_drivers, cleaning.DRIVER_RULES, cleaning.DRIVER_KEYS, DRIVER_ORDER),
+        silver("users", cleaning.clean_users, cleaning.USER_RULES, cleaning.USER_KEYS, USER_ORDER),
+        metrics("taxi_metrics", "taxi", aggregates.zone_metrics, ("pu_location_id", "payment_type_description"),
+                lambda table: table.cluster("pu_location_id", incremental=True)),
+        metrics("driver_metrics", "drivers", aggregates.driver_metrics, ("experience",),
+                lambda table: table.cluster("experience", zorder=True)),
+        metrics("user_metrics", "users", aggregates.user_metrics, ("registration_date",),
+                lambda table: table.compact()),
         Flow("gold_enriched_trips", lambda s: t("silver", "taxi").read_stream(max_files_per_trigger),
-             lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read(), dedup_trips=state,
-                                               salt_buckets=salt_buckets),
+             lambda trips: enrich.enrich_trips(trips, t("silver", "drivers").read(), dedup_trips=state),
              t("gold", "enriched_trips"), data_ck("gold", "enriched_trips"),
              depends_on=("silver_taxi", "silver_drivers"), merge_keys=None if state else ("id",),
-             merge_order=tuple(ENRICH_TRIP_ORDER),
+             merge_order=tuple(ENRICH_TRIP_ORDER), batchwise=not state,
              after=(lambda s: t("gold", "enriched_trips").compact()) if maintain else None),
     ]
     return flows
 
 
-def run_medallion(spark: SparkSession, landing: Landing, house: Lakehouse, parallel: bool = True,
-                  **kw) -> dict[str, dict[str, int]]:
-    """Run the ten flows; returns the per-rule counts observed by the silver flows."""
-    from ..operators.quality import observed_totals, progress_metrics
-
-    observed_totals(spark)  # listens from the first batch on
-    flows = medallion_flows(spark, landing, house, **kw)
-    queries = run_pipeline(spark, flows, parallel=parallel)
-    by_name = {f.name: q for f, q in zip(_ordered(flows), queries)}
-    return {name: progress_metrics(spark, by_name[name], f"{name}_rules")
-            for name in ("silver_taxi", "silver_drivers", "silver_users")}
-
+RULE_FLOWS = ("silver_taxi", "silver_drivers", "silver_users")
 
-def _ordered(flows):
-    from ..streaming.flows import dependency_levels
 
-    return [f for level in dependency_levels(flows) for f in level]
+def run_medallion(spark: SparkSession, landing: Landing, house: Lakehouse, parallel: bool = True,
+                  **kw) -> dict[str, dict[str, int]]:
+    """Run the ten flows; returns the per-rule counts of the silver flows over all runs so far."""
+    run_pipeline(spark, medallion_flows(spark, landing, house, **kw), parallel=parallel)
+    out: dict[str, dict[str, int]] = {}
+    for flow in RULE_FLOWS:
+        rows = house.rule_counts(flow).totals().collect()  # a row per rule
+        out[flow] = {"rows": max((r["total"] for r in rows), default=0),
+                     **{f"failed_{r['rule']}": r["failed"] for r in rows}}
+    return out
 
 
 def land_entities(spark: SparkSession, landing: Landing, trips: DataFrame, drivers: DataFrame,

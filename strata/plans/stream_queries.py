@@ -11,12 +11,15 @@ from pyspark.sql import types as T
 from ..audit import audit_tables
 from ..session import scratch_dir
 from ..sources import adapters
-from ..sources.files import FileSource, list_files, write_json_lines
-from ..streaming.flows import Flow, run_flow
+from ..sources.files import FileSource, list_files, write_json_lines, write_landing
+from ..sources.tables import read_table
+from ..streaming.flows import Flow, run_flow, run_pipeline
 from ..functions.columns import audit_columns
+from ..operators.enrich import enrich_trips
+from ..operators.quality import RuleCounts
 from ..tables.versioned import Lakehouse
 from .batch import DRIVER_COLUMNS, SILVER_TRIP_COLUMNS, TRIP_COLUMNS, Medallion, layers_sql
-from .pipeline import TABLES
+from .pipeline import RULE_FLOWS, TABLES, Landing, medallion_flows
 from .registry import register
 from .scenarios import (PHONE_PREFIX, drivers_two_wave, rerun_without_input, trips_many_commits,
                         trips_redelivered_state_mode, trips_update_mode, trips_with_phone, two_wave)
@@ -163,54 +166,75 @@ def silver_drivers_stream(spark, sf_dir):
     return _driver_out(two_wave(spark, sf_dir).house.table("silver", "drivers").read().drop("phone"))
 
 
-def _stream_rule_sql() -> str:
-    from ..operators.cleaning import DRIVER_RULES, TRIP_RULES, USER_RULES
-
-    parts = []
-    for flow, view, rules, waves in (("silver_taxi", "trips", TRIP_RULES, 2),
-                                     ("silver_drivers", "drivers", DRIVER_RULES, 2),
-                                     ("silver_users", "users", USER_RULES, 1)):
-        for n, p in rules.items():
-            parts.append(f"SELECT '{flow}' AS flow, '{n}' AS rule, {waves} * COUNT(*) AS total, "
-                         f"{waves} * COUNT(*) FILTER (WHERE NOT COALESCE({p}, FALSE)) AS failed FROM {view}")
-    return " UNION ALL ".join(parts)
+_STREAM_RULE_SQL = " UNION ALL ".join(
+    f"SELECT '{flow}' AS flow, '{rule}' AS rule, {waves} * COUNT(*) AS total, "
+    f"{waves} * COUNT(*) FILTER (WHERE NOT COALESCE({holds}, FALSE)) AS failed FROM {view}"
+    for flow, view, waves, rule, holds in (
+        ("silver_taxi", "trips", 2, "valid_passenger_count", "passenger_count > 0"),
+        ("silver_taxi", "trips", 2, "valid_trip_distance", "trip_distance > 0"),
+        ("silver_taxi", "trips", 2, "valid_fare_amount", "fare_amount > 0"),
+        ("silver_drivers", "drivers", 2, "valid_experience", "experience > 0"),
+        ("silver_drivers", "drivers", 2, "valid_rating_range", "rating >= 1 AND rating <= 5"),
+        ("silver_users", "users", 1, "valid_full_name", "full_name IS NOT NULL")))
 
 
-@register("expect_metrics_stream", adapters.with_views(_stream_rule_sql()))
+@register("expect_metrics_stream", adapters.with_views(_STREAM_RULE_SQL))
 def expect_metrics_stream(spark, sf_dir):
-    """Per-rule failure counts recorded by the silver flows as observed metrics
-    (both waves), read from the streaming progress."""
-    counts = two_wave(spark, sf_dir).rule_counts
-    rows = [(flow, k[len("failed_"):], m.get("rows", 0), v)
-            for flow, m in counts.items() for k, v in m.items() if k.startswith("failed_")]
-    return spark.createDataFrame(rows, "flow string, rule string, total long, failed long")
+    """Per-rule failure counts that the silver flows wrote per micro-batch, summed over both waves."""
+    house = two_wave(spark, sf_dir).house
+    parts = [house.rule_counts(f).totals().select(F.lit(f).alias("flow"), "rule", "total", "failed")
+             for f in RULE_FLOWS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@register("expect_metrics_many_batches", adapters.with_views("""
+_TRIP_RULE_SQL = """
 SELECT 'valid_passenger_count' AS rule, COUNT(*) AS total,
        COUNT(*) FILTER (WHERE NOT COALESCE(passenger_count > 0, FALSE)) AS failed FROM trips
 UNION ALL SELECT 'valid_trip_distance', COUNT(*), COUNT(*) FILTER (WHERE NOT COALESCE(trip_distance > 0, FALSE)) FROM trips
 UNION ALL SELECT 'valid_fare_amount', COUNT(*), COUNT(*) FILTER (WHERE NOT COALESCE(fare_amount > 0, FALSE)) FROM trips
-"""))
-def expect_metrics_many_batches(spark, sf_dir):
-    """Rule counts of a flow with more micro-batches (eight) than a query keeps progress reports (three)."""
+"""
+
+
+def _counting_flow(house, name, counts):
     from ..operators import cleaning
-    from ..operators.quality import observe_rules_stream, observed_totals, progress_metrics
 
-    observed_totals(spark)
+    return Flow(name, lambda s: house.table("bronze", "taxi").read_stream(max_files_per_trigger=1),
+                lambda d: cleaning.clean_trips(d, dedup=False), house.table("silver", name),
+                house.checkpoint("silver", name) + "/data", batchwise=True, rules=cleaning.TRIP_RULES, counts=counts)
+
+
+@register("expect_metrics_many_batches", adapters.with_views(_TRIP_RULE_SQL))
+def expect_metrics_many_batches(spark, sf_dir):
+    """Rule counts of a flow with eight micro-batches."""
+    house = trips_many_commits(spark, sf_dir)
+    counts = house.rule_counts("rules_many")
+    run_flow(spark, _counting_flow(house, "rules_many", counts))
+    return counts.totals()
+
+
+class _Interrupted(RuleCounts):
+    """Counts that die with the flow once, after a batch's rows were committed and before its counts are there."""
+
+    def record(self, commit, rows, rules):
+        if commit.endswith("3"):
+            raise RuntimeError("the driver is gone")
+        super().record(commit, rows, rules)
+
+
+@register("expect_metrics_resumed", adapters.with_views(_TRIP_RULE_SQL))
+def expect_metrics_resumed(spark, sf_dir):
+    """Rule counts of a flow that stopped in its fourth micro-batch, after the rows and before the counts, and was
+    started again."""
     house = trips_many_commits(spark, sf_dir)
-    key = "spark.sql.streaming.numRecentProgressUpdates"
-    kept = spark.conf.get(key)
-    spark.conf.set(key, "3")
+    counts = house.rule_counts("rules_resumed")
     try:
-        flow = Flow("rules_many", lambda s: house.table("bronze", "taxi").read_stream(max_files_per_trigger=1),
-                    lambda d: cleaning.clean_trips(observe_rules_stream(d, cleaning.TRIP_RULES, "rules"), dedup=False),
-                    house.table("silver", "rules_many"), house.checkpoint("silver", "rules_many") + "/data")
-        counts = progress_metrics(spark, run_flow(spark, flow), "rules")
-    finally:
-        spark.conf.set(key, kept)
-    rows = [(rule, counts["rows"], counts[f"failed_{rule}"]) for rule in cleaning.TRIP_RULES]
-    return spark.createDataFrame(rows, "rule string, total long, failed long")
+        run_flow(spark, _counting_flow(house, "rules_resumed", _Interrupted(spark, counts.root)))
+    except Exception as stopped:  # noqa: BLE001 - the planned one
+        if "the driver is gone" not in str(stopped):
+            raise
+    house.table("silver", "rules_resumed").refresh()
+    run_flow(spark, _counting_flow(house, "rules_resumed", counts))
+    return counts.totals()
 
 
 @register("silver_trips_stream_state", layers_sql(
@@ -226,6 +250,33 @@ def silver_trips_stream_state(spark, sf_dir):
     return t.read().groupBy(*TRIP_KEYS).agg(F.count(F.lit(1)).alias("n"))
 
 
+_WAVE = "CAST(extract(year FROM pickup_datetime) AS INTEGER)"
+
+
+@register("dedup_reads_own_months", layers_sql(f"""
+SELECT wave, n AS new_rows, COALESCE(LAG(n) OVER (ORDER BY wave), 0) AS keys_read,
+       CAST(COALESCE(SUM(n) OVER (ORDER BY wave ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+         AS keys_stored
+FROM (SELECT {_WAVE} AS wave, COUNT(*) AS n FROM silver_trips GROUP BY 1)""", "silver_trips"))
+def dedup_reads_own_months(spark, sf_dir):
+    """Trips in waves of a year, each wave with all trips of the year before sent again: the keys that a wave is
+    compared with are those of its own months (the year before's), however many are stored."""
+    m = Medallion(spark, sf_dir)
+    root = scratch_dir(spark, "own-months")
+    landing, house = Landing(f"{root}/landing"), Lakehouse(spark, f"{root}/house")
+    trips, year = m.bronze_trips(), F.year("pickup_datetime")
+    table = house.table("silver", "taxi")
+    out, stored = [], 0
+    for wave in sorted(r[0] for r in trips.select(year).distinct().collect() if r[0] is not None):  # a few years
+        write_landing(trips.filter(year.isin(wave - 1, wave)), landing.path("taxi"), landing.trips_fmt)
+        run_pipeline(spark, [f for f in medallion_flows(spark, landing, house)
+                             if f.name in ("bronze_taxi", "silver_taxi")])
+        metrics = table._latest()["operationMetrics"]
+        out.append((wave, int(metrics["numOutputRows"]), int(metrics["numKeysRead"]), stored))
+        stored += int(metrics["numOutputRows"])
+    return spark.createDataFrame(out, "wave int, new_rows long, keys_read long, keys_stored long")
+
+
 @register("gold_zone_metrics_stream", layers_sql("SELECT * FROM gold_zone_metrics", "gold_zone_metrics"))
 def gold_zone_metrics_stream(spark, sf_dir):
     return _drop_stamps(two_wave(spark, sf_dir).house.table("gold", "taxi_metrics").read())
@@ -247,10 +298,11 @@ FROM (SELECT pu_location_id, payment_type_description, fare_amount FROM silver_t
 GROUP BY ALL
 """, "silver_trips"))
 def gold_zone_metrics_update_stream(spark, sf_dir):
-    """Gold zone metrics kept in update mode (only changed groups written per
-    micro-batch, latest row per group on read) after a wave of new trips; a
-    new trip whose business key was already seen is rejected."""
-    return _drop_stamps(trips_update_mode(spark, sf_dir).table("gold", "taxi_metrics").read())
+    """Gold zone metrics kept in update mode (only the buckets of changed groups
+    are rewritten per micro-batch) after a wave of new trips; a new trip whose
+    business key was already seen is rejected."""
+    house = trips_update_mode(spark, sf_dir)
+    return _drop_stamps(house.aggregate("gold", "taxi_metrics", ["pu_location_id", "payment_type_description"]).read())
 
 
 @register("gold_driver_metrics_stream", layers_sql("SELECT * FROM gold_driver_metrics", "gold_driver_metrics"))
@@ -278,6 +330,29 @@ def enriched_phone_stream(spark, sf_dir):
         "id", "driver_id", "driver_name", "driver_car_number", "driver_experience", "driver_rating", "driver_phone")
 
 
+@register("enriched_hot_driver", layers_sql("""
+SELECT t.id, CASE WHEN CAST(t.user_id AS BIGINT) % 3 = 0 THEN '1' ELSE t.driver_id END AS driver_id,
+       d.name AS driver_name, d.experience AS driver_experience
+FROM silver_trips t LEFT JOIN silver_drivers d
+  ON d.id = CASE WHEN CAST(t.user_id AS BIGINT) % 3 = 0 THEN '1' ELSE t.driver_id END
+""", "silver_drivers"))
+def enriched_hot_driver(spark, sf_dir):
+    """One driver has a third of all trips and the drivers are not broadcast: that driver's trips alone are salted."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(key)
+    m = Medallion(spark, sf_dir)
+    hot = F.when(F.col("user_id").cast("long") % 3 == 0, F.lit("1")).otherwise(F.col("driver_id"))
+    trips = m.silver_trips().withColumn("driver_id", hot)
+    path = scratch_dir(spark, "hot-driver")
+    spark.conf.set(key, "-1")
+    try:  # planned and run under the setting
+        enrich_trips(trips, m.silver_drivers(), dedup_trips=False, with_stamp=False).select(
+            "id", "driver_id", "driver_name", "driver_experience").write.parquet(path)
+    finally:
+        spark.conf.set(key, kept)
+    return spark.read.parquet(path)
+
+
 @register("enriched_match_stream", layers_sql("""
 SELECT COUNT(*) AS total_trips, COUNT(*) FILTER (WHERE d.id IS NOT NULL) AS with_driver
 FROM (SELECT DISTINCT id, driver_id FROM silver_trips) t LEFT JOIN silver_drivers d ON t.driver_id = d.id
@@ -419,6 +494,52 @@ def cluster_layout(spark, sf_dir):
 
 
 
+@register("cluster_hot_key", """
+SELECT TRUE AS multi_file, TRUE AS even_files, CAST(0 AS BIGINT) AS overlapping_files, COUNT(*) AS row_count
+FROM lineitem
+""")
+def cluster_hot_key(spark, sf_dir):
+    """Clustering on a key that holds a third of all rows: the largest file has at most twice the mean."""
+    from pyspark.sql import Window
+
+    t = Lakehouse(spark, scratch_dir(spark, "cluster-hot")).table("bronze", "lines")
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey")).cast("long")
+    t.overwrite(read_table(spark, sf_dir, "lineitem").select(key.alias("k"), "l_orderkey", "l_linenumber"))
+    t.cluster("k", rows_per_file=max(1, t._latest()["rows"] // 12))
+    w = Window.orderBy("min_key", "max_key")  # a row per file
+    return t.layout("k").withColumn("before", F.max("max_key").over(w.rowsBetween(Window.unboundedPreceding, -1))).agg(
+        (F.count(F.lit(1)) > 6).alias("multi_file"),
+        (F.max("rows") <= 2 * F.avg("rows")).alias("even_files"),
+        F.count_if(F.col("min_key") < F.col("before")).alias("overlapping_files"),
+        F.sum("rows").alias("row_count"))
+
+
+@register("compact_by_bytes", """
+SELECT TRUE AS merged, TRUE AS one_size, (SELECT COUNT(*) FROM documents) + (SELECT COUNT(*) FROM lineitem) AS row_count,
+       CAST((SELECT SUM(doc_id) FROM documents) + (SELECT SUM(l_orderkey) FROM lineitem) AS BIGINT) AS id_sum
+""")
+def compact_by_bytes(spark, sf_dir):
+    """Many small commits of wide rows (texts) and of narrow rows (numbers) packed into files of one size in bytes."""
+    from ..fs import data_bytes, list_names
+
+    t = Lakehouse(spark, scratch_dir(spark, "compact-bytes")).table("bronze", "mixed")
+    wide = read_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    narrow = read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"),
+                                                          F.lit(None).cast("string").alias("text"))
+    for part in range(4):
+        for rows in (wide, narrow):
+            t.append(rows.filter(F.pmod(F.xxhash64("id"), F.lit(4)) == part).repartition(3))
+    target = sum(data_bytes(spark, t._folder(c)) for c in t._latest()["live"]) // 6
+    before = sum(n for _, n in t.commit_stats().values())
+    t.compact(target)
+    sizes = [data_bytes(spark, f"{t._folder(c)}/{n}") for c in t._latest()["live"]
+             for n in list_names(spark, t._folder(c)) if n.startswith("part-")]
+    return t.read().agg(
+        F.lit(len(sizes) < before).alias("merged"),
+        F.lit(max(sizes) <= 1.6 * target and sum(s >= target / 2 for s in sizes) >= len(sizes) - 1).alias("one_size"),
+        F.count(F.lit(1)).alias("row_count"), F.sum("id").alias("id_sum"))
+
+
 @register("optimize_log", """
 SELECT table_name, CAST(optimize_version AS BIGINT) AS optimize_version,
        CAST(z_order_by AS VARCHAR) AS z_order_by, CAST(cluster_by AS VARCHAR) AS cluster_by

@@ -22,13 +22,15 @@ from __future__ import annotations
 import hashlib
 import logging
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.quality import RuleCounts
+from ..tables.buckets import BucketedAggregate
 from ..tables.versioned import VersionedTable
 
 log = logging.getLogger(__name__)
@@ -39,15 +41,18 @@ class Flow:
     name: str
     source: Callable[[SparkSession], DataFrame]
     transform: Callable[[DataFrame], DataFrame]
-    target: VersionedTable
+    target: VersionedTable | BucketedAggregate
     checkpoint: str
     mode: str = "append"  # "append" | "complete" | "update"
     after: Callable[[SparkSession], None] | None = None  # e.g. compaction / clustering
     depends_on: tuple[str, ...] = ()  # names of flows whose tables this flow reads
     merge_keys: tuple[str, ...] | None = None  # append only rows with unseen keys (see insert_new)
-    upsert_keys: tuple[str, ...] | None = None  # mode "update": merge-on-read upsert by these keys
     merge_order: tuple[str, ...] | None = None  # reproducible winner within a micro-batch (merge_keys)
+    merge_period: str | None = None  # a time among merge_keys: only stored keys of its periods are read
     expand: Callable[[DataFrame], DataFrame] | None = None  # rows of a micro-batch of file names (FileSource.read)
+    batchwise: bool = False  # ``transform`` runs on each micro-batch as a plain DataFrame, not on the stream
+    rules: Mapping[str, str] | None = None  # counted on the input of each micro-batch (batchwise flows)
+    counts: RuleCounts | None = None  # where the counts go
 
     def tag(self) -> str:
         return "s" + hashlib.sha1(self.checkpoint.encode()).hexdigest()[:10]
@@ -57,14 +62,17 @@ def run_flow(spark: SparkSession, flow: Flow, once: bool = True) -> StreamingQue
     """Start the flow, wait until the available input is processed, run ``after``."""
     t0 = time.perf_counter()
     before = flow.target.version()
-    write = flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys, flow.upsert_keys, flow.merge_order)
-    if flow.expand is None:
+    write = flow.target.batch_writer(flow.mode, flow.tag(), flow.merge_keys, flow.merge_order, flow.merge_period)
+    if flow.expand is None and not flow.batchwise:
         df, sink = flow.transform(flow.source(spark)), write
-    else:  # the stream carries names; rows are read and transformed per micro-batch
+    else:
         df = flow.source(spark)
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            write(flow.transform(flow.expand(batch)), batch_id)
+            rows = flow.expand(batch) if flow.expand else batch
+            write(flow.transform(rows), batch_id)
+            if flow.counts is not None:
+                flow.counts.record(f"{flow.tag()}-{batch_id:012d}", rows, flow.rules or {})
     writer = (
         df.writeStream.queryName(f"{flow.name}_{flow.tag()}")
         .outputMode(flow.mode)

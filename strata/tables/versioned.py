@@ -1,5 +1,5 @@
-"""Versioned Parquet tables: history, as-of reads, restore, compaction,
-clustering and upserts, all expressed as ordinary Spark reads and writes.
+"""Versioned Parquet tables: history, as-of reads, restore, compaction and
+clustering, all expressed as ordinary Spark reads and writes.
 
 Layout of a table at ``root``::
 
@@ -11,8 +11,7 @@ A version is the set of live commits plus the schema and table properties.
 Appending adds a commit to the live set; overwriting replaces it; compaction
 bin-packs small unclustered commits into one rewrite; clustering rewrites
 (all, or only the unclustered commits) sorted by a key, so that filters pushed
-into the Parquet reader skip files; restoring re-publishes an old live set; an
-upsert table (update mode) keeps the newest row per key on read.
+into the Parquet reader skip files; restoring re-publishes an old live set.
 
 Files are never rewritten in place, so a stream over ``data/`` never sees a
 rewrite again (compaction changes no content). A write is idempotent per
@@ -34,10 +33,13 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fs import count_data_files, create_text, delete_path, path_exists
+from ..fs import count_data_files, create_text, data_bytes, delete_path, path_exists
 from ..operators.dedup import drop_duplicates
+from ..operators.quality import RuleCounts
 from ..schemas import OP_OPTIMIZE, OP_RESTORE, OP_STREAMING_UPDATE, OP_WRITE
 from ..sources.files import NO_FILE_TOO_OLD, widen
+from .buckets import BucketedAggregate
+from .keys import KeyStore
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
@@ -53,7 +55,24 @@ HISTORY_SCHEMA = T.StructType([
 ])
 
 COMMIT_COL = "_commit"
+ROW_COL = "_row"
 DATA, REWRITES = "data", "rewrites"
+TARGET_BYTES = 128 << 20
+
+
+def first_fit_decreasing(sizes: Mapping[str, int], capacity: int) -> list[list[str]]:
+    """Bins of names: by falling size each goes to the first bin with room; what fills one alone has its own."""
+    bins: list[list[str]] = []
+    room: list[int] = []
+    for name, size in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        at = next((i for i, r in enumerate(room) if size <= r), None)
+        if at is None:
+            bins.append([name])
+            room.append(capacity - size)
+        else:
+            bins[at].append(name)
+            room[at] -= size
+    return bins
 
 
 class VersionConflict(RuntimeError):
@@ -151,7 +170,7 @@ class VersionedTable:
         self._last_files = count_data_files(self.spark, path)
         return int(obs.get.get("n", 0))
 
-    def _publish(self, commit: str, n: int, schema: T.StructType, operation: str, params, properties=None) -> int:
+    def _publish(self, commit: str, n: int, schema: T.StructType, operation: str, params, metrics=None) -> int:
         """Record a written data commit on top of the latest version. A refused one is removed, so that its
         rows never reach a downstream stream."""
         prev = self._latest()
@@ -161,10 +180,9 @@ class VersionedTable:
             return prev["version"]
         live = (list(prev["live"]) if prev else []) + [f"{DATA}/{commit}"]
         merged = widen(T.StructType.fromJson(json.loads(prev["schema"])) if prev else None, schema)
-        props = {**((prev["properties"] or {}) if prev else {}), **properties} if properties else None
         try:
             return self._record(operation, commit, live, merged, (prev["rows"] if prev else 0) + n, params,
-                                {"numOutputRows": n, "numFiles": self._last_files}, properties=props)
+                                {"numOutputRows": n, "numFiles": self._last_files, **(metrics or {})})
         except VersionConflict:
             delete_path(self.spark, path)
             raise
@@ -188,70 +206,79 @@ class VersionedTable:
                             {"mode": "Overwrite", **(params or {})},
                             {"numOutputRows": n, "numFiles": self._last_files})
 
-    def new_rows(self, df: DataFrame, keys: Sequence[str], exclude_commit: str | None = None,
-                 order_by: Sequence[str] | None = None) -> DataFrame:
+    def stored_keys(self, df: DataFrame, keys: Sequence[str], period: str | None = None) -> DataFrame | None:
+        """Keys that the table holds and ``df`` may repeat (None: there are none). With ``period``, a time among the
+        keys, those of the periods of ``df``, from a ``KeyStore``; without, the key columns of the whole table."""
+        prev = self._latest()
+        if prev is None:
+            return None
+        if period is not None:
+            return self.key_store(keys, period).seen(df)
+        schema = T.StructType.fromJson(json.loads(prev["schema"]))
+        return self._scan_commits(T.StructType([schema[k] for k in keys]), prev["live"])
+
+    def new_rows(self, df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None,
+                 period: str | None = None) -> DataFrame:
         """Rows of ``df`` (one per key) whose key is not in the table yet.
 
         ``df`` is de-duplicated by aggregation (partial per task, so a hot key
         is combined before the shuffle), then anti-joined on the key columns
-        (NULL-safe) with the keys already stored — the scan of the table reads
-        only the key columns. Both join sides are unique per key, so no key is
-        skewed. ``exclude_commit`` leaves a commit's own rows out (replays).
-        ``order_by`` makes the winner inside ``df`` reproducible (smallest row
-        by these columns, then the rest) instead of any row."""
-        keys = list(keys)
+        (NULL-safe) with the stored keys. Both join sides are unique per key,
+        so no key is skewed. ``order_by`` makes the winner inside ``df``
+        reproducible (smallest row by these columns, then the rest)."""
+        return self._unseen(df, list(keys), order_by, self.stored_keys(df, list(keys), period))
+
+    def _unseen(self, df: DataFrame, keys: list[str], order_by, stored: DataFrame | None) -> DataFrame:
         batch = drop_duplicates(df, keys, order_by=order_by)
-        prev = self._latest()
-        if prev is None:
+        if stored is None:
             return batch
-        schema = T.StructType.fromJson(json.loads(prev["schema"]))
-        key_schema = T.StructType([schema[k] for k in keys])
-        live = [c for c in prev["live"] if c != f"{DATA}/{exclude_commit}"]
-        seen = self._scan_commits(key_schema, live).select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
+        seen = stored.select(*[F.col(k).alias(f"_seen_{k}") for k in keys])
         cond = None
         for k in keys:
             c = batch[k].eqNullSafe(seen[f"_seen_{k}"])
             cond = c if cond is None else cond & c
         return batch.join(seen, cond, "left_anti")
 
+    def key_store(self, keys: Sequence[str], period: str) -> KeyStore:
+        """The stored keys of all published commits; commits that lack in the store are added first. A restore or an
+        overwrite begins a new store, from what is live then."""
+        entries = self._entries()
+        start = max((i for i, e in enumerate(entries) if e["operation"] == OP_RESTORE
+                     or (e["operationParameters"] or {}).get("mode") == "Overwrite"), default=0)
+        store = KeyStore(self.spark, f"{self.root}/_keys/{'-'.join(keys)}/v{entries[start]['version']}", keys, period)
+        wanted = list(entries[start]["live"]) + [f"{DATA}/{e['commit']}" for e in entries[start + 1:]
+                                                 if f"{DATA}/{e['commit']}" in e["live"]]
+        marks = store.marks()
+        sizes = self.commit_stats()
+        for c in wanted:
+            name = c.split("/", 1)[1]
+            if name not in marks:
+                schema = T.StructType([f for f in self.schema().fields if f.name in keys])
+                store.add(self._scan_commits(schema, [c]), name, sizes.get(c, (0, 0))[0])
+        return store
+
     def insert_new(self, df: DataFrame, keys: Sequence[str], operation: str = OP_WRITE,
                    commit: str | None = None, params: Mapping[str, str] | None = None,
-                   order_by: Sequence[str] | None = None) -> int:
+                   order_by: Sequence[str] | None = None, period: str | None = None) -> int:
         """Append only rows whose key is not in the table yet (one row per key;
         the first key ever seen wins, like an insert-only MERGE)."""
         commit = commit or f"w-{uuid.uuid4().hex}"
         if self._has_commit(commit):
             return self._entry(None)["version"]
-        rows = self.new_rows(df, keys, exclude_commit=commit, order_by=order_by)
+        stored = self.stored_keys(df, keys, period)
+        rows = self._unseen(df, list(keys), order_by, stored)
         # the rows were chosen against the keys read above: a concurrent commit
         # invalidates that choice, so a conflict fails (a stream replays the batch)
-        return self.append(rows, operation, commit, {**(params or {}), "mergeKeys": json.dumps(list(keys))})
-
-    def upsert_keys(self, version: int | None = None) -> list[str] | None:
-        e = self._entry(version)
-        keys = ((e["properties"] or {}) if e is not None else {}).get("upsertKeys")
-        return json.loads(keys) if keys else None
-
-    def upsert(self, df: DataFrame, keys: Sequence[str], operation: str = OP_WRITE,
-               commit: str | None = None, params: Mapping[str, str] | None = None) -> int:
-        """Merge-on-read upsert: ``df`` (one row per key) is appended as a
-        commit; readers keep, per key, the row of the newest commit. The write
-        costs only the changed rows; ``compact`` folds the commits back into
-        one row per key. The history row count of an upsert table is an upper
-        bound until the next fold (the audit counts rows exactly)."""
-        commit = commit or f"u-{uuid.uuid4().hex}"
-        if self._has_commit(commit):
-            return self._entry(None)["version"]
-        return self._publish(commit, self._write(df, DATA, commit), df.schema, operation, params,
-                             {"upsertKeys": json.dumps(list(keys))})
+        n = self._write(rows, DATA, commit)
+        return self._publish(commit, n, rows.schema, operation, {**(params or {}), "mergeKeys": json.dumps(list(keys))},
+                             metrics={} if period is None else {"numKeysRead": stored.count() if stored else 0})
 
     def batch_writer(self, mode: str, tag: str, merge_keys: Sequence[str] | None = None,
-                     upsert_keys: Sequence[str] | None = None, merge_order: Sequence[str] | None = None
+                     merge_order: Sequence[str] | None = None, merge_period: str | None = None
                      ) -> Callable[[DataFrame, int], None]:
         """``foreachBatch`` function: exactly-once by commit id ``<tag>-<batchId>``.
 
-        ``mode`` "complete" replaces the table; "update" upserts the changed
-        rows by ``upsert_keys`` (merge-on-read); "append" adds the batch, or
+        ``mode`` "complete" replaces the table; "append" adds the batch, or
         with ``merge_keys`` only its rows with unseen keys (``insert_new``)."""
         operation = OP_STREAMING_UPDATE
 
@@ -259,13 +286,11 @@ class VersionedTable:
             commit = f"{tag}-{batch_id:012d}"
             if mode == "complete":
                 self.overwrite(batch, operation, commit, {"outputMode": "Complete"})
-            elif mode == "update":
-                if not upsert_keys:
-                    raise ValueError("update mode needs upsert_keys")
-                self.upsert(batch, upsert_keys, operation, commit, {"outputMode": "Update"})
+            elif mode != "append":
+                raise ValueError(f"output mode {mode}")
             elif merge_keys:
                 self.insert_new(batch, merge_keys, operation, commit, {"outputMode": "Append"},
-                                order_by=merge_order)
+                                order_by=merge_order, period=merge_period)
             else:
                 self.append(batch, operation, commit, {"outputMode": "Append"})
 
@@ -288,28 +313,17 @@ class VersionedTable:
         e = self._entry(version)
         if e is None:
             raise ValueError(f"{self.name}: table does not exist")
-        schema = T.StructType.fromJson(json.loads(e["schema"]))
-        keys = json.loads(((e["properties"] or {}).get("upsertKeys")) or "null")
-        if not keys or with_file:
-            return self._scan_commits(schema, list(e["live"]), with_file)
-        # merge-on-read: per key, the row of the newest commit
-        order = {}
-        for x in self._entries():
-            for c in x["live"]:
-                order.setdefault(c.split("/", 1)[1], x["version"])
-        rows = self._scan_commits(schema, list(e["live"]), with_commit=True)
-        rank = F.element_at(F.create_map(*[F.lit(v) for kv in order.items() for v in kv]), F.col(COMMIT_COL))
-        rest = [f.name for f in schema.fields if f.name not in keys]
-        latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-        return latest.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(*schema.fieldNames())
+        return self._scan_commits(T.StructType.fromJson(json.loads(e["schema"])), list(e["live"]), with_file)
 
     def _scan_commits(self, schema: T.StructType, live: Sequence[str], with_file: bool = False,
-                      with_commit: bool = False) -> DataFrame:
+                      with_commit: bool = False, with_row: bool = False) -> DataFrame:
         cols = [F.col(f.name) for f in schema.fields]
         if with_file:
             cols.append(F.col("_metadata.file_name").alias("file"))
         if with_commit:
             cols.append(F.col(COMMIT_COL))
+        if with_row:  # the same number whenever the row is read
+            cols.append(F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(ROW_COL))
         parts = []
         for area in (DATA, REWRITES):
             # only live folders are listed, whatever else was ever written
@@ -355,52 +369,51 @@ class VersionedTable:
                             T.StructType.fromJson(json.loads(e["schema"])), e["rows"],
                             {"version": version}, properties=e["properties"] or {})
 
-    def _target_files(self, rows: int, rows_per_file: int) -> int:
-        return max(1, math.ceil(rows / max(rows_per_file, 1)))
-
-    def compact(self, rows_per_file: int = 1_000_000) -> int | None:
-        """OPTIMIZE by bin-packing. Candidates are live commits that are small
-        (fewer rows than ``rows_per_file``) or split into more files than their
-        rows need; they are rewritten together into right-sized files, other
-        commits stay as they are. The work is proportional to the candidate
-        (usually new) data, not to the table. Returns the new version, or None
-        when the candidates already use no more files than needed."""
+    def compact(self, target_bytes: int = TARGET_BYTES) -> int | None:
+        """OPTIMIZE by bin-packing file bytes. Candidates are live, unclustered commits that are smaller than a file
+        should be or lie in more files than their bytes need. They are packed into bins of ``target_bytes``, first fit
+        by falling size; a bin that one file already fills stays, every other one is rewritten to as many files as
+        its bytes need. Wide and narrow rows so give files of one size. The work is proportional to the candidate
+        (usually new) data. Returns the new version, or None when there is nothing to merge."""
         e = self._latest()
-        if self.upsert_keys() and len(e["live"]) > 1:
-            return self._fold_upserts(rows_per_file)
-        stats = self.commit_stats()
-        need = lambda rows: self._target_files(rows, rows_per_file)
-        clustered = self._clustered()
-        cand = [c for c in e["live"] if c in stats and c not in clustered  # a bin-packed rewrite has no order
-                and (stats[c][0] < rows_per_file or stats[c][1] > need(stats[c][0]))]
-        n_rows = sum(stats[c][0] for c in cand)
-        n_files = sum(stats[c][1] for c in cand)
-        if not cand or n_files <= need(n_rows):
+        stats, clustered = self.commit_stats(), self._clustered()
+        sizes = {c: data_bytes(self.spark, self._folder(c)) for c in e["live"] if c not in clustered}
+        files = {c: stats.get(c, (0, 1))[1] for c in sizes}
+        cand = {c: n for c, n in sizes.items() if n < target_bytes or files[c] > -(-n // target_bytes)}
+        bins = [b for b in first_fit_decreasing(cand, target_bytes)
+                if sum(files[c] for c in b) > -(-sum(cand[c] for c in b) // target_bytes)]
+        if not bins:
             return None
-        n = need(n_rows)
-        commit = f"c-{uuid.uuid4().hex}"
+        # file numbers: a bin's rows are dealt evenly over its own files
+        first, many, total = {}, {}, 0
+        for b in bins:
+            n = max(1, -(-sum(cand[c] for c in b) // target_bytes))
+            for c in b:
+                first[c.split("/", 1)[1]], many[c.split("/", 1)[1]] = total, n
+            total += n
+        chosen = [c for b in bins for c in b]
         schema = self.schema()
-        df = self._scan_commits(schema, cand).repartition(n)
-        written = self._write(df, REWRITES, commit)
-        live = [c for c in e["live"] if c not in set(cand)] + [f"{REWRITES}/{commit}"]
+        places = self.spark.createDataFrame([(c, first[c], many[c]) for c in first],  # a row per commit
+                                            f"{COMMIT_COL} string, _first int, _many int")
+        rows = self._scan_commits(schema, chosen, with_commit=True, with_row=True).join(F.broadcast(places), COMMIT_COL)
+        file = (F.col("_first") + F.pmod(F.col(ROW_COL), F.col("_many"))).cast("int")
+        commit = f"c-{uuid.uuid4().hex}"
+        written = self._write(rows.withColumn("_file", file).repartitionById(total, F.col("_file"))
+                              .select(*schema.fieldNames()), REWRITES, commit)
+        live = [c for c in e["live"] if c not in set(chosen)] + [f"{REWRITES}/{commit}"]
         return self._record(OP_OPTIMIZE, commit, live, schema, e["rows"], {"predicate": "[]"},
-                            {"numRemovedFiles": n_files, "numFilesAdded": self._last_files,
+                            {"numRemovedFiles": sum(files[c] for c in chosen), "numFilesAdded": self._last_files,
                              "numOutputRows": written, "numFiles": self._last_files})
 
-    def _fold_upserts(self, rows_per_file: int) -> int:
-        """Rewrite an upsert table as one row per key (the merged view)."""
-        e = self._latest()
-        commit = f"c-{uuid.uuid4().hex}"
-        df = self.read().repartition(self._target_files(e["rows"], rows_per_file))
-        written = self._write(df, REWRITES, commit)
-        return self._record(OP_OPTIMIZE, commit, [f"{REWRITES}/{commit}"], self.schema(), written,
-                            {"predicate": "[]"}, {"numRemovedCommits": len(e["live"]),
-                                                  "numOutputRows": written, "numFiles": self._last_files})
+    def _folder(self, live: str) -> str:
+        area, commit = live.split("/", 1)
+        return f"{self.root}/{area}/{COMMIT_COL}={commit}"
 
     def cluster(self, key: str, rows_per_file: int = 1_000_000, zorder: bool = False,
                 incremental: bool = False) -> int | None:
-        """Range-cluster on ``key``: files hold disjoint, sorted key ranges. On
-        one column a Z-order is the same layout.
+        """Range-cluster on ``key``: files hold neighbouring, sorted key ranges. On one column a Z-order is the same
+        layout. The ranges are cut over (key, row number), so a key with more rows than a file should have is spread
+        over several files instead of making one huge one.
 
         ``incremental`` clusters only the live commits that are not clustered
         by ``key`` yet (the data added since the last clustering) and
@@ -408,24 +421,20 @@ class VersionedTable:
         new version, or None when everything is clustered already."""
         e = self._latest()
         clustered = self._clustered()
-        if incremental and not self.upsert_keys():
-            todo = [c for c in e["live"] if clustered.get(c) != key]
-        else:
-            todo = list(e["live"])
+        todo = [c for c in e["live"] if not incremental or clustered.get(c) != key]
         if not todo:
             return None
         partial = len(todo) < len(e["live"])
-        if partial:  # only the unclustered commits are read and rewritten
-            rows = sum(self.commit_stats().get(c, (0, 0))[0] for c in todo)
-            source = self._scan_commits(self.schema(), todo)
-        else:  # everything (an upsert table is read merged)
-            rows, source = e["rows"], self.read()
+        rows = sum(self.commit_stats().get(c, (0, 0))[0] for c in todo) if partial else e["rows"]
+        schema = self.schema()
         commit = f"k-{uuid.uuid4().hex}"
-        df = source.repartitionByRange(self._target_files(rows, rows_per_file), F.col(key)).sortWithinPartitions(key)
+        df = (self._scan_commits(schema, todo, with_row=True)
+              .repartitionByRange(max(1, math.ceil(rows / max(rows_per_file, 1))), F.col(key), F.col(ROW_COL))
+              .sortWithinPartitions(key).select(*schema.fieldNames()))
         written = self._write(df, REWRITES, commit)
         params = {"zOrderBy": json.dumps([key])} if zorder else {"clusterBy": json.dumps([key])}
         live = [c for c in e["live"] if c not in set(todo)] + [f"{REWRITES}/{commit}"]
-        return self._record(OP_OPTIMIZE, commit, live, self.schema(), e["rows"] if partial else written, params,
+        return self._record(OP_OPTIMIZE, commit, live, schema, e["rows"] if partial else written, params,
                             {"numFilesAdded": self._last_files, "numOutputRows": written,
                              "numFiles": self._last_files}, properties={**(e["properties"] or {}), "clusterKey": key})
 
@@ -462,6 +471,13 @@ class Lakehouse:
             self._tables[key] = VersionedTable(self.spark, f"{self.root}/{layer}/{name}", key)
         return self._tables[key]
 
+    def aggregate(self, layer: str, name: str, keys: Sequence[str]) -> BucketedAggregate:
+        """A large aggregate that is kept bucket by bucket (``gold_mode="update"``)."""
+        return BucketedAggregate(self.spark, f"{self.root}/{layer}/{name}/_buckets", keys)
+
+    def rule_counts(self, flow: str) -> RuleCounts:
+        return RuleCounts(self.spark, f"{self.root}/_rule_counts/{flow}")
+
     def create_views(self, tables: Mapping[str, Sequence[str]]) -> list[str]:
         """Session views ``<layer>_<table>`` over the current version of each table, for SQL text.
 
