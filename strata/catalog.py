@@ -33,3 +33,37 @@ def register_table(spark: SparkSession, name: str, path: str, comment: str | Non
 
 def table_properties(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"SHOW TBLPROPERTIES {name}")
+
+
+# What each layer's tables are, as their comments say.
+LAYER_COMMENTS = {
+    "bronze": "Rows as they were landed, with ingestion time and source file",
+    "silver": "Cleaned and de-duplicated rows",
+    "gold": "Aggregates and enriched rows",
+}
+
+
+def register_pipeline_tables(spark: SparkSession, house, tables: Mapping[str, Iterable[str]],
+                             prefix: str = "") -> dict[str, str]:
+    """Catalog entries ``<prefix>_<layer>.<table>`` for the pipeline's tables, over the folders of their current
+    version, with a comment and the property ``quality``; other sessions of the catalog read them by name.
+    Call again after a run: an entry shows the version it was made for (its property ``version``)."""
+    out = {}
+    for layer, names in tables.items():
+        schema = f"{prefix}_{layer}" if prefix else layer
+        ensure_schemas(spark, [schema])
+        for name in names:
+            table = house.table(layer, name).refresh()
+            if not table.exists():
+                continue
+            full = f"`{schema}`.`{name}`"
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema().fields)
+            spark.sql(f"DROP TABLE IF EXISTS {full}")  # the entry only: its files belong to the table
+            spark.sql(f"CREATE TABLE {full} ({columns}, `_commit` STRING) USING parquet PARTITIONED BY (`_commit`) "
+                      f"COMMENT '{LAYER_COMMENTS.get(layer, layer)}' LOCATION '{table.root}/data' "
+                      f"TBLPROPERTIES ('quality' = '{layer}', 'version' = '{table.version()}')")
+            for live in table._latest()["live"]:
+                spark.sql(f"ALTER TABLE {full} ADD PARTITION (`_commit` = '{live.split('/', 1)[1]}') "
+                          f"LOCATION '{table._folder(live)}'")
+            out[f"{layer}.{name}"] = full
+    return out

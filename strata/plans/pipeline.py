@@ -21,6 +21,7 @@ from ..operators import aggregates, cleaning, enrich
 from ..schemas import DRIVER
 from ..sources.files import RESCUED, FileSource
 from ..streaming.flows import Flow, run_pipeline
+from ..streaming.schema_log import SchemaLog
 from .batch import DRIVER_ORDER, ENRICH_TRIP_ORDER, TRIP_ORDER, USER_ORDER
 from ..tables.versioned import Lakehouse
 
@@ -83,7 +84,9 @@ def medallion_flows(spark: SparkSession, landing: Landing, house: Lakehouse,
     def silver(entity, clean, rules, keys, order, period=None) -> Flow:
         merge = {} if state else {"merge_keys": tuple(keys), "merge_order": tuple(order), "merge_period": period,
                                   "batchwise": True, "rules": rules, "counts": house.rule_counts(f"silver_{entity}")}
-        return Flow(f"silver_{entity}", lambda s: t("bronze", entity).read_stream(max_files_per_trigger),
+        log = SchemaLog(spark, f"{ck('silver', entity)}/source_schema")
+        return Flow(f"silver_{entity}", lambda s: t("bronze", entity).read_stream(
+            max_files_per_trigger, log.track(t("bronze", entity).schema())),
                     lambda d: clean(d.drop(RESCUED), dedup=state), t("silver", entity), data_ck("silver", entity),
                     depends_on=(f"bronze_{entity}",), **merge)
 

@@ -263,4 +263,4 @@ def kpi_row_counts(spark, sf_dir):
     })
 
 
-from . import ingest_queries, stream_queries  # noqa: E402,F401  (register the streaming queries)
+from . import ingest_queries, stream_queries, table_queries  # noqa: E402,F401  (register their queries)

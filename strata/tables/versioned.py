@@ -349,12 +349,13 @@ class VersionedTable:
                 stats[e["live"][-1]] = (int(m["numOutputRows"]), int(m.get("numFiles", 1)))
         return stats
 
-    def read_stream(self, max_files_per_trigger: int | None = None) -> DataFrame:
+    def read_stream(self, max_files_per_trigger: int | None = None, schema: T.StructType | None = None) -> DataFrame:
         """New append commits as a stream (rewrites are never re-emitted).
 
-        The schema is the latest version's at the time the stream starts;
-        restarting the flow picks up a widened schema."""
-        schema = self.schema()
+        The schema is the latest version's at the time the stream starts
+        (or the one given, see ``streaming.schema_log``); restarting the flow
+        picks up a widened schema."""
+        schema = schema or self.schema()
         reader = self.spark.readStream.option("maxFileAge", NO_FILE_TOO_OLD).schema(
             T.StructType(schema.fields + [T.StructField(COMMIT_COL, T.StringType())]))
         if max_files_per_trigger:
