@@ -53,16 +53,40 @@ def test_license_labels(odd_docs, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
-def test_containment_threshold_is_exact(spark):
-    words = "redistribution and use in source and binary forms with or without modification are permitted provided " \
-            "that the following conditions are met".split()
-    distinct = sorted(set(words))
-    least = -(-len(distinct) * license_scan.CONTAINMENT_PCT // 100)
-    df = spark.createDataFrame([(1, " ".join(distinct[:least])), (2, " ".join(distinct[:least - 1])),
-                                (3, " ".join(distinct[-least:]) + " more words"),
-                                (4, "\n".join(distinct))], "doc_id long, text string")
+def _labels(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["labels"] for r in license_scan.scan(df).collect()}
-    assert got == {1: "bsd", 2: "", 3: "bsd", 4: ""}
+    return [got[i] for i in range(len(texts))]
+
+
+BSD = "redistribution and use in source and binary forms with or without modification are permitted provided that " \
+      "the following conditions are met"
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated " \
+      "documentation files (the \"Software\"), to deal\nin the Software without restriction, including"
+
+
+def test_containment_threshold_is_exact(spark):
+    bsd = next(t for t in license_scan.compiled(license_scan.TEMPLATES, {}) if t.label == "bsd")
+    spare = [w for w in bsd.words if w not in bsd.needed]
+    keep = len(bsd.words) - bsd.least  # words that may be missing
+    most = [*bsd.needed, *spare[keep:]]
+    texts = [" ".join(most), " ".join(most[:-1]), "\n".join(reversed(most)) + " more words",
+             " ".join([*bsd.needed[1:], *spare]),                       # a naming word is missing
+             " ".join(most[:3] + ["x"] * bsd.width + most[3:])]          # not in one block
+    assert len(most) == bsd.least and _labels(spark, texts) == ["bsd", "", "bsd", "", ""]
+
+
+def test_licenses_are_told_apart(spark):
+    texts = ["This work is licensed under the GNU General Public License, version 3.",
+             "Licensed under the GNU Lesser General Public License, version 2.1",
+             "This work is licensed under the GNU Lesser General Public License, version 3.",
+             "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-SA 4.0.",
+             "released under the license", MIT, "Released\nunder the MIT\nLicense", BSD.replace(" ", "\n"),
+             "Licensed under the Creative Commons Attribution 4.0 International License",
+             "Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License",
+             "success once more by the license of the committee, licensed under 40 terms"]
+    assert _labels(spark, texts) == ["gpl", "lgpl", "lgpl", "cc-by-nc", "cc-by-sa", "cc-by-nc", "", "mit", "mit", "bsd",
+                                     "cc-by", "", ""]
 
 
 # ---------------------------------------------------------------- sharding
