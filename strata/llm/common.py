@@ -83,6 +83,26 @@ def text_column(spark: SparkSession, make, schema) -> Callable[..., Column]:
     return F.arrow_udf(run, schema)
 
 
+def bit_table(cells: DataFrame, bits: int) -> np.ndarray:
+    """Packed table (bit c & 7 of byte c >> 3) of the numbers of column ``cell``, all below 2**bits.
+
+    Blocks of 65,536 bits are packed by tasks; the driver gets at most 2**bits / 8 bytes, in at most
+    2**(bits - 16) rows."""
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        marks = np.zeros(1 << 16, np.uint8)
+        marks[rows["cell"].to_numpy(np.int64) & 0xFFFF] = 1
+        return pd.DataFrame({"block": [int(rows["cell"].iloc[0]) >> 16],
+                             "packed": [np.packbits(marks, bitorder="little").tobytes()]})
+
+    ship(cells.sparkSession)
+    out = np.zeros(max(1 << bits, 1 << 16) >> 3, np.uint8)
+    blocks = cells.select("cell").distinct().groupBy(F.shiftright("cell", 16)).applyInPandas(
+        pack, "block int, packed binary")
+    for r in blocks.collect():
+        out[r["block"] << 13:(r["block"] + 1) << 13] = np.frombuffer(r["packed"], np.uint8)
+    return out
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import (
     arrow_map,
+    bit_table,
     fresh,
     hash_strings,
     load,
@@ -91,23 +92,63 @@ class _Side:
         return starts, (self.sums[starts + size] - self.sums[starts]) * self.down[starts]
 
 
-def _common(item: _Side, doc: _Side, size: int) -> list[tuple[int, int]]:
-    """(item start, document start) of equal windows of ``size`` unmarked words."""
+def _equal(item: _Side, doc: _Side, i: int, t: int, size: int) -> bool:
+    return np.array_equal(item.tokens[i:i + size], doc.tokens[t:t + size])
+
+
+def _by_hash(starts: np.ndarray, hashes: np.ndarray, wanted: np.ndarray) -> dict[int, list[int]]:
+    """Starts (ascending) of the windows with a wanted hash."""
+    keep = np.isin(hashes, wanted)
+    out: dict[int, list[int]] = {}
+    for t, x in zip(starts[keep].tolist(), hashes[keep].tolist(), strict=True):
+        out.setdefault(x, []).append(t)
+    return out
+
+
+def _any_common(item: _Side, doc: _Side, size: int) -> bool:
+    """Whether some window of ``size`` unmarked words stands in both. Windows are compared word by word only
+    where their hashes agree, and mostly the first comparison decides."""
     at, h = item.windows(size)
-    if len(at) == 0:
-        return []
     to, g = doc.windows(size)
-    found = np.flatnonzero(np.isin(g, h))
+    shared = np.intersect1d(h, g)
+    if len(shared) == 0:
+        return False
+    left, right = _by_hash(at, h, shared), _by_hash(to, g, shared)
+    return any(_equal(item, doc, i, t, size) for x in left for i in left[x] for t in right[x])
+
+
+def _mark_common(item: _Side, doc: _Side, size: int) -> list[tuple[int, int, int]]:
+    """Mark equal windows of ``size`` words that do not overlap: by item start the first document start that is
+    free. A document start that is taken stays taken, so each is passed once however often a word repeats."""
+    at, h = item.windows(size)
+    to, g = doc.windows(size)
+    places = _by_hash(to, g, h)
+    first = dict.fromkeys(places, 0)
     out = []
-    by_hash: dict[int, list[int]] = {}
     for i, x in zip(at.tolist(), h.tolist(), strict=True):
-        by_hash.setdefault(x, []).append(i)
-    for j in found.tolist():
-        t = int(to[j])
-        for i in by_hash[int(g[j])]:
-            if np.array_equal(item.tokens[i:i + size], doc.tokens[t:t + size]):
-                out.append((i, t))
-    return sorted(out)
+        own = places.get(x)
+        if own is None or item.marked[i:i + size].any():
+            continue
+        while first[x] < len(own) and doc.marked[own[first[x]]:own[first[x]] + size].any():
+            first[x] += 1
+        for t in own[first[x]:]:
+            if not doc.marked[t:t + size].any() and _equal(item, doc, i, t, size):
+                item.marked[i:i + size] = True
+                doc.marked[t:t + size] = True
+                out.append((i, t, size))
+                break
+    return out
+
+
+def most_coverage(item_tokens: np.ndarray, doc_tokens: np.ndarray, least: int = MIN_MATCH) -> int:
+    """Words of the item in windows of ``least`` words that the document may hold: tiles cover no more."""
+    item, doc = _Side(item_tokens), _Side(doc_tokens)
+    at, h = item.windows(least)
+    at = at[np.isin(h, doc.windows(least)[1])]
+    edges = np.zeros(len(item_tokens) + 1, np.int64)
+    np.add.at(edges, at, 1)
+    np.add.at(edges, at + least, -1)
+    return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
 def tiles(item_tokens: np.ndarray, doc_tokens: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
@@ -117,23 +158,15 @@ def tiles(item_tokens: np.ndarray, doc_tokens: np.ndarray, least: int = MIN_MATC
     item, doc = _Side(item_tokens), _Side(doc_tokens)
     out: list[tuple[int, int, int]] = []
     high = min(len(item_tokens), len(doc_tokens))
-    while high >= least:
-        matches = _common(item, doc, least)
-        if not matches:
-            break
+    while high >= least and _any_common(item, doc, least):
         low, top = least, high
         while low < top:
             middle = (low + top + 1) // 2
-            longer = _common(item, doc, middle)
-            if longer:
-                low, matches = middle, longer
+            if _any_common(item, doc, middle):
+                low = middle
             else:
                 top = middle - 1
-        for i, t in matches:
-            if not item.marked[i:i + low].any() and not doc.marked[t:t + low].any():
-                item.marked[i:i + low] = True
-                doc.marked[t:t + low] = True
-                out.append((i, t, low))
+        out += _mark_common(item, doc, low)
         high = low
     return out
 
@@ -166,11 +199,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = LEAST_COVERAG
     have no leaks. Repeated documents or items give repeated rows; other columns are ignored."""
     spark = docs.sparkSession
     items, seeds = _seed_rows(benchmark)
-    cells = seeds.select(F.shiftrightunsigned("h", 64 - TABLE_BITS).cast("int").alias("cell")).distinct()
-    table = np.zeros(1 << TABLE_BITS >> 3, np.uint8)
-    set_cells = cells.toPandas()["cell"].to_numpy(dtype=np.int64)  # at most 2**TABLE_BITS numbers
-    np.bitwise_or.at(table, set_cells >> 3, (1 << (set_cells & 7)).astype(np.uint8))
-    shared = spark.sparkContext.broadcast(table)
+    cells = seeds.select(F.shiftrightunsigned("h", 64 - TABLE_BITS).cast("int").alias("cell"))
+    shared = spark.sparkContext.broadcast(bit_table(cells, TABLE_BITS))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -201,6 +231,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = LEAST_COVERAG
             for i in range(batch.num_rows):
                 item = np.frombuffer(batch.column("item_tokens")[i].as_py(), np.uint64)
                 doc = np.frombuffer(batch.column("tokens")[i].as_py(), np.uint64)
+                if most_coverage(item, doc) < coverage * len(item):
+                    continue
                 lengths = [n for _, _, n in tiles(item, doc)]
                 if lengths and sum(lengths) >= coverage * len(item):
                     out.append({"doc_id": batch.column("doc_id")[i].as_py(),

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import (
     arrow_map,
+    bit_table,
     fresh,
     hash_strings,
     load,
@@ -161,13 +162,10 @@ def _needed_sets(docs: DataFrame, ids: DataFrame, sketch, k: int) -> DataFrame:
     (nearly) only those documents be hashed; the joins that follow are exact."""
     spark = docs.sparkSession
     cell = F.shiftrightunsigned(F.xxhash64("id"), 64 - FILTER_BITS).cast("int")
-    cells = ids.select(cell.alias("cell")).distinct().toPandas()["cell"].to_numpy(np.int64)  # at most 2**FILTER_BITS
-    table = np.zeros(1 << FILTER_BITS, bool)
-    table[cells] = True
-    bits = spark.sparkContext.broadcast(np.packbits(table))
+    bits = spark.sparkContext.broadcast(bit_table(ids.select(cell.alias("cell")), FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(bits.value).astype(bool)
+        known = np.unpackbits(bits.value, bitorder="little").astype(bool)
         for batch in batches:
             batch = batch.filter(pa.array(known[batch.column("cell").to_numpy(zero_copy_only=False)]))
             for part in text_chunks(iter([batch])):

@@ -299,3 +299,34 @@ def test_stage_judges_rows_without_or_with_a_repeated_id_one_by_one(spark, tmp_p
     kept = decontamination.decontamination_stage(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns
     assert by_id(kept, "doc_id", "text") == by_id(docs.filter("coalesce(text, '') not like '%item0%'"), "doc_id", "text")
+
+
+def test_repeated_words_take_linear_time():
+    import time
+
+    begin = time.time()
+    item, doc = np.full(300, 7, np.uint64), np.full(60_000, 7, np.uint64)
+    assert decontamination.tiles(item, doc) == [(0, 0, 300)]
+    half = np.concatenate([np.full(150, 7, np.uint64), np.arange(100, 250, dtype=np.uint64)])
+    mixed = np.tile(np.concatenate([np.full(40, 7, np.uint64), [1]]), 1500).astype(np.uint64)
+    assert sum(n for _, _, n in decontamination.tiles(half, mixed)) == 150
+    assert time.time() - begin < 20
+
+
+def test_most_coverage_bounds_the_tiles():
+    rnd = random.Random(12)
+    for _ in range(300):
+        item = np.array([rnd.randint(0, 4) for _ in range(rnd.randint(0, 40))], np.uint64)
+        doc = np.array([rnd.randint(0, 4) for _ in range(rnd.randint(0, 60))], np.uint64)
+        assert decontamination.most_coverage(item, doc, 3) >= sum(n for _, _, n in decontamination.tiles(item, doc, 3))
+
+
+def test_bit_table(spark):
+    from pyspark.sql import functions as F
+
+    from strata.llm.common import bit_table
+
+    cells = spark.range(5000).select((F.col("id") * 7919 % (1 << 20)).cast("int").alias("cell"))
+    bits = np.unpackbits(bit_table(cells, 20), bitorder="little")
+    assert len(bits) == 1 << 20 and set(np.flatnonzero(bits).tolist()) == {r.cell for r in cells.collect()}
+    assert not bit_table(cells.limit(0), 20).any()
