@@ -83,6 +83,18 @@ def text_column(spark: SparkSession, make, schema) -> Callable[..., Column]:
     return F.arrow_udf(run, schema)
 
 
+def heavy_join(rows: DataFrame, table: DataFrame, keys: list[str], n: str, share: int = 1024) -> DataFrame:
+    """``rows`` joined with a written table that has one row per key and in column ``n`` the key's number of rows.
+
+    Keys with more than 1 / ``share`` of all rows are joined through a broadcast of fewer than ``share`` rows, so no
+    task gets all rows of such a key; all other keys are joined by a shuffle."""
+    total = table.agg(F.sum(n)).first()[0] or 0
+    heavy = F.broadcast(table.filter(F.col(n) * share > total))
+    light = table.filter(F.col(n) * share <= total)
+    return rows.join(heavy, keys).unionByName(
+        rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys))
+
+
 def bit_table(cells: DataFrame, bits: int) -> np.ndarray:
     """Packed table (bit c & 7 of byte c >> 3) of the numbers of column ``cell``, all below 2**bits.
 

@@ -10,17 +10,17 @@ document's component of links. The join is exact.
    grams, rare ones first. A set is indexed under its first grams only: sets
    that link share ``SHARED`` of those (fewer for tiny sets).
 3. Index lists of up to ``SHORT_LIST`` sets give candidate pairs, skipped by
-   length, by position in both sets, and by the number of lists they share. A
-   set's candidates are settled in two rounds: first the one with the smallest
-   id, then only those that the links of the first round leave in other
-   components.
+   length, by position in both sets, and by the number of lists they share. To
+   count links all of them are compared; for the components alone a set's
+   candidates are settled in two rounds: first the one with the smallest id,
+   then only those that the links of the first round leave in other components.
 4. Longer lists are cut into blocks by length and hash; blocks whose lengths
    cannot link are never paired. Within two blocks, whole groups of equal
    length and position are skipped by the positional bound, a pair is looked
    at only in the first long list it shares, and the overlaps of a set with
    the other block are derived from those of a highly similar set before it:
-   only the grams in which the two differ are looked up. Pairs that are
-   already connected are not listed; a task returns a spanning forest.
+   only the grams in which the two differ are looked up. A task returns a
+   spanning forest and, per set, the number of documents it links to.
 
 Sets travel only for documents that have candidates. Everything that goes to
 the driver or is broadcast has a fixed size (``SKETCH_BITS``, ``FILTER_BITS``).
@@ -42,6 +42,7 @@ from .common import (
     bit_table,
     fresh,
     hash_strings,
+    heavy_join,
     load,
     materialise,
     mix,
@@ -252,9 +253,10 @@ def overlaps(sets: list[np.ndarray], others: list[np.ndarray]) -> Iterator[np.nd
         yield row
 
 
-def join_blocks(left: pd.DataFrame, right: pd.DataFrame, gram: int, same: bool, pct: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links between two blocks of one long list. Columns: id, n, pos, s, heavy (the long
-    lists of the set, in global order of its grams)."""
+def join_blocks(left: pd.DataFrame, right: pd.DataFrame, gram: int, same: bool, pct: int
+                ) -> tuple[list[tuple[int, int]], dict[int, int]]:
+    """Spanning forest of the links between two blocks of one long list, and per id the weight of the sets it links
+    to. Columns: id, n, pos, s, weight, heavy (the long lists of the set, in global order of its grams)."""
     # skipped as whole groups of equal (length, position): bound of the overlap below what a link needs
     keys = [f.groupby(["n", "pos"], sort=True).indices for f in (left, right)]
     allowed = np.zeros((len(left), len(right)), bool)
@@ -277,31 +279,46 @@ def join_blocks(left: pd.DataFrame, right: pd.DataFrame, gram: int, same: bool,
     ids = left["id"].to_numpy(), right["id"].to_numpy()
     allowed &= (ids[0][:, None] < ids[1][None, :]) if same else (ids[0][:, None] != ids[1][None, :])
     if not allowed.any():
-        return []
+        return [], {}
     forest, out = Forest(), []
+    weights = left["weight"].to_numpy(np.int64), right["weight"].to_numpy(np.int64)
+    linked = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
     n = left["n"].to_numpy(), right["n"].to_numpy()
     sets = [[np.sort(np.frombuffer(s, np.uint64)) for s in f["s"]] for f in (left, right)]
     rows = np.flatnonzero(allowed.any(axis=1))
     for i, row in zip(rows.tolist(), overlaps([sets[0][i] for i in rows], sets[1]), strict=True):
         hit = allowed[i] & (100 * row >= pct * (n[0][i] + n[1] - row))
+        linked[0][i] += int(weights[1][hit].sum())
+        linked[1][hit] += weights[0][i]
         for j in np.flatnonzero(hit).tolist():
             a, b = int(ids[0][i]), int(ids[1][j])
             if forest.join(a, b):
                 out.append((a, b))
-    return out
+    counts: dict[int, int] = {}
+    for side in (0, 1):
+        for i in np.flatnonzero(linked[side]).tolist():
+            counts[int(ids[side][i])] = counts.get(int(ids[side][i]), 0) + int(linked[side][i])
+    return out, counts
+
+
+def _heavy(entries: DataFrame) -> DataFrame:
+    """(id, heavy): the long lists of each set, in global order of its grams; at most a prefix."""
+    return entries.groupBy("id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("pos", "gram"))), lambda x: x["gram"]).alias("heavy"))
 
 
-def _long_lists(entries: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """Links within long lists (gram, id, n, pos, size)."""
-    heavy = entries.groupBy("id").agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "gram"))), lambda x: x["gram"]).alias("heavy"))  # at most a prefix
+def _long_lists(entries: DataFrame, sets: DataFrame, weights: DataFrame, pct: int) -> DataFrame:
+    """Links within long lists (gram, id, n, pos, size): rows (a, b, null) of a forest, and rows (a, null, weight of
+    the sets that a links to)."""
+    heavy = _heavy(entries).join(weights, "id")
     # sets that link have the same length class or neighbouring ones
     entries = entries.withColumn("class", F.floor(F.ln("n") / float(np.log(100 / pct)) + 1e-9).cast("int")) \
         if pct < 100 else entries.withColumn("class", F.col("n"))
-    width = entries.groupBy("gram", "class").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
-    entries = entries.join(width, ["gram", "class"]).withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks", "size")
+    width = materialise(entries.sparkSession, entries.groupBy("gram", "class").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"),
+        F.count(F.lit(1)).alias("members")), "jaccard-widths")
+    entries = heavy_join(entries, width, ["gram", "class"], "members").withColumn(
+        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks", "members", "size")
     # block pairs: within a class each pair once, between neighbouring classes all
     one = width.select("gram", "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     l, r = one.alias("l"), one.alias("r")
@@ -315,7 +332,7 @@ def _long_lists(entries: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         F.explode(F.when(same, F.array(left)).otherwise(F.array(left, right))).alias("x")) \
         .select("gram", "job", "x.side", "x.class", "x.block")
     members = jobs.join(entries, ["gram", "class", "block"]).join(heavy, "id").join(sets, "id") \
-        .select("gram", "job", "side", "id", "n", "pos", "heavy", "s")
+        .select("gram", "job", "side", "id", "n", "pos", "heavy", "weight", "s")
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         gram = int(rows["gram"].iloc[0])
@@ -323,21 +340,31 @@ def _long_lists(entries: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
         rows = rows.sort_values(["n", "pos", "id"], kind="stable")
         left, right = (rows[rows["side"] == i].reset_index(drop=True) for i in (0, 1))
         same = len(right) == 0  # a block with itself
-        found = join_blocks(left, left if same else right, gram, same, pct)
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+        found, counts = join_blocks(left, left if same else right, gram, same, pct)
+        rows = [(a, b, None) for a, b in found] + [(a, None, n) for a, n in counts.items()]
+        return pd.DataFrame(rows, columns=["a", "b", "n_links"], dtype="Int64")
 
-    return members.groupBy("gram", "job").applyInPandas(run, "a long, b long")
+    return members.groupBy("gram", "job").applyInPandas(run, "a long, b long, n_links long")
 
 
 # ---------------------------------------------------------------- whole join
+def components_of(nodes: DataFrame, part: DataFrame, counts: DataFrame) -> DataFrame:
+    """(id, component, n_links) of every node: links to other sets plus those to the documents of its own set."""
+    own = nodes.groupBy(F.col("node").alias("id")).agg((F.max("weight") - 1).alias("own"))
+    return own.join(part, "id", "left").join(counts, "id", "left").select(
+        "id", "component", (F.col("own") + F.coalesce("n_links", F.lit(0))).alias("n_links"))
+
+
 def _repeated(rows: DataFrame) -> DataFrame:
     """doc_id of the rows that repeat one, written."""
     again = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
     return materialise(rows.sparkSession, again, "repeated-ids")
 
 
-def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+def join(docs: DataFrame, k: int = 4, pct: int = 85, count_links: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, and with ``count_links`` n_links, the number of other
+    documents that it links to (rows that share a doc_id: those of each row's own text). Without the counts,
+    candidates whose ends are connected already are not compared.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Fewer than ``k`` words: the whole sequence is the
     one member. No words or null text: the empty set, linked with nothing. Null doc_id: never linked,
@@ -353,7 +380,10 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
 
     # equal sets are one node, named by their smallest doc_id
     named = rows.filter("n > 0 and doc_id is not null")
-    nodes = named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("node"))
+    nodes = named.groupBy("f1", "f2", "n").agg(
+        F.min("doc_id").alias("node"),
+        (F.count_distinct("doc_id") if count_links else F.count(F.lit(1))).alias("weight"))
+    weights = nodes.groupBy(F.col("node").alias("id")).agg(F.max("weight").alias("weight"))
     twice = named.join(nodes, ["f1", "f2", "n"]).groupBy("doc_id").agg(
         F.min("node").alias("a"), F.collect_set("node").alias("all")).filter(F.size("all") > 1) \
         .select("a", F.explode("all").alias("b")).filter("a <> b")  # rows that share an id but not the text
@@ -364,20 +394,38 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
         texts = texts.join(again, "doc_id", "left_anti").unionByName(
             texts.join(again, "doc_id", "left_semi").distinct())
     entries = materialise(spark, _entries(texts, sketch, k, pct), "jaccard-entries")  # read twice
-    sizes = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    entries = materialise(spark, entries.join(sizes, "gram"), "jaccard-index")
+    sizes = materialise(spark, entries.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"),
+                        "jaccard-sizes")
+    entries = materialise(spark, heavy_join(entries, sizes, ["gram"], "size"), "jaccard-index")
     short, long = entries.filter(F.col("size") <= SHORT_LIST).drop("size"), entries.filter(F.col("size") > SHORT_LIST)
 
-    pairs = materialise(spark, _candidates(short, pct), "jaccard-pairs")
+    pairs = _candidates(short, pct)
+    if count_links:  # a pair that shares a long list is found, and counted, there
+        heavy = _heavy(long)
+        both = pairs.join(heavy.select(F.col("id").alias("a"), F.col("heavy").alias("ha")), "a", "left").join(
+            heavy.select(F.col("id").alias("b"), F.col("heavy").alias("hb")), "b", "left")
+        pairs = both.filter(~F.coalesce(F.arrays_overlap("ha", "hb"), F.lit(False))).select("a", "b")
+    pairs = materialise(spark, pairs, "jaccard-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(long.select("id")).distinct()
     ids = materialise(spark, ids, "jaccard-ids")
     sets = materialise(spark, _needed_sets(docs, ids, sketch, k), "jaccard-sets")
 
     # first every set with its smallest candidate, then what that leaves unconnected
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    found = _verified(first, sets, pct).unionByName(_long_lists(long, sets, pct)).unionByName(twice)
-    found = materialise(spark, found, "jaccard-links")
-    part = components(found)
+    first = pairs if count_links else pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    compared = materialise(spark, _verified(first, sets, pct), "jaccard-links")
+    lists = materialise(spark, _long_lists(long, sets, weights, pct), "jaccard-lists")
+    found = compared.unionByName(lists.filter("b is not null").select("a", "b")).unionByName(twice)
+    part = components(materialise(spark, found, "jaccard-edges"))
+    if count_links:
+        a, b = (compared.join(weights.withColumnRenamed("id", other), other).select(
+            F.col(own).alias("id"), F.col("weight").alias("n_links")) for own, other in (("a", "b"), ("b", "a")))
+        counts = a.unionByName(b).unionByName(lists.filter("b is null").select(F.col("a").alias("id"), "n_links")) \
+            .groupBy("id").agg(F.sum("n_links").alias("n_links"))
+        part = components_of(nodes, part, counts)
+        member = rows.join(nodes.drop("weight"), ["f1", "f2", "n"], "left").join(part, F.col("node") == F.col("id"), "left")
+        return member.select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id"),
+            F.coalesce("n_links", F.lit(0)).alias("n_links"))
     a = part.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     b = part.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     open_ = pairs.join(a, "a", "left").join(b, "b", "left").filter(
@@ -385,7 +433,7 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85) -> DataFrame:
     rest = _verified(open_.join(first, ["a", "b"], "left_anti"), sets, pct)
     part = components(part.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(rest))
 
-    member = rows.join(nodes, ["f1", "f2", "n"], "left").join(part, F.col("node") == F.col("id"), "left")
+    member = rows.join(nodes.drop("weight"), ["f1", "f2", "n"], "left").join(part, F.col("node") == F.col("id"), "left")
     return member.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component", "node", "doc_id").alias("component_id"))
@@ -403,7 +451,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     together and rows without one are joined like all others."""
     key = F.xxhash64(F.col("doc_id").cast("long"), "text")
     name = fresh(docs, "key")
-    groups = join(docs.select(key.alias("doc_id"), "text"), k=5, pct=80) \
+    groups = join(docs.select(key.alias("doc_id"), "text"), k=5, pct=80, count_links=False) \
         .filter("n_shingles > 0").select(F.col("doc_id").alias(name), "component_id")
     groups = materialise(spark, groups, "near-duplicate-groups")
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias(name)).distinct()

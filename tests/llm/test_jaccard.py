@@ -40,6 +40,23 @@ def brute(rows, k, pct):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
+def brute_links(rows, k, pct):
+    """doc_id -> number of other documents it links to."""
+    sets = {}
+    for d, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
+        sets[d] = frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+    out = dict.fromkeys(sets, 0)
+    ids = [d for d in sets if sets[d]]
+    for i, a in enumerate(ids):
+        for b in ids[i + 1:]:
+            common = len(sets[a] & sets[b])
+            if common and 100 * common >= pct * (len(sets[a]) + len(sets[b]) - common):
+                out[a] += 1
+                out[b] += 1
+    return out
+
+
 def _near_copies(seed, count, length):
     """Copies of one text with more and more words replaced, and some of their exact copies."""
     rnd = random.Random(seed)
@@ -60,8 +77,9 @@ def _near_copies(seed, count, length):
 @pytest.mark.parametrize("k,pct", [(4, 85), (5, 80)])
 def test_matches_brute_force(spark, sf_small, k, pct):
     docs = load(spark, sf_small, "documents").select("doc_id", "text")
-    got = {r[0]: (r[1], r[2]) for r in jaccard_join.join(docs, k, pct).collect()}
-    assert got == brute([tuple(r) for r in docs.collect()], k, pct)
+    result, rows = jaccard_join.join(docs, k, pct).collect(), [tuple(r) for r in docs.collect()]
+    assert {r[0]: (r[1], r[2]) for r in result} == brute(rows, k, pct)
+    assert {r["doc_id"]: r["n_links"] for r in result} == brute_links(rows, k, pct)
 
 
 def test_long_lists_match_brute_force(spark, monkeypatch):
@@ -74,7 +92,12 @@ def test_long_lists_match_brute_force(spark, monkeypatch):
     want = brute(rows, 4, 85)
     assert len({c for _, c in want.values()}) > 5  # some copies are too different to link
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert {r[0]: (r[1], r[2]) for r in jaccard_join.join(df).collect()} == want
+    got = jaccard_join.join(df).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == want
+    links = brute_links(rows, 4, 85)
+    assert {r["doc_id"]: r["n_links"] for r in got} == links and sum(links.values()) > 500
+    plain = jaccard_join.join(df, count_links=False)
+    assert {r[0]: (r[1], r[2]) for r in plain.collect()} == want and "n_links" not in plain.columns
 
 
 def test_block_overlaps_are_derived_exactly():
