@@ -17,7 +17,12 @@ Marginals come from loopy sum-product message passing over the document's
 graph, so what one occurrence shows reaches all others. Weights are trained
 piecewise (unary by multinomial regression, both edge tables by smoothed
 association) with the base spans of at most ``MAX_TRAIN_DOCS`` documents as
-labels. Runs of confident tokens that touch no base span are added as spans.
+labels, and with the values of assignments like ``token = "..."`` as labels of a
+kind of its own, secrets. From each confident token that touches no base span a
+run is followed over the neighbours that may have the same label; it becomes a
+span if it is a whole number, address or secret by the test of its kind. So a
+phone and a card that one pattern took for a single number, or a secret that is
+repeated without its assignment, are found; pieces of numbers are not.
 
 Every whole text is read once, without a shuffle.
 """
@@ -39,11 +44,12 @@ from .common import arrow_map, load, text_chunks, text_column
 
 # Kinds in the order in which spans of the same start are listed.
 KINDS = ("email", "ip", "card", "phone")
-LABELS = ("outside", *KINDS)
+ORDER = (*KINDS, "secret")  # secrets are only added by the field
+LABELS = ("outside", *ORDER)
 MAX_TRAIN_DOCS = 4000
 MAX_PATTERNS = 5000
 ROUNDS = 20
-CONFIDENT = 0.9
+CONFIDENT, POSSIBLE = 0.9, 0.05
 
 Span = tuple[int, int, str]
 
@@ -55,6 +61,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_ASSIGNED = re.compile(r"(?i)\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?[\x20\t]*[=:][\x20\t]*"
+                       r"[\"']?([A-Za-z0-9_/+=.-]{16,})")
 
 
 def luhn(digits: str) -> bool:
@@ -102,7 +110,30 @@ def base_spans(text: str | None) -> list[Span]:
 
 
 def sort_spans(spans: list[Span]) -> list[Span]:
-    return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+    return sorted(spans, key=lambda s: (s[0], ORDER.index(s[2]), s[1]))
+
+
+def whole(kind: str, value: str) -> bool:
+    """Whether the value is a whole one of its kind, not a piece of it or more than it."""
+    digits = _digits(value)
+    if kind == "email":
+        return any(True for _ in _emails(value))
+    if kind == "ip":
+        parts = value.split(".")
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[^0-9\x20-]", value)
+    if kind == "phone":
+        return value[:1] == "+" and 9 <= len(digits) <= 15 and not re.search(r"[^0-9\x20().+-]", value)
+    return len(value) >= 16 and bool(digits) and bool(re.search("[A-Za-z]", value)) and not _TOKEN_END.search(value)
+
+
+_TOKEN_END = re.compile(r"[\x20\x09-\x0D]")
+
+
+def assigned_secrets(text: str) -> list[Span]:
+    """Values of assignments to a name that tells a secret: labels for training."""
+    return [(m.start(1), m.end(1), "secret") for m in _ASSIGNED.finditer(text) if whole("secret", m.group(1))]
 
 
 # ---------------------------------------------------------------- graph of a document
@@ -212,17 +243,19 @@ class Model:
         edges = g.chain + g.skip
         if edges:
             a, b = np.array(edges).T
-            pot = np.stack([self.chain] * len(g.chain) + [self.skip] * len(g.skip))
             source, target = np.concatenate((a, b)), np.concatenate((b, a))
-            pot = np.concatenate((pot, pot.transpose(0, 2, 1)))
             back = np.concatenate((np.arange(len(a)) + len(a), np.arange(len(a))))
+            # one table for all messages of a direction along the chain or a skip
+            cut = np.cumsum([0, len(g.chain), len(g.skip), len(g.chain), len(g.skip)])
+            tables = [np.exp(t) for t in (self.chain, self.skip, self.chain.T, self.skip.T)]
             message = np.zeros((len(source), k))
             for _ in range(ROUNDS):
                 belief = node.copy()
                 np.add.at(belief, target, message)
-                out = (belief[source] - message[back])[:, :, None] + pot
-                top = out.max(axis=1)
-                new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
+                out = belief[source] - message[back]
+                out = np.exp(out - out.max(axis=1, keepdims=True))
+                new = np.concatenate([out[x:y] @ t for x, y, t in zip(cut[:-1], cut[1:], tables, strict=True)])
+                new = np.log(np.maximum(new, 1e-300))
                 new -= new.max(axis=1, keepdims=True)
                 if np.abs(new - message).max() < 1e-4:
                     break
@@ -275,11 +308,8 @@ def fit(patterns: list[tuple[tuple[str, ...], int, int]], chain: np.ndarray, ski
 def train(docs: DataFrame, limit: int = MAX_TRAIN_DOCS) -> Model:
     """Fitted on the base spans of at most ``limit`` documents that hold a digit or ``@``."""
     some = docs.select("doc_id", "text").filter(F.col("text").rlike("[0-9@]"))
-    total = docs.count()
-    place = F.pmod(F.xxhash64("doc_id", F.lit("pii")), F.lit(1 << 30))
-    if total > limit:  # documents with such a sign are a small part; the exact bound follows
-        some = some.filter(place < int(min(1.0, 20.0 * limit / total) * (1 << 30)))
-    chosen = some.select("doc_id").distinct().orderBy(place, "doc_id").limit(limit)
+    place = F.xxhash64("doc_id", F.lit("pii"))
+    chosen = some.select("doc_id").orderBy(place, "doc_id").limit(limit).distinct()  # the first of each task, merged
     some = some.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +317,9 @@ def train(docs: DataFrame, limit: int = MAX_TRAIN_DOCS) -> Model:
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 g = graph(text)
-                labels = _labels(g, base_spans(text))
+                base = base_spans(text)
+                labels = _labels(g, base + [s for s in assigned_secrets(text) if not any(
+                    b[0] < s[1] and s[0] < b[1] for b in base)])
                 found.update((0, "\t".join(fs), y, 0) for fs, y in zip(g.features, labels, strict=True))
                 found.update((1, "", labels[a], labels[b]) for a, b in g.chain)
                 found.update((2, "", labels[a], labels[b]) for a, b in g.skip)
@@ -311,26 +343,39 @@ def train(docs: DataFrame, limit: int = MAX_TRAIN_DOCS) -> Model:
 
 
 def method_spans(text: str | None, base: list[Span], model: Model) -> list[Span]:
-    """Runs of directly following tokens with the same confident label that overlap no base span."""
+    """Whole values around confident tokens, as runs of directly following tokens that overlap no base span.
+
+    A run starts at a confident token and takes in neighbours for which its label is possible, the likelier side
+    first, until it is whole; what does not become whole is no span."""
     if not text or not model.unary or not _SIGN.search(text):
         return []
     g = graph(text)
     p = model.marginals(g)
-    label = np.where(p.max(axis=1) >= CONFIDENT, p.argmax(axis=1), 0)
     covered = _labels(g, base)
     follows = {b for _, b in g.chain}
+    n = len(g.spans)
+    free = [not covered[i] and g.spans[i][1] > g.spans[i][0] for i in range(n)]
     out: list[Span] = []
-    open_ = False
-    for i, (start, end) in enumerate(g.spans):
-        y = int(label[i])
-        if not y or covered[i] or end <= start:
-            open_ = False
+    for i in np.flatnonzero(p[:, 1:].max(axis=1) >= CONFIDENT).tolist():
+        y = int(p[i, 1:].argmax()) + 1
+        if not free[i]:
             continue
-        if open_ and i in follows and out[-1][2] == LABELS[y]:
-            out[-1] = (out[-1][0], end, out[-1][2])
-        else:
-            out.append((start, end, LABELS[y]))
-        open_ = True
+        low = high = i
+        while True:
+            start, end = g.spans[low][0], g.spans[high][1]
+            if whole(LABELS[y], text[start:end]):
+                out.append((start, end, LABELS[y]))
+                for j in range(low, high + 1):
+                    free[j] = False
+                break
+            left = p[low - 1, y] if low in follows and free[low - 1] else 0.0
+            right = p[high + 1, y] if high + 1 < n and high + 1 in follows and free[high + 1] else 0.0
+            if max(left, right) < POSSIBLE or high - low >= 6:
+                break
+            if left >= right:
+                low -= 1
+            else:
+                high += 1
     return out
 
 
@@ -339,7 +384,7 @@ def listed(spans: list[Span]) -> str:
 
 
 def find(docs: DataFrame, model: Model) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added, n_spans.
 
     Null and empty texts have no spans (the digest is that of no bytes). Repeated rows give repeated
     results; other columns of ``docs`` are ignored."""
@@ -359,12 +404,13 @@ def find(docs: DataFrame, model: Model) -> DataFrame:
             columns = np.array(counts, np.int64).reshape(-1, len(KINDS)).T
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *[pa.array(c) for c in columns], pa.array(digests, pa.string()),
-                 pa.array(spans, pa.string()), pa.array(added, pa.int64())],
-                ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"])
+                 pa.array(spans, pa.string()), pa.array(added, pa.int64()),
+                 pa.array(columns.sum(axis=0) + np.array(added, np.int64))],
+                ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "n_spans"])
 
     return docs.select("doc_id", "text").transform(
         arrow_map, run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, "
-             "n_added long")
+             "n_added long, n_spans long")
 
 
 def redact(text: str | None, spans: list[Span]) -> str | None:
