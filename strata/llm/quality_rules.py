@@ -64,8 +64,7 @@ def let(value: Column, body) -> Column:
 def _repeat_words(words: Column) -> Column:
     """Words covered by windows of five words that occur twice or more.
 
-    Windows are compared by two independent 64-bit hashes of their five word
-    hashes. Texts without a repeated window (most) stop after a distinct count;
+    Windows are compared by a 64-bit hash of their five word hashes. Texts without a repeated window (most) stop after a distinct count;
     the others sort (window, position) and add up the parts of the marked
     windows that earlier ones do not cover: n log n for any text length."""
     k = WINDOW
