@@ -7,7 +7,7 @@ discounts, nation 0, ratings above 5, NULL names/e-mails).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .tables import read_table
@@ -30,20 +30,20 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trip per line item, and a slice of them sent again: every
     ``RESENT_EVERY``-th order's trips come a second time, with an id of their
     own and another distance, under the same business key."""
-    once = _trips_once(spark, sf_dir)
-    order = F.substring_index("id", "-", 1).cast("long")
-    again = once.filter(order % RESENT_EVERY == 0).withColumns({
+    again = _trips_once(spark, sf_dir, F.col("l_orderkey") % RESENT_EVERY == 0).withColumns({
         "id": F.concat("id", F.lit("-r")), "trip_distance": F.col("trip_distance") + 1})
-    return once.unionByName(again)
+    return _trips_once(spark, sf_dir).unionByName(again)
 
 
-def _trips_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _trips_once(spark: SparkSession, sf_dir: str, some: Column | None = None) -> DataFrame:
     """Lineitem joined with its order (both sides large, so Catalyst shuffles
-    both on the order key; nothing is broadcast)."""
+    both on the order key; nothing is broadcast). A filter on the order key
+    reaches both scans."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_quantity",
         "l_discount", "l_extendedprice", "l_returnflag", "l_shipdate",
     )
+    li = li if some is None else li.filter(some)
     od = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     flag = F.col("l_returnflag")
     pay = F.when(flag == "A", 1).when(flag == "R", 2).when(flag == "N", 3)
