@@ -348,13 +348,6 @@ def _long_lists(entries: DataFrame, sets: DataFrame, weights: DataFrame, pct: in
 
 
 # ---------------------------------------------------------------- whole join
-def components_of(nodes: DataFrame, part: DataFrame, counts: DataFrame) -> DataFrame:
-    """(id, component, n_links) of every node: links to other sets plus those to the documents of its own set."""
-    own = nodes.groupBy(F.col("node").alias("id")).agg((F.max("weight") - 1).alias("own"))
-    return own.join(part, "id", "left").join(counts, "id", "left").select(
-        "id", "component", (F.col("own") + F.coalesce("n_links", F.lit(0))).alias("n_links"))
-
-
 def _repeated(rows: DataFrame) -> DataFrame:
     """doc_id of the rows that repeat one, written."""
     again = rows.groupBy("doc_id").count().filter("count > 1").select("doc_id")
@@ -380,11 +373,12 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85, count_links: bool = True) -
 
     # equal sets are one node, named by their smallest doc_id
     named = rows.filter("n > 0 and doc_id is not null")
-    nodes = named.groupBy("f1", "f2", "n").agg(
+    same = ["f1", "f2", "n"]
+    nodes = materialise(spark, named.groupBy(*same).agg(
         F.min("doc_id").alias("node"),
-        (F.count_distinct("doc_id") if count_links else F.count(F.lit(1))).alias("weight"))
+        (F.count_distinct("doc_id") if count_links else F.count(F.lit(1))).alias("weight")), "jaccard-nodes")
     weights = nodes.groupBy(F.col("node").alias("id")).agg(F.max("weight").alias("weight"))
-    twice = named.join(nodes, ["f1", "f2", "n"]).groupBy("doc_id").agg(
+    twice = heavy_join(named, nodes, same, "weight").groupBy("doc_id").agg(
         F.min("node").alias("a"), F.collect_set("node").alias("all")).filter(F.size("all") > 1) \
         .select("a", F.explode("all").alias("b")).filter("a <> b")  # rows that share an id but not the text
 
@@ -421,11 +415,7 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85, count_links: bool = True) -
             F.col(own).alias("id"), F.col("weight").alias("n_links")) for own, other in (("a", "b"), ("b", "a")))
         counts = a.unionByName(b).unionByName(lists.filter("b is null").select(F.col("a").alias("id"), "n_links")) \
             .groupBy("id").agg(F.sum("n_links").alias("n_links"))
-        part = components_of(nodes, part, counts)
-        member = rows.join(nodes.drop("weight"), ["f1", "f2", "n"], "left").join(part, F.col("node") == F.col("id"), "left")
-        return member.select(
-            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "node", "doc_id").alias("component_id"),
-            F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        return _members(rows, nodes, part, counts)
     a = part.select(F.col("id").alias("a"), F.col("component").alias("ca"))
     b = part.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     open_ = pairs.join(a, "a", "left").join(b, "b", "left").filter(
@@ -433,10 +423,23 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85, count_links: bool = True) -
     rest = _verified(open_.join(first, ["a", "b"], "left_anti"), sets, pct)
     part = components(part.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(rest))
 
-    member = rows.join(nodes.drop("weight"), ["f1", "f2", "n"], "left").join(part, F.col("node") == F.col("id"), "left")
-    return member.select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component", "node", "doc_id").alias("component_id"))
+    return _members(rows, nodes, part, None)
+
+
+def _members(rows: DataFrame, nodes: DataFrame, part: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """The result of every row: that of its node (all rows of a class of equal sets share it, however many)."""
+    found = nodes.join(part.withColumnRenamed("id", "node"), "node", "left")
+    if counts is not None:
+        found = found.join(counts.withColumnRenamed("id", "node"), "node", "left")
+    links = F.lit(None).cast("long") if counts is None else F.col("weight") - 1 + F.coalesce("n_links", F.lit(0))
+    found = materialise(rows.sparkSession, found.select(
+        "f1", "f2", "n", "weight", F.coalesce("component", "node").alias("component_id"), links.alias("n_links")),
+        "jaccard-classes")
+    in_class = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    columns = ["doc_id", F.col("n").alias("n_shingles"), "component_id", *([] if counts is None else ["n_links"])]
+    alone = rows.filter(~in_class).withColumns({"component_id": F.col("doc_id"), "n_links": F.lit(0).cast("long")})
+    return heavy_join(rows.filter(in_class), found, ["f1", "f2", "n"], "weight").select(*columns) \
+        .unionByName(alone.select(*columns))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
