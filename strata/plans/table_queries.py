@@ -173,6 +173,50 @@ def saved_report(spark, sf_dir) -> DataFrame:
         F.col(f"layers.{layer}.{t}.status").alias("status")) for layer, t in pick])).alias("r")).select("r.*")
 
 
+# ------------------------------------------------------------ stamps and literal rows
+@register("run_stamps", layers_sql("""
+SELECT 'silver.taxi' AS table_name, '_processed_at' AS stamp, COUNT(*) AS row_count, COUNT(*) AS in_run FROM silver_trips
+UNION ALL SELECT 'silver.drivers', '_processed_at', COUNT(*), COUNT(*) FROM silver_drivers
+UNION ALL SELECT 'silver.users', '_processed_at', COUNT(*), COUNT(*) FROM silver_users
+UNION ALL SELECT 'gold.taxi_metrics', '_calculated_at', COUNT(*), COUNT(*) FROM gold_zone_metrics
+UNION ALL SELECT 'gold.enriched_trips', '_calculated_at', COUNT(*), COUNT(*) FROM enriched_trips
+UNION ALL SELECT 'bronze.taxi', '_ingested_at', 2 * COUNT(*), 2 * COUNT(*) FROM trips
+"""))
+def run_stamps(spark, sf_dir) -> DataFrame:
+    """Processing and calculation stamps: how many rows of a table were stamped before its latest commit and after
+    the first one of the pipeline was begun."""
+    house = two_wave(spark, sf_dir).house
+    begun = house.table("bronze", "taxi")._entries()[0]["timestamp"]
+    out = None
+    for layer, name, stamp in (("silver", "taxi", "_processed_at"), ("silver", "drivers", "_processed_at"),
+                               ("silver", "users", "_processed_at"), ("gold", "taxi_metrics", "_calculated_at"),
+                               ("gold", "enriched_trips", "_calculated_at"), ("bronze", "taxi", "_ingested_at")):
+        table = house.table(layer, name)
+        ended = table._latest()["timestamp"]
+        # history stamps are UTC text; a bronze batch is stamped before its commit is recorded
+        at = F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(stamp).cast("timestamp_ntz")),
+                           "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        first = F.lit(begun) if layer != "bronze" else F.lit("")
+        row = table.read().agg(F.lit(f"{layer}.{name}").alias("table_name"), F.lit(stamp).alias("stamp"),
+                               F.count(F.lit(1)).alias("row_count"),
+                               F.count_if((at >= first) & (at <= F.lit(ended))).alias("in_run"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("literal_rows", """
+SELECT w.label, COUNT(*) AS orders, CAST(SUM(w.weight) AS BIGINT) AS weights
+FROM orders JOIN (VALUES ('1-URGENT', 'now', 3), ('2-HIGH', 'soon', 2), ('5-LOW', 'later', 1)) AS w(priority, label, weight)
+  ON o_orderpriority = w.priority GROUP BY w.label
+""")
+def literal_rows(spark, sf_dir) -> DataFrame:
+    """Rows given as literals with a declared schema, joined with a table."""
+    weights = spark.createDataFrame([("1-URGENT", "now", 3), ("2-HIGH", "soon", 2), ("5-LOW", "later", 1)],
+                                    "priority string, label string, weight int")
+    return read_table(spark, sf_dir, "orders").join(weights, F.col("o_orderpriority") == F.col("priority")).groupBy(
+        "label").agg(F.count(F.lit(1)).alias("orders"), F.sum("weight").alias("weights"))
+
+
 # ------------------------------------------------------------ streams
 @register("stop_all_streams", """
 SELECT 2 AS stopped, 0 AS still_active, 2 * COUNT(*) AS row_count FROM supplier
