@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -20,7 +21,7 @@ from ..session import scratch_dir
 CHUNK_BYTES = 2 << 20
 # Most bytes of an Arrow batch between Spark and a Python worker, where the session does not say otherwise: Spark
 # bounds batches by rows only, and ten thousand long texts are hundreds of megabytes.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 2 << 20
 _ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -68,6 +69,26 @@ def arrow_map(df: DataFrame, fn, schema) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def _libc():
+    try:
+        libc = ctypes.CDLL(None)
+        # large arrays are returned to the system when they are freed, not kept in the heap of a reused worker
+        libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        return libc if hasattr(libc, "malloc_trim") else None
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+_LIBC = _libc()
+
+
+def give_back() -> None:
+    """A worker that is reused holds nothing of its last task."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def text_column(spark: SparkSession, make, schema) -> Callable[..., Column]:
     """A column function from texts: only texts go to Python and only answers come back, the other columns stay in
     Spark. ``make()`` is called once a task and returns a function from an Arrow array of texts to an Arrow array."""
@@ -142,7 +163,7 @@ def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
                 total += n
             yield batch.slice(start)
     finally:
-        pa.default_memory_pool().release_unused()  # a reused worker holds nothing of its last task
+        give_back()
 
 
 def words_of(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:

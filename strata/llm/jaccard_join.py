@@ -166,9 +166,10 @@ def _needed_sets(docs: DataFrame, ids: DataFrame, sketch, k: int) -> DataFrame:
     bits = spark.sparkContext.broadcast(bit_table(ids.select(cell.alias("cell")), FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(bits.value, bitorder="little").astype(bool)
+        table = bits.value
         for batch in batches:
-            batch = batch.filter(pa.array(known[batch.column("cell").to_numpy(zero_copy_only=False)]))
+            at = batch.column("cell").to_numpy(zero_copy_only=False).astype(np.int64)
+            batch = batch.filter(pa.array((table[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
             for part in text_chunks(iter([batch])):
                 sets = [ordered(s, sketch.value).tobytes() for s in sets_of(part.column("text"), k)]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sets, pa.binary())], ["id", "s"])
