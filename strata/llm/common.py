@@ -22,6 +22,7 @@ CHUNK_BYTES = 2 << 20
 # Most bytes of an Arrow batch between Spark and a Python worker, where the session does not say otherwise: Spark
 # bounds batches by rows only, and ten thousand long texts are hundreds of megabytes.
 ARROW_BYTES = 2 << 20
+ROW_GROUP_BYTES = 16 << 20  # of scratch tables
 _ARROW_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -39,7 +40,8 @@ def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: cuts the
     lineage with files every executor can reach."""
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    # a writer holds a whole row group in memory, outside Spark's accounts
+    df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -110,7 +112,10 @@ def heavy_join(rows: DataFrame, table: DataFrame, keys: list[str], n: str, share
     Keys with more than 1 / ``share`` of all rows are joined through a broadcast of fewer than ``share`` rows, so no
     task gets all rows of such a key; all other keys are joined by a shuffle."""
     total = table.agg(F.sum(n)).first()[0] or 0
-    heavy = F.broadcast(table.filter(F.col(n) * share > total))
+    heavy = table.filter(F.col(n) * share > total)
+    if heavy.isEmpty():
+        return rows.join(table, keys)
+    heavy = F.broadcast(heavy)
     light = table.filter(F.col(n) * share <= total)
     return rows.join(heavy, keys).unionByName(
         rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti").join(light, keys))
