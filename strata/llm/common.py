@@ -98,9 +98,13 @@ def text_column(spark: SparkSession, make, schema) -> Callable[..., Column]:
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fn = make()
-        for texts in batches:
-            parts = text_chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))
-            yield pa.concat_arrays([fn(part.column("text")) for part in parts]) if len(texts) else fn(texts)
+        try:
+            for texts in batches:
+                parts = text_chunks(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))
+                yield pa.concat_arrays([fn(part.column("text")) for part in parts]) if len(texts) else fn(texts)
+        finally:
+            del fn  # what the function kept for its task goes first
+            give_back()
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, schema)
