@@ -1,8 +1,10 @@
 """Quality rules, license scan, sharding and URL filter on small fixtures."""
 
+import random
 import struct
 import zlib
 
+import duckdb
 import pytest
 import xxhash
 
@@ -53,6 +55,32 @@ def test_license_labels(odd_docs, no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
 
+def test_blocks_that_end_before_a_banned_word(spark):
+    """Compared with the definition (every block): a template right before another license's word is found if words
+    that are not its own stand before it."""
+    gpl = "this work is licensed under the gnu general public license version"
+    texts = [f"x x x {gpl} lesser", f"x x {gpl} lesser", f"{gpl} x x x lesser", f"lesser {gpl} x x x library",
+             f"lesser x x x {gpl} affero x", "x licensed under cc by nc 4 0 nd", "sa licensed under cc by nc 4 0 x x nd",
+             "x x licensed under cc by nc 4 0 sa"]
+    draw = random.Random(5)
+    for _ in range(300):
+        label, sentence, _, banned = draw.choice([t for t in license_scan.TEMPLATES if t[3]])
+        words = sentence.split()
+        for _ in range(draw.randint(0, 6)):
+            words.insert(draw.choice([0, len(words), draw.randint(0, len(words))]), draw.choice(["x", *banned.split()]))
+        texts.append(" ".join(words))
+    rows = list(enumerate(texts))
+    names = ("doc_id", "labels", "score")
+    got = by_id(license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")), *names)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(con.execute(f"SELECT {', '.join(names)} FROM ({license_scan.SQL})").fetchall())
+    assert "gpl" in got[0][1].split(",") and "gpl" not in got[1][1].split(",")
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert [r[2] for r in got] == pytest.approx([r[2] for r in want])
+
+
 def _labels(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["labels"] for r in license_scan.scan(df).collect()}
