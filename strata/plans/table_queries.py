@@ -270,6 +270,9 @@ def history_rows(spark, sf_dir) -> DataFrame:
 
 
 # ------------------------------------------------------------ generators, sized by the given tables
+GENERATED_ROWS = 1_000_000  # rows of a task, about
+
+
 @register("generated_entities", """
 SELECT (SELECT COUNT(*) FROM lineitem) AS trips, (SELECT COUNT(*) FROM customer) AS users, TRUE AS trip_users_known,
        (SELECT COUNT(*) FROM customer) AS distinct_users, TRUE AS totals_add_up, TRUE AS trip_anomalies_near,
@@ -292,7 +295,9 @@ def generated_entities(spark, sf_dir) -> DataFrame:
     t = trips.agg(F.count(F.lit(1)).alias("trips"), F.count_if(bad).alias("bad"),
                   F.max(F.abs(F.col("total_amount") - total)).alias("off"), F.sum(F.xxhash64("id", "fare_amount")
                                                                                  .cast("decimal(38,0)")).alias("h")).first()
-    again = trips.repartition(3).agg(F.sum(F.xxhash64("id", "fare_amount").cast("decimal(38,0)"))).first()[0]
+    # other tasks than before, of a bounded number of rows
+    again = trips.select("id", "fare_amount").repartition(max(3, -(-n // GENERATED_ROWS))).agg(
+        F.sum(F.xxhash64("id", "fare_amount").cast("decimal(38,0)"))).first()[0]
     u = users.agg(F.count(F.lit(1)).alias("users"), F.count_distinct("id").alias("ids"), F.count_if(lost).alias("bad")).first()
     d = drivers.agg(F.count_if(odd).alias("bad")).first()
     unknown = trips.join(users, trips.user_id == users.id, "left_anti").count()
