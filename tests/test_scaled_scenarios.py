@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.plans import table_queries
+from strata.plans import stream_queries, table_queries
+from strata.tables import versioned
 
 LINES = 3200
 
@@ -33,3 +34,13 @@ def test_generated_rows_dealt_over_more_tasks(spark, tables, monkeypatch):
     monkeypatch.setattr(table_queries, "GENERATED_ROWS", 100)
     row = table_queries.generated_entities(spark, tables).first()
     assert LINES // 100 in asked and row["repeatable"] and row["trips"] == LINES
+
+
+def test_compaction_target_is_bounded(spark, tables, monkeypatch):
+    limit, asked = 10_000, []
+    compact = versioned.VersionedTable.compact
+    monkeypatch.setattr(versioned, "TARGET_BYTES", limit)
+    monkeypatch.setattr(versioned.VersionedTable, "compact", lambda t, n: asked.append(n) or compact(t, n))
+    row = stream_queries.compact_by_bytes(spark, tables).first()
+    assert asked and max(asked) <= limit
+    assert row["row_count"] == LINES + 400
