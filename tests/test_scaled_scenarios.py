@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from strata.plans import stream_queries, table_queries
+from strata.plans import scenarios, stream_queries, table_queries
 from strata.tables import versioned
 
 LINES = 3200
@@ -27,6 +27,23 @@ def tables(spark, tmp_path_factory):
     return d
 
 
+@pytest.mark.parametrize("rows, per_commit", [(1000, 1), (100, 4), (10, 2)])  # few files, dealt over more, as joined
+def test_commits_stay_eight_and_files_small(spark, tables, monkeypatch, rows, per_commit):
+    monkeypatch.setattr(scenarios, "LANDED_ROWS", rows)
+    trips = scenarios.Medallion(spark, tables).bronze_trips()
+    house = scenarios.trips_many_commits(spark, tables)
+    table = house.table("bronze", "taxi")
+    stats = table.commit_stats()
+    assert len(stats) == 8
+    assert min(n for _, n in stats.values()) >= per_commit
+    assert table.read().select(*trips.columns).exceptAll(trips).count() == 0
+    assert table.read().count() == trips.count()
+    counts = house.rule_counts("many")
+    stream_queries.run_flow(spark, stream_queries._counting_flow(house, "many", counts))
+    assert counts.batches().select("commit").distinct().count() <= 8
+    assert {r["total"] for r in counts.totals().collect()} == {trips.count()}
+
+
 def test_generated_rows_dealt_over_more_tasks(spark, tables, monkeypatch):
     frame, asked = type(spark.range(1)), []
     plain = frame.repartition
