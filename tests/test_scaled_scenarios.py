@@ -61,3 +61,13 @@ def test_compaction_target_is_bounded(spark, tables, monkeypatch):
     row = stream_queries.compact_by_bytes(spark, tables).first()
     assert asked and max(asked) <= limit
     assert row["row_count"] == LINES + 400
+
+
+def test_trips_are_joined_once_and_sent_again_from_the_landing(spark, tables, monkeypatch):
+    joined, trips = [], scenarios.Medallion.bronze_trips
+    monkeypatch.setattr(scenarios.Medallion, "bronze_trips", lambda m: joined.append(1) or trips(m))
+    house = scenarios.trips_redelivered_state_mode(spark, tables)
+    sent = house.table("bronze", "taxi").read().select(*trips(scenarios.Medallion(spark, tables)).columns)
+    once = trips(scenarios.Medallion(spark, tables))
+    assert len(joined) == 1
+    assert sent.count() == 2 * once.count() and sent.exceptAll(once.unionByName(once)).count() == 0
