@@ -71,3 +71,12 @@ def test_trips_are_joined_once_and_sent_again_from_the_landing(spark, tables, mo
     once = trips(scenarios.Medallion(spark, tables))
     assert len(joined) == 1
     assert sent.count() == 2 * once.count() and sent.exceptAll(once.unionByName(once)).count() == 0
+
+
+def test_waves_of_a_year_do_not_join_the_trips_again(spark, tables, monkeypatch):
+    waves, land = [], stream_queries.write_landing
+    monkeypatch.setattr(stream_queries, "write_landing", lambda df, path, *a: waves.append((path, df)) or land(df, path, *a))
+    rows = stream_queries.dedup_reads_own_months(spark, tables).collect()
+    sent = [df for path, df in waves if path.endswith("/landing/taxi")]
+    assert len(sent) == len(rows) == 1
+    assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in sent)
