@@ -80,3 +80,15 @@ def test_waves_of_a_year_do_not_join_the_trips_again(spark, tables, monkeypatch)
     sent = [df for path, df in waves if path.endswith("/landing/taxi")]
     assert len(sent) == len(rows) == 1
     assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in sent)
+
+
+def test_ambiguous_trips_carry_their_driver_only(spark, tables, monkeypatch):
+    from types import SimpleNamespace
+
+    asked, silver = [], scenarios.Medallion.silver_trips
+    monkeypatch.setattr(scenarios.Medallion, "silver_trips", lambda m, c=None: asked.append(c) or silver(m, c))
+    trips = silver(scenarios.Medallion(spark, tables)).select("id", F.lit("x").alias("driver_name"))
+    house = SimpleNamespace(table=lambda *_: SimpleNamespace(read=lambda: trips))
+    monkeypatch.setattr(stream_queries, "two_wave", lambda *_: SimpleNamespace(house=house))
+    row = stream_queries.enriched_match_stream(spark, tables).first()
+    assert asked == [["id", "driver_id"]] and row["total_trips"] == row["with_driver"] == trips.count()
