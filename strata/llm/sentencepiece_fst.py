@@ -27,9 +27,8 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import arrow_map, fresh, load, text_chunks, text_column
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-KEPT_UNITS = 300_000
+KEPT_UNITS = 600_000
 KEPT_PAIRS = 250_000
 SPACE = "▁"
 
@@ -183,23 +182,26 @@ class Machine:
 
 
 class Codec(dict):
-    """Encoder and decoder of one task: unit -> ids, filled as units are met."""
+    """Encoder and decoder of one task: unit -> ids (32-bit numbers, as bytes), filled as units are met."""
 
     def __init__(self, vocabulary: Vocabulary, machine: Machine | None = None):
         super().__init__()
         self.machine = machine or Machine(vocabulary)
         self.spelled = vocabulary.spelled
 
-    def __missing__(self, unit: str) -> tuple[int, ...]:
+    def __missing__(self, unit: str) -> bytes:
         if len(self) >= KEPT_UNITS:
             self.clear()
-        ids = self[unit] = self.machine.ids(unit)
+        ids = self[unit] = array("i", self.machine.ids(unit)).tobytes()
         return ids
 
+    def packed(self, text: str | None) -> array:
+        return array("i", b"".join(map(self.__getitem__, self.machine.unit.findall(normalise(text)))))
+
     def encode(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.__getitem__, self.machine.unit.findall(normalise(text)))))
+        return self.packed(text).tolist()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """Text of the ids without the space that the normaliser added; bytes that are no UTF-8 become U+FFFD."""
         out = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
         return out[1:] if out.startswith(" ") else out
@@ -223,7 +225,7 @@ _FIELDS = ["n_pieces", "pieces", "round_trip"]
 def _encoded(texts: pa.Array, codec: Codec) -> list[pa.Array]:
     values, offsets, same = array("i"), [0], []
     for text in texts.to_pylist():
-        ids = codec.encode(text)
+        ids = codec.packed(text)
         values.extend(ids)
         offsets.append(len(values))
         same.append(codec.decode(ids) == (text or "").replace(SPACE, " "))

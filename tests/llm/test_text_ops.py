@@ -187,6 +187,17 @@ def test_caches_are_bounded(codec, monkeypatch):
     assert small.encode(text) == codec.encode(text) and len(small) <= 5 and len(small.machine.pairs) <= 5
 
 
+def test_units_of_a_task_are_solved_once():
+    """A task's texts have some 400,000 different units, which are met again and again."""
+    small = sentencepiece_fst.Codec(sentencepiece_fst.Vocabulary.read())
+    solved = []
+    small.machine.ids = lambda unit: solved.append(1) or (7, 70_000)
+    text = " ".join(map(str, range(420_000)))
+    for _ in range(2):
+        assert small.encode(text) == [7, 70_000] * 420_000
+    assert len(solved) == 420_000
+
+
 def test_frames_round_trip(spark, odd_docs, no_docs):
     vocabulary = sentencepiece_fst.Vocabulary.read()
     rows = sentencepiece_fst.encode(odd_docs, vocabulary)
