@@ -16,7 +16,8 @@ path has a finite weight. A space can only begin a piece (or stand
 among spaces), and some control characters are in no piece at all, so a path
 never crosses from another character to a space or past such a character: each
 unit between two of these places is solved by itself, and the pieces of a unit
-are kept for its next occurrence in the task (at most ``KEPT_UNITS``).
+are kept for its next occurrence in the task (at most ``KEPT_UNITS``, in the
+pipeline ``PIPELINE_UNITS``).
 
 Every whole text is read once, in Arrow batches, without a shuffle. The model
 file is read by the driver; its tables have the size of the vocabulary.
@@ -39,6 +40,7 @@ from .common import arrow_map, fresh, load, text_chunks, text_column
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 KEPT_UNITS = 600_000
+PIPELINE_UNITS = 300_000  # the pipeline's executors also hold what its other stages left
 KEPT_PAIRS = 250_000
 SPACE = "▁"
 
@@ -184,13 +186,14 @@ class Machine:
 class Codec(dict):
     """Encoder and decoder of one task: unit -> ids (32-bit numbers, as bytes), filled as units are met."""
 
-    def __init__(self, vocabulary: Vocabulary, machine: Machine | None = None):
+    def __init__(self, vocabulary: Vocabulary, machine: Machine | None = None, kept: int | None = None):
         super().__init__()
+        self.kept = KEPT_UNITS if kept is None else kept
         self.machine = machine or Machine(vocabulary)
         self.spelled = vocabulary.spelled
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= KEPT_UNITS:
+        if len(self) >= self.kept:
             self.clear()
         ids = self[unit] = array("i", self.machine.ids(unit)).tobytes()
         return ids
@@ -210,13 +213,13 @@ class Codec(dict):
 _MACHINES: dict[int, Machine] = {}  # of this worker process, by the vocabulary they were compiled from
 
 
-def _codec(shared) -> Codec:
+def _codec(shared, kept: int | None = None) -> Codec:
     """A codec for one task; only the compiled machine, which is small, outlives it in a reused worker."""
     vocabulary = shared.value
     if id(vocabulary) not in _MACHINES:
         _MACHINES.clear()
         _MACHINES[id(vocabulary)] = Machine(vocabulary)
-    return Codec(vocabulary, _MACHINES[id(vocabulary)])
+    return Codec(vocabulary, _MACHINES[id(vocabulary)], kept)
 
 
 _FIELDS = ["n_pieces", "pieces", "round_trip"]
@@ -280,7 +283,7 @@ def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     shared, name = spark.sparkContext.broadcast(Vocabulary.read()), fresh(docs, "encoded")
 
     def encoder():
-        codec = _codec(shared)
+        codec = _codec(shared, PIPELINE_UNITS)
         return lambda texts: pa.StructArray.from_arrays(_encoded(texts, codec), _FIELDS)
 
     column = text_column(spark, encoder, "n_pieces int, pieces array<int>, round_trip boolean")
