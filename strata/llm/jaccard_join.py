@@ -421,7 +421,9 @@ def join(docs: DataFrame, k: int = 4, pct: int = 85, count_links: bool = True) -
     b = part.select(F.col("id").alias("b"), F.col("component").alias("cb"))
     open_ = pairs.join(a, "a", "left").join(b, "b", "left").filter(
         F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    rest = _verified(open_.join(first, ["a", "b"], "left_anti"), sets, pct)
+    # written: with the comparison and the contraction in one stage every task would hold two Python workers, and
+    # executors keep all workers that they ever started
+    rest = materialise(spark, _verified(open_.join(first, ["a", "b"], "left_anti"), sets, pct), "jaccard-rest")
     part = components(part.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(rest))
 
     return _members(rows, nodes, part, None)

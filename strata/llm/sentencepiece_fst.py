@@ -53,6 +53,8 @@ class Vocabulary:
     spelled: list[bytes]
     byte_ids: list[int]
     breakers: str = field(default="")
+    # compiled by a worker that encodes; it goes from there with the broadcast that it hangs on
+    machine: Machine | None = field(default=None, repr=False, compare=False)
 
     @classmethod
     def read(cls, path: str = MODEL) -> Vocabulary:
@@ -89,7 +91,8 @@ class Machine:
     """The composed machines over units of normalised text."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        # not the vocabulary, which may hold this machine: what nothing else refers to is freed at once
+        self.known, self.byte_ids = vocabulary.pieces, vocabulary.byte_ids
         self.score = {p: s for p, (_, s) in vocabulary.pieces.items()}
         # most characters of a piece that begins with up to three given ones
         self.reach: dict[str, int] = {}
@@ -175,11 +178,11 @@ class Machine:
     def ids(self, unit: str) -> tuple[int, ...]:
         out: list[int] = []
         for piece in self.shortest_path(unit):
-            known = self.vocabulary.pieces.get(piece)
+            known = self.known.get(piece)
             if known is not None:
                 out.append(known[0])
             else:
-                out.extend(self.vocabulary.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
+                out.extend(self.byte_ids[b] for b in piece.encode("utf-8", "surrogatepass"))
         return tuple(out)
 
 
@@ -210,16 +213,13 @@ class Codec(dict):
         return out[1:] if out.startswith(" ") else out
 
 
-_MACHINES: dict[int, Machine] = {}  # of this worker process, by the vocabulary they were compiled from
-
-
 def _codec(shared, kept: int | None = None) -> Codec:
-    """A codec for one task; only the compiled machine, which is small, outlives it in a reused worker."""
+    """A codec for one task. Only the compiled machine outlives it in a reused worker, and only until the worker runs
+    a task without this vocabulary: Spark takes the broadcast from it then, and nothing else holds the machine."""
     vocabulary = shared.value
-    if id(vocabulary) not in _MACHINES:
-        _MACHINES.clear()
-        _MACHINES[id(vocabulary)] = Machine(vocabulary)
-    return Codec(vocabulary, _MACHINES[id(vocabulary)], kept)
+    if vocabulary.machine is None:
+        vocabulary.machine = Machine(vocabulary)
+    return Codec(vocabulary, vocabulary.machine, kept)
 
 
 _FIELDS = ["n_pieces", "pieces", "round_trip"]

@@ -1,10 +1,14 @@
 """The pipeline: each stage against its operator by brute force, and odd inputs."""
 
+import gc
+
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from strata.llm import decontamination, pii, quality_classifier, sentencepiece_fst
+from strata.llm import decontamination, jaccard_join, pii, quality_classifier, sentencepiece_fst
 from strata.llm.common import load, materialise
+from strata.llm.components import components
 
 from .test_jaccard import brute
 
@@ -60,3 +64,35 @@ def test_stages_keep_columns_named_like_their_own(spark, sf_small):
     last = corpus_pipeline.STAGES[-1][1](spark, at, sf_small)
     assert last.columns == [*docs.columns[:-3], "n_pieces", "pieces", "round_trip"]  # these are replaced
     assert last.filter("size(pieces) <> n_pieces").count() == 0 and last.count() == at.count()
+
+
+def test_a_worker_keeps_no_machine_after_the_pieces(spark):
+    docs = spark.range(16, numPartitions=8).selectExpr("id doc_id", "concat('some words of text ', id) text")
+    stages = (sentencepiece_fst.pieces_stage(spark, docs, ""),
+              sentencepiece_fst.encode(docs, sentencepiece_fst.Vocabulary.read()))
+    for encoded in stages:
+        assert encoded.agg(F.sum("n_pieces")).first()[0] > 0
+
+        def machines(batches):
+            kinds = [type(x).__name__ for x in gc.get_objects()]
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([kinds.count("Machine")] * batch.num_rows, pa.int64())], ["n"])
+
+        later = spark.range(64, numPartitions=64).mapInArrow(machines, "n long")  # more tasks than there are workers
+        assert later.agg(F.sum("n")).first()[0] == 0
+
+
+def test_no_stage_of_the_join_holds_two_python_workers_a_task(spark, monkeypatch):
+    plans = []
+
+    def seen(edges):
+        plans.append(edges._jdf.queryExecution().toString())
+        return components(edges)
+
+    monkeypatch.setattr(jaccard_join, "components", seen)
+    texts = [(i, f"one two three four five six seven eight nine ten eleven {i % 3}") for i in range(9)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.join(docs, 5, 70, count_links=False).collect()}
+    assert found == {d: c for d, (_, c) in brute(texts, 5, 70).items()}
+    # the contraction runs Python over these edges, so what makes them must not
+    assert len(plans) == 2 and not any("MapInArrow" in p for p in plans)
