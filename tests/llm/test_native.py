@@ -1,6 +1,7 @@
 """Quality rules, license scan, sharding and URL filter on small fixtures."""
 
 import random
+import re
 import struct
 import zlib
 
@@ -117,6 +118,41 @@ def test_licenses_are_told_apart(spark):
                                      "cc-by", "", ""]
 
 
+def test_every_template_word_is_counted_as_a_whole_word(spark, monkeypatch):
+    texts = ["permit nothing, committee", "MIT\x00License", "mit; accept by-law", None, "", "cc\u00e9 CC", "the\tthe the"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = {}
+    count = license_scan.word_order
+    monkeypatch.setattr(license_scan, "word_order", lambda docs, vocabulary: seen.setdefault("n", count(docs, vocabulary)))
+    rows = license_scan.scan(df).collect()
+    assert set(seen["n"]) == {w for t in license_scan.TEMPLATES for w in t[1].split()}
+    words = [set(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())) for t in texts]
+    assert seen["n"] == {w: sum(w in ws for ws in words) for w in seen["n"]}
+    assert (seen["n"]["mit"], seen["n"]["cc"], seen["n"]["the"], seen["n"]["license"]) == (2, 1, 1, 1)
+    assert {r["doc_id"]: r["n_words"] for r in rows} == {0: 3, 1: 2, 2: 4, 3: 0, 4: 0, 5: 2, 6: 3}
+
+
+def test_documents_near_a_template_match_the_definition(spark):
+    """Every document takes part, also one that lacks a word: compared with the definition (every block)."""
+    draw = random.Random(9)
+    texts = []
+    for label, sentence, _, banned in license_scan.TEMPLATES * 12:
+        words = sentence.split()
+        for _ in range(draw.randint(0, 5)):
+            at = draw.randrange(len(words))
+            draw.choice([lambda: words.pop(at), lambda: words.insert(at, draw.choice(["x", "mitten", *banned.split()])),
+                         lambda: words.__setitem__(at, words[at].upper() + "s" * draw.randint(0, 1))])()
+        texts.append(draw.choice([" ", "\n", "; ", "\x00"]).join(words))
+    rows = list(enumerate(texts))
+    names = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels")
+    got = by_id(license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")), *names)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(con.execute(f"SELECT {', '.join(names)} FROM ({license_scan.SQL})").fetchall())
+    assert got == want and 20 < sum(r[-1] != "" for r in got) < len(got) - 20
+
+
 # ---------------------------------------------------------------- sharding
 def _shard(doc_id, n):
     """Rendezvous by Spark's xxhash64 of (long, int), equal weights: the largest hash fraction wins."""
